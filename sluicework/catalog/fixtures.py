@@ -192,7 +192,7 @@ def part_xml(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("</pc:name><pc:price>"), price, F.lit("</pc:price></pc:record>"))
 
     key = F.col("p_partkey")
-    price = F.format_number(F.round("p_retailprice").cast("bigint"), 0)
+    price = F.format_number(F.col("p_retailprice").cast("bigint"), 0)
     second = F.when(key % 9 == 0, F.lit("<pc:record/>")).otherwise(
         record((-key - 1).cast("string"), F.col("p_brand"), F.lit("")))
     return table(spark, folder, "part").select("p_partkey", F.concat(

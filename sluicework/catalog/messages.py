@@ -15,8 +15,7 @@ from sluicework.session import shared_dir
 
 CATALOG = Catalog()
 
-EVENT_SCHEMA = T.StructType.fromDDL(
-    "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+EVENT_SCHEMA = "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 @CATALOG.query("kafka_json_decode", """

@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluicework.catalog.core import Catalog, file_input, table
 from sluicework.catalog.fixtures import (
@@ -174,7 +173,7 @@ def activity_fact(spark: SparkSession, folder: str) -> DataFrame:
 def cost_flatten(spark: SparkSession, folder: str) -> DataFrame:
     """Report pages as landed JSON, flattened with descriptions and ids."""
     pages = cost_pages(spark, folder).select(F.to_json(F.struct("*")).alias("value"))
-    parsed = codec.decode_json(pages, T.StructType.fromDDL(costs.REPORT_SCHEMA))
+    parsed = codec.decode_json(pages, costs.REPORT_SCHEMA)
     return costs.with_cost_id(costs.flatten_costs(parsed))
 
 
@@ -214,7 +213,7 @@ def array_explode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def meetings(spark: SparkSession, folder: str) -> DataFrame:
-    return codec.decode_json(meeting_messages(spark, folder), T.StructType.fromDDL(MEETING_SCHEMA))
+    return codec.decode_json(meeting_messages(spark, folder), MEETING_SCHEMA)
 
 
 @CATALOG.query("meeting_facts", """

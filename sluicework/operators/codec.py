@@ -30,7 +30,7 @@ def filter_by_key(df: DataFrame, text: str | None) -> DataFrame:
     return df.filter(F.col("key").cast("string").contains(text)) if text else df
 
 
-def decode_json(df: DataFrame, schema: T.StructType) -> DataFrame:
+def decode_json(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Value text -> flat typed columns; malformed text gives an all-null row."""
     return df.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
 
@@ -49,7 +49,7 @@ def decode_avro(df: DataFrame, avro_schema: str) -> DataFrame:
 def decode(
     df: DataFrame,
     data_format: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     filter_value: str | None = None,
     avro_schema: str | None = None,
 ) -> DataFrame:

@@ -71,19 +71,24 @@ def file_messages(rows: DataFrame, header_map: Mapping[str, str]) -> DataFrame:
 
 
 def ingest_batch(batch: DataFrame, header_map: Mapping[str, str], prefixes: Sequence[str], ledger_path: str,
-                 message_path: str, batch_id: int, first_row_only: bool = False) -> None:
+                 message_path: str, batch_key: str, first_row_only: bool = False) -> None:
     """One micro-batch of arriving files -> messages and ledger rows.
 
-    Both outputs are keyed by the batch id, so a replayed batch overwrites its
-    own files.  ``batch`` carries ``file_name`` from the file metadata.
+    Both outputs are keyed by the batch, so a replayed batch overwrites its own
+    files.  ``batch`` carries ``file_name`` and ``_row_start`` from the file
+    metadata.  The ledger goes last: files count as known once their messages
+    are written.
     """
     spark = batch.sparkSession
-    known = read_ledger(spark, ledger_path).select("file_name", "guid")
-    arrived = accepted(batch, prefixes)
-    fresh = arrived.join(known.select("file_name"), "file_name", "left_anti")
+    fresh = accepted(batch, prefixes)
+    if path_exists(spark, ledger_path):
+        # Rows this batch wrote before a replay do not make its files known.
+        others = F.col("batch_id").cast("string") != batch_key
+        known = spark.read.schema(f"{LEDGER_SCHEMA}, batch_id STRING").parquet(ledger_path).filter(others)
+        fresh = fresh.join(known.select("file_name"), "file_name", "left_anti")
     if first_row_only:
         fresh = first_rows(fresh, "file_name", "_row_start")
     data = fresh.drop("file_name", "_row_start")
-    file_messages(data, header_map).write.mode("overwrite").parquet(f"{message_path}/batch_id={batch_id}")
+    file_messages(data, header_map).write.mode("overwrite").parquet(f"{message_path}/batch_id={batch_key}")
     names = fresh.select("file_name").distinct()
-    ledger_entries(names).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
+    ledger_entries(names).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_key}")

@@ -15,7 +15,7 @@ DEFAULT_SALTS = 16
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a frame, or None when it has none to give."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no classic plan behind the frame
         return None
 

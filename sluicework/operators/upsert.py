@@ -73,7 +73,9 @@ def upsert_files(
     tail = F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns])).desc()
     result = latest_per_key(merged, keys, *order, F.col("_new").desc(), tail).drop("_new")
     pending = f"{target.rstrip('/')}__pending"
-    balanced(result, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(pending)
+    # Static mode: only then does Spark leave the marker that tells a whole write.
+    balanced(result, BUCKET).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(pending)
     _swap_in(pending, target, spark)
 
 

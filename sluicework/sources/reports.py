@@ -118,7 +118,7 @@ def local_path(xpath: str) -> str:
 def xml_records(documents: DataFrame, column: str, record_tag: str) -> DataFrame:
     """Document text -> one row per record element (records do not nest)."""
     tag = re.escape(record_tag.rsplit(":", 1)[-1].strip("/"))
-    element = rf"(?s)<((?:[\w.-]+:)?{tag})(?:\s[^>]*)?(?:/>|>.*?</\1>)"
+    element = rf"(?s)<((?:[\w.-]+:)?{tag})(?:\s[^>]*?)?(?:/>|>.*?</\1>)"
     found = F.regexp_extract_all(F.col(column), F.lit(element), F.lit(0))
     return documents.withColumn("record_xml", F.explode(found))
 

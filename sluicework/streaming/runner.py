@@ -41,14 +41,25 @@ def _start(session: SparkSession, stream: DataFrame, on_batch, properties: Mappi
     return _trigger(writer, properties).start()
 
 
+def batch_key(batch: DataFrame, batch_id: int) -> str:
+    """Batch number plus the id of the query, which lives in its checkpoint.
+
+    A replayed batch has the same key; a query started over on a new checkpoint
+    counts from zero again but has other keys, so it overwrites nothing.
+    """
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{batch_id}-{query_id}" if query_id else str(batch_id)
+
+
 def _emit(batch: DataFrame, spec: PipelineSpec, batch_id: int, variables: Mapping[str, str]) -> None:
     """Write all outputs of one batch, computing the batch once."""
+    key = batch_key(batch, batch_id)
     shared = len(spec.outputs) > 1
     if shared:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     batch.createOrReplaceTempView(spec.name)
     try:
-        write_outputs(batch.sparkSession, spec, batch_id, variables)
+        write_outputs(batch.sparkSession, spec, key, variables)
     finally:
         if shared:
             batch.unpersist()
