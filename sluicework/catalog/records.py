@@ -13,6 +13,7 @@ from sluicework.catalog.fixtures import (
 )
 from sluicework.catalog.pipelines import through_spec
 from sluicework.operators import activity, codec, costs, meeting
+from sluicework.session import through_storage
 
 CATALOG = Catalog()
 
@@ -140,8 +141,12 @@ def norm_rejects(spark: SparkSession, folder: str) -> DataFrame:
   WHERE o_orderkey % 6 <> 0 AND (o_orderkey + i) % 2 = 0 AND o_orderdate >= TIMESTAMP '1997-08-01'
 """)
 def activity_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """Internal participants with record, crm, account, rep and owner."""
-    good = records(spark, folder)
+    """Internal participants with record, crm, account, rep and owner.
+
+    Three of the five inputs come from the same records, so these are parsed
+    once and staged.
+    """
+    good = through_storage(records(spark, folder), "records")
     customer = table(spark, folder, "customer")
     accounts = customer.select(
         F.concat(F.lit("a"), F.col("c_custkey").cast("string")).alias("account_id"), F.col("c_name").alias("account_name"),

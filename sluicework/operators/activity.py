@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicework.functions.text import join_texts
+from sluicework.operators.codec import expand_once
 from sluicework.operators.skew import lookup_join
 
 # Source field -> output column, in output order.
@@ -77,7 +78,7 @@ def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
         F.col(column), f"{RECORD_SCHEMA}, {CORRUPT} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return lines.select(parsed.alias("r")).select("r.*")
+    return expand_once(lines, parsed)
 
 
 def good_records(parsed: DataFrame) -> DataFrame:

@@ -30,9 +30,19 @@ def filter_by_key(df: DataFrame, text: str | None) -> DataFrame:
     return df.filter(F.col("key").cast("string").contains(text)) if text else df
 
 
+def expand_once(df: DataFrame, record: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """A struct expression -> its fields as columns, evaluated once per row.
+
+    Filters on the fields stay above the expansion.  After a plain
+    ``select("r.*")`` they would be pushed below it together with the
+    expression, and costly parsing would run again for each of them.
+    """
+    return df.select(*keep, F.inline(F.array(record)))
+
+
 def decode_json(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Value text -> flat typed columns; malformed text gives an all-null row."""
-    return df.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
+    return expand_once(df, F.from_json(F.col("value").cast("string"), schema))
 
 
 def decode_text(df: DataFrame) -> DataFrame:

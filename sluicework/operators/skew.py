@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Above this estimated size a lookup side is shuffled, and so salted.
 SMALL_LOOKUP_BYTES = 8 * 1024 * 1024
 DEFAULT_SALTS = 16
+# Below this estimated size an input is spread over the cores before heavy work.
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -51,6 +53,18 @@ def lookup_join(
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+def spread_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Use all cores for costly per-row work on an input of few splits.
+
+    Only a frame below ``limit`` bytes is moved; a larger one has splits enough
+    and is left as it is.
+    """
+    size = estimated_bytes(df)
+    if size is None or size > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Cluster rows by columns before a partitioned write.
 

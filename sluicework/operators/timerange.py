@@ -49,9 +49,14 @@ def range_query(
     return f"SELECT {columns} FROM {table}{where}" + (" LIMIT 1" if probe else "")
 
 
+def second_of(df: DataFrame, column: str) -> Column:
+    """The column cut to whole seconds, in its own type."""
+    return F.date_trunc("second", F.col(column)).cast(df.schema[column].dataType)
+
+
 def rows_per_second(df: DataFrame, column: str) -> DataFrame:
     return (
-        df.select(F.date_trunc("second", F.col(column)).alias("second_ts"))
+        df.select(second_of(df, column).alias("second_ts"))
         .filter(F.col("second_ts").isNotNull())
         .groupBy("second_ts")
         .agg(F.count(F.lit(1)).alias("row_count"))
@@ -78,8 +83,10 @@ def bucket_plan(df: DataFrame, column: str, buffer_size: int) -> DataFrame:
     )
     in_day = Window.partitionBy("day").orderBy("second_ts").rowsBetween(Window.unboundedPreceding, 0)
     running = (F.sum("row_count").over(in_day) + F.col("rows_before")).alias("running_count")
+    # A left join infers no filter, so both uses of ``seconds`` stay one plan and
+    # Spark reuses its shuffle instead of scanning again.
     return (
-        seconds.join(days, "day")
+        seconds.join(days, "day", "left")
         .select("second_ts", "row_count", running)
         .withColumn("bucket", F.expr(f"running_count div {int(buffer_size)}"))
     )
@@ -113,7 +120,7 @@ def bucket_ranges(plan: DataFrame, end: datetime | None = None) -> DataFrame:
     following = F.coalesce(F.lead("start_ts").over(in_day), F.col("later_start"))
     preceding = F.coalesce(F.lag("start_ts").over(in_day), F.col("earlier_start"))
     limit = F.lit(end) if end is not None else F.lit(None)
-    marked = bounds.join(days, "day").select(
+    marked = bounds.join(days, "day", "left").select(
         "bucket", "start_ts", "last_ts",
         following.alias("next_start"),
         (following.isNull() & preceding.isNull() & (F.col("last_ts") > F.col("start_ts"))).alias("alone"),
@@ -131,7 +138,7 @@ def bucket_ranges(plan: DataFrame, end: datetime | None = None) -> DataFrame:
 
 def with_bucket(df: DataFrame, plan: DataFrame, column: str) -> DataFrame:
     """Every row with its bucket, by an equi-join on the second."""
-    keyed = df.withColumn("second_ts", F.date_trunc("second", F.col(column)))
+    keyed = df.withColumn("second_ts", second_of(df, column))
     return lookup_join(keyed, plan.select("second_ts", "bucket"), ["second_ts"]).drop("second_ts")
 
 

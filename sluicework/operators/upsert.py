@@ -30,13 +30,29 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _swap_in(df_path: str, target: str, spark) -> None:
-    staged = spark.read.parquet(df_path)
-    (
-        balanced(staged, BUCKET).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target)
-    )
-    delete_path(spark, df_path)
+def tie_break(df: DataFrame) -> Column:
+    """An order on whole rows that is the same on every run."""
+    return F.xxhash64(*[F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and kind != "variant"]).desc()
+
+
+def _swap_in(pending: str, target: str, spark) -> None:
+    """Put each merged bucket in the place of the old one, then drop the rest.
+
+    A bucket leaves the pending folder only by taking its place in the table,
+    so the loop can stop anywhere and be run again.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(pending)
+    table = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(table)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"{BUCKET}="):
+            place = spark._jvm.org.apache.hadoop.fs.Path(table, name)
+            fs.delete(place, True)
+            if not fs.rename(status.getPath(), place):
+                raise OSError(f"could not move {status.getPath()} to {place}")
+    delete_path(spark, pending)
 
 
 def finish_pending(spark, target: str) -> bool:
@@ -69,9 +85,7 @@ def upsert_files(
         existing = spark.read.parquet(target).filter(F.col(BUCKET).isin(touched))
         merged = existing.withColumn("_new", F.lit(0)).unionByName(incoming, allowMissingColumns=True)
     order = [F.col(order_by).desc_nulls_last()] if order_by else []
-    # Whole-row tail makes the survivor of a tie the same on every run.
-    tail = F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns])).desc()
-    result = latest_per_key(merged, keys, *order, F.col("_new").desc(), tail).drop("_new")
+    result = latest_per_key(merged, keys, *order, F.col("_new").desc(), tie_break(batch)).drop("_new")
     pending = f"{target.rstrip('/')}__pending"
     # Static mode: only then does Spark leave the marker that tells a whole write.
     balanced(result, BUCKET).write.mode("overwrite").option(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from contextvars import copy_context
+from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from sluicework.plans.hooks import apply_hook
 from sluicework.plans.spec import (
     PipelineSpec, enabled_pipelines, load_pipeline, merge_properties, substitute, substitute_all,
 )
-from sluicework.session import child_session, ship_package, through_storage
+from sluicework.session import child_session, scratch_scope, ship_package, through_storage
 from sluicework.sinks import write_output
 from sluicework.sources import read_input
 from sluicework.sources.kafka import commit_read, decoded, staged_batch
@@ -31,7 +32,6 @@ class BatchRun:
     run_id: str
     session: SparkSession
     frame: DataFrame
-    commits: list = field(default_factory=list)
 
 
 def input_properties(
@@ -89,7 +89,7 @@ def write_outputs(
     workers = min(len(spec.outputs), MAX_PARALLEL_OUTPUTS)
     with ThreadPoolExecutor(workers) as pool:
         tasks = [
-            pool.submit(inheritable_thread_target(session)(one), index, raw)
+            pool.submit(copy_context().run, inheritable_thread_target(session)(one), index, raw)
             for index, raw in enumerate(spec.outputs)
         ]
         for task in tasks:
@@ -126,9 +126,13 @@ def run_pipeline(
     ship_package(spark)
     session = child_session(spark, spec.sql_conf)
     run = run_id or uuid.uuid4().hex
-    commits = register_inputs(session, spec, enabled, variables)
-    frame = pipeline_frame(session, spec, variables)
-    if write:
+    if not write:
+        register_inputs(session, spec, enabled, variables)
+        return BatchRun(spec.name, run, session, pipeline_frame(session, spec, variables))
+    # Copies staged for this run are of no use after it.
+    with scratch_scope(session):
+        commits = register_inputs(session, spec, enabled, variables)
+        frame = pipeline_frame(session, spec, variables)
         shared = shared_frame(frame, spec, enabled.get("share_output", "persist"))
         try:
             write_outputs(session, spec, run, variables)
@@ -136,7 +140,7 @@ def run_pipeline(
             shared.unpersist()
         for rows, properties in commits:
             commit_read(rows, properties, run)
-    return BatchRun(spec.name, run, session, frame, commits)
+    return BatchRun(spec.name, run, session, frame)
 
 
 class PipelinesFailed(RuntimeError):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,9 +73,29 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder path below the shared root."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    opened = _scope.get()
+    if opened is not None:
+        opened.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the shared folders handed out inside the block when it ends."""
+    opened: list[str] = []
+    token = _scope.set(opened)
+    try:
+        yield opened
+    finally:
+        _scope.reset(token)
+        for path in opened:
+            delete_path(spark, path)
 
 
 def _fs_path(spark: SparkSession, path: str):

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from sluicework.functions.dates import last_days_start
 from sluicework.operators.columns import cast_to_target
-from sluicework.operators.upsert import latest_per_key
+from sluicework.operators.upsert import latest_per_key, tie_break
 from sluicework.plans.spec import column_list, flag, save_mode
 from sluicework.sinks.core import SINKS
 
@@ -90,8 +90,7 @@ def upsert(df: DataFrame, properties: Mapping[str, str]) -> None:
     """Keep one row per key, stage it from the executors, merge in the database."""
     keys = column_list(properties["key_cols"])
     order = column_list(properties.get("order_by"))
-    whole_row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    rows = latest_per_key(df, keys, *[F.col(c).desc_nulls_last() for c in order], whole_row.desc())
+    rows = latest_per_key(df, keys, *[F.col(c).desc_nulls_last() for c in order], tie_break(df))
     target = properties["table_name"]
     staged = f"{target}_stage_{uuid.uuid4().hex[:12]}"
     spark = df.sparkSession

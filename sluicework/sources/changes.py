@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +13,13 @@ from sluicework.operators import timerange
 from sluicework.plans.spec import column_list, first_of, flag
 from sluicework.session import shared_dir
 from sluicework.sources.core import SOURCES
+from sluicework.sources.fetched import read_range
 from sluicework.sources.stores import read_jdbc_ranges
 
 DEFAULT_COLUMN = "systemmodstamp"
-LATEST_LAG = timedelta(seconds=5)
+
+# How far before now a stream without a given time starts.
+POLICY_LAGS = {"latest": timedelta(seconds=5), "last_minute": timedelta(minutes=1)}
 
 
 def requested_range(properties: Mapping[str, str], now: datetime | None = None) -> tuple[datetime | None, datetime | None]:
@@ -72,17 +75,36 @@ def read_changes(spark: SparkSession, properties: Mapping[str, str]) -> DataFram
     return read_jdbc_ranges(spark, properties, properties["table"], predicates)
 
 
-def starting_point(df: DataFrame, properties: Mapping[str, str], now: datetime) -> datetime | None:
+def starting_point(
+    scan: Callable[[], DataFrame], properties: Mapping[str, str], now: datetime, default: str = "earliest",
+) -> datetime | None:
     """Start of a new stream: smallest value, just before now, or a given time.
 
     An empty table under ``earliest`` has no start yet.
     """
-    policy = first_of(properties, "starting_offset", "startingOffsets", default="earliest")
-    if policy == "latest":
-        return now - LATEST_LAG
+    policy = first_of(properties, "starting_offset", "startingOffsets", default=default)
+    if policy in POLICY_LAGS:
+        return now - POLICY_LAGS[policy]
     if policy != "earliest":
         return parse_text(policy)
+    df = scan()
     lowest = df.agg(F.min(offset_column(df, properties))).first()[0]
     if lowest is None or isinstance(lowest, datetime):
         return lowest
     return parse_text(str(lowest))
+
+
+def rows_between(
+    spark: SparkSession, properties: Mapping[str, str], start: datetime, end: datetime,
+) -> DataFrame:
+    """Rows of one range of a stream.
+
+    From a fetcher, from the table by range filter, or (``support_parallel_fetch``)
+    from the table in buckets.
+    """
+    if "fetcher" in properties:
+        return read_range(spark, {**properties, "start": start.isoformat(), "end": end.isoformat()})
+    if flag(properties, "support_parallel_fetch"):
+        bounds = {"start_time": start.isoformat(), "end_time": end.isoformat()}
+        return read_changes(spark, {**properties, **bounds})
+    return range_rows(base_scan(spark, properties), properties, start, end)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from sluicework.functions.dates import parse_text
+from sluicework.operators.codec import expand_once
 from sluicework.plans.spec import first_of
 from sluicework.session import shared_dir
 from sluicework.sources.core import SOURCES
@@ -108,7 +109,7 @@ def response_rows(responses: DataFrame, part: str = "BODY", schema: T.StructType
     """
     text = responses.select(F.col(RESPONSE_PARTS[part.upper()]).cast("string").alias("value"))
     if schema is not None:
-        return text.select(F.from_json("value", schema).alias("data")).select("data.*")
+        return expand_once(text, F.from_json("value", schema))
     spark = responses.sparkSession
     path = shared_dir(spark, "responses")
     text.filter("value IS NOT NULL").write.text(path)
@@ -122,6 +123,8 @@ def read_rest(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
         spark.read.json(properties["requests_path"]) if "requests_path" in properties
         else spark.createDataFrame([request_row(properties)])
     )
+    if "parallelism" in properties:
+        requests = requests.repartition(int(properties["parallelism"]))
     return response_rows(
         fetch_responses(requests, fetch), properties.get("respType", "BODY"), declared_schema(properties))
 
@@ -227,8 +230,7 @@ class PagedExportReader(DataSourceReader):
 
     def partitions(self) -> list[Span]:
         last = self._fetcher().last_page()
-        tasks = min(last, int(self.options.get("num_partitions", "8")))
-        step = -(-last // tasks) if tasks else 1
+        step = max(int(self.options.get("pages_per_task", "10")), -(-last // MAX_SLICES))
         return [Span(first, min(first + step - 1, last)) for first in range(1, last + 1, step)] or [Span(1, 0)]
 
     def read(self, partition: Span) -> Iterator[tuple]:
@@ -240,7 +242,7 @@ class PagedExportReader(DataSourceReader):
 def staged_json(frame: DataFrame, schema: T.StructType | str | None, location: str | None) -> DataFrame:
     """``value`` JSON rows -> typed rows; staged once when types are inferred."""
     if schema is not None:
-        return frame.select(F.from_json("value", schema).alias("data")).select("data.*")
+        return expand_once(frame, F.from_json("value", schema))
     path = location or shared_dir(frame.sparkSession, "pages")
     frame.select("value").write.mode("overwrite").text(path)
     return frame.sparkSession.read.json(path)

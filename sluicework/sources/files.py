@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluicework.functions.avro_schema import struct_from_avsc
+from sluicework.operators.skew import spread_small
 from sluicework.plans.spec import first_of, flag
 from sluicework.sources.core import SOURCES, STREAMS
 
@@ -48,7 +49,8 @@ def read_files(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     schema = declared_schema(properties)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(properties.get("path", DEFAULT_PATH))
+    df = reader.load(properties.get("path", DEFAULT_PATH))
+    return spread_small(df) if flag(properties, "spread_small") else df
 
 
 @STREAMS.register("file")

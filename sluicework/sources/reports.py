@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicework.operators.codec import expand_once
 from sluicework.operators.columns import cast_text_record, clean_column_names, clean_names
 from sluicework.operators.costs import REPORT_SCHEMA
 from sluicework.plans.spec import flag
@@ -34,7 +35,7 @@ def csv_lines(lines: DataFrame, header: str, types: Mapping[str, str] | None = N
     body = lines.filter((F.col("value") != header) & (F.trim("value") != ""))
     if types is not None:
         schema = ", ".join(f"`{name}` {types.get(name, 'STRING')}" for name in names)
-        return body.select(F.from_csv("value", F.lit(schema), {"sep": delimiter}).alias("r")).select("r.*")
+        return expand_once(body, F.from_csv("value", F.lit(schema), {"sep": delimiter}))
     path = shared_dir(spark, "report")
     body.select("value").write.text(path)
     return spark.read.option("inferSchema", True).option("delimiter", delimiter).csv(path).toDF(*names)
@@ -63,7 +64,7 @@ def read_json_lines(spark: SparkSession, properties: Mapping[str, str]) -> DataF
     schema = declared_schema(properties)
     if schema is None:
         return spark.read.json(properties["path"])
-    return spark.read.text(properties["path"]).select(F.from_json("value", schema).alias("d")).select("d.*")
+    return expand_once(spark.read.text(properties["path"]), F.from_json("value", schema))
 
 
 @SOURCES.register("cost_report")
@@ -81,7 +82,7 @@ def change_events(lines: DataFrame, schema: T.StructType | str, topic: str | Non
     ``replay_from`` keeps events after that id; -2 keeps all of them.  New-only
     (-1) is the stream's own starting position and filters nothing here.
     """
-    parsed = lines.select(F.from_json("value", schema).alias("e")).select("e.*")
+    parsed = expand_once(lines, F.from_json("value", schema))
     if topic is not None:
         parsed = parsed.filter(F.col("topic") == topic)
     return parsed.filter(F.col("replay_id") > replay_from) if replay_from >= 0 else parsed
@@ -131,11 +132,11 @@ def _without_prefixes(column: Column) -> Column:
 def xml_columns(records: DataFrame, xpaths: Mapping[str, str], column: str = "record_xml", keep: tuple[str, ...] = ()) -> DataFrame:
     """Record XML -> one string column per XPath; records with no value are dropped."""
     xml = _without_prefixes(F.col(column))
-    values = {
-        name: F.nullif(F.xpath_string(xml, F.lit(local_path(path))), F.lit("")) for name, path in xpaths.items()
-    }
-    flat = records.select(*keep, *[value.alias(name) for name, value in values.items()])
-    return flat.filter(F.coalesce(*[F.col(name) for name in values]).isNotNull())
+    values = F.struct(*[
+        F.nullif(F.xpath_string(xml, F.lit(local_path(path))), F.lit("")).alias(name) for name, path in xpaths.items()
+    ])
+    flat = expand_once(records, values, keep)
+    return flat.filter(F.coalesce(*[F.col(name) for name in xpaths]).isNotNull())
 
 
 @SOURCES.register("netsuite", "xml")

@@ -16,15 +16,15 @@ from sluicework.plans.spec import (
 )
 from sluicework.session import child_session, shared_dir, ship_package
 from sluicework.sources import STREAMS, read_stream
-from sluicework.sources.changes import base_scan, range_rows, starting_point
+from sluicework.sources.changes import base_scan, rows_between, starting_point
 from sluicework.streaming.ranges import batch_range, range_stream, utc_now
 
-# Inputs read range by range, with the unit of their cap and its setting.
+# Inputs read range by range: unit of the cap, its setting, where a new stream starts.
 RANGE_INPUTS = {
-    "okta": ("minutes", "max_minutes_per_trigger"),
-    "sfdc": ("days", "max_offset_days_per_trigger"),
-    "changes": ("days", "max_offset_days_per_trigger"),
-    "ranged": ("minutes", "max_minutes_per_trigger"),
+    "okta": ("minutes", "max_minutes_per_trigger", "last_minute"),
+    "ranged": ("minutes", "max_minutes_per_trigger", "last_minute"),
+    "sfdc": ("days", "max_offset_days_per_trigger", "earliest"),
+    "changes": ("days", "max_offset_days_per_trigger", "earliest"),
 }
 
 
@@ -36,7 +36,9 @@ def _trigger(writer, properties: Mapping[str, str]):
 
 
 def _start(session: SparkSession, stream: DataFrame, on_batch, properties: Mapping[str, str], name: str) -> StreamingQuery:
-    checkpoint = properties.get("checkpoint_dir") or shared_dir(session, f"checkpoint-{name}")
+    # Without commits the checkpoint is a throw-away folder: a restart begins anew.
+    keep = flag(properties, "commit_offset", default=True)
+    checkpoint = (keep and properties.get("checkpoint_dir")) or shared_dir(session, f"checkpoint-{name}")
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, properties).start()
 
@@ -119,10 +121,10 @@ def start_range_stream(
     """The first input is a table read by change time, one capped range per batch."""
     raw = input_properties(spec.inputs[0], enabled, "real", variables)
     properties = substitute_all(raw, raw)
-    unit, cap_key = RANGE_INPUTS[properties["format"].lower()]
+    unit, cap_key, policy = RANGE_INPUTS[properties["format"].lower()]
     until = properties.get("until")
     now = parse_text(until) if until else utc_now()
-    start = starting_point(base_scan(session, properties), properties, now) or now
+    start = starting_point(lambda: base_scan(session, properties), properties, now, policy) or now
     ranges = range_stream(session, start, int(properties[cap_key]), unit, parse_text(until) if until else None)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -130,8 +132,7 @@ def start_range_stream(
         if bounds is None:
             return
         batch_session = batch.sparkSession
-        rows = range_rows(base_scan(batch_session, properties), properties, *bounds)
-        hooked(rows, properties).createOrReplaceTempView(properties["alias"])
+        hooked(rows_between(batch_session, properties, *bounds), properties).createOrReplaceTempView(properties["alias"])
         register_inputs(batch_session, spec, enabled, variables, "real", spec.inputs[1:])
         frame = apply_hook(
             batch_session.sql(substitute(spec.query, variables)), spec.hook_snippet, spec.hook_file)

@@ -129,10 +129,11 @@ def test_starting_point_policies(spark):
     df = frame(spark, at(5, 1))
     now = datetime(2024, 5, 1)
     base = {"offset_column": "TS"}
-    assert changes.starting_point(df, base, now) == T0 + timedelta(seconds=1)
-    assert changes.starting_point(df, {**base, "starting_offset": "latest"}, now) == now - timedelta(seconds=5)
-    assert changes.starting_point(df, {**base, "starting_offset": "2024-02-02T00:00:00Z"}, now) == datetime(2024, 2, 2)
-    assert changes.starting_point(frame(spark, []), base, now) is None
+    assert changes.starting_point(lambda: df, base, now) == T0 + timedelta(seconds=1)
+    assert changes.starting_point(lambda: df, {**base, "starting_offset": "latest"}, now) == now - timedelta(seconds=5)
+    assert changes.starting_point(lambda: df, {**base, "starting_offset": "2024-02-02T00:00:00Z"}, now) == datetime(2024, 2, 2)
+    assert changes.starting_point(lambda: frame(spark, []), base, now) is None
+    assert changes.starting_point(None, {}, now, "last_minute") == now - timedelta(minutes=1)
     with pytest.raises(ValueError, match="not found"):
         changes.offset_column(df, {"offset_column": "gone"})
 
