@@ -138,7 +138,7 @@ def cost_pages(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy(F.date_trunc("month", "l_shipdate").alias("month"), F.col("l_suppkey").alias("s_suppkey"))
         .agg(*[F.sum(F.when(F.col("l_returnflag") == f, price)).alias(f"sum_{f}") for f in flags])
     )
-    named = lookup_join(sums, table(spark, folder, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"])
+    named = sums.join(table(spark, folder, "supplier").select("s_suppkey", "s_name"), "s_suppkey")
     account = F.concat(F.lit("acct"), F.col("s_suppkey").cast("string"))
     groups = F.array_compact(F.array(*[
         F.when(F.col(f"sum_{f}").isNotNull(), F.struct(

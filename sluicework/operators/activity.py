@@ -181,19 +181,22 @@ def activity_fact(
 
     Activities, crm rows, accounts and users are unique by key, so every join is
     a lookup from the participant side; one big account, meeting or rep cannot
-    fill a single task.
+    fill a single task.  Key frequencies are read from the input tables, not
+    from half-joined rows.
     """
     recent = activities.filter(F.col("event_timestamp") >= (cutoff if cutoff is not None else fiscal_cutoff()))
     internal = participants.filter(F.col("type") == "internal").select(
         "uid", F.col("email").alias("participant_email"), F.col("name").alias("participant_name"),
         F.col("type").alias("participant_type"), "time_spent")
-    with_activity = lookup_join(internal, recent, ["uid"])
-    with_crm = lookup_join(with_activity, crm.select("uid", F.col("acc_crm_id").alias("account_id")), ["uid"])
-    with_account = lookup_join(with_crm, accounts, ["account_id"])
+    owned = crm.select("uid", F.col("acc_crm_id").alias("account_id"))
     reps = users.select(
         F.col("user_id").alias("rep_id"), F.col("user_name").alias("rep_name"), F.col("username").alias("participant_email"))
     owners = users.select(F.col("user_id").alias("account_owner_id"), F.col("user_name").alias("account_owner_name"))
-    joined = lookup_join(lookup_join(with_account, reps, ["participant_email"], "left"), owners, ["account_owner_id"], "left")
+    joined = lookup_join(internal, recent, ["uid"])
+    joined = lookup_join(joined, owned, ["uid"], counted=internal)
+    joined = lookup_join(joined, accounts, ["account_id"], counted=owned)
+    joined = lookup_join(joined, reps, ["participant_email"], "left", counted=internal)
+    joined = lookup_join(joined, owners, ["account_owner_id"], "left", counted=accounts)
     return joined.withColumn("final_amount", override_or_default("amount_override", "amount")).withColumn(
         "actual_time_spent_in_sec",
         F.when(F.col("request_type") == "meeting", F.col("duration")).otherwise(F.col("time_spent")),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.operators.skew import balanced, lookup_join
+from sluicework.session import through_storage
 
 
 def range_predicate(
@@ -136,19 +137,37 @@ def bucket_ranges(plan: DataFrame, end: datetime | None = None) -> DataFrame:
     return marked.select("bucket", F.explode(pieces).alias("piece")).select("bucket", "piece.*")
 
 
-def with_bucket(df: DataFrame, plan: DataFrame, column: str) -> DataFrame:
-    """Every row with its bucket, by an equi-join on the second."""
-    keyed = df.withColumn("second_ts", second_of(df, column))
-    return lookup_join(keyed, plan.select("second_ts", "bucket"), ["second_ts"]).drop("second_ts")
+def bucket_marks(plan: DataFrame) -> DataFrame:
+    """``hour_ts, marks``: where buckets begin inside each hour with rows.
+
+    An hour has at most 3,600 marks, and usually one; the table is as long as
+    the calendar has hours, whatever the number of rows.
+    """
+    starts = plan.groupBy(F.date_trunc("hour", "second_ts").alias("hour_ts"), "bucket").agg(
+        F.min("second_ts").alias("start_ts"))
+    return starts.groupBy("hour_ts").agg(F.sort_array(F.collect_list(F.struct("start_ts", "bucket"))).alias("marks"))
+
+
+def with_bucket(df: DataFrame, marks: DataFrame, column: str) -> DataFrame:
+    """Every row with its bucket: join on the hour, then the last mark not after it."""
+    keyed = df.filter(F.col(column).isNotNull()).withColumn("hour_ts", F.date_trunc("hour", F.col(column)))
+    second = second_of(df, column)
+    bucket = F.aggregate(
+        "marks", F.lit(None).cast("bigint"),
+        lambda found, mark: F.when(mark["start_ts"] <= second, mark["bucket"]).otherwise(found))
+    joined = lookup_join(keyed, marks, ["hour_ts"])
+    return joined.withColumn("bucket", bucket).drop("hour_ts", "marks")
 
 
 def bucketed_extract(df: DataFrame, column: str, buffer_size: int, stage_path: str) -> DataFrame:
     """Stage rows by bucket and return the staged copy.
 
-    One folder per bucket; rerunning a bucket overwrites just that folder.
+    The plan is computed first, from the time column alone, and kept: its few
+    rows are then of known size when the rows themselves are read.  One folder
+    per bucket; rerunning a bucket overwrites just that folder.
     """
-    plan = bucket_plan(df, column, buffer_size)
-    rows = balanced(with_bucket(df, plan, column), "bucket")
+    marks = through_storage(bucket_marks(bucket_plan(df, column, buffer_size)), "bucket-marks")
+    rows = balanced(with_bucket(df, marks, column), "bucket")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(stage_path)
     return df.sparkSession.read.parquet(stage_path)
 
