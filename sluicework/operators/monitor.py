@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluicework.operators.skew import lookup_join
 from sluicework.operators.upsert import latest_per_key
+from sluicework.session import path_exists
 
 RUN_WINDOW = "INTERVAL 1 HOUR"
 SUPPRESS_SECONDS = 3600
@@ -138,3 +139,21 @@ def incident_rows(raised: DataFrame, app_type: str, now: datetime | None = None)
         F.md5(F.concat_ws("|", "name", _now(now).cast("string"))).alias("pdDedupKey"),
         _now(now).alias("pdCreatedTime"),
     )
+
+
+def raise_incidents(
+    alerts: DataFrame, table_path: str, app_type: str, batch_key: str, now: datetime | None = None,
+) -> DataFrame:
+    """One check: append the incidents to raise to the incident table and return them.
+
+    Serves a scheduled check and ``foreachBatch`` alike.  The rows of a check are
+    keyed by it and do not suppress its own replay.
+    """
+    spark = alerts.sparkSession
+    if path_exists(spark, table_path):
+        known = spark.read.parquet(table_path).filter(F.col("batch_id").cast("string") != batch_key)
+    else:
+        known = spark.createDataFrame([], "appName STRING, pdCreatedTime TIMESTAMP_NTZ")
+    target = f"{table_path.rstrip('/')}/batch_id={batch_key}"
+    incident_rows(incidents_to_raise(alerts, known, now), app_type, now).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)

@@ -155,5 +155,5 @@ def ship_package(spark: SparkSession) -> None:
     stream = fs.create(target)
     stream.write(bytearray(buffer.getvalue()))
     stream.close()
-    spark.sparkContext.addPyFile(target.toString())
+    spark.sparkContext.addPyFile(fs.makeQualified(target).toString())
     _shipped.add(application)

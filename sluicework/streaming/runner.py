@@ -29,10 +29,14 @@ RANGE_INPUTS = {
 
 
 def _trigger(writer, properties: Mapping[str, str]):
-    """``trigger=available_now`` drains and stops; otherwise ``window`` is the interval."""
+    """``trigger=available_now`` drains and stops; otherwise ``window`` is the interval.
+
+    A bare number counts seconds.
+    """
     if properties.get("trigger") == "available_now":
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=properties.get("window", "0 seconds"))
+    window = properties.get("window", "0")
+    return writer.trigger(processingTime=f"{window} seconds" if window.isdigit() else window)
 
 
 def _start(session: SparkSession, stream: DataFrame, on_batch, properties: Mapping[str, str], name: str) -> StreamingQuery:

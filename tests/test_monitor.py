@@ -69,6 +69,16 @@ def test_incident_suppression_and_rows(spark):
     assert again.isEmpty()
 
 
+def test_raise_incidents_replays_and_suppresses(spark, tmp_path):
+    alerts = runs(spark, ("1", "p", "FINISHED", "FAILED", t(1), t(2)), ("2", "q", "KILLED", "KILLED", t(1), t(2)))
+    path = str(tmp_path / "incidents")
+    for key in ("c1", "c1"):
+        assert rows(monitor.raise_incidents(alerts, path, "batch", key, NOW), "appName") == [("p",), ("q",)]
+    assert monitor.raise_incidents(alerts, path, "batch", "c2", t(12, 30)).isEmpty()
+    assert rows(monitor.raise_incidents(alerts.filter("name = 'p'"), path, "batch", "c3", t(13, 1)), "appName", "appState") == [("p", "FINISHED")]
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_ledger(spark):
     files = spark.createDataFrame([("m-1-2024-01-01.csv",), ("m-1-2024-01-01.csv",), ("m-2.csv.done",), ("m-3.txt",), ("z.csv",)], "file_name string")
     kept = ledger.accepted(files, ["m-"])

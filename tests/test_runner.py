@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,58 @@ def test_run_batch_logs_and_tries_all(spark, sf, tmp_path):
     assert failed["error_message"].startswith("hook broke") and "RuntimeError" in failed["stack_trace"]
 
 
+@hook("tests.upper")
+def upper(df):
+    return df.selectExpr("upper(r_name) AS name")
+
+
+def test_pipeline_hook_snippet_beats_file(spark, sf):
+    doc = spec_document("Hooked", [file_input(sf, "region")], "select lower(r_name) as r_name from region",
+                        [{"query": "select * from #process", "action": "noop"}],
+                        custom_process_code_snippet="tests.upper", custom_process_file="tests.failing")
+    frame = run_pipeline(spark, load_pipeline(doc, "Hooked"), write=False).frame
+    assert frame.columns == ["name"] and rows(frame)[0] == ("AFRICA",)
+
+
+def test_bare_window_counts_seconds():
+    from sluicework.streaming.runner import _trigger
+
+    class Writer:
+        def trigger(self, **options):
+            return options
+
+    assert _trigger(Writer(), {"window": "5"}) == {"processingTime": "5 seconds"}
+    assert _trigger(Writer(), {"window": "2 minutes"}) == {"processingTime": "2 minutes"}
+    assert _trigger(Writer(), {"trigger": "available_now", "window": "5"}) == {"availableNow": True}
+
+
+def test_without_commits_a_restart_begins_anew(spark, tmp_path):
+    source, target = str(tmp_path / "src"), str(tmp_path / "out")
+    spark.range(3).write.json(source)
+    events = {"format": "file", "file_format": "json", "path": source, "schema_ddl": "id INT", "alias": "e"}
+    for commit in ("false", "false", "true", "true"):
+        doc = spec_document("S", [{**events, "commit_offset": commit}], "select id from e", [out(target)], "real")
+        start_pipeline(spark, load_pipeline(doc, "S"), {"checkpoint_dir": str(tmp_path / "ck"), "trigger": "available_now"}).awaitTermination()
+    assert spark.read.parquet(target).count() == 9
+
+
+def test_scratch_is_removed_after_a_run(spark, sf, tmp_path):
+    from sluicework.session import path_exists, scratch_scope
+
+    with scratch_scope(spark) as opened:
+        inner = shared_dir(spark, "x")
+        spark.range(1).write.parquet(inner)
+    assert opened == [inner] and not path_exists(spark, inner)
+    changes = {"format": "changes", "path": f"{sf}/events.parquet", "ts_col": "ts", "buffer_size": "200", "alias": "c"}
+    doc = spec_document("Bulk", [changes], "select * from c", [out(str(tmp_path / "o"))])
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in root.iterdir()}
+    run_pipeline(spark, load_pipeline(doc, "Bulk"))
+    assert spark.read.parquet(str(tmp_path / "o")).count() == spark.read.parquet(f"{sf}/events.parquet").count()
+    left = {p.name for p in root.iterdir()} - before
+    assert not [name for name in left if name.startswith(("buckets-", "bucket-marks-"))]
+
+
 def test_views_do_not_leak_between_pipelines(spark, sf):
     spec = load_pipeline(spec_document("Leak", [file_input(sf, "region", "same")], "select * from same", [{"query": "select * from #process", "action": "noop"}]), "Leak")
     run = run_pipeline(spark, spec)

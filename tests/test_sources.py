@@ -77,6 +77,16 @@ def test_request_row():
     assert fetched.request_row({"uri": "https://h", "data": "b=2", "method": "DELETE"})["uri"] == "https://h?b=2"
 
 
+def test_oauth_header_signs_query_and_body():
+    request = fetched.request_row({"uri": "https://h/x", "data": "b=2&a=x%20y", "oauthCredStr": "ck:cs:tk:ts", "userCredStr": "u:p"})
+    assert "Authorization" not in json.loads(request["headers"])
+    first = fetched.oauth_header(request, "n", 1)
+    assert first.startswith('OAuth oauth_consumer_key="ck", oauth_nonce="n"') and 'oauth_signature="' in first
+    assert first == fetched.oauth_header(request, "n", 1)
+    assert first != fetched.oauth_header({**request, "uri": request["uri"] + "3"}, "n", 1)
+    assert first != fetched.oauth_header({**request, "oauth": "ck:cs:tk:other"}, "n", 1)
+
+
 def test_response_parts(spark):
     requests = spark.createDataFrame([("a",), ("b",)], "uri string")
     responses = fetched.fetch_responses(requests, lambda r: {"body": json.dumps({"x": r["uri"]}), "code": 200, "headers": '{"h":1}', "location": None})
