@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from sluicework.catalog.core import Catalog, table
 from sluicework.catalog.fixtures import MICROS, part_xml
 from sluicework.operators import columns
-from sluicework.session import ship_package
+from sluicework.session import register_source, ship_package
 from sluicework.sources import fetched, reports
 
 CATALOG = Catalog()
@@ -98,7 +98,7 @@ def rest_rows(spark: SparkSession, folder: str) -> DataFrame:
 def paged_export(spark: SparkSession, folder: str) -> DataFrame:
     """Numbered pages read in page ranges."""
     ship_package(spark)
-    spark.dataSource.register(fetched.PagedExport)
+    register_source(spark, fetched.PagedExport)
     pages = spark.read.format("paged_export").options(
         fetcher="sluicework.sources.fetched:ParquetPages", path=f"{folder}/events.parquet", id_column="event_id",
         page_size="500").load()

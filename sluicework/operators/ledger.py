@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluicework.operators.codec import encode
 from sluicework.operators.columns import rename_columns
+from sluicework.operators.skew import lookup_join
 from sluicework.session import path_exists
 
 LEDGER_SCHEMA = "guid STRING, extract_date DATE, file_name STRING, received_at TIMESTAMP, pushed_at TIMESTAMP"
@@ -80,15 +81,17 @@ def ingest_batch(batch: DataFrame, header_map: Mapping[str, str], prefixes: Sequ
     are written.
     """
     spark = batch.sparkSession
-    fresh = accepted(batch, prefixes)
+    batch = batch.persist()
+    names = accepted(batch.select("file_name"), prefixes).distinct()
     if path_exists(spark, ledger_path):
         # Rows this batch wrote before a replay do not make its files known.
         others = F.col("batch_id").cast("string") != batch_key
         known = spark.read.schema(f"{LEDGER_SCHEMA}, batch_id STRING").parquet(ledger_path).filter(others)
-        fresh = fresh.join(known.select("file_name"), "file_name", "left_anti")
+        names = new_files(names, known)
+    fresh = lookup_join(batch, names, ["file_name"])
     if first_row_only:
         fresh = first_rows(fresh, "file_name", "_row_start")
     data = fresh.drop("file_name", "_row_start")
     file_messages(data, header_map).write.mode("overwrite").parquet(f"{message_path}/batch_id={batch_key}")
-    names = fresh.select("file_name").distinct()
     ledger_entries(names).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_key}")
+    batch.unpersist()

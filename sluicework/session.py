@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a pipeline relies on.  All are runtime SQL settings, so they can be
@@ -130,6 +131,19 @@ def through_storage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def register_source(spark: SparkSession, source: type) -> None:
+    """Register a Python data source unless the session already knows it.
+
+    A child session may or may not see what its parent registered, depending on
+    which of them was asked first.
+    """
+    try:
+        spark.dataSource.register(source)
+    except AnalysisException as error:
+        if error.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+            raise
+
+
 _shipped: set[str] = set()
 
 

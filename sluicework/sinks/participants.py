@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.operators import enrich
+from sluicework.operators.skew import lookup_join
 from sluicework.plans.hooks import resolve_hook
 from sluicework.plans.spec import flag
 from sluicework.session import delete_path, shared_dir
@@ -34,7 +35,7 @@ def enriched_results(requests: DataFrame, properties: Mapping[str, str]) -> tupl
         lookup_key = properties.get("lookup_key", "meetingId")
         lookup = requests.sparkSession.read.parquet(properties["lookup_path"])
         counted = enrich.child_counts(requests, lookup, key, lookup_key)
-        found = lookup.join(requests.select(F.col(key).alias(lookup_key)).distinct(), lookup_key, "left_semi")
+        found = lookup_join(lookup, requests.select(F.col(key).alias(lookup_key)).distinct(), [lookup_key])
         packed = found.select(F.col(lookup_key).alias(key), F.array(F.struct("*")).alias("children"))
     else:
         fetch = resolve_hook(properties["fetcher"])

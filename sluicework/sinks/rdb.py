@@ -76,9 +76,10 @@ def merge_statement(target: str, staged: str, columns: list[str], keys: list[str
 
 
 def _insert(df: DataFrame, table: str, properties: Mapping[str, str], mode: str) -> None:
+    """A shuffle, not a coalesce: few connections, but what comes before stays wide."""
     writers = int(properties.get("writers", MAX_WRITERS))
     (
-        df.coalesce(writers).write.format("jdbc").mode(mode)
+        df.repartition(writers).write.format("jdbc").mode(mode)
         .options(**connection_options(properties))
         .option("dbtable", table)
         .option("batchsize", properties.get("batchsize", "1000"))

@@ -28,7 +28,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from sluicework.functions.dates import parse_text
 from sluicework.operators.codec import expand_once
 from sluicework.plans.spec import first_of
-from sluicework.session import shared_dir
+from sluicework.session import register_source, shared_dir
 from sluicework.sources.core import SOURCES
 from sluicework.sources.files import declared_schema
 
@@ -276,7 +276,7 @@ def staged_json(frame: DataFrame, schema: T.StructType | str | None, location: s
 
 @SOURCES.register("knowBe4", "paged")
 def read_pages(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
-    spark.dataSource.register(PagedExport)
+    register_source(spark, PagedExport)
     rows = spark.read.format("paged_export").options(**properties).load()
     return staged_json(rows, declared_schema(properties), first_of(properties, "tmp_storage", "tmp-storage"))
 
@@ -354,6 +354,6 @@ class RangedLogReader(DataSourceReader):
 @SOURCES.register("okta", "ranged")
 def read_range(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     """Audit log of ``[start, end)`` typed by the declared schema."""
-    spark.dataSource.register(RangedLog)
+    register_source(spark, RangedLog)
     rows = spark.read.format("ranged_log").options(**properties).load()
     return staged_json(rows, declared_schema(properties), first_of(properties, "tmp_storage", "tmp-storage"))

@@ -8,13 +8,16 @@ needed to repeat a batch exactly, and the data never passes through Python.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from sluicework.functions.dates import whole_unit_cap
+from sluicework.session import register_source
 
 UNITS = {"minutes": timedelta(minutes=1), "days": timedelta(days=1)}
 
@@ -66,7 +69,11 @@ class TimeRangesReader(SimpleDataSourceStreamReader):
 def range_stream(
     spark: SparkSession, start: datetime, cap: int, unit: str, until: datetime | None = None,
 ) -> DataFrame:
-    spark.dataSource.register(TimeRanges)
+    # The process that plans a streaming source sees no shipped files, so the
+    # source travels whole instead of by module name.
+    for module in (sys.modules[__name__], sys.modules[whole_unit_cap.__module__]):
+        cloudpickle.register_pickle_by_value(module)
+    register_source(spark, TimeRanges)
     reader = spark.readStream.format("time_ranges").option("start", start.isoformat()).option("cap", cap).option("unit", unit)
     if until is not None:
         reader = reader.option("until", until.isoformat())
