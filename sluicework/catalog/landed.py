@@ -98,8 +98,7 @@ def rest_rows(spark: SparkSession, folder: str) -> DataFrame:
 def paged_export(spark: SparkSession, folder: str) -> DataFrame:
     """Numbered pages read in page ranges."""
     ship_package(spark)
-    register_source(spark, fetched.PagedExport)
-    pages = spark.read.format("paged_export").options(
+    pages = spark.read.format(register_source(spark, fetched.PagedExport)).options(
         fetcher="sluicework.sources.fetched:ParquetPages", path=f"{folder}/events.parquet", id_column="event_id",
         page_size="500").load()
     record = F.from_json("value", "event_id BIGINT, event_type STRING")

@@ -131,17 +131,21 @@ def through_storage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def register_source(spark: SparkSession, source: type) -> None:
-    """Register a Python data source unless the session already knows it.
+def register_source(spark: SparkSession, source: type) -> str:
+    """Register a Python data source in a session and return the name to read it by.
 
-    A child session may or may not see what its parent registered, depending on
-    which of them was asked first.
+    Spark looks for a taken name in the active session, which may be another one
+    than the session at hand; the source then gets a name of its own.
     """
     try:
         spark.dataSource.register(source)
+        return source.name()
     except AnalysisException as error:
         if error.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
             raise
+    unique = f"{source.name()}_{uuid.uuid4().hex[:8]}"
+    spark.dataSource.register(type(source.__name__, (source,), {"name": classmethod(lambda cls: unique)}))
+    return unique
 
 
 _shipped: set[str] = set()

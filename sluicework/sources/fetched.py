@@ -276,8 +276,7 @@ def staged_json(frame: DataFrame, schema: T.StructType | str | None, location: s
 
 @SOURCES.register("knowBe4", "paged")
 def read_pages(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
-    register_source(spark, PagedExport)
-    rows = spark.read.format("paged_export").options(**properties).load()
+    rows = spark.read.format(register_source(spark, PagedExport)).options(**properties).load()
     return staged_json(rows, declared_schema(properties), first_of(properties, "tmp_storage", "tmp-storage"))
 
 
@@ -354,6 +353,5 @@ class RangedLogReader(DataSourceReader):
 @SOURCES.register("okta", "ranged")
 def read_range(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     """Audit log of ``[start, end)`` typed by the declared schema."""
-    register_source(spark, RangedLog)
-    rows = spark.read.format("ranged_log").options(**properties).load()
+    rows = spark.read.format(register_source(spark, RangedLog)).options(**properties).load()
     return staged_json(rows, declared_schema(properties), first_of(properties, "tmp_storage", "tmp-storage"))

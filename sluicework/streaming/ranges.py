@@ -73,8 +73,8 @@ def range_stream(
     # source travels whole instead of by module name.
     for module in (sys.modules[__name__], sys.modules[whole_unit_cap.__module__]):
         cloudpickle.register_pickle_by_value(module)
-    register_source(spark, TimeRanges)
-    reader = spark.readStream.format("time_ranges").option("start", start.isoformat()).option("cap", cap).option("unit", unit)
+    name = register_source(spark, TimeRanges)
+    reader = spark.readStream.format(name).option("start", start.isoformat()).option("cap", cap).option("unit", unit)
     if until is not None:
         reader = reader.option("until", until.isoformat())
     return reader.load()

@@ -4,7 +4,7 @@ import pytest
 
 from conftest import explained, rows
 from sluicework.operators import skew
-from sluicework.session import ship_package
+from sluicework.session import register_source, ship_package
 from sluicework.sinks import stores as sink_stores
 from sluicework.sources import fetched, files, read_input, reports
 from sluicework.sources import stores as source_stores
@@ -116,7 +116,7 @@ def test_paged_source_from_files(spark, tmp_path):
     assert rows(df, "id", "t") == [(1, "é"), (2, "é"), (3, "é")]
     empty = tmp_path / "none"
     empty.mkdir()
-    none = spark.read.format("paged_export").options(fetcher="sluicework.sources.fetched:JsonFilePages", path=str(empty)).load()
+    none = spark.read.format(register_source(spark, fetched.PagedExport)).options(fetcher="sluicework.sources.fetched:JsonFilePages", path=str(empty)).load()
     assert none.count() == 0
 
 
