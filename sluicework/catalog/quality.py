@@ -115,13 +115,21 @@ def missing_rows(spark: SparkSession, folder: str) -> DataFrame:
     return quality.missing_checksums(rows, rows.filter("o_orderkey % 77 <> 0"))
 
 
-@CATALOG.query("constraint_hints", """
-  SELECT 's_suppkey' AS column_name, unnest(['complete', 'unique', 'non_negative']) AS rule
-  UNION ALL SELECT 's_name', unnest(['complete', 'unique'])
-  UNION ALL SELECT 's_nationkey', unnest(['complete', 'non_negative'])
-  UNION ALL SELECT 's_acctbal', unnest(CASE WHEN min(s_acctbal) >= 0 AND count(DISTINCT s_acctbal) = count(*)
-      THEN ['complete', 'unique', 'non_negative'] WHEN min(s_acctbal) >= 0 THEN ['complete', 'non_negative']
-      WHEN count(DISTINCT s_acctbal) = count(*) THEN ['complete', 'unique'] ELSE ['complete'] END) FROM supplier
+def _hints(name: str, numeric: bool) -> str:
+    rules = [
+        f"CASE WHEN count({name}) = count(*) THEN 'complete' END",
+        f"CASE WHEN count({name}) = count(*) AND count(DISTINCT {name}) = count(*) THEN 'unique' END",
+        f"CASE WHEN count(DISTINCT {name}) <= 10 THEN 'small_domain' END",
+    ]
+    if numeric:
+        rules.append(f"CASE WHEN min({name}) >= 0 THEN 'non_negative' END")
+    return f"SELECT '{name}' AS column_name, unnest([{', '.join(rules)}]) AS rule FROM supplier"
+
+
+@CATALOG.query("constraint_hints", f"""
+  SELECT column_name, rule FROM (
+    {_hints('s_suppkey', True)} UNION ALL {_hints('s_name', False)} UNION ALL
+    {_hints('s_nationkey', True)} UNION ALL {_hints('s_acctbal', True)}) WHERE rule IS NOT NULL
 """)
 def constraint_hints(spark: SparkSession, folder: str) -> DataFrame:
     """Rules a profile suggests."""

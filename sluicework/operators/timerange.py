@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.operators.skew import balanced, lookup_join
-from sluicework.session import through_storage
+from sluicework.session import path_exists, through_storage
 
 
 def range_predicate(
@@ -168,8 +168,10 @@ def bucketed_extract(df: DataFrame, column: str, buffer_size: int, stage_path: s
     """
     marks = through_storage(bucket_marks(bucket_plan(df, column, buffer_size)), "bucket-marks")
     rows = balanced(with_bucket(df, marks, column), "bucket")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(stage_path)
-    return df.sparkSession.read.parquet(stage_path)
+    # A first run has nothing to keep, and a static write commits with fewer moves.
+    mode = "dynamic" if path_exists(df.sparkSession, stage_path) else "static"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket").parquet(stage_path)
+    return df.sparkSession.read.schema(rows.schema).parquet(stage_path)
 
 
 def range_predicates(ranges: DataFrame, column: str) -> list[str]:
