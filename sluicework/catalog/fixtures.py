@@ -1,4 +1,4 @@
-"""Inputs of the reference shapes, derived row by row from the tables."""
+"""Messages, records, runs and pages derived row by row from the tables."""
 
 from __future__ import annotations
 
