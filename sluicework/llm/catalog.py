@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import bpe
+from sluicework.llm import bpe, toxicity
+from sluicework.llm.common import crc32_mod
 
 CATALOG = Catalog()
 
@@ -23,3 +24,15 @@ def bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+@CATALOG.query("op6_toxic_segments")
+def toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text, learnt from three of four folds of the labelled ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marks = table(spark, folder, "labels").where(F.coalesce(crc32_mod(F.col("doc_id"), 4), F.lit(-1)) != 2)
+    model = toxicity.fit(docs, marks)
+    scored = toxicity.score(docs, model, "text")
+    return scored.select(
+        "doc_id", F.coalesce(crc32_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size(F.filter("passages", lambda p: p["expected"] <= toxicity.EXPECTED)).cast("long").alias("n_passages"))
