@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import bpe, toxicity
+from sluicework.llm import bpe, simhash, toxicity
 from sluicework.llm.common import crc32_mod
+from sluicework.session import through_storage
 
 CATALOG = Catalog()
 
@@ -36,3 +37,12 @@ def toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(crc32_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         F.size(F.filter("passages", lambda p: p["expected"] <= toxicity.EXPECTED)).cast("long").alias("n_passages"))
+
+@CATALOG.query("op8_simhash_components")
+def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all texts and their components under two differing bits."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    prints = simhash.fingerprints(docs, "text", shingle=3, keep=False)
+    prints = through_storage(prints.select("doc_id", F.col("fingerprint")[0].alias("fingerprint")), "prints")
+    found = simhash.with_components(prints, "doc_id")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
