@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import bpe, simhash, toxicity
+from sluicework.llm import ann, bpe, simhash, toxicity
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -46,3 +46,10 @@ def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     prints = through_storage(prints.select("doc_id", F.col("fingerprint")[0].alias("fingerprint")), "prints")
     found = simhash.with_components(prints, "doc_id")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@CATALOG.query("op1_rotated_codes")
+def rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of each hundredth vector."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % 100 == 0)
