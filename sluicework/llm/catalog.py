@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import ann, bpe, simhash, toxicity
+from sluicework.llm import ann, bpe, mixing, simhash, toxicity
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -53,3 +53,14 @@ def rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of each hundredth vector."""
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, F.col("vec_id") % 100 == 0)
+
+
+@CATALOG.query("op2_source_mix")
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each document a mix by weights 3, 1, 2 takes."""
+    docs, plan, _ = mixing.mixed(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    wanted = spark.createDataFrame(
+        [(i, int(s), float(t)) for i, (s, t) in enumerate(zip(plan.sizes, plan.targets, strict=True))],
+        "source long, source_size long, target double")
+    return docs.join(F.broadcast(wanted), "source").select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", F.col("name").alias("source"))
