@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import ann, bpe, mixing, simhash, toxicity
+from sluicework.llm import ann, bpe, kneserney, mixing, simhash, toxicity
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -64,3 +64,17 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
         "source long, source_size long, target double")
     return docs.join(F.broadcast(wanted), "source").select(
         F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", F.col("name").alias("source"))
+
+
+@CATALOG.query("op7_kneser_ney")
+def kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """log10 probability of every text under a model of four of five folds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc32_mod(F.col("doc_id"), 5) == 1, F.lit(False))
+    training = docs.where(~held_out)
+    size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    model = kneserney.count_model(training, size)
+    scored = kneserney.score(docs, model, "text", keep=False)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
