@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import ann, bpe, kneserney, mixing, simhash, toxicity
+from sluicework.llm import ann, bpe, chat, kneserney, mixing, simhash, toxicity
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -78,3 +78,40 @@ def kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@CATALOG.query("op9_chat_roundtrip", """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+    SELECT *, length(text) + length(regexp_replace(text, '[^\\\\]', '', 'g'))
+        + CASE WHEN role NOT IN ('user', 'assistant', 'system')
+               THEN length(role) + length(regexp_replace(role, '[^\\\\<\\[]', '', 'g')) + 1 ELSE 0 END
+        + len(regexp_extract_all(text, '</?s>|\\[/?(?:INST|ANSW|SYST|ROLE)\\]'))
+        + CASE role WHEN 'assistant' THEN 15 ELSE 18 END AS size
+    FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(size)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id""")
+def chat_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation formatted, and what is read back from the format."""
+    told = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    formatted = chat.format_turns(told.unionByName(extra)).where(F.assert_true("faithful").isNull())
+    read = formatted.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
+                            chat.parse(F.col("formatted")).alias("turns"))
+    all_turns = F.array_join(F.transform(
+        "turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.loss_text(F.col("turns"))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(all_turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars")
