@@ -236,12 +236,17 @@ def decode(df: DataFrame, column: str, rank_file: str, output: str = "decoded")
         token = [b""] * (max(ranks.values(), default=-1) + 1)
         for text, rank in ranks.items():
             token[rank] = text
+        tokens = pa.array(token, type=pa.binary())
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             lists = batch.column(place)
-            texts = [b"".join(map(token.__getitem__, ids or ())) for ids in lists.to_pylist()]
-            return pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, type=pa.binary())], [*batch.schema.names, "bytes"])
+            sizes = np.array([len(x) if x is not None else 0 for x in lists], dtype=np.int64)
+            # The taken tokens lie one after the other: a text is a stretch of them.
+            taken = tokens.take(lists.flatten())
+            ends = np.frombuffer(taken.buffers()[1], dtype=np.int32, count=len(taken) + 1)
+            cuts = ends[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
+            texts = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts), taken.buffers()[2]])
+            return pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "bytes"])
 
         return work
 
