@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import ann, bpe, chat, kneserney, mixing, simhash, toxicity
+from sluicework.llm import ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -115,3 +115,27 @@ def chat_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(all_turns.cast("binary"), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars")
+
+
+@CATALOG.query("op5_license_blocks")
+def license_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in every text."""
+    docs = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), "text", keep=False)
+    base = F.filter("matches", lambda m: m["phrase"])
+    labels = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["label"]))), ",")
+    starts = F.transform(base, lambda m: m["start"])
+    return docs.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)).alias("score"))
+
+
+@CATALOG.query("op4_pii_contexts")
+def pii_contexts(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every text: counts and digest of the base spans, and all spans."""
+    found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))
+    told = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = [F.size(pii.of_kind(F.col("base"), k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        told(F.col("spans")).alias("spans"))

@@ -25,19 +25,24 @@ def powers(count: int, base: np.uint64) -> np.ndarray:
     return np.multiply.accumulate(table)
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, number of words of each text).
+def word_spans(texts: list[str], breaks: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, hashes, words of each text) of all words of texts, cut at the bytes in ``breaks``.
 
-    A word's hash is the sum of byte number times power of the base over its
-    bytes, modulo 2**64, taken from running sums and then scrambled.
+    A line feed must be a break.  A word's hash is the sum of byte number times
+    power of the base over its bytes, modulo 2**64, taken from running sums and
+    then scrambled.
     """
     coded = [t.encode() for t in texts]
     data = np.frombuffer(b"\n".join(coded) + b"\n", dtype=np.uint8)
-    space = SPACES[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], breaks[data]]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTES[data] * powers(len(data), BASE), dtype=np.uint64)])
     hashes = scramble((sums[ends] - sums[starts]) * powers(len(data), inverse)[starts])
     borders = np.cumsum([0] + [len(c) + 1 for c in coded])
-    return hashes, np.diff(np.searchsorted(starts, borders))
+    return data, starts, ends, hashes, np.diff(np.searchsorted(starts, borders))
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in order, number of words of each text)."""
+    return word_spans(texts)[3:]
