@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity
+from sluicework.llm import ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity, winnowing
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -139,3 +139,13 @@ def pii_contexts(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.size(pii.of_kind(F.col("base"), k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(told(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         told(F.col("spans")).alias("spans"))
+
+
+@CATALOG.query("op3_winnowing")
+def winnowing_prints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all texts and their edits, and how alike neighbours are."""
+    found = winnowing.compared(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        winnowing.written(F.col("fingerprint")).alias("fingerprint"),
+        winnowing.written(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")

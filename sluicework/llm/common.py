@@ -38,6 +38,11 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def crc32_mod(column: Column, modulus: int) -> Column:
     """crc32 of a column's text, modulo a number; null for a null."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(modulus)

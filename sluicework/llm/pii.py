@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.llm.common import let
 from sluicework.session import through_storage
 
 # Kinds in output order.
@@ -60,12 +61,14 @@ SPAN = "array<struct<start:int,end:int,found:string,before:string,after:string>>
 
 def placed(text: Column, pattern: str, needs: str) -> Column:
     """All matches with their places and what stands next to them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    around = F.zip_with(
-        found, F.zip_with(gaps, F.slice(gaps, 2, F.size(gaps)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        lambda m, g: F.struct(m.alias("m"), g["a"].alias("a"), g["b"].alias("b")))
-    around = F.slice(around, 1, F.size(found))
+    def around(found: Column) -> Column:
+        def beside(gaps: Column) -> Column:
+            both = F.zip_with(gaps, F.slice(gaps, 2, F.size(gaps)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+            return F.zip_with(found, F.slice(both, 1, F.size(found)), lambda m, g: F.struct(
+                m.alias("m"), g["a"].alias("a"), g["b"].alias("b")))
+
+        none = F.array().cast("array<struct<m:string,a:string,b:string>>")
+        return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), beside)).otherwise(none)
 
     def step(held: Column, x: Column) -> Column:
         start = held["at"] + F.length(x["a"])
@@ -75,7 +78,8 @@ def placed(text: Column, pattern: str, needs: str) -> Column:
         return F.struct(end.alias("at"), F.array_append(held["out"], span).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    spans = F.aggregate(around, start, step, lambda held: held["out"])
+    matches = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), around)
+    spans = F.aggregate(matches, start, step, lambda held: held["out"])
     return F.when(text.rlike(needs), spans).otherwise(F.array().cast(SPAN))
 
 
