@@ -18,14 +18,17 @@ part; other columns pass through where they do not clash.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from sluicework.llm.common import SPACE_CLASS
+from sluicework.llm.common import SPACE_CLASS, map_slices
 from sluicework.session import ship_package, through_storage
 
 BLOCK = 256
@@ -268,3 +271,62 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), key: str = "doc
     some = placed.where("size > 0").join(taken, ["source", "start"], "left")
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return some.withColumn("taken", F.coalesce("taken", F.lit(0))).unionByName(none), mix, chosen
+
+
+def mixed_texts(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), key: str = "doc_id", text: str = "text",
+                source: str = "source", block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """The mix as documents: each one as often as the mix repeats it, cut to the blocks that were drawn.
+
+    The n-th row of a document holds the stretches of its words that are taken n
+    times or more; a document taken whole keeps its text.
+    """
+    placed, _, chosen = mixed(docs, weights, key, text, source, block, seed)
+    # The longest use of a block first, so its n-th use belongs to the document's n-th row.
+    uses = chosen.groupBy("source", "block").agg(F.reverse(F.array_sort(F.collect_list("words"))).alias("uses"))
+    spans = placed.where("size > 0").select(
+        "row", "source", "start", "size",
+        F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))).alias("block"))
+    parts = spans.join(uses, ["source", "block"]).select(
+        "row", "source", "start", "size", (F.col("block") * block).alias("at"), F.posexplode("uses").alias("turn", "words"))
+    low = F.greatest("start", "at") - F.col("start")
+    high = F.least(F.col("start") + F.col("size"), F.col("at") + F.col("words")) - F.col("start")
+    pieces = parts.select("row", "start", "turn", low.alias("low"), high.alias("high")).where("high > low")
+    pieces = pieces.groupBy("row", "start", "turn").agg(F.collect_list(F.struct("low", "high")).alias("pieces"))
+    pieces = pieces.groupBy("row", "start").agg(F.collect_list("pieces").alias("rows"))
+    # Equal rows share a hash; the n-th of them takes the n-th place.
+    nth = lambda order: F.row_number().over(Window.partitionBy("row").orderBy(order))
+    placed_rows = pieces.select(F.col("row").alias("place"), "rows", F.row_number().over(
+        Window.partitionBy("row").orderBy("start")).alias("place_nth"))
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.xxhash64(key, text, source).alias("row"))
+    held = held.withColumn("nth", nth(F.lit(0)))
+    both = held.join(placed_rows, (F.col("row") == F.col("place")) & (F.col("nth") == F.col("place_nth")))
+    each = both.select("doc", F.col(f"doc.`{text}`").alias("whole"), F.explode("rows").alias("pieces"))
+    cut = cut_texts(each.select("doc", "whole", "pieces"))
+    return cut.select(*(F.col("shown").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
+
+
+def cut_texts(rows: DataFrame) -> DataFrame:
+    """Add ``shown`` to rows (doc, whole, pieces): the stretches of words, from the first to the last character of each."""
+
+    def start():
+        word = re.compile(r"[^\x20\x09-\x0D]+")
+
+        def shown(text: str, pieces: list[dict]) -> str:
+            places = [m.span() for m in word.finditer(text)]
+            merged: list[list[int]] = []
+            for low, high in sorted((p["low"], p["high"]) for p in pieces):
+                if merged and low <= merged[-1][1]:
+                    merged[-1][1] = high
+                else:
+                    merged.append([low, high])
+            if merged == [[0, len(places)]]:
+                return text
+            return "\n".join(text[places[low][0]:places[high - 1][1]] for low, high in merged)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = [shown(t or "", p) for t, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc", "shown"])
+
+        return work
+
+    return map_slices(rows, StructType([rows.schema["doc"], StructField("shown", StringType())]), start)

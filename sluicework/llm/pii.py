@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import let
+from sluicework.llm.common import fresh, let
 from sluicework.session import through_storage
 
 # Kinds in output order.
@@ -183,8 +183,8 @@ def discovered(rows: DataFrame) -> DataFrame:
     return added.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("new"))
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, base, spans): arrays of (kind, start, end) by kind and start; end is exclusive, places are code points."""
+def find_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, row, base, spans): ``find`` with the hash of (key, text) that tells rows of one key apart."""
     rows = extracted(docs, key, text)
     plain = lambda column, kind: F.transform(column, lambda s: F.struct(
         F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
@@ -192,16 +192,22 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     every = rows.select(key, "row", *KINDS).join(new, "row", "left")
     more = F.coalesce("new", F.array().cast("array<struct<kind:string,start:int,end:int>>"))
     both = [F.array_sort(F.concat(plain(k, k), of_kind(more, k))) for k in KINDS]
-    return every.select(key, F.concat(*(plain(k, k) for k in KINDS)).alias("base"), F.concat(*both).alias("spans"))
+    return every.select(key, "row", F.concat(*(plain(k, k) for k in KINDS)).alias("base"), F.concat(*both).alias("spans"))
+
+
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, base, spans): arrays of (kind, start, end) by kind and start; end is exclusive, places are code points."""
+    return find_rows(docs, key, text).drop("row")
 
 
 def masked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents whose personal data is replaced by its kind in angle brackets; all columns are kept."""
-    spans = find(docs, key, text)
-    found = spans.where(F.size("spans") > 0).dropDuplicates([key]).select(F.col(key).alias("found_key"), "spans")
-    joined = docs.join(found, docs[key] == F.col("found_key"), "left")
-    return joined.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(
-        redact(F.col(text), F.col("spans")))).select(*docs.columns)
+    """Documents whose personal data is replaced by its kind in angle brackets; all rows and columns are kept."""
+    row, spans = fresh("row", docs.columns), fresh("spans", docs.columns)
+    found = find_rows(docs, key, text).where(F.size("spans") > 0).groupBy(F.col("row").alias(row)).agg(
+        F.first("spans").alias(spans))
+    joined = docs.withColumn(row, F.xxhash64(F.col(key), F.col(text))).join(found, row, "left")
+    shown = F.when(F.col(spans).isNull(), F.col(text)).otherwise(redact(F.col(text), F.col(spans)))
+    return joined.withColumn(text, shown).select(*docs.columns)
 
 
 def redact(text: Column, spans: Column) -> Column:

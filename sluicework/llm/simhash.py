@@ -30,12 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from sluicework.llm import golay
-from sluicework.llm.common import map_slices, texts_of
+from sluicework.llm.common import fresh, map_slices, texts_of
 from sluicework.llm.components import components
 from sluicework.session import ship_package, through_storage
 
@@ -82,15 +82,19 @@ def majority(hashes: np.ndarray, lanes: int) -> list[int]:
 
 
 def fingerprints(df: DataFrame, column: str = "text", shingle: int = 3, lanes: int = 1,
-                 output: str = "fingerprint", keep: bool = True) -> DataFrame:
-    """Add a text's fingerprint as an array of 64-bit lanes; ``keep=False`` leaves the text out."""
+                 output: str = "fingerprint", keep: bool = True, distinct: bool = False) -> DataFrame:
+    """Add a text's fingerprint as an array of 64-bit lanes.
+
+    ``keep=False`` leaves the text out; ``distinct`` counts a repeated shingle once.
+    """
+    given = np.unique if distinct else (lambda hashes: hashes)
     place = df.columns.index(column)
     kept = [i for i in range(len(df.columns)) if keep or i != place]
     added = StructField(output, ArrayType(LongType()))
 
     def start():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            prints = [majority(shingle_hashes(text, shingle), lanes) for text in texts_of(batch, place)]
+            prints = [majority(given(shingle_hashes(text, shingle)), lanes) for text in texts_of(batch, place)]
             rest = batch.select(kept)
             return pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array(prints, pa.list_(pa.int64()))], [*rest.schema.names, "p"])
@@ -203,7 +207,7 @@ def with_components(df: DataFrame, key: str, output: str = "component_id") -> Da
 LANES = 4
 SEGMENT_PAIRS = 5
 # Differing bits of the two compared lanes: shingle sets of similarity 0.8 differ in 19.5 of 128 bits, give or take 4.
-NEAR_BITS = 27
+NEAR_BITS = 24
 
 
 def pair_keys(lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,7 +246,7 @@ def lead(key: np.ndarray, rep: np.ndarray, first: np.ndarray, second: np.ndarray
     return tuple(np.concatenate(x) if x else empty for x in (leaders, followers, led))
 
 
-def frame(key, rep, first, second, to) -> pa.RecordBatch:
+def link_rows(key, rep, first, second, to) -> pa.RecordBatch:
     """Rows of the link stages: a key row has no ``to``, a link has only ``rep`` and ``to``."""
     return pa.RecordBatch.from_arrays(
         [pa.array(x, pa.int64()) for x in (key, rep, first, second, to)], ["key", "rep", "first", "second", "to"])
@@ -257,7 +261,7 @@ def near_links(prints: DataFrame) -> DataFrame:
 
     def links_of(rep, followers, led) -> pa.RecordBatch:
         none = pa.nulls(len(followers), pa.int64())
-        return frame(none, rep[followers], none, none, rep[led])
+        return link_rows(none, rep[followers], none, none, rep[led])
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,7 +275,7 @@ def near_links(prints: DataFrame) -> DataFrame:
                 rep, first, second = rep[row], lanes[row, 0], lanes[row, 1]
                 leaders, followers, led = lead(key, rep, first, second)
                 leaders = np.sort(leaders)
-                yield frame(key[leaders], rep[leaders], first[leaders], second[leaders], pa.nulls(len(leaders), pa.int64()))
+                yield link_rows(key[leaders], rep[leaders], first[leaders], second[leaders], pa.nulls(len(leaders), pa.int64()))
                 yield links_of(rep, followers, led)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,9 +299,24 @@ def near_links(prints: DataFrame) -> DataFrame:
 
 def near_groups(df: DataFrame, key: str, column: str = "text", shingle: int = 5) -> DataFrame:
     """(key, group): the smallest key of each row's group of near copies.  Null keys have no group."""
-    prints = fingerprints(df.select(F.col(key).alias("id"), F.col(column).alias("text")), "text", shingle, LANES, keep=False)
+    prints = fingerprints(df.select(F.col(key).alias("id"), F.col(column).alias("text")), "text", shingle, LANES,
+                          keep=False, distinct=True)
     prints = through_storage(prints, "prints")
     reps = prints.groupBy("fingerprint").agg(F.min("id").alias("rep")).where("rep is not null")
     roots = components(near_links(reps)).withColumnRenamed("node", "rep")
     named = reps.join(roots, "rep", "left").select("fingerprint", F.coalesce("root", "rep").alias("group"))
     return prints.join(named, "fingerprint").where("id is not null").select(F.col("id").alias(key), "group")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
+    """Documents without near copies: of each group the one with the smallest key stays, with all its columns.
+
+    Of rows with one key, and of equal texts without a key, one stays.
+    """
+    groups = near_groups(docs, key, text, shingle)
+    gone = groups.where(F.col(key) != F.col("group")).select(F.col(key).alias("gone_key")).distinct()
+    left = docs.join(gone, F.col(key) == F.col("gone_key"), "left_anti")
+    nth = fresh("nth", docs.columns)
+    alone = F.when(F.col(key).isNull(), F.xxhash64(text))
+    order = Window.partitionBy(key, alone).orderBy(F.xxhash64(text))
+    return left.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)

@@ -179,10 +179,10 @@ def token_scores(counts: DataFrame, toxic: int, total: int, least: int) -> tuple
     return {r.token: r.score - DRIFT for r in found if r.telling}, {r.token for r in found}
 
 
-def scanned(df: DataFrame, model: Model, column: str, length: str, name: str) -> DataFrame:
+def scanned(df: DataFrame, model: Model, column: str, length: str, name: str, result: str = "score") -> DataFrame:
     """Add (token count, largest segment, segments as (start, end, score, expected), evidence)."""
     place = df.columns.index(column)
-    kind = StructType([StructField(length, LongType()), StructField(name, PASSAGES), StructField("score", DoubleType())])
+    kind = StructType([StructField(length, LongType()), StructField(name, PASSAGES), StructField(result, DoubleType())])
 
     def start():
         class Known(dict):
@@ -317,6 +317,7 @@ def evidence_bins(scan: DataFrame, model: Model) -> list[tuple[float, float, flo
     return [(r.x, float(r.yes), float(r.no)) for r in bins.collect()]
 
 
-def score(df: DataFrame, model: Model, column: str = "text") -> DataFrame:
-    """Add ``n_tokens``, ``passages`` (token positions, score, expected number in clean text) and ``score``."""
-    return scanned(df, model, column, "n_tokens", "passages")
+def score(df: DataFrame, model: Model, column: str = "text",
+          names: tuple[str, str, str] = ("n_tokens", "passages", "score")) -> DataFrame:
+    """Add the number of tokens, the passages (token places, score, expected number in clean text) and the score."""
+    return scanned(df, model, column, *names)
