@@ -37,6 +37,8 @@ CONTROL = rf"</?s>|\[/?(?:{WORDS})\]"
 TAILS = {"INST": " [/INST]", "ANSW": " </s>", "SYST": " [/SYST]", "ROLE": " [/ROLE]"}
 # A body: literal characters, or a backslash and the character it protects; no loop that backtracks.
 BODY = r"(?:[^\\<\[]|\\.|<(?!/?s>)|\[(?!/?(?:INST|ANSW|SYST|ROLE)\]))*+"
+# A role's name in a turn of another role: up to the first line feed that no backslash protects.
+NAME = r"(?s)^(?:[^\\\n]|\\.)*+\n"
 # Where a turn starts: a head that no backslash protects always follows a finished turn.
 TURN = rf"(?s)<s>\[(?:{WORDS})\] {BODY}(?:</s>|\[/(?:{WORDS})\])"
 
@@ -50,11 +52,11 @@ def head_of(role: Column) -> Column:
 
 
 def escape(text: Column, level: int) -> Column:
-    """A text at an escaping level: 0 as it is, 1 control strings and backslashes, 2 every bracket too."""
+    """A text at an escaping level: 0 as it is, 1 control strings and backslashes, 2 every bracket and line feed too."""
     if level == 0:
         return text
     doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    return F.regexp_replace(doubled, CONTROL if level == 1 else r"[<\[]", r"\\$0")
+    return F.regexp_replace(doubled, CONTROL if level == 1 else r"[<\[\n]", r"\\$0")
 
 
 def unescape(body: Column) -> Column:
@@ -82,7 +84,7 @@ def parse(formatted: Column) -> Column:
     def turn(rendered: Column) -> Column:
         word = F.substring(rendered, 5, 4)
         rest = F.substr(rendered, F.lit(11), F.length(rendered) - 10 - F.when(word == "ANSW", 5).otherwise(8))
-        cut = F.when(word == OTHER, F.locate("\n", rest)).otherwise(F.lit(0))
+        cut = F.when(word == OTHER, F.length(F.regexp_extract(rest, NAME, 0))).otherwise(F.lit(0))
         role = F.when(word == OTHER, unescape(F.substr(rest, F.lit(1), cut - 1)))
         for name, known in HEADS.items():
             role = F.when(word == known, name).otherwise(role)

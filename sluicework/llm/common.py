@@ -59,12 +59,14 @@ def map_slices(
     task needs are read there and not shipped from the driver.
     """
     ship_package(df.sparkSession)
+    names = (schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
-                yield work(batch.slice(at, SLICE_ROWS))
+                # By place: names a function gives may clash with columns that pass through.
+                yield pa.RecordBatch.from_arrays(work(batch.slice(at, SLICE_ROWS)).columns, names)
 
     return df.mapInArrow(run, schema)
 

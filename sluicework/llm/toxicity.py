@@ -228,7 +228,9 @@ def decay_of(weights: list[tuple[float, float]]) -> float:
 
 
 def logistic(points: list[tuple[float, float, float]]) -> tuple[float, float]:
-    """Slope and base of a logistic curve over (x, toxic, clean) counts; each side has one half added."""
+    """Slope and base of a logistic curve over (x, toxic, clean) counts, each side with one half added; never toxic without any."""
+    if not points:
+        return 0.0, -60.0
     x = np.array([p[0] for p in points] + [0.0, max(p[0] for p in points) + 1.0])
     yes = np.array([p[1] for p in points] + [0.0, 0.5])
     no = np.array([p[2] for p in points] + [0.5, 0.0])
