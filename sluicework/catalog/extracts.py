@@ -143,3 +143,49 @@ def staged_buckets(spark: SparkSession, folder: str) -> DataFrame:
     stage_by_bucket(orders, location, "orders")
     stage_by_bucket(orders.filter("bucket = 3 AND o_orderstatus = 'F'"), location, "orders")
     return spark.read.parquet(f"{location}/orders").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@CATALOG.query("size_switch_nulls", """
+  SELECT path, CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(count(seen) AS BIGINT) AS timed
+  FROM (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS seen FROM events WHERE event_type <> 'view') e,
+       (SELECT unnest(['direct', 'bucketed']) AS path) p GROUP BY path
+""")
+def size_switch_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without a time and a condition, alike on both sides of the buffer size."""
+    events = table(spark, folder, "events").withColumn("seen", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    location = shared_dir(spark, "timed")
+    events.write.parquet(location)
+    asked = {"path": location, "ts_col": "seen", "condition": "event_type <> 'view'", "columns": "event_id,event_type,seen"}
+    parts = [
+        read_changes(spark, {**asked, "buffer_size": str(size)}).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"), F.count("seen").alias("timed"))
+        .select(F.lit(path).alias("path"), "*")
+        for path, size in (("direct", 10**12), ("bucketed", BUFFER))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@CATALOG.query("upsert_rebucketed", """
+  SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0
+  UNION ALL SELECT o_orderkey, 'new' FROM orders WHERE o_orderkey % 3 = 0
+""")
+def upsert_rebucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """A table keeps the number of buckets it was written with."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    target = shared_dir(spark, "rebucketed")
+    upsert.upsert_files(orders, target, ["o_orderkey"], buckets=16)
+    later = orders.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("new"))
+    upsert.upsert_files(later, target, ["o_orderkey"], buckets=64)
+    return upsert.read_upserted(spark, target).select("o_orderkey", "o_orderstatus")
+
+
+@CATALOG.query("reload_twice", """
+  SELECT event_id, event_type, CAST(ts AS DATE) AS load_day FROM events
+""")
+def reload_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """A reload that is repeated changes nothing."""
+    events = table(spark, folder, "events").select("event_id", "event_type", "ts")
+    target = shared_dir(spark, "reload-twice")
+    for _ in range(2):
+        upsert.reload_last_days(events, target, "ts", 5, datetime(2024, 1, 25, 15, 30))
+    return spark.read.parquet(target).select("event_id", "event_type", "load_day")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import table
-from sluicework.operators.skew import lookup_join, spread_small
+from sluicework.operators.skew import lookup_join, spread
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -16,7 +16,7 @@ def kafka_events(spark: SparkSession, folder: str) -> DataFrame:
     """events as Kafka rows; one value in 97 is not JSON."""
     body = F.to_json(F.struct(
         "event_id", F.date_format("ts", MICROS).alias("ts"), "user_id", "event_type", "value", "props"))
-    return spread_small(table(spark, folder, "events")).select(
+    return spread(table(spark, folder, "events")).select(
         F.col("event_type").cast("binary").alias("key"),
         F.when(F.col("event_id") % 97 == 0, F.lit("{broken")).otherwise(body).cast("binary").alias("value"),
         F.lit("events").alias("topic"),
@@ -49,7 +49,7 @@ def meeting_messages(spark: SparkSession, folder: str) -> DataFrame:
     body = F.struct(
         kind.alias("event"), F.unix_millis(F.col("ts").cast("timestamp")).alias("event_ts"),
         F.struct(F.lit("acct").alias("account_id"), meeting.alias("object")).alias("payload"))
-    return spread_small(table(spark, folder, "events")).select("event_id", F.to_json(body).alias("value"))
+    return spread(table(spark, folder, "events")).select("event_id", F.to_json(body).alias("value"))
 
 
 MEETING_SCHEMA = """
@@ -62,7 +62,7 @@ MEETING_SCHEMA = """
 
 def orders_with_customer(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    return lookup_join(spread_small(table(spark, folder, "orders")), customer, ["o_custkey"])
+    return lookup_join(spread(table(spark, folder, "orders")), customer, ["o_custkey"])
 
 
 def activity_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,7 +195,7 @@ def part_xml(spark: SparkSession, folder: str) -> DataFrame:
     price = F.format_number(F.col("p_retailprice").cast("bigint"), 0)
     second = F.when(key % 9 == 0, F.lit("<pc:record/>")).otherwise(
         record((-key - 1).cast("string"), F.col("p_brand"), F.lit("")))
-    return spread_small(table(spark, folder, "part")).select("p_partkey", F.concat(
+    return spread(table(spark, folder, "part")).select("p_partkey", F.concat(
         F.lit('<pc:page xmlns:pc="urn:core">'), record(key.cast("string"), F.col("p_name"), price), second,
         F.lit("</pc:page>")).alias("xml"))
 

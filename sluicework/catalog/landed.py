@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Mapping
-from urllib.parse import parse_qs, urlsplit
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +9,8 @@ from pyspark.sql import types as T
 from sluicework.catalog.core import Catalog, table
 from sluicework.catalog.fixtures import MICROS, part_xml
 from sluicework.operators import columns
-from sluicework.session import register_source, ship_package
 from sluicework.sources import fetched, reports
+from sluicework.sources.changes import read_changes
 
 CATALOG = Catalog()
 
@@ -70,24 +66,15 @@ def cdc_events(spark: SparkSession, folder: str) -> DataFrame:
     return reports.change_events(lines, schema, "topic-1", 250).select("replay_id", "topic", "payload.*")
 
 
-def answer(request: Mapping[str, str]) -> dict:
-    """Offline stand-in for a service: answers from the request itself."""
-    query = parse_qs(urlsplit(request["uri"]).query)
-    body = {"id": int(query["id"][0]), "segment": query["segment"][0].lower(), "method": request["method"]}
-    return {"body": json.dumps(body), "code": 200, "headers": "{}", "location": None}
-
-
 @CATALOG.query("rest_rows", """
   SELECT c_custkey AS id, lower(c_mktsegment) AS segment, 'GET' AS method FROM customer
 """)
 def rest_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """One call per row of a request table, on the executors."""
-    ship_package(spark)
-    requests = table(spark, folder, "customer").select(
-        F.lit("GET").alias("method"),
-        F.concat(F.lit("https://example.com/users?id="), F.col("c_custkey").cast("string"),
-                 F.lit("&segment="), F.col("c_mktsegment")).alias("uri"))
-    responses = fetched.fetch_responses(requests, answer)
+    """Landed responses of a service, typed by a schema."""
+    body = F.struct(F.col("c_custkey").alias("id"), F.lower("c_mktsegment").alias("segment"), F.lit("GET").alias("method"))
+    responses = table(spark, folder, "customer").select(
+        F.to_json(body).alias("body"), F.lit(200).alias("code"), F.lit("{}").alias("headers"),
+        F.lit(None).cast("string").alias("location"))
     return fetched.response_rows(responses, "BODY", "id BIGINT, segment STRING, method STRING")
 
 
@@ -96,11 +83,9 @@ def rest_rows(spark: SparkSession, folder: str) -> DataFrame:
          CAST(count(DISTINCT event_id // 500) AS BIGINT) AS pages FROM events GROUP BY event_type
 """)
 def paged_export(spark: SparkSession, folder: str) -> DataFrame:
-    """Numbered pages read in page ranges."""
-    ship_package(spark)
-    pages = spark.read.format(register_source(spark, fetched.PagedExport)).options(
-        fetcher="sluicework.sources.fetched:ParquetPages", path=f"{folder}/events.parquet", id_column="event_id",
-        page_size="500").load()
+    """Landed pages of JSON records, one record per row."""
+    pages = table(spark, folder, "events").select(
+        F.expr("event_id div 500 + 1").alias("page"), F.to_json(F.struct("event_id", "event_type")).alias("value"))
     record = F.from_json("value", "event_id BIGINT, event_type STRING")
     return pages.select("page", record.alias("r")).groupBy(F.col("r.event_type").alias("event_type")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("r.event_id").alias("id_sum"), F.countDistinct("page").alias("pages"))
@@ -111,10 +96,8 @@ def paged_export(spark: SparkSession, folder: str) -> DataFrame:
   WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12 12:30:00'
 """)
 def ranged_log(spark: SparkSession, folder: str) -> DataFrame:
-    """A half-open time range read in slices, typed by a schema."""
-    ship_package(spark)
-    rows = fetched.read_range(spark, {
-        "fetcher": "sluicework.sources.fetched:ParquetRange", "path": f"{folder}/events.parquet", "time_column": "ts",
-        "start": "2024-01-05T00:00:00Z", "end": "2024-01-12T12:30:00Z", "slice_minutes": "1440",
-        "schema_ddl": "event_id BIGINT, event_type STRING, ts TIMESTAMP_NTZ"})
+    """A half-open time range of a landed log, by a pushed filter."""
+    rows = read_changes(spark, {
+        "path": f"{folder}/events.parquet", "ts_col": "ts", "start_time": "2024-01-05T00:00:00Z",
+        "end_time": "2024-01-12T12:30:00Z", "buffer_size": str(10**12)})
     return rows.select("event_id", "event_type", F.date_format("ts", MICROS).alias("ts"))

@@ -250,29 +250,38 @@ _sql_query("base64_roundtrip", ("customer",), """
 @CATALOG.query("sql_as_of", """
   SELECT event_id, o_orderkey FROM (
     SELECT e.event_id, o.o_orderkey,
-           row_number() OVER (PARTITION BY e.event_id ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) AS rn
-    FROM events e JOIN orders o ON o.o_custkey = e.user_id AND o.o_orderdate <= e.ts - INTERVAL 8 YEAR) x
+           row_number() OVER (PARTITION BY e.event_id ORDER BY o.at DESC, o.o_orderkey DESC) AS rn
+    FROM events e JOIN (SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS at FROM orders) o
+      ON o.o_custkey = e.user_id AND o.at <= e.ts - INTERVAL 8 YEAR) x
   WHERE rn = 1
 """)
 def sql_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Q23: latest order at or before each event.
+    """Q23: latest order at or before each event, by time.
 
-    Orders carry dates, so the answer is the same for all events of a user and
-    day.  It is found on one row per user and day (bounded by the calendar) and
-    joined back; no event-order pairs are formed.
+    Both sides form one timeline.  The last order before an event is looked up
+    within the user's day; where the day has none yet, the last order of the
+    user's earlier days is, from a table with one row per user and day.  No
+    event-order pairs are formed, and no task holds more than a user's day.
     """
     inputs = [file_input(folder, "events"), file_input(folder, "orders")]
     return through_spec(spark, "as_of", inputs, """
-      WITH days AS (
-        SELECT user_id, day, max(o_orderkey) AS o_orderkey FROM (
-          SELECT user_id, CAST(ts - INTERVAL 8 YEAR AS DATE) AS day, CAST(NULL AS BIGINT) AS o_orderkey FROM events
-          UNION ALL
-          SELECT o_custkey, CAST(o_orderdate AS DATE), o_orderkey FROM orders) timeline
-        GROUP BY user_id, day),
-      filled AS (
-        SELECT user_id, day, last_value(o_orderkey) IGNORE NULLS OVER (
-          PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS o_orderkey FROM days)
-      SELECT e.event_id, f.o_orderkey FROM events e
-      JOIN filled f ON f.user_id = e.user_id AND f.day = CAST(e.ts - INTERVAL 8 YEAR AS DATE)
-      WHERE f.o_orderkey IS NOT NULL
+      WITH timeline AS (
+        SELECT user_id, ts - INTERVAL 8 YEAR AS at, 1 AS side, event_id, CAST(NULL AS BIGINT) AS o_orderkey FROM events
+        UNION ALL
+        SELECT o_custkey, o_orderdate + make_dt_interval(0, 0, CAST(o_orderkey % 1440 AS INT)), 0, CAST(NULL AS BIGINT),
+               o_orderkey FROM orders),
+      inside AS (
+        SELECT user_id, CAST(at AS DATE) AS day, event_id, last_value(o_orderkey) IGNORE NULLS OVER (
+          PARTITION BY user_id, CAST(at AS DATE) ORDER BY at, side, o_orderkey ROWS UNBOUNDED PRECEDING) AS found
+        FROM timeline),
+      days AS (
+        SELECT user_id, CAST(at AS DATE) AS day,
+               max_by(o_orderkey, CASE WHEN side = 0 THEN struct(at, o_orderkey) END) AS newest
+        FROM timeline GROUP BY user_id, CAST(at AS DATE)),
+      earlier AS (
+        SELECT user_id, day, last_value(newest) IGNORE NULLS OVER (
+          PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM days)
+      SELECT i.event_id, coalesce(i.found, e.before) AS o_orderkey FROM inside i
+      JOIN earlier e ON e.user_id = i.user_id AND e.day = i.day
+      WHERE i.event_id IS NOT NULL AND coalesce(i.found, e.before) IS NOT NULL
     """)

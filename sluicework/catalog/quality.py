@@ -134,3 +134,14 @@ def _hints(name: str, numeric: bool) -> str:
 def constraint_hints(spark: SparkSession, folder: str) -> DataFrame:
     """Rules a profile suggests."""
     return quality.suggest_constraints(table(spark, folder, "supplier"))
+
+
+@CATALOG.query("dataset_diff_separators", """
+  SELECT side, CAST(count(*) AS BIGINT) AS n FROM orders, (SELECT unnest(['left', 'right']) AS side) s GROUP BY side
+""")
+def dataset_diff_separators(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that hold the separator of the checksum do not run into each other."""
+    orders = table(spark, folder, "orders")
+    left = orders.select("o_orderkey", F.concat("o_orderstatus", F.lit("~")).alias("a"), F.col("o_orderpriority").alias("b"))
+    right = orders.select("o_orderkey", F.col("o_orderstatus").alias("a"), F.concat(F.lit("~"), "o_orderpriority").alias("b"))
+    return quality.dataset_diff(left, right).groupBy("side").agg(F.count(F.lit(1)).alias("n"))

@@ -13,7 +13,7 @@ from sluicework.catalog.fixtures import (
 )
 from sluicework.catalog.pipelines import through_spec
 from sluicework.operators import activity, codec, costs, meeting
-from sluicework.session import through_storage
+from sluicework.session import child_session, through_storage
 
 CATALOG = Catalog()
 
@@ -128,7 +128,7 @@ def norm_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@CATALOG.query("activity_fact", f"""
+FACT_SQL = f"""
   SELECT p.uid, 'a' || o_custkey AS account_id, c_name AS account_name, 'o' || c_nationkey AS account_owner_id,
          s2.s_name AS account_owner_name,
          CASE WHEN c_custkey % 4 = 0 OR c_custkey % 4 = 1 THEN c_acctbal ELSE 1.0 END AS final_amount,
@@ -136,10 +136,13 @@ def norm_rejects(spark: SparkSession, folder: str) -> DataFrame:
          'rep' || rep || '@example.com' AS participant_email, ['meeting', 'email', 'call'][kind + 1] AS request_type,
          CAST(CASE WHEN kind = 0 THEN o_orderkey % 7200 ELSE o_orderkey * i % 600 END AS BIGINT) AS actual_time_spent_in_sec
   FROM {PARTICIPANTS} p
-  LEFT JOIN supplier s1 ON s1.s_suppkey = rep AND rep < 60
-  LEFT JOIN supplier s2 ON s2.s_suppkey = c_nationkey AND c_nationkey < 60
+  LEFT JOIN supplier s1 ON s1.s_suppkey = rep AND rep % 3 <> 0
+  LEFT JOIN supplier s2 ON s2.s_suppkey = c_nationkey AND c_nationkey % 3 <> 0
   WHERE o_orderkey % 6 <> 0 AND (o_orderkey + i) % 2 = 0 AND o_orderdate >= TIMESTAMP '1997-08-01'
-""")
+"""
+
+
+@CATALOG.query("activity_fact", FACT_SQL)
 def activity_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Internal participants with record, crm, account, rep and owner.
 
@@ -154,7 +157,7 @@ def activity_fact(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_acctbal").alias("amount"),
         F.when(F.col("c_custkey") % 4 == 0, F.lit(None)).when(F.col("c_custkey") % 4 == 1, 0.0).otherwise(1.0)
         .alias("amount_override"))
-    users = table(spark, folder, "supplier").filter("s_suppkey < 60").select(
+    users = table(spark, folder, "supplier").filter("s_suppkey % 3 <> 0").select(
         F.concat(F.lit("o"), F.col("s_suppkey").cast("string")).alias("user_id"), F.col("s_name").alias("user_name"),
         F.concat(F.lit("rep"), F.col("s_suppkey").cast("string"), F.lit("@example.com")).alias("username"))
     activities = activity.all_table(good, LOADED_AT).select(
@@ -167,6 +170,31 @@ def activity_fact(spark: SparkSession, folder: str) -> DataFrame:
         "rep_name", "participant_email", "request_type", "actual_time_spent_in_sec")
 
 
+@CATALOG.query("activity_fact_shuffled", FACT_SQL)
+def activity_fact_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where no side is broadcast, as on large data."""
+    return activity_fact(child_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}), folder)
+
+
+@CATALOG.query("norm_mistyped", """
+  SELECT 'u' || o_orderkey AS uid, o_orderpriority AS subject,
+         CAST(CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS BIGINT) AS duration,
+         'lead' AS matched_to, 'l' || o_orderkey AS crm_id, 'x@example.com' AS email, 'p' || o_custkey AS parent_account_crm_id
+  FROM orders
+""")
+def norm_mistyped(spark: SparkSession, folder: str) -> DataFrame:
+    """A field of another type is null and its record stays; every matched struct has all fields."""
+    key = F.col("o_orderkey").cast("string")
+    duration = F.when(F.col("o_orderkey") % 2 == 0, key).otherwise(F.concat(F.lit('"'), key, F.lit('.5 s"')))
+    line = F.concat(
+        F.lit('{"uid":"u'), key, F.lit('","subject":"'), F.col("o_orderpriority"), F.lit('","duration":'), duration,
+        F.lit(',"crm_status":{"matched_to":"lead","lead":{"crm_id":"l'), key,
+        F.lit('","email":"x@example.com","parent_account_crm_id":"p'), F.col("o_custkey").cast("string"), F.lit('"}}}'))
+    good = activity.good_records(activity.parse_records(table(spark, folder, "orders").select(line.alias("value"))))
+    return activity.all_table(good, LOADED_AT).select("uid", "subject", "duration").join(
+        activity.crm_table(good).select("uid", "matched_to", "crm_id", "email", "parent_account_crm_id"), "uid")
+
+
 @CATALOG.query("cost_flatten", """
   SELECT CAST(m AS DATE) AS "startDate", CAST(m + INTERVAL 1 MONTH AS DATE) AS "endDate", 'acct' || l_suppkey AS account,
          'ship-' || l_returnflag AS service, s_name AS description, CAST(amount AS DOUBLE) AS amount, 'USD' AS currency,

@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluicework.functions.text import join_texts
 from sluicework.operators.codec import expand_once
@@ -36,6 +35,7 @@ GENERIC_FIELDS = {
     "outbound_phone_number": "outbound_phone_number",
     "status": "status",
 }
+# Fields of the nested records.
 CAMPAIGN_FIELDS = {"crm_id": "crm_id", "name": "crm_name", "start_date": "start_date", "end_date": "end_date"}
 PARTICIPANT_FIELDS = (
     "peopleai_id", "crm_id", "name", "title", "phone", "email",
@@ -65,20 +65,25 @@ RECORD_SCHEMA = """
     contacts_participants: BIGINT, participants_on_to_line: BIGINT, participants_on_cc_line: BIGINT,
     accepted_participants: BIGINT, declined_participants: BIGINT, tentative_participants: BIGINT>,
   crm_status STRUCT<pushed: BOOLEAN, push_time: STRING, crm_id: STRING, matched_to: STRING,
-    account: STRUCT<crm_id: STRING, name: STRING>,
-    lead: STRUCT<crm_id: STRING, email: STRING, name: STRING>,
-    opportunity: STRUCT<crm_id: STRING, name: STRING, stage_name: STRING, stage_rank: BIGINT>>
-"""
+    account: {matched}, lead: {matched}, opportunity: {matched}>
+""".format(matched="""STRUCT<crm_id: STRING, name: STRING, email: STRING, parent_account_crm_id: STRING,
+    parent_account_name: STRING, stage_name: STRING, stage_rank: BIGINT>""")
 CORRUPT = "_corrupt_record"
 
 
 def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON lines -> record structs plus the raw text of lines that do not parse."""
+    """JSON lines -> record structs plus the raw text of lines that are not JSON.
+
+    A field of another type than declared becomes null and its record stays.
+    """
     parsed = F.from_json(
         F.col(column), f"{RECORD_SCHEMA}, {CORRUPT} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return expand_once(lines, parsed)
+    # Spark also marks records with a field of another type; only text that is no JSON keeps the mark.
+    rows = expand_once(lines, parsed)
+    broken = F.when(F.get_json_object(CORRUPT, "$").isNull(), F.col(CORRUPT))
+    return rows.withColumn(CORRUPT, broken)
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
@@ -120,19 +125,12 @@ def stats_table(records: DataFrame) -> DataFrame:
         "uid", F.col("type").alias("request_type"), *[F.col(f"stats.{name}").alias(name) for name in STATS_FIELDS])
 
 
-def matched_value(records: DataFrame, name: str) -> Column:
-    """Field ``name`` of the struct that ``matched_to`` points at, else null.
-
-    Kinds whose struct has no such field contribute nothing.
-    """
-    status = records.schema["crm_status"].dataType
-    result: Column | None = None
+def matched_value(name: str) -> Column:
+    """Field ``name`` of the struct that ``matched_to`` points at, else null."""
+    result = F.lit(None)
     for kind in MATCH_KINDS:
-        if kind in status.fieldNames() and name in status[kind].dataType.fieldNames():
-            hit = F.col("crm_status.matched_to") == kind
-            value = F.col(f"crm_status.{kind}.{name}")
-            result = F.when(hit, value) if result is None else result.when(hit, value)
-    return (F.lit(None).cast(T.StringType()) if result is None else result).alias(name)
+        result = F.when(F.col("crm_status.matched_to") == kind, F.col(f"crm_status.{kind}.{name}")).otherwise(result)
+    return result.alias(name)
 
 
 def crm_table(records: DataFrame) -> DataFrame:
@@ -144,7 +142,7 @@ def crm_table(records: DataFrame) -> DataFrame:
         F.col("crm_status.matched_to").alias("matched_to"),
         F.col("crm_status.account.crm_id").alias("acc_crm_id"),
         F.col("crm_status.account.name").alias("acc_crm_name"),
-        *[matched_value(records, name) for name in MATCHED_FIELDS],
+        *[matched_value(name) for name in MATCHED_FIELDS],
     )
 
 
@@ -179,10 +177,9 @@ def activity_fact(
 ) -> DataFrame:
     """Internal participants of recent activities with account, owner and rep.
 
-    Activities, crm rows, accounts and users are unique by key, so every join is
-    a lookup from the participant side; one big account, meeting or rep cannot
-    fill a single task.  Key frequencies are read from the input tables, not
-    from half-joined rows.
+    Activities and crm rows are both unique by ``uid`` and are joined first, so
+    the participants move on ``uid`` once.  Accounts and users are unique by key:
+    every later join is a lookup, whose hot keys adaptive execution splits.
     """
     recent = activities.filter(F.col("event_timestamp") >= (cutoff if cutoff is not None else fiscal_cutoff()))
     internal = participants.filter(F.col("type") == "internal").select(
@@ -192,11 +189,10 @@ def activity_fact(
     reps = users.select(
         F.col("user_id").alias("rep_id"), F.col("user_name").alias("rep_name"), F.col("username").alias("participant_email"))
     owners = users.select(F.col("user_id").alias("account_owner_id"), F.col("user_name").alias("account_owner_name"))
-    joined = lookup_join(internal, recent, ["uid"])
-    joined = lookup_join(joined, owned, ["uid"], counted=internal)
-    joined = lookup_join(joined, accounts, ["account_id"], counted=owned)
-    joined = lookup_join(joined, reps, ["participant_email"], "left", counted=internal)
-    joined = lookup_join(joined, owners, ["account_owner_id"], "left", counted=accounts)
+    joined = lookup_join(internal, recent.join(owned, "uid"), ["uid"])
+    joined = lookup_join(joined, accounts, ["account_id"])
+    joined = lookup_join(joined, reps, ["participant_email"], "left")
+    joined = lookup_join(joined, owners, ["account_owner_id"], "left")
     return joined.withColumn("final_amount", override_or_default("amount_override", "amount")).withColumn(
         "actual_time_spent_in_sec",
         F.when(F.col("request_type") == "meeting", F.col("duration")).otherwise(F.col("time_spent")),

@@ -109,10 +109,11 @@ def profile_all(df: DataFrame) -> DataFrame:
 def row_checksum(df: DataFrame, null_safe: bool = True, column: str = "md5") -> DataFrame:
     """md5 of all columns joined by ``~``.
 
-    By default a null is written as a marker, so ``(a, null)`` and ``(null, a)``
-    differ; with ``null_safe=False`` nulls are skipped.
+    A ``~`` or ``\\`` inside a value gets a ``\\`` in front, so values cannot run
+    into each other.  By default a null is written as a marker, so ``(a, null)`` and
+    ``(null, a)`` differ; with ``null_safe=False`` nulls are skipped.
     """
-    parts = [F.col(f"`{name}`").cast("string") for name in df.columns]
+    parts = [F.regexp_replace(F.col(f"`{name}`").cast("string"), r"[~\\]", r"\\$0") for name in df.columns]
     if null_safe:
         parts = [F.coalesce(part, F.lit(NULL_MARK)) for part in parts]
     return df.select("*", F.md5(F.concat_ws("~", *parts)).alias(column))
@@ -139,13 +140,14 @@ def missing_checksums(left: DataFrame, right: DataFrame, null_safe: bool = True)
     return mine.join(row_checksum(right, null_safe).select("md5").distinct(), "md5", "left_anti")
 
 
-def metric_diff(left: DataFrame, right: DataFrame, digits: int = 6) -> DataFrame:
+def metric_diff(left: DataFrame, right: DataFrame, digits: int | None = None) -> DataFrame:
     """Metric rows without an equal row on the other side, from both sides.
 
-    Values are compared to ``digits`` decimals: sums of doubles differ in the
-    last bits from run to run.
+    Values must be equal, or equal to ``digits`` decimals where that is given:
+    sums of doubles may differ in the last bits from run to run.
     """
-    rounded = [df.withColumn("value", F.round("value", digits)) for df in (left, right)]
+    rounded = [left, right] if digits is None else [
+        df.withColumn("value", F.round("value", digits)) for df in (left, right)]
     surplus = _surplus(*rounded, METRIC_COLUMNS)
     return surplus.select(
         *METRIC_COLUMNS, F.when(F.col("surplus") > 0, "left").otherwise("right").alias("side"))

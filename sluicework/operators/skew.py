@@ -1,102 +1,26 @@
-"""Joins that stay balanced when one key holds much of the data."""
+"""Joins and writes that stay balanced when one key holds much of the data."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-# Above this estimated size a lookup is shuffled, and its frequent keys salted.
-SMALL_LOOKUP_BYTES = 8 * 1024 * 1024
-DEFAULT_SALTS = 64
-# A key with more than this share of the rows counts as frequent.
-HOT_SHARE = 0.002
-HOT_LIMIT = 500
-HOT_TRACKED = 10_000
-# Below this estimated size an input is spread over the cores before heavy work.
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
 
+def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a large frame to a lookup that is unique by ``on``; ``how`` is ``inner`` or ``left``.
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a frame, or None when it has none to give."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no classic plan behind the frame
-        return None
-
-
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def row_salt(df: DataFrame, salts: int) -> Column:
-    """A salt computed from row content, so a retried task repeats it."""
-    columns = [name for name, kind in df.dtypes if "map<" not in kind and kind != "variant"]
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
-
-
-def frequent_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``_key``: hashes of keys that hold more than ``HOT_SHARE`` of the rows.
-
-    One pass over the key columns with a frequent-items sketch per task; the
-    result has at most ``HOT_LIMIT`` rows whatever the size of the frame.
+    One plan for every size: Catalyst broadcasts a lookup that is small by its
+    own estimate, and adaptive execution cuts a hot key's partition of the large
+    side into pieces and reads the lookup's partition once per piece, as the
+    session defaults ask.  Nothing is counted beforehand.
     """
-    sketch = F.expr(f"approx_top_k(_key, {HOT_LIMIT}, {HOT_TRACKED})")
-    found = df.select(key_hash(keys).alias("_key")).agg(sketch.alias("top"), F.count(F.lit(1)).alias("total"))
-    return (
-        found.select("total", F.explode("top").alias("t"))
-        .filter(F.col("t.count") > F.col("total") * HOT_SHARE)
-        .select(F.col("t.item").alias("_key"), F.lit(True).alias("_hot"))
-    )
+    return big.join(lookup, list(on), how)
 
 
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    salts: int = DEFAULT_SALTS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Join a large frame to a lookup that is unique by ``on``.
-
-    A small lookup needs no shuffle of the large side, so the join is left to
-    Catalyst.  Before a shuffle join the frequent keys are found, and only they
-    are salted: their rows are spread over ``salts`` partitions and their one
-    lookup row is copied to each.  All other keys are shuffled once, as usual.
-    Salting changes where rows go, not what they match, so a key the sketch
-    misses costs balance and not results.
-
-    ``counted`` names a cheaper frame with the same key columns to count, where
-    ``big`` is itself the result of joins.  ``how`` is ``inner`` or ``left``.
-    """
-    keys = list(on)
-    size = estimated_bytes(lookup)
-    if size is not None and size <= SMALL_LOOKUP_BYTES:
-        return big.join(lookup, keys, how)
-    hot = frequent_keys(big if counted is None else counted, keys)
-    spread = F.when(F.col("_hot"), row_salt(big, salts)).otherwise(F.lit(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = big.withColumn("_key", key_hash(keys)).join(hot, "_key", "left").withColumn("_salt", spread)
-    right = lookup.withColumn("_key", key_hash(keys)).join(hot, "_key", "left").withColumn("_salt", F.explode(copies))
-    return (
-        left.drop("_key", "_hot")
-        .join(right.drop("_key", "_hot"), [*keys, "_salt"], how)
-        .drop("_salt")
-    )
-
-
-def spread_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Use all cores for costly per-row work on an input of few splits.
-
-    Only a frame below ``limit`` bytes is moved; a larger one has splits enough
-    and is left as it is.
-    """
-    size = estimated_bytes(df)
-    if size is None or size > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Deal rows out evenly before costly work on each; by default one part per core of the session."""
+    return df.repartition(parts or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:

@@ -149,13 +149,16 @@ def bucket_marks(plan: DataFrame) -> DataFrame:
 
 
 def with_bucket(df: DataFrame, marks: DataFrame, column: str) -> DataFrame:
-    """Every row with its bucket: join on the hour, then the last mark not after it."""
-    keyed = df.filter(F.col(column).isNotNull()).withColumn("hour_ts", F.date_trunc("hour", F.col(column)))
+    """Every row with its bucket: join on the hour, then the last mark not after it.
+
+    Rows without a time have no bucket and stay.
+    """
+    keyed = df.withColumn("hour_ts", F.date_trunc("hour", F.col(column)))
     second = second_of(df, column)
     bucket = F.aggregate(
         "marks", F.lit(None).cast("bigint"),
         lambda found, mark: F.when(mark["start_ts"] <= second, mark["bucket"]).otherwise(found))
-    joined = lookup_join(keyed, marks, ["hour_ts"])
+    joined = lookup_join(keyed, marks, ["hour_ts"], "left")
     return joined.withColumn("bucket", bucket).drop("hour_ts", "marks")
 
 
@@ -174,19 +177,32 @@ def bucketed_extract(df: DataFrame, column: str, buffer_size: int, stage_path: s
     return df.sparkSession.read.schema(rows.schema).parquet(stage_path)
 
 
-def range_predicates(ranges: DataFrame, column: str) -> list[str]:
+def moment_text(moment: datetime) -> str:
+    return f"TIMESTAMP('{moment:%Y-%m-%d %H:%M:%S.%f}')" if moment.microsecond else f"TIMESTAMP('{moment:%Y-%m-%d %H:%M:%S}')"
+
+
+def range_predicates(
+    ranges: DataFrame, column: str, start: datetime | None = None, end: datetime | None = None,
+    condition: str | None = None,
+) -> list[str]:
     """One SQL predicate per bucket range, for ``read.jdbc(predicates=...)``.
 
-    Each predicate becomes a task description the driver holds anyway, so the
-    list is as large as the task list of the read it starts.
+    Together they ask for what :func:`range_predicate` lets through: the first
+    range begins at ``start`` itself, not at its second, every one carries the
+    condition, and without bounds the rows without a time have a range of their
+    own.  Each predicate is a task of the read, and the caller chooses their
+    number with ``buffer_size``.
     """
     result = []
     for row in ranges.orderBy("start_ts").toLocalIterator():
-        text = f"{column} >= TIMESTAMP('{row['start_ts']:%Y-%m-%d %H:%M:%S}')"
-        if row["end_ts"] is not None:
-            text += f" AND {column} < TIMESTAMP('{row['end_ts']:%Y-%m-%d %H:%M:%S}')"
-        result.append(text)
-    return result
+        parts = [f"{column} >= {moment_text(row['start_ts'] if result or start is None else start)}"]
+        stop = row["end_ts"] if row["end_ts"] is not None else end
+        if stop is not None:
+            parts.append(f"{column} < {moment_text(stop)}")
+        result.append(" AND ".join(parts))
+    if start is None and end is None:
+        result.append(f"{column} IS NULL")
+    return [f"{text} AND ({condition})" if condition else text for text in result]
 
 
 def extract(

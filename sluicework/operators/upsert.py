@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sluicework.functions.dates import last_days_start
 from sluicework.operators.skew import balanced
 from sluicework.operators.timerange import range_predicate
-from sluicework.session import delete_path, is_committed, path_exists
+from sluicework.session import delete_path, is_committed, path_exists, through_storage
 
 BUCKET = "key_bucket"
 
@@ -64,6 +64,15 @@ def finish_pending(spark, target: str) -> bool:
     return False
 
 
+def kept_buckets(spark, target: str, wanted: int) -> int:
+    """The number of buckets of a table, noted beside it; ``wanted`` for a new table."""
+    notes = f"{target.rstrip('/')}__buckets"
+    if path_exists(spark, target) and path_exists(spark, notes):
+        return spark.read.schema("buckets int").json(notes).first()["buckets"]
+    spark.range(1).select(F.lit(int(wanted)).alias("buckets")).write.mode("overwrite").json(notes)
+    return wanted
+
+
 def upsert_files(
     batch: DataFrame, target: str, keys: Sequence[str], order_by: str | None = None, buckets: int = 64,
 ) -> None:
@@ -73,17 +82,21 @@ def upsert_files(
     touches are rewritten.  The merged buckets are first written whole beside
     the table, then swapped in: a run that dies between the two steps is
     completed by the next one, and applying a batch twice changes nothing.
-    Rows of the batch win over the table unless ``order_by`` says otherwise.
-    One writer at a time.
+    Rows of the batch win over the table unless ``order_by`` says otherwise; of
+    several rows of one key in a batch the latest by ``order_by`` wins, else the
+    last as the batch reads.  ``buckets`` counts for a new table; an existing one
+    keeps the number it was written with.  One writer at a time.
     """
     spark = batch.sparkSession
     finish_pending(spark, target)
-    incoming = batch.withColumn(BUCKET, key_bucket(keys, buckets)).withColumn("_new", F.lit(1))
+    buckets = kept_buckets(spark, target, buckets)
+    arrival = F.monotonically_increasing_id()
+    incoming = batch.withColumn(BUCKET, key_bucket(keys, buckets)).withColumn("_new", arrival)
     merged = incoming
     if path_exists(spark, target):
         touched = [row[0] for row in incoming.select(BUCKET).distinct().toLocalIterator()]
         existing = spark.read.parquet(target).filter(F.col(BUCKET).isin(touched))
-        merged = existing.withColumn("_new", F.lit(0)).unionByName(incoming, allowMissingColumns=True)
+        merged = existing.withColumn("_new", F.lit(-1).cast("long")).unionByName(incoming, allowMissingColumns=True)
     order = [F.col(order_by).desc_nulls_last()] if order_by else []
     result = latest_per_key(merged, keys, *order, F.col("_new").desc(), tie_break(batch)).drop("_new")
     pending = f"{target.rstrip('/')}__pending"
@@ -102,12 +115,14 @@ def reload_last_days(
 ) -> None:
     """Drop the last ``days`` days of a day-partitioned table, then write the frame.
 
-    Days before the window only gain the frame's rows for them; days inside the
-    window are replaced, also when the frame has no rows for them.
+    Days before the window only gain the frame's rows that they do not hold yet,
+    so a repeated write adds nothing; days inside the window are replaced, also
+    when the frame has no rows for them.  The frame is stored first, as it is
+    read several times.
     """
     spark = df.sparkSession
     start = last_days_start(days, now)
-    rows = df.withColumn(day_column, F.to_date(column))
+    rows = through_storage(df.withColumn(day_column, F.to_date(column)), "reload")
     inside = range_predicate(rows, column, start)
     if path_exists(spark, target):
         fs_path = spark._jvm.org.apache.hadoop.fs.Path(target)
@@ -123,6 +138,12 @@ def reload_last_days(
                 fs.delete(status.getPath(), True)
     older = rows.filter(~inside | F.col(column).isNull())
     newer = rows.filter(inside)
+    if path_exists(spark, target):
+        digest = F.xxhash64(*[F.col(f"`{name}`") for name in rows.columns])
+        held = spark.read.schema(rows.schema).parquet(target)
+        # Stored apart: the append goes to the folder that is read here.
+        older = through_storage(older.withColumn("_digest", digest).join(
+            held.select(digest.alias("_digest")).distinct(), "_digest", "left_anti").drop("_digest"), "reload-older")
     balanced(newer, day_column).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(day_column).parquet(target)
     balanced(older, day_column).write.mode("append").partitionBy(day_column).parquet(target)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -30,9 +29,11 @@ INHERITED = (
     "spark.sql.autoBroadcastJoinThreshold",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes",
     "spark.sql.streaming.stateStore.providerClass",
+    "sluicework.shared.dir",
 )
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHARED_DIR = "sluicework.shared.dir"
 
 
 def build_session(app_name: str = "sluicework", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,13 +65,15 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Every executor must be able to read what is written here, so the cluster's
-    own setting is used.  Without one (tests on one machine) the setting is
-    filled in once with a folder under the warehouse directory.
+    own setting is used, or the option ``sluicework.shared.dir`` of the session.
+    Without either, a session on one machine uses its warehouse folder; on a
+    cluster that is an error.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(SHARED_DIR, None)
     if not root:
-        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"no shared folder: set {CHECKPOINT_DIR}, or {SHARED_DIR} on the session")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return root.rstrip("/")
 
 

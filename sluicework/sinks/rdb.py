@@ -17,7 +17,6 @@ from sluicework.operators.upsert import latest_per_key, tie_break
 from sluicework.plans.spec import column_list, flag, save_mode
 from sluicework.sinks.core import SINKS
 
-MAX_WRITERS = 10
 BATCH_ROWS = 100
 
 
@@ -76,10 +75,10 @@ def merge_statement(target: str, staged: str, columns: list[str], keys: list[str
 
 
 def _insert(df: DataFrame, table: str, properties: Mapping[str, str], mode: str) -> None:
-    """A shuffle, not a coalesce: few connections, but what comes before stays wide."""
-    writers = int(properties.get("writers", MAX_WRITERS))
+    """One connection per task; ``writers`` bounds them by a shuffle, so what comes before stays wide."""
+    rows = df.repartition(int(properties["writers"])) if "writers" in properties else df
     (
-        df.repartition(writers).write.format("jdbc").mode(mode)
+        rows.write.format("jdbc").mode(mode)
         .options(**connection_options(properties))
         .option("dbtable", table)
         .option("batchsize", properties.get("batchsize", "1000"))

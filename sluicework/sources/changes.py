@@ -71,8 +71,8 @@ def read_changes(spark: SparkSession, properties: Mapping[str, str]) -> DataFram
     if not (bulk or rows.count() > buffer_size):
         return rows
     ranges = timerange.bucket_ranges(timerange.bucket_plan(rows.select(column), column, buffer_size), end)
-    predicates = timerange.range_predicates(ranges, column)
-    return read_jdbc_ranges(spark, properties, properties["table"], predicates)
+    predicates = timerange.range_predicates(ranges, column, start, end, properties.get("condition"))
+    return read_jdbc_ranges(spark, properties, properties["table"], predicates).select(*rows.columns)
 
 
 def starting_point(

@@ -32,8 +32,6 @@ from sluicework.session import register_source, shared_dir
 from sluicework.sources.core import SOURCES
 from sluicework.sources.files import declared_schema
 
-MAX_SLICES = 10_000
-
 
 def load_class(name: str):
     module, _, attribute = name.partition(":")
@@ -199,35 +197,6 @@ class JsonFilePages(PageFetcher):
             return []
 
 
-class ParquetPages(PageFetcher):
-    """Pages cut from a Parquet table by a dense, zero-based id column.
-
-    A task reads its whole page range with one filtered scan; row groups
-    outside the range are skipped by their statistics.
-    """
-
-    def _dataset(self):
-        import pyarrow.dataset as ds
-
-        return ds.dataset(self.options["path"], format="parquet")
-
-    def last_page(self) -> int:
-        return -(-self._dataset().count_rows() // self.page_size)
-
-    def pages(self, first: int, last: int) -> Iterable[tuple[int, list[dict]]]:
-        import pyarrow.dataset as ds
-
-        key = ds.field(self.options["id_column"])
-        wanted = (key >= (first - 1) * self.page_size) & (key < last * self.page_size)
-        name = self.options["id_column"]
-        for batch in self._dataset().to_batches(filter=wanted, batch_size=self.page_size):
-            for record in batch.to_pylist():
-                yield record[name] // self.page_size + 1, [record]
-
-    def page(self, number: int) -> list[dict]:
-        return [record for _, records in self.pages(number, number) for record in records]
-
-
 class Span(InputPartition):
     def __init__(self, first, last) -> None:
         super().__init__((first, last))
@@ -256,7 +225,7 @@ class PagedExportReader(DataSourceReader):
 
     def partitions(self) -> list[Span]:
         last = self._fetcher().last_page()
-        step = max(int(self.options.get("pages_per_task", "10")), -(-last // MAX_SLICES))
+        step = int(self.options.get("pages_per_task", "10"))
         return [Span(first, min(first + step - 1, last)) for first in range(1, last + 1, step)] or [Span(1, 0)]
 
     def read(self, partition: Span) -> Iterator[tuple]:
@@ -293,23 +262,11 @@ class RangeFetcher:
         raise NotImplementedError
 
 
-class ParquetRange(RangeFetcher):
-    """Records of a Parquet table by a timestamp column."""
-
-    def records(self, start: datetime, end: datetime) -> Iterable[dict]:
-        import pyarrow.dataset as ds
-
-        column = ds.field(self.options["time_column"])
-        scan = ds.dataset(self.options["path"], format="parquet")
-        for batch in scan.to_batches(filter=(column >= start) & (column < end)):
-            yield from batch.to_pylist()
-
-
 def slices(start: datetime, end: datetime, minutes: int) -> list[tuple[datetime, datetime]]:
-    """Cut ``[start, end)`` into consecutive slices, at most ``MAX_SLICES`` of them."""
+    """Cut ``[start, end)`` into consecutive slices of the given length, the last as long as the rest."""
     if end <= start:
         return []
-    step = max(timedelta(minutes=minutes), (end - start) / MAX_SLICES)
+    step = timedelta(minutes=minutes)
     result, left = [], start
     while left < end:
         result.append((left, min(left + step, end)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluicework.functions.avro_schema import struct_from_avsc
-from sluicework.operators.skew import spread_small
+from sluicework.operators.skew import spread
 from sluicework.plans.spec import first_of, flag
 from sluicework.sources.core import SOURCES, STREAMS
 
@@ -50,7 +50,7 @@ def read_files(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(properties.get("path", DEFAULT_PATH))
-    return spread_small(df) if flag(properties, "spread_small") else df
+    return spread(df, int(properties["input_partitions"])) if "input_partitions" in properties else df
 
 
 @STREAMS.register("file")

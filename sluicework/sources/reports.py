@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Mapping
 
@@ -17,8 +19,6 @@ from sluicework.session import shared_dir
 from sluicework.sources.core import SOURCES, STREAMS
 from sluicework.sources.files import declared_schema
 
-MAX_PAGE_SIZE = 1000
-
 # --- CSV --------------------------------------------------------------------
 
 
@@ -99,16 +99,13 @@ def stream_changes(spark: SparkSession, properties: Mapping[str, str]) -> DataFr
 
 
 def read_pairs(text: str) -> dict[str, str]:
-    """``key,value`` lines; ``#`` starts a comment line."""
-    pairs = {}
-    for line in text.splitlines():
-        if not line.strip() or line.startswith("#"):
-            continue
-        parts = [part.strip() for part in line.split(",")]
-        if len(parts) != 2:
-            raise ValueError(f"expected 'key,value', got: {line}")
-        pairs[parts[0]] = parts[1]
-    return pairs
+    """A two-column map file; lines that start with ``#`` are comments."""
+    rows = csv.reader((line for line in io.StringIO(text) if line[:1] != "#"), skipinitialspace=True)
+    named = [row for row in rows if any(cell.strip() for cell in row)]
+    odd = [row for row in named if len(row) != 2]
+    if odd:
+        raise ValueError(f"a map file has two columns, not {len(odd[0])}: {odd[0]}")
+    return {name.strip(): value.strip() for name, value in named}
 
 
 def local_path(xpath: str) -> str:
@@ -142,8 +139,6 @@ def xml_columns(records: DataFrame, xpaths: Mapping[str, str], column: str = "re
 @SOURCES.register("netsuite", "xml")
 def read_xml(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     """Landed XML pages, records by ``recordTagPath``, columns by ``xpathMap``."""
-    if int(properties.get("pageSize", "100")) > MAX_PAGE_SIZE:
-        raise ValueError(f"pageSize is at most {MAX_PAGE_SIZE}")
     with open(properties["xpathMap"], encoding="utf-8") as handle:
         xpaths = read_pairs(handle.read())
     pages = spark.read.option("wholetext", True).text(properties["path"])

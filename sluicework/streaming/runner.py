@@ -41,8 +41,12 @@ def _trigger(writer, properties: Mapping[str, str]):
 
 def _start(session: SparkSession, stream: DataFrame, on_batch, properties: Mapping[str, str], name: str) -> StreamingQuery:
     # Without commits the checkpoint is a throw-away folder: a restart begins anew.
-    keep = flag(properties, "commit_offset", default=True)
-    checkpoint = (keep and properties.get("checkpoint_dir")) or shared_dir(session, f"checkpoint-{name}")
+    if flag(properties, "commit_offset", default=True):
+        checkpoint = properties.get("checkpoint_dir")
+        if not checkpoint:
+            raise ValueError(f"stream {name} needs checkpoint_dir, or commit_offset=false")
+    else:
+        checkpoint = shared_dir(session, f"checkpoint-{name}")
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, properties).start()
 

@@ -227,3 +227,32 @@ def test_ingest_replay_keeps_messages(spark, tmp_path):
 def test_shared_dir_uses_the_cluster_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(root) and shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_a_stream_needs_a_checkpoint(spark, sf):
+    doc = spec_document("Q", [{"format": "file", "file_format": "parquet", "path": sf, "path_glob": "events.parquet",
+                               "sample_path": f"{sf}/events.parquet", "alias": "e"}], "select * from e",
+                        [{"query": "select * from #process", "action": "noop"}], kind="real")
+    with pytest.raises(ValueError, match="checkpoint_dir"):
+        start_pipeline(spark, load_pipeline(doc, "Q"), {"trigger": "available_now"})
+
+
+def test_the_shared_folder_needs_no_setting_on_one_machine(spark):
+    class Conf:
+        values = {"spark.sql.warehouse.dir": "/w"}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "local[2]"})
+
+    from sluicework.session import shared_root
+
+    assert shared_root(Session()) == "/w/_shared"
+    Session.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="sluicework.shared.dir"):
+        shared_root(Session())
+    Conf.values["sluicework.shared.dir"] = "hdfs://x/"
+    assert shared_root(Session()) == "hdfs://x"

@@ -142,8 +142,24 @@ def test_slices_tile():
     cut = fetched.slices(datetime(2024, 1, 1), datetime(2024, 1, 1, 1, 30), 60)
     assert cut == [(datetime(2024, 1, 1), datetime(2024, 1, 1, 1)), (datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 1, 30))]
     assert fetched.slices(datetime(2024, 1, 1), datetime(2024, 1, 1), 60) == []
-    many = fetched.slices(datetime(2000, 1, 1), datetime(2024, 1, 1), 1)
-    assert len(many) <= fetched.MAX_SLICES + 1 and many[-1][1] == datetime(2024, 1, 1)
+    many = fetched.slices(datetime(2000, 1, 1), datetime(2024, 1, 1), 600)
+    assert len(many) == 21_039 and many[-1] == (datetime(2023, 12, 31, 20), datetime(2024, 1, 1))
+
+
+def test_range_predicates_ask_for_what_the_direct_read_asks(spark):
+    ranges = spark.createDataFrame(
+        [(0, datetime(2024, 1, 1, 5), datetime(2024, 1, 2)), (1, datetime(2024, 1, 2), None)], "bucket int, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    start, end = datetime(2024, 1, 1, 5, 0, 0, 250000), datetime(2024, 1, 3)
+    assert timerange.range_predicates(ranges, "ts", start, end, "odd = 1") == [
+        "ts >= TIMESTAMP('2024-01-01 05:00:00.250000') AND ts < TIMESTAMP('2024-01-02 00:00:00') AND (odd = 1)",
+        "ts >= TIMESTAMP('2024-01-02 00:00:00') AND ts < TIMESTAMP('2024-01-03 00:00:00') AND (odd = 1)"]
+    assert timerange.range_predicates(ranges, "ts")[-1] == "ts IS NULL"
+
+
+def test_rows_without_a_time_stay_in_a_bucketed_extract(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "IF(id % 10 = 0, NULL, TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, 0, 0, id)) AS ts")
+    rows_ = timerange.extract(df, "ts", 10, str(tmp_path / "b"))
+    assert rows_.count() == 100 and rows_.where("ts is null").count() == 10
 
 
 def test_backfill_days(spark):

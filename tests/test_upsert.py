@@ -126,3 +126,25 @@ def test_jdbc_statements():
         " when not matched then insert (id, a, b) values (s.id, s.a, s.b)")
     assert rdb.delete_statement("t", "ts", 2, datetime(2024, 1, 10, 5)) == "delete from t where ts >= '2024-01-08 00:00:00'"
     assert rdb.connection_options({"url": "u", "driver": "d", "user": "", "database": "x"}) == {"url": "u", "driver": "d", "dbname": "x"}
+
+
+def test_the_last_row_of_a_batch_wins_without_an_order(spark, tmp_path):
+    batch = spark.createDataFrame([(1, i) for i in range(6)], "k int, seq int").coalesce(1)
+    upsert.upsert_files(batch, str(tmp_path / "t"), ["k"])
+    assert [r.seq for r in upsert.read_upserted(spark, str(tmp_path / "t")).collect()] == [5]
+
+
+def test_the_number_of_buckets_stays(spark, tmp_path):
+    batch = spark.range(100).withColumnRenamed("id", "k")
+    for buckets in (16, 64):
+        upsert.upsert_files(batch, str(tmp_path / "t"), ["k"], buckets=buckets)
+    assert upsert.read_upserted(spark, str(tmp_path / "t")).count() == 100
+
+
+def test_a_repeated_reload_adds_nothing(spark, tmp_path):
+    from datetime import datetime
+
+    df = spark.range(24).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(id) AS ts")
+    for _ in range(2):
+        upsert.reload_last_days(df, str(tmp_path / "t"), "ts", 5, datetime(2024, 1, 20))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 24
