@@ -109,6 +109,15 @@ def failure_messages(
     )
 
 
+def give_up_messages(routed: DataFrame, request_key: str, start_column: str) -> DataFrame:
+    """``id~~start~~attempt`` keyed ``<id>_give_up`` for requests that are not tried again."""
+    return routed.filter("route = 'give_up'").select(
+        F.concat(F.col(request_key).cast("string"), F.lit("_give_up")).alias("key"),
+        pack(F.col(request_key).cast("string"), F.col(start_column).cast("string"),
+             F.col("next_attempt").cast("string")).alias("value"),
+    ).dropDuplicates()
+
+
 def unpack_failures(messages: DataFrame) -> DataFrame:
     """Failure messages -> typed request rows."""
     return messages.select(
@@ -141,19 +150,19 @@ def enrich_with_fetcher(
     """Requests with a ``children`` array fetched on the executors.
 
     ``fetch`` returns the child records of one id.  A call that keeps failing
-    is tried ``tries`` times and then counts as found nothing, so it takes the
-    failure route instead of looping.
+    is tried ``tries`` times and then leaves a null array, where a call that
+    found nothing leaves an empty one; both take the failure route.
     """
     child_type = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
     schema = T.StructType([*requests.schema.fields, T.StructField("children", child_type)])
 
-    def lookup(identifier: str) -> list[dict]:
+    def lookup(identifier: str) -> list[dict] | None:
         for _ in range(tries):
             try:
                 return [{f: r.get(f) for f in fields} for r in fetch(identifier)]
             except OSError:
                 continue
-        return []
+        return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

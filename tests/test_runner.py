@@ -141,7 +141,8 @@ def test_participant_sink(spark, tmp_path):
                         "select * from r", [{**sink, "lookup_path": str(tmp_path / "lookup")}])
     run_pipeline(spark, load_pipeline(doc, "P"))
     topics = spark.read.parquet(target)
-    assert {(r["topic"], r["key"]) for r in topics.collect()} == {("meta", "device"), ("meta", "2_count"), ("meta_fail", "0_fail")}
+    assert {(r["topic"], r["key"]) for r in topics.collect()} == {
+        ("meta", "device"), ("meta", "2_count"), ("meta_fail", "0_fail"), ("meta_give_up", "0_give_up")}
     assert topics.filter("key = 'device'").count() == 2
     assert json.loads(topics.filter("value LIKE '%pc%'").first()["value"])["meetingId"] == "2"
 
@@ -152,9 +153,10 @@ def test_participant_sink_with_fetcher(spark, tmp_path):
 
     HOOKS.register("tests.lookup")(lambda identifier: [{"device": f"d{identifier}"}] * int(identifier))
     requests = spark.createDataFrame([("2", "s"), ("0", "s")], "meeting_id string, start_time string")
-    topic, failed = enriched_results(requests, {"fetcher": "tests.lookup", "_stage_path": str(tmp_path / "f")})
+    topic, failed, given_up = enriched_results(requests, {"fetcher": "tests.lookup", "_stage_path": str(tmp_path / "f")})
     assert rows(topic, "key") == [("2_count",), ("device",), ("device",)]
     assert [v.split("~~")[3] for v, in rows(failed, "value")] == ["1"]
+    assert given_up.count() == 0
 
 
 def test_time_ranges_reader_replays():
