@@ -134,18 +134,20 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     characters that its predecessor needs move on with its hashes.
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).alias("key"), whole.alias("text")).withColumn(
-        "nth", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("text"))))
+    # Structs with equal fields are equal, null or not, so a null key is a key like others.
+    rows = docs.select(F.struct(F.col(key).alias("key")).alias("id"), whole.alias("text")).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text"))))
     links = through_storage(neighbours(docs, key, text), "neighbours")
-    links = links.select(F.col("key").alias("k"), F.col("nth").alias("n"), "before", "before_nth", "need")
-    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("nth") == F.col("n"))
-    ahead = rows.join(links, same).select(
+    links = links.select(F.struct("key").alias("link"), F.col("nth").alias("n"), F.struct(F.col("before").alias("key")).alias(
+        "before"), "before_nth", "need")
+    # Rows of one key are told apart after the join, so that it keeps the shuffle by key.
+    ahead = rows.join(links, (F.col("id") == F.col("link")) & (F.col("nth") - F.col("n") == 0)).select(
         "before", "before_nth", F.left("text", "need").alias("start"), chosen_hashes(winnow(F.col("text"))).alias("next"))
-    follows = F.col("key").eqNullSafe(F.col("before")) & (F.col("nth") == F.col("before_nth"))
+    follows = (F.col("id") == F.col("before")) & (F.col("nth") - F.col("before_nth") == 0)
     size = F.length("text")
     edited = F.concat(F.left("text", (size - F.floor(size / 4)).cast("int")), "start")
     both = rows.join(ahead, follows).select(
-        "key", size.cast("long").alias("n_chars"), edited.alias("edited"), winnow(F.col("text")).alias("fingerprint"),
+        "id.key", size.cast("long").alias("n_chars"), edited.alias("edited"), winnow(F.col("text")).alias("fingerprint"),
         winnow(edited).alias("edited_fingerprint"), "next")
     own = chosen_hashes(F.col("fingerprint"))
     return both.select(
