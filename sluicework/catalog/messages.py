@@ -125,6 +125,22 @@ def kafka_resume(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"))
 
 
+@CATALOG.query("kafka_resume_all", """
+  SELECT p AS partition, CASE WHEN p < 2 THEN least(max(event_id // 4) + 1, 100) ELSE -2 END AS start_offset
+  FROM (SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id FROM events
+        UNION ALL SELECT CAST(n_nationkey AS INTEGER) + 4, 0 FROM nation WHERE n_nationkey < 2) x GROUP BY p
+""")
+def kafka_resume_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Start offsets name all partitions, also those without committed rows."""
+    rows = kafka_events(spark, folder)
+    seen = rows.filter((F.col("partition") < 2) & (F.col("offset") < 100))
+    added = table(spark, folder, "nation").filter("n_nationkey < 2").select(
+        F.lit("events").alias("topic"), (F.col("n_nationkey") + 4).cast("int").alias("partition"))
+    partitions = rows.select("topic", "partition").distinct().unionByName(added)
+    starts = offsets.start_offsets(partitions, offsets.next_offsets(seen))
+    return starts.select("partition", F.col("next_offset").alias("start_offset"))
+
+
 @CATALOG.query("columns_clean", """
   SELECT c_custkey AS "UserId", c_name AS "DisplayName", c_mktsegment AS "PercentofmessagesDMs", c_nationkey AS "UserId_2"
   FROM customer

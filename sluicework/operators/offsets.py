@@ -28,6 +28,19 @@ def with_start_marker(offsets: DataFrame) -> DataFrame:
     return offsets.withColumn("next_offset", marked.cast("long"))
 
 
+def start_offsets(partitions: DataFrame, offsets: DataFrame | None) -> DataFrame:
+    """Where a read of all ``partitions`` (topic, partition) starts: after what is committed, else at the earliest.
+
+    A batch read must name every partition, also those that are new or had no
+    rows when offsets were committed.
+    """
+    earliest = F.lit(EARLIEST_OFFSET).cast("long")
+    if offsets is None:
+        return partitions.select("topic", "partition", earliest.alias("next_offset"))
+    return partitions.select("topic", "partition").distinct().join(offsets, ["topic", "partition"], "left").withColumn(
+        "next_offset", F.coalesce("next_offset", earliest))
+
+
 def starting_offsets_json(offsets: DataFrame | None) -> str:
     """Committed offsets -> the ``startingOffsets`` option text.
 

@@ -67,6 +67,22 @@ def decoded(rows: DataFrame, properties: Mapping[str, str]) -> DataFrame:
         properties.get("filter_value"), _avro_text(properties))
 
 
+def topic_partitions(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
+    """``topic, partition`` of a topic as the broker lists them; needs the Kafka package, like the read itself."""
+    java = spark._jvm
+    settings = java.java.util.Properties()
+    settings.put("bootstrap.servers", properties["bootstrap_servers"])
+    for name, value in security_options(properties).items():
+        settings.put(name.removeprefix("kafka."), value)
+    admin = java.org.apache.kafka.clients.admin.AdminClient.create(settings)
+    try:
+        topic = properties["topic"]
+        told = admin.describeTopics(java.java.util.Collections.singletonList(topic)).allTopicNames().get().get(topic)
+        return spark.createDataFrame([(topic, p.partition()) for p in told.partitions()], "topic string, partition int")
+    finally:
+        admin.close()
+
+
 def raw_batch(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     """Rows after the committed offsets, from the broker or a message table."""
     commits, group = properties.get("commit_table"), properties.get("group_id", "")
@@ -74,6 +90,8 @@ def raw_batch(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     if "replay_path" in properties:
         rows = spark.read.parquet(properties["replay_path"]).filter(F.col("topic") == properties["topic"])
         return offsets.after_offsets(rows, done)
+    if done is not None:
+        done = offsets.start_offsets(topic_partitions(spark, properties), done)
     return spark.read.format("kafka").options(
         **batch_options(properties, offsets.starting_offsets_json(done))).load()
 
