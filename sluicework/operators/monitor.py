@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.operators.codec import expand_once
 from sluicework.operators.skew import lookup_join
 from sluicework.operators.upsert import latest_per_key
 from sluicework.session import path_exists
@@ -112,9 +113,10 @@ def log_errors(status: DataFrame, pages: DataFrame) -> DataFrame:
     watched = status.filter(F.size(PATTERNS) > 0).select("id", "name", PATTERNS)
     newest = pages.groupBy("id").agg(F.max("attempt_id").alias("attempt_id"))
     watched_newest = watched.join(newest, "id")
-    body = log_text("html")
-    checked = lookup_join(pages, watched_newest, ["id", "attempt_id"]).select(
-        "id", "name", F.exists(PATTERNS, lambda p: F.rlike(body, p)).alias("hit"))
+    found = lookup_join(pages, watched_newest, ["id", "attempt_id"])
+    # The text is taken out once per page, not once per pattern.
+    bodies = expand_once(found, F.struct("id", "name", PATTERNS, log_text("html").alias("body")))
+    checked = bodies.select("id", "name", F.exists(PATTERNS, lambda p: F.rlike("body", p)).alias("hit"))
     return checked.groupBy("id", "name").agg(F.bool_or("hit").alias("has_error"))
 
 

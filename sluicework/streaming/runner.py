@@ -14,7 +14,7 @@ from sluicework.plans.runner import hooked, input_properties, pipeline_frame, re
 from sluicework.plans.spec import (
     PipelineSpec, enabled_pipelines, flag, load_pipeline, substitute, substitute_all,
 )
-from sluicework.session import child_session, shared_dir, ship_package
+from sluicework.session import child_session, scratch_scope, shared_dir, ship_package
 from sluicework.sources import STREAMS, read_stream
 from sluicework.sources.changes import base_scan, rows_between, starting_point
 from sluicework.streaming.ranges import batch_range, range_stream, utc_now
@@ -47,7 +47,13 @@ def _start(session: SparkSession, stream: DataFrame, on_batch, properties: Mappi
             raise ValueError(f"stream {name} needs checkpoint_dir, or commit_offset=false")
     else:
         checkpoint = shared_dir(session, f"checkpoint-{name}")
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+
+    def scoped(batch: DataFrame, batch_id: int) -> None:
+        # What a batch stages is deleted when its outputs are written.
+        with scratch_scope(batch.sparkSession):
+            on_batch(batch, batch_id)
+
+    writer = stream.writeStream.foreachBatch(scoped).option("checkpointLocation", checkpoint)
     return _trigger(writer, properties).start()
 
 

@@ -78,11 +78,15 @@ def test_registry_error_lists_known_names():
 
 
 def test_every_format_and_action_is_registered():
-    for name in ("kafka mongo elastic s3 rdb redis bigquery rest file sfdc okta knowBe4 o365 snowflake peopleai").split():
-        assert name in SOURCES
-    for name in ("WriteToConsole WriteToElastic WriteToFile WriteToKafka WriteToRDB WriteToRedis "
-                 "WriteZoomParticipantDevice").split():
-        assert name in SINKS
+    # Format and action names of specs.
+    formats = (
+        "kafka", "mongo", "elastic", "s3", "rdb", "redis", "bigquery", "rest", "file", "sfdc", "okta", "knowBe4", "o365",
+        "snowflake", "peopleai")
+    actions = (
+        "WriteToConsole", "WriteToElastic", "WriteToFile", "WriteToKafka", "WriteToRDB", "WriteToRedis",
+        "WriteZoomParticipantDevice")
+    assert all(name in SOURCES for name in formats)
+    assert all(name in SINKS for name in actions)
 
 
 @hook("tests.double")
