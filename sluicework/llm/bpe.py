@@ -27,7 +27,7 @@ from sluicework.llm.common import map_slices, texts_of
 # Above any packed (rank, position); ranks stay below 2**30, positions below 2**32.
 NOTHING = 1 << 62
 # Distinct pieces a worker remembers; beyond it the memory starts anew, results do not change.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

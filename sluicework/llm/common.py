@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,6 +18,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Rows a Python worker handles at a time; bounds its memory, not its result.
 SLICE_ROWS = 512
+SLICE_BYTES = 16 << 20
 
 
 def fresh(name: str, taken: list[str]) -> str:
@@ -48,6 +49,28 @@ def crc32_mod(column: Column, modulus: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % F.lit(modulus)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand texts to Python in small batches: by default 10,000 rows go at once, however long.
+
+    A number of rows that a user has set stays.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SLICE_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
+
+
+def regrouped(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``rows``, for work that gains from large ones on narrow rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def map_slices(
     df: DataFrame,
     schema: str | StructType,
@@ -59,6 +82,7 @@ def map_slices(
     task needs are read there and not shipped from the driver.
     """
     ship_package(df.sparkSession)
+    small_batches(df.sparkSession)
     names = (schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

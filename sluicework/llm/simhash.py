@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from sluicework.llm import golay
-from sluicework.llm.common import fresh, map_slices, texts_of
+from sluicework.llm.common import fresh, map_slices, regrouped, texts_of
 from sluicework.llm.components import components
 from sluicework.session import ship_package, through_storage
 
@@ -264,7 +264,7 @@ def near_links(prints: DataFrame) -> DataFrame:
         return link_rows(none, rep[followers], none, none, rep[led])
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in regrouped(batches, 4096):
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 rep = part.column(0).to_numpy()
@@ -280,7 +280,7 @@ def near_links(prints: DataFrame) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = [np.zeros(0, dtype=np.int64)] * 4
-        for batch in batches:
+        for batch in regrouped(batches, 32_768):
             key, rep, first, second = (
                 np.concatenate([c, batch.column(i).to_numpy()]) for i, c in enumerate(carried))
             if not len(key):

@@ -45,7 +45,7 @@ STANDARD_ERRORS = 4.0
 LABELLED = 200_000
 # Segments that would appear this often or less in a clean text of the same length count as passages.
 EXPECTED = 0.05
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 PASSAGES = ArrayType(StructType([
     StructField("start", LongType()), StructField("end", LongType()),
