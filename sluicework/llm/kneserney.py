@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from sluicework.llm.common import map_slices, texts_of
+from sluicework.llm.common import map_slices, small_batches, texts_of
 from sluicework.llm.wordhash import scramble, word_hashes
 from sluicework.session import shared_dir, ship_package
 
@@ -177,6 +177,7 @@ def count_model(texts: DataFrame, size: int, column: str = "text") -> Model:
     """Count a model over a frame's texts; ``size`` is the bytes of text, about, and sets the number of shards."""
     spark = texts.sparkSession
     ship_package(spark)
+    small_batches(spark)
     shards = max(4, -(-size // SHARE))
     folder = shared_dir(spark, "ngrams")
 
@@ -258,8 +259,8 @@ def count_model(texts: DataFrame, size: int, column: str = "text") -> Model:
 
     packed = texts.select(column).mapInArrow(count, "shard long, block binary")
     kind = "kind int, shard long, block binary"
-    partial = packed.repartition(int(shards), "shard").mapInArrow(add_pairs, kind)
-    facts = partial.repartition(int(shards), "shard").mapInArrow(add_words, kind).collect()  # one row per file
+    partial = packed.repartitionById(int(shards), F.col("shard").cast("int")).mapInArrow(add_pairs, kind)
+    facts = partial.repartitionById(int(shards), F.col("shard").cast("int")).mapInArrow(add_words, kind).collect()  # one row per file
     pair_facts = {r.shard: np.frombuffer(r.block, np.int64) for r in facts if r.kind == 2}
     word_facts = {r.shard: np.frombuffer(r.block, np.int64) for r in facts if r.kind == 3}
     distinct, *ns = np.sum(list(pair_facts.values()), axis=0).tolist() if pair_facts else [0] * 5
