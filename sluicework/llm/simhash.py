@@ -29,7 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyarrow import dataset as arrow_dataset
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
@@ -37,7 +40,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from sluicework.llm import golay
 from sluicework.llm.common import fresh, map_slices, regrouped, texts_of
 from sluicework.llm.components import components
-from sluicework.session import ship_package, through_storage
+from sluicework.session import shared_dir, ship_package, through_storage
 
 SEED = 42
 # Odd constants that turn one hash into independent lanes.
@@ -208,6 +211,12 @@ LANES = 4
 SEGMENT_PAIRS = 5
 # Differing bits of the two compared lanes: shingle sets of similarity 0.8 differ in 19.5 of 128 bits, give or take 4.
 NEAR_BITS = 24
+# The least Jaccard similarity of near copies, as a fraction.
+NEAR = (4, 5)
+# Texts from which common shingles are taken, about, and how many of them must hold one.
+SAMPLE, OFTEN = 20_000, 10
+# Above this many rows of a key, the key's largest component is not compared with itself.
+WIDE = 256
 
 
 def pair_keys(lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -297,26 +306,210 @@ def near_links(prints: DataFrame) -> DataFrame:
     return staged.where("to is not null").union(pairs).select(F.col("rep").alias("a"), F.col("to").alias("b")).distinct()
 
 
+def set_maker(shingle: int):
+    """Distinct shingle hashes of a text, sorted."""
+    return lambda text: np.unique(shingle_hashes(text, shingle))
+
+
+def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of shingles that many of ``SAMPLE`` texts hold, about, sorted; they only set an order."""
+    step = max(1, docs.count() // SAMPLE)
+    sample = docs.where(F.pmod("node", F.lit(step)) == 0).select("text")
+
+    def start():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [set_maker(shingle)(text) for text in texts_of(batch, 0)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64), pa.int64())], ["h"])
+
+        return work
+
+    often = map_slices(sample, "h long", start).groupBy("h").count().where(F.col("count") >= OFTEN).toArrow()
+    hashes, counts = often.column("h").to_numpy().view(np.uint64), often.column("count").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def rare_first(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A set in one order that holds for all sets, rare hashes first."""
+    if not len(common[0]):
+        return hashes
+    place = np.minimum(np.searchsorted(common[0], hashes), len(common[0]) - 1)
+    return hashes[np.lexsort((hashes, np.where(common[0][place] == hashes, common[1][place], 0)))]
+
+
+def near_prints(docs: DataFrame, shingle: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(id, node, fingerprint, size, prefix): of each row of (id, node, text) its set's size and rarest hashes.
+
+    Two sets of the wanted similarity share one of the n - ceil(0.8 n) + 1 rarest hashes of either.
+    """
+
+    def start():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [set_maker(shingle)(text) for text in texts_of(batch, 2)]
+            prefixes = [rare_first(h, common)[:len(h) - -(-NEAR[0] * len(h) // NEAR[1]) + 1].view(np.int64)
+                        if len(h) else np.zeros(1, np.int64) for h in sets]
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([majority(h, LANES) for h in sets], pa.list_(pa.int64())),
+                 pa.array([len(h) for h in sets], pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+                ["id", "node", "fingerprint", "size", "prefix"])
+
+        return work
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return map_slices(docs.select("id", "node", "text"),
+                      f"id {kind}, node long, fingerprint array<long>, size long, prefix array<long>", start)
+
+
+def reaching(own, other, own_at, other_at) -> np.ndarray:
+    """Whether sets of these sizes that first meet at these places can have the wanted similarity."""
+    a, b = NEAR
+    return (a + b) * np.minimum(own - own_at, other - other_at) >= a * (own + other)
+
+
+def cross_pairs(key, node, comp, size, at) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes of one key and two components that can be similar; rows are sorted by key and size."""
+    none = np.zeros(0, dtype=np.int64)
+    if not len(key):
+        return none, none
+    begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    counts = np.diff(np.append(begins, len(key)))
+    mixed_comps = np.minimum.reduceat(comp, begins) != np.maximum.reduceat(comp, begins)
+    pairs = [(none, none)]
+    for begin, count in zip(begins[mixed_comps & (counts > WIDE)], counts[mixed_comps & (counts > WIDE)], strict=True):
+        # Rows of the key's largest component are not compared with each other.
+        rows = np.arange(begin, begin + count)
+        names, place, many = np.unique(comp[rows], return_inverse=True, return_counts=True)
+        largest = place == many.argmax()
+        rest, done = rows[~largest], rows[largest]
+        for k, row in enumerate(rest):
+            others = np.concatenate([done, rest[k + 1:]])
+            low, high = np.minimum(size[others], size[row]), np.maximum(size[others], size[row])
+            good = (NEAR[0] * high <= NEAR[1] * low) & (comp[others] != comp[row])
+            good &= reaching(size[row], size[others], at[row], at[others])
+            pairs.append((np.full(good.sum(), row), others[good]))
+    rows = np.flatnonzero(np.repeat(mixed_comps & (counts <= WIDE), counts))
+    left, step = rows, 1
+    while len(left):
+        left = left[left + step < len(key)]
+        other = left + step
+        near = (key[left] == key[other]) & (NEAR[0] * size[other] <= NEAR[1] * size[left])
+        left, other = left[near], other[near]
+        good = (comp[left] != comp[other]) & reaching(size[left], size[other], at[left], at[other])
+        pairs.append((left[good], other[good]))
+        step += 1
+    a, b = (node[np.concatenate(x)] for x in zip(*pairs, strict=True))
+    found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return found[0], found[1]
+
+
+def missing_links(prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b): all pairs of nodes in two components of ``roots`` whose prefixes allow the wanted similarity."""
+    named = prints.dropDuplicates(["node"]).join(roots, "node", "left").select("node", "root", "size", "prefix")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                long = part.column(3).value_lengths().to_numpy()
+                row = pa.array(np.repeat(np.arange(part.num_rows), long))
+                place = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(3).flatten(), *(part.column(i).take(row) for i in range(3)), pa.array(place)],
+                    ["key", "node", "root", "size", "at"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given(rows: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cross_pairs(*rows)], ["a", "b"])
+
+        held = [np.zeros(0, dtype=np.int64)] * 5
+        for batch in regrouped(batches, 32_768):
+            batch = batch.set_column(2, "root", pc.coalesce(batch.column(2), batch.column(1)))
+            held = [np.concatenate([c, batch.column(i).to_numpy()]) for i, c in enumerate(held)]
+            if len(held[0]):
+                # The last key may go on in the next batch.
+                cut = np.searchsorted(held[0], held[0][-1])
+                yield given([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
+        yield given(held)
+
+    rows = "key long, node long, root long, size long, at long"
+    return named.mapInArrow(spread, rows).repartition("key").sortWithinPartitions("key", "size").mapInArrow(
+        gather, "a long, b long").distinct()
+
+
+def nodes_in(folder: str) -> np.ndarray:
+    """Sorted nodes of a stored table."""
+    files, root = arrow_fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (
+        arrow_fs.LocalFileSystem(), folder)
+    found = arrow_dataset.dataset(root, filesystem=files, format="parquet").to_table(columns=["node"])
+    return np.unique(found.column("node").to_numpy())
+
+
+def verified(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """The (a, b) pairs of nodes of (node, text) whose shingle sets have a Jaccard similarity of 0.8 or more."""
+    pairs = through_storage(pairs.where("a <> b").select("a", "b"), "pairs")
+    folder = shared_dir(docs.sparkSession, "nodes")
+    pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().write.parquet(folder)
+
+    def start():
+        wanted = nodes_in(folder)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            node = batch.column(0).to_numpy()
+            if len(wanted):
+                place = np.minimum(np.searchsorted(wanted, node), len(wanted) - 1)
+                batch = batch.take(pa.array(np.flatnonzero(wanted[place] == node)))
+            else:
+                batch = batch.slice(0, 0)
+            sets = [set_maker(shingle)(text).view(np.int64) for text in texts_of(batch, 1)]
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
+
+        return work
+
+    sets = map_slices(docs.select("node", "text"), "node long, set array<long>", start).dropDuplicates(["node"])
+    sets = through_storage(sets, "sets")
+    own = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
+    other = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    shared, a, b = F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y")
+    near = (NEAR[0] + NEAR[1]) * shared >= NEAR[0] * (a + b)
+    return through_storage(pairs.join(own, "a").join(other, "b").where(near).select("a", "b"), "verified")
+
+
 def near_groups(df: DataFrame, key: str, column: str = "text", shingle: int = 5) -> DataFrame:
-    """(key, group): the smallest key of each row's group of near copies.  Null keys have no group."""
-    prints = fingerprints(df.select(F.col(key).alias("id"), F.col(column).alias("text")), "text", shingle, LANES,
-                          keep=False, distinct=True)
-    prints = through_storage(prints, "prints")
-    reps = prints.groupBy("fingerprint").agg(F.min("id").alias("rep")).where("rep is not null")
-    roots = components(near_links(reps)).withColumnRenamed("node", "rep")
-    named = reps.join(roots, "rep", "left").select("fingerprint", F.coalesce("root", "rep").alias("group"))
-    return prints.join(named, "fingerprint").where("id is not null").select(F.col("id").alias(key), "group")
+    """(id, node, first, first_node) of each row: its key, its text's hash, and those of the row its group keeps.
+
+    Groups are the components of all pairs of texts of a similarity of 0.8 or
+    more; a group keeps its row with the smallest key, nulls last.
+    """
+    text = F.coalesce(F.col(column), F.lit(""))
+    docs = df.select(F.col(key).alias("id"), F.xxhash64(text).alias("node"), text.alias("text"))
+    prints = through_storage(near_prints(docs, shingle, common_shingles(docs, shingle)), "prints")
+    reps = prints.groupBy("fingerprint").agg(F.min("node").alias("rep"))
+    equal = prints.join(reps, "fingerprint").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    near = verified(docs, near_links(reps).union(equal), shingle)
+    roots = components(near)
+    more = verified(docs, missing_links(prints, roots), shingle)
+    roots = components(near.union(more))
+    named = prints.select("id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = through_storage(named.select("id", "node", "root").distinct(), "named")
+    smallest = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "node")).alias("least")
+    leasts = named.groupBy("root").agg(smallest)
+    return named.join(leasts, "root").select(
+        "id", "node", F.col("least.id").alias("first"), F.col("least.node").alias("first_node"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
     """Documents without near copies: of each group the one with the smallest key stays, with all its columns.
 
-    Of rows with one key, and of equal texts without a key, one stays.
+    Of equal rows (key and text) one stays.
     """
     groups = near_groups(docs, key, text, shingle)
-    gone = groups.where(F.col(key) != F.col("group")).select(F.col(key).alias("gone_key")).distinct()
-    left = docs.join(gone, F.col(key) == F.col("gone_key"), "left_anti")
-    nth = fresh("nth", docs.columns)
-    alone = F.when(F.col(key).isNull(), F.xxhash64(text))
-    order = Window.partitionBy(key, alone).orderBy(F.xxhash64(text))
+    same = F.col("id").eqNullSafe(F.col("first")) & (F.col("node") == F.col("first_node"))
+    gone = groups.where(~same).select(F.col("id").alias("gone_key"), F.col("node").alias("gone_node"))
+    nth, node = fresh("nth", docs.columns), fresh("node", docs.columns)
+    named = docs.withColumn(node, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    left = named.join(
+        gone, (F.col(node) == F.col("gone_node")) & F.col(key).eqNullSafe(F.col("gone_key")), "left_anti")
+    order = Window.partitionBy(node, key).orderBy(F.lit(1))
     return left.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)

@@ -325,6 +325,72 @@ def test_near_copies_go(spark, odd, none):
     assert simhash.one_of_each(none).count() == 0
 
 
+def near_rows():
+    """Pairs of a shingle similarity of 0.6, 0.7, 0.8 and 0.85, and chains of versions 0.8 apart."""
+    rows, fresh_words = [], (f"w{i}" for i in range(10**6))
+    draw = lambda n: [next(fresh_words) for _ in range(n)]
+    for n, shared in ((80, 60), (85, 70), (90, 80), (74, 68)):
+        for _ in range(25):
+            head = draw(shared + 4)
+            rows += [" ".join(head + draw(n - shared)) for _ in range(2)]
+    for _ in range(5):
+        long = draw(94 + 10 * 12)
+        rows += [" ".join(long[at:at + 94]) for at in range(0, 121, 10)]
+    return [(i * 7919 % 100_003, text, "en", "abc"[i % 3], len(text)) for i, text in enumerate(rows)]
+
+
+def kept_by_brute_force(rows):
+    """Ids of the smallest row of each component of pairs of similarity 0.8 or more."""
+    sets = {}
+    for i, text, *_ in rows:
+        ws = text.split()
+        sets[i] = {tuple(ws[k:k + 5]) for k in range(max(1, len(ws) - 4))}
+    root = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if root[a] < root[b] and 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b])):
+                    root[b], changed = root[a], True
+    return {i for i in sets if root[i] == i}
+
+
+def test_near_copies_are_those_of_brute_force(spark):
+    rows = near_rows()
+    expected = kept_by_brute_force(rows)
+    assert len(expected) == 2 * 50 + 50 + 5
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, DOCUMENTS), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
+
+
+def test_crowded_keys_give_the_same_pairs(monkeypatch):
+    import random
+
+    draw = random.Random(3)
+    rows = sorted((draw.randrange(6), draw.randrange(50, 90), draw.randrange(30), k) for k in range(300))
+    key, size, at, node = (np.array(x) for x in zip(*rows, strict=True))
+    comp = np.where(node % 3 > 0, 0, node)
+    pairs = {(min(a, b), max(a, b)) for i, a in enumerate(node.tolist()) for j, b in enumerate(node.tolist())
+             if i < j and key[i] == key[j] and comp[i] != comp[j] and 4 * max(size[i], size[j]) <= 5 * min(size[i], size[j])
+             and 9 * min(size[i] - at[i], size[j] - at[j]) >= 4 * (size[i] + size[j])}
+    for wide in (2, 10**6):
+        monkeypatch.setattr(simhash, "WIDE", wide)
+        a, b = simhash.cross_pairs(key, node, comp, size, at)
+        assert set(zip(a.tolist(), b.tolist(), strict=True)) == pairs and len(a) == len(pairs)
+
+
+def test_rows_go_by_key_and_text(spark):
+    """Rows that share a key stay apart; rows without a key are near copies like others."""
+    words = [f"w{i}" for i in range(300)]
+    text = " ".join(words)
+    rows = [(1, text), (2, text + " more"), (2, "another text of the same key, clean and long"), (3, "a"), (3, "b"), (3, "b"),
+            (None, text + " end"), (None, "alone")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(
+        [rows[0], rows[2], rows[3], rows[4], rows[7]], key=repr)
+
+
 # -- op9 ---------------------------------------------------------------------------------------------------------------
 
 
