@@ -443,3 +443,18 @@ def test_stages_keep_the_columns(spark, odd, none, tmp_path):
             if stage is not corpus_pipeline.encode_texts:
                 assert set(before) <= set(docs.columns)
                 docs = spark.createDataFrame(docs.select(*before).collect(), docs.select(*before).schema)
+
+
+def test_token_ids_decode_to_the_text(spark, odd):
+    got = corpus_pipeline.encode_texts(spark, odd, "").collect()
+    assert len(got) == len(ODD)
+    assert all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for r in got)
+
+
+def test_full_run_keeps_one_of_each(spark, tmp_path):
+    rows = near_rows()
+    spark.createDataFrame(rows, DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(rows[0][0], 1, 0), (-1, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert got and {r.doc_id for r in got} <= kept_by_brute_force(rows)
+    assert all(r.decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest() for r in got)
