@@ -68,12 +68,12 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query("op7_kneser_ney")
 def kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
-    """log10 probability of every text under a model of four of five folds."""
+    """log10 probability of every text under a trigram model of four of five folds."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.coalesce(crc32_mod(F.col("doc_id"), 5) == 1, F.lit(False))
     training = docs.where(~held_out)
     size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    model = kneserney.count_model(training, size)
+    model = kneserney.count_model(training, size, order=3)
     scored = kneserney.score(docs, model, "text", keep=False)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",

@@ -1,4 +1,4 @@
-"""An interpolated modified Kneser-Ney bigram model over hashed words.
+"""An interpolated modified Kneser-Ney model of order 2 or 3 over hashed words.
 
 Counting.  Words are hashed to 48 bits.  Map tasks count distinct bigrams of a
 large stretch of text, sort them and send each reducer one packed block per
@@ -7,6 +7,9 @@ A reducer adds up its bigrams, keeps them as sorted hash arrays in a file of the
 shared folder and passes on, packed alike, what each word and each context gets:
 distinct left neighbours, occurrences, successors seen once, twice or more.  A
 second round adds these up to a table of words, again sorted hash arrays.
+With order 3 the blocks hold trigrams, dealt by their last two words, so that a
+reducer also has the distinct left neighbours of each bigram; the second round
+adds up what each context of two words gets.
 
 Scoring.  Workers map the files into memory (from a folder that is not on a
 local mount they fetch them once, map them and unlink them) and look bigrams up
@@ -15,7 +18,9 @@ by binary search.  With discounts D1, D2, D3+ from the counts of counts,
     P(w | u) = max(c(uw) - D, 0) / c(u) + g(u) * P(w)
     P(w)     = max(N(.w) - D', 0) / N(..) + g' / (V + 1)
 
-where g spends what the discounts save; unseen words share the last term.
+where g spends what the discounts save; unseen words share the last term.  With
+order 3, P(w | tu) is the upper line over c(tuw) and P(w | u), in which c(uw) is
+then the number of words before uw; after the start of a text it stays the count.
 
 Each text is its words and one end token, after a start context.
 
@@ -30,7 +35,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +50,7 @@ from sluicework.session import shared_dir, ship_package
 
 WORD_BITS = np.uint64((1 << 48) - 1)
 END, START = np.uint64(1), np.uint64(2)
+PAIR, TRIPLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 # Tokens a map task counts at a time.
 STRETCH = 3_000_000
 # Bytes of text a reducer's share should stand for.
@@ -98,6 +104,13 @@ def bigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return context, words, sizes
 
 
+def before(context: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The words two places before each token, given those one place before."""
+    found = np.concatenate([[START], context[:-1]])
+    found[np.cumsum(sizes) - sizes] = START
+    return found
+
+
 def by_shard(shard: np.ndarray, shards: int, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
     """Packed blocks of columns by shard; rows keep their order."""
     order = np.argsort(shard, kind="stable")
@@ -171,10 +184,16 @@ class Model:
     tokens: int
     vocabulary: int
     unigram_weight: float
+    order: int = 2
+    contexts: tuple[int, ...] = ()
+    trigram: Level = field(default_factory=Level)
+    distinct_triples: int = 0
 
 
-def count_model(texts: DataFrame, size: int, column: str = "text") -> Model:
+def count_model(texts: DataFrame, size: int, column: str = "text", order: int = 2) -> Model:
     """Count a model over a frame's texts; ``size`` is the bytes of text, about, and sets the number of shards."""
+    if order not in (2, 3):
+        raise ValueError(f"order must be 2 or 3, not {order}")
     spark = texts.sparkSession
     ship_package(spark)
     small_batches(spark)
@@ -186,17 +205,18 @@ def count_model(texts: DataFrame, size: int, column: str = "text") -> Model:
         held_tokens = 0
 
         def flush() -> pa.RecordBatch:
-            (u, w), (n,) = summed([np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])],
-                                  [np.concatenate([h[2] for h in held])])
+            *keys, ones = (np.concatenate(x) for x in zip(*held, strict=True))
+            (u, w, *first), (n,) = summed(keys, [ones])
             rows = list(by_shard(shard_of(u, w, shards), shards, [
-                (u << np.uint64(16)) | (w >> np.uint64(32)), w.astype(np.uint32), n.astype(np.uint32)]))
+                (u << np.uint64(16)) | (w >> np.uint64(32)), w.astype(np.uint32), n.astype(np.uint32),
+                *(x for t in first for x in ((t >> np.uint64(16)).astype(np.uint32), t.astype(np.uint16)))]))
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "block"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                u, w, _ = bigrams(texts_of(batch.slice(at, 512), 0))
-                held.append((u, w, np.ones(len(u), dtype=np.uint32)))
+                u, w, sizes = bigrams(texts_of(batch.slice(at, 512), 0))
+                held.append((u, w, *([before(u, sizes)] if order == 3 else []), np.ones(len(u), dtype=np.uint32)))
                 held_tokens += len(u)
                 if held_tokens >= STRETCH:
                     yield flush()
@@ -204,37 +224,61 @@ def count_model(texts: DataFrame, size: int, column: str = "text") -> Model:
         if held:
             yield flush()
 
+    kinds = [np.uint64, np.uint32, np.uint32, *([np.uint32, np.uint16] if order == 3 else [])]
+
+    def store_counts(name: str, key: np.ndarray, n: np.ndarray) -> None:
+        place = np.argsort(key)
+        narrow = np.uint32 if n.max() < 1 << 32 else np.uint64
+        store(folder, name, [np.array([len(key)], np.uint64), key[place], n[place].astype(narrow)])
+
     def add_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, list] = {}
         for batch in batches:
             for shard, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                blocks.setdefault(shard, []).append(unpack(block.as_py(), [np.uint64, np.uint32, np.uint32]))
-        for shard, parts in blocks.items():
-            a, b, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-            (a, b), (n,) = summed([a, b], [n])
+                blocks.setdefault(shard, []).append(unpack(block.as_py(), kinds))
+        for shard in list(blocks):
+            a, b, n, *first = (np.concatenate(x) for x in zip(*blocks.pop(shard), strict=True))
+            rows, triples = [], [0] * 5
+            if order == 3:
+                t = (first[0].astype(np.uint64) << np.uint64(16)) | first[1]
+                (a, b, t), (n,) = summed([a, b, t], [n])
+                u, w = a >> np.uint64(16), ((a & np.uint64(0xFFFF)) << np.uint64(32)) | b
+                context = scramble(t * PAIR + u)
+                store_counts(f"triples-{shard}", scramble(context * TRIPLE + w), n)
+                triples = [len(n), *((n == k).sum() for k in (1, 2, 3, 4))]
+                (share, c), sums = summed(
+                    [shard_of(t, u, shards).astype(np.uint64), context], [n, *(x.astype(np.uint32) for x in (n == 1, n == 2, n > 2))])
+                rows += [(4, at, block) for at, block in by_shard(
+                    share.astype(np.int64), shards, [c, *(x.astype(np.uint32) for x in sums)])]
+                used = np.where(u == START, n, 1)  # nothing comes before a start
+                (a, b), (n, raw) = summed([a, b], [used, n])
+            else:
+                (a, b), (n,) = summed([a, b], [n])
+                raw = n
             u, w = a >> np.uint64(16), ((a & np.uint64(0xFFFF)) << np.uint64(32)) | b
-            key = scramble(u * np.uint64(0x9E3779B97F4A7C15) + w)
-            order = np.argsort(key)
-            narrow = np.uint32 if n.max() < 1 << 32 else np.uint64
-            store(folder, f"pairs-{shard}", [np.array([len(key)], np.uint64), key[order], n[order].astype(narrow)])
+            store_counts(f"pairs-{shard}", scramble(u * PAIR + w), n)
             one = np.ones(len(n), np.uint32)
-            (left,), sums = summed([w], [one, n])
+            (left,), sums = summed([w], [one, raw])
             (right,), more = summed([u], [n, (n == 1).astype(np.uint32), (n == 2).astype(np.uint32), (n > 2).astype(np.uint32)])
-            rows = [(0, at, block) for at, block in by_shard(shard_of(left, None, shards), shards, [left, *sums])]
+            rows += [(0, at, block) for at, block in by_shard(shard_of(left, None, shards), shards, [left, *sums])]
             rows += [(1, at, block) for at, block in by_shard(shard_of(right, None, shards), shards, [right, *more])]
-            rows.append((2, shard, np.array([len(n), *((n == k).sum() for k in (1, 2, 3, 4))], dtype=np.int64).tobytes()))
+            rows.append((2, shard, np.array([len(n), *((n == k).sum() for k in (1, 2, 3, 4)), *triples], dtype=np.int64).tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.binary())], ["kind", "shard", "block"])
 
     def add_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, list] = {}
+        contexts: dict[int, list] = {}
         facts = []
         for batch in batches:
             for kind, shard, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if kind == 2:
                     facts.append((2, shard, block))
                     continue
+                if kind == 4:
+                    contexts.setdefault(shard, []).append(unpack(block, [np.uint64] + [np.uint32] * 4))
+                    continue
                 if kind == 0:
                     word, left, n = unpack(block, [np.uint64] * 3)
                     zero = np.zeros(len(word), np.int64)
@@ -253,6 +297,12 @@ def count_model(texts: DataFrame, size: int, column: str = "text") -> Model:
             facts.append((3, shard, np.array(
                 [len(word), (left > 0).sum(), left.sum(), count.sum(), *((left == k).sum() for k in (1, 2, 3, 4)),
                  (left > 2).sum()], dtype=np.int64).tobytes()))
+        for shard in list(contexts):
+            key, *values = (np.concatenate(x) for x in zip(*contexts.pop(shard), strict=True))
+            (key,), values = summed([key], values)
+            narrow = np.uint32 if values[0].max() < 1 << 32 else np.uint64
+            store(folder, f"contexts-{shard}", [np.array([len(key)], np.uint64), key, *(v.astype(narrow) for v in values)])
+            facts.append((4, shard, b""))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in facts], pa.int32()), pa.array([r[1] for r in facts], pa.int64()),
              pa.array([r[2] for r in facts], pa.binary())], ["kind", "shard", "block"])
@@ -263,12 +313,14 @@ def count_model(texts: DataFrame, size: int, column: str = "text") -> Model:
     facts = partial.repartitionById(int(shards), F.col("shard").cast("int")).mapInArrow(add_words, kind).collect()  # one row per file
     pair_facts = {r.shard: np.frombuffer(r.block, np.int64) for r in facts if r.kind == 2}
     word_facts = {r.shard: np.frombuffer(r.block, np.int64) for r in facts if r.kind == 3}
-    distinct, *ns = np.sum(list(pair_facts.values()), axis=0).tolist() if pair_facts else [0] * 5
+    sums = np.sum(list(pair_facts.values()), axis=0).tolist() if pair_facts else [0] * 10
+    (distinct, *ns), (triples, *ms) = sums[:5], sums[5:]
     _, known, lefts, tokens, n1, n2, n3, n4, more = np.sum(list(word_facts.values()), axis=0).tolist() if word_facts else [0] * 9
     unigram = Level.of(n1, n2, n3, n4)
     saved = unigram.one * n1 + unigram.two * n2 + unigram.more * more
     return Model(folder, int(shards), tuple(sorted(pair_facts)), tuple(sorted(word_facts)), Level.of(*ns), unigram,
-                 int(distinct), int(tokens), int(known), saved / lefts if lefts else 1.0)
+                 int(distinct), int(tokens), int(known), saved / lefts if lefts else 1.0, order,
+                 tuple(sorted(r.shard for r in facts if r.kind == 4)), Level.of(*ms), int(triples))
 
 
 class Reader:
@@ -276,16 +328,27 @@ class Reader:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.pairs: dict[int, tuple] = {}
+        self.counts: dict[str, tuple] = {}
         self.words: dict[int, tuple] = {}
 
+    def count_file(self, name: str, width: int = 1):
+        if name not in self.counts:
+            data = mapped(self.model.folder, name)
+            count = int(data[:8].view(np.uint64)[0])
+            ends = 8 + 8 * count
+            kind = np.uint32 if len(data) - ends < width * 8 * count else np.uint64
+            values = data[ends:].view(kind)
+            self.counts[name] = data[8:ends].view(np.uint64), values if width == 1 else values.reshape(width, count)
+        return self.counts[name]
+
     def pair_file(self, shard: int):
-        if shard not in self.pairs:
-            data = mapped(self.model.folder, f"pairs-{shard}")
-            ends = 8 + 8 * int(data[:8].view(np.uint64)[0])
-            width = np.uint32 if len(data) - ends < ends - 8 else np.uint64
-            self.pairs[shard] = data[8:ends].view(np.uint64), data[ends:].view(width)
-        return self.pairs[shard]
+        return self.count_file(f"pairs-{shard}")
+
+    def triple_file(self, shard: int):
+        return self.count_file(f"triples-{shard}")
+
+    def context_file(self, shard: int):
+        return self.count_file(f"contexts-{shard}", 4)
 
     def word_file(self, shard: int):
         if shard not in self.words:
@@ -311,7 +374,7 @@ class Reader:
         """log10 P of each token, its count, its number of left neighbours, and tokens by text."""
         model = self.model
         context, word, sizes = bigrams(texts)
-        key = scramble(context * np.uint64(0x9E3779B97F4A7C15) + word)
+        key = scramble(context * PAIR + word)
         distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
         counts = self.look_up(
             distinct, shard_of(context[first], word[first], model.shards), model.pairs, self.pair_file, 1)[0][back]
@@ -326,6 +389,19 @@ class Reader:
         seen = np.maximum(follow, 1)
         upper = np.maximum(counts - model.bigram.discount(counts), 0) / seen
         p = np.where(follow > 0, upper + saved / seen * lower, lower)
+        if model.order == 3:
+            first = before(context, sizes)
+            pair = scramble(first * PAIR + context)
+            distinct, at, back = np.unique(scramble(pair * TRIPLE + word), return_index=True, return_inverse=True)
+            counts = self.look_up(
+                distinct, shard_of(context[at], word[at], model.shards), model.pairs, self.triple_file, 1)[0][back]
+            distinct, at, back = np.unique(pair, return_index=True, return_inverse=True)
+            follow, one, two, more = self.look_up(
+                distinct, shard_of(first[at], context[at], model.shards), model.contexts, self.context_file, 4)[:, back]
+            saved = model.trigram.one * one + model.trigram.two * two + model.trigram.more * more
+            seen = np.maximum(follow, 1)
+            upper = np.maximum(counts - model.trigram.discount(counts), 0) / seen
+            p = np.where(follow > 0, upper + saved / seen * p, p)
         return np.log10(np.maximum(p, 1e-300)), known, sizes
 
 

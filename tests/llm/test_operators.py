@@ -282,6 +282,41 @@ def test_scores_are_kneser_ney_s(spark, none, monkeypatch):
     assert kneserney.score(frame, empty).where("n_known = 0").count() == len(texts)
 
 
+def test_trigram_scores_are_kneser_ney_s(spark):
+    texts = ["the fox jumps over the dog", "the dog jumps", "a fox and a dog and a fox", "the fox jumps over a dog", "", "the"] * 2 + [
+        "over the fox jumps the dog", "a fox jumps over the dog and a fox"]
+    model = kneserney.count_model(spark.createDataFrame([(t,) for t in texts], "text string"), 10 * kneserney.SHARE, order=3)
+    padded = lambda t: ["START", "START", *words(t), "END"]
+    triples = Counter(x for t in texts for x in zip(padded(t), padded(t)[1:], padded(t)[2:], strict=False))
+    pairs, left = Counter(), Counter()
+    for (_, u, w), n in triples.items():
+        pairs[u, w] += n if u == "START" else 1
+    for _, w in pairs:
+        left[w] += 1
+    level = lambda counts: kneserney.Level.of(*(sum(n == k for n in counts) for k in (1, 2, 3, 4)))
+    cut = lambda d, n: (0, d.one, d.two, d.more)[min(n, 3)]
+    three, two, one = level(triples.values()), level(pairs.values()), level(left.values())
+    rest = sum(cut(one, n) for n in left.values()) / len(pairs) / (len(left) + 1)
+
+    def above(table, discounts, context, w, lower):
+        own = {x[-1]: n for x, n in table.items() if x[:-1] == context}
+        if not own:
+            return lower
+        return (max(own.get(w, 0) - cut(discounts, own.get(w, 0)), 0) + sum(cut(discounts, n) for n in own.values()) * lower) / sum(own.values())
+
+    queries = [*texts, "unseen words entirely", "the unseen fox jumps", "dog jumps over the fox"]
+    got = kneserney.score(spark.createDataFrame(list(enumerate(queries)), "i int, text string"), model).collect()
+    assert (model.distinct_triples, model.distinct_pairs, model.tokens) == (len(triples), len(pairs), sum(triples.values()))
+    for r in got:
+        s = padded(queries[r.i])
+        total = 0.0
+        for t, u, w in zip(s, s[1:], s[2:], strict=False):
+            lower = max(left[w] - cut(one, left[w]), 0) / len(pairs) + rest
+            total += math.log10(above(triples, three, (t, u), w, above(pairs, two, (u,), w, lower)))
+        assert r.score == pytest.approx(total, rel=1e-9)
+
+
+
 # -- op8 ---------------------------------------------------------------------------------------------------------------
 
 
