@@ -3,15 +3,17 @@
 A block is a window of as many consecutive words as a template has (the whole
 text if it is shorter); it matches when it holds the template's threshold share
 of distinct template words.  Template words are ordered by their frequency in
-all texts, rarest first.  Three filters leave few windows, and lose none:
+all texts, rarest first.  Two conditions leave few texts, and lose no match:
 
-* prefix: of a template with n distinct words and o needed ones, a matching
-  window holds one of the n - o + 1 rarest;
-* length: a text with fewer than o words of the template cannot match;
-* position: if the rarest template word of a window stands at place i of the
-  order, at most n - i template words can be in it.
+* prefix: of a template with n distinct words and o needed ones, a text with a
+  match holds one of the n - o + 1 rarest;
+* length: a window with fewer than o distinct words of the template cannot match.
 
-Windows that pass are counted exactly.  A template that is a phrase asks for all
+In these texts all windows that end with a template word are counted exactly,
+which replaces prefix and position filters on windows: made after the count, as
+in ``windows``, those two tests can reject nothing.
+
+A template that is a phrase asks for all
 its words in order.  Templates are a short fixed list and travel with the code;
 of the texts only counts of the template's own words are gathered.
 
