@@ -10,12 +10,12 @@ the pigeonhole one of three segments has no error, and the next segment has at
 most two, so the exact segment with one codeword index of the next is a shared
 key.  Within a key all pairs are compared.
 
-``near_groups`` finds near copies with wider fingerprints.  Keys are pairs of
-codeword indices of neighbouring segments; each pair of segments is one chance.
-Texts that share a key are compared on two more lanes of the fingerprint and
-join the first text of the key within the threshold, first inside each map task
-and then over all, so a group of copies however large moves little and costs
-time in proportion to its size.
+``near_groups`` finds near copies.  Wider fingerprints propose pairs: keys are
+pairs of codeword indices of neighbouring segments, and texts that share a key
+join the first text of the key within a threshold of bits.  Every pair is then
+verified on the sets of shingles.  The fingerprints miss some pairs, so an exact
+prefix join proposes all other pairs between the components found, which are
+verified alike.
 
 Defined results: a null text is the empty text; a text without words has
 fingerprint zero and is linked like any other; one with fewer words than a
@@ -265,7 +265,7 @@ LINK_ROWS = "key long, rep long, first long, second long, to long"
 
 
 def near_links(prints: DataFrame) -> DataFrame:
-    """(a, b) verified links between rows (rep long, fingerprint array<long>) of near copies."""
+    """(a, b) proposed links between rows (rep long, fingerprint array<long>) of near copies."""
     ship_package(prints.sparkSession)
 
     def links_of(rep, followers, led) -> pa.RecordBatch:
