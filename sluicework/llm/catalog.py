@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity, winnowing
+from sluicework.llm import align, ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity, winnowing
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -149,3 +149,15 @@ def winnowing_prints(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         winnowing.written(F.col("fingerprint")).alias("fingerprint"),
         winnowing.written(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@CATALOG.query("op13_aligned_tokens")
+def aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two tokenizers meet in every text, and how common their links are."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    told = align.align(docs, "text", public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"), "told", keep=False)
+    groups = F.col("told.groups")
+    digest = F.when(groups == "", "").otherwise(F.sha2(groups.cast("binary"), 256))
+    stored = through_storage(told.withColumn("told", F.col("told").withField("groups", digest)), "aligned")
+    return align.with_counts(stored, "told").withColumnRenamed("groups", "groups_sha256")
