@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import align, ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity, winnowing
+from sluicework.llm import align, ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity, trie, winnowing
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -161,3 +161,40 @@ def aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
     digest = F.when(groups == "", "").otherwise(F.sha2(groups.cast("binary"), 256))
     stored = through_storage(told.withColumn("told", F.col("told").withField("groups", digest)), "aligned")
     return align.with_counts(stored, "told").withColumnRenamed("groups", "groups_sha256")
+
+
+@CATALOG.query("op11_prefix_trie", """
+WITH own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                         ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (
+    SELECT conv_id, turns, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+        lambda crc, c: list_reduce(list_prepend(xor(crc, c), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+            lambda b, y: CASE WHEN b % 2 = 1 THEN xor(b // 2, 3988292384::UBIGINT) ELSE b // 2 END))) % 4 AS h
+    FROM own),
+rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+    FROM heads a LEFT JOIN own b ON b.conv_id = a.base),
+prefixes AS (
+    SELECT conv_id, d, turns[1:d] AS node, len(turns) = d AS ends
+    FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY node, d),
+kids AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+trie AS (
+    SELECT nodes.*, coalesce(kids.n, 0) AS n_children, CASE WHEN d = 0 THEN 0
+        ELSE (n_convs - 1) * len(regexp_extract_all(nodes.node[d].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+    FROM nodes LEFT JOIN kids ON kids.node = nodes.node),
+totals AS (
+    SELECT node[1:up] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT node, n_children, saved, unnest(range(0, d + 1)) AS up FROM trie) GROUP BY 1)
+SELECT t.conv_id, t.d::BIGINT AS depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, s.n_leaves, s.saved_tokens,
+    t.ends_sha256
+FROM trie t JOIN totals s ON s.node = t.node LEFT JOIN nodes p ON t.d > 0 AND p.node = t.node[1:t.d - 1]""")
+def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations with its subtree totals."""
+    return trie.prefix_trie(table(spark, folder, "conversations"))
