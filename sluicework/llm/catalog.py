@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.llm import align, ann, bpe, chat, kneserney, licenses, mixing, pii, simhash, toxicity, trie, winnowing
+from sluicework.llm import align, ann, bpe, chat, kneserney, licenses, mixing, pii, repeats, simhash, toxicity, trie, winnowing
 from sluicework.llm.common import crc32_mod
 from sluicework.session import through_storage
 
@@ -198,3 +198,10 @@ FROM trie t JOIN totals s ON s.node = t.node LEFT JOIN nodes p ON t.d > 0 AND p.
 def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """The prefix trie of all rebuilt conversations with its subtree totals."""
     return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+@CATALOG.query("op12_repeated_bytes")
+def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """What stays of every text without the bytes of 200-byte strings that also start elsewhere."""
+    cut = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), "text", 200)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
