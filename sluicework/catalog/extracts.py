@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicework.catalog.core import Catalog, table
-from sluicework.operators import columns, timerange, upsert
+from sluicework.operators import columns, snapshots, timerange
 from sluicework.session import shared_dir
 from sluicework.sinks.files import stage_by_bucket, write_routed_file
 from sluicework.sources.changes import read_changes
@@ -90,8 +90,8 @@ def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("user_id", "event_id", "event_type", "ts")
     target = shared_dir(spark, "upsert")
     for part in (0, 1, 0, 2):
-        upsert.upsert_files(events.filter(F.col("event_id") % 3 == part), target, ["user_id"], "ts", buckets=16)
-    return upsert.read_upserted(spark, target).select("user_id", "event_id", "event_type", "ts")
+        snapshots.upsert(events.filter(F.col("event_id") % 3 == part), target, ["user_id"], "ts", buckets=16)
+    return snapshots.read_keyed(spark, target).select("user_id", "event_id", "event_type", "ts")
 
 
 @CATALOG.query("reload_last_n_days", """
@@ -103,10 +103,10 @@ def reload_last_n_days(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "event_type", "ts")
     target = shared_dir(spark, "reload")
     now = datetime(2024, 1, 25, 15, 30)
-    upsert.reload_last_days(events, target, "ts", 5, now)
+    snapshots.reload_days(events, target, "ts", 5, now)
     fresh = events.filter("ts >= TIMESTAMP_NTZ '2024-01-20' AND event_type = 'click'")
-    upsert.reload_last_days(fresh, target, "ts", 5, now)
-    return spark.read.parquet(target).select("event_id", "event_type", "load_day")
+    snapshots.reload_days(fresh, target, "ts", 5, now)
+    return snapshots.read_days(spark, target).select("event_id", "event_type", "load_day")
 
 
 @CATALOG.query("cast_to_target", """
@@ -173,19 +173,61 @@ def upsert_rebucketed(spark: SparkSession, folder: str) -> DataFrame:
     """A table keeps the number of buckets it was written with."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     target = shared_dir(spark, "rebucketed")
-    upsert.upsert_files(orders, target, ["o_orderkey"], buckets=16)
+    snapshots.upsert(orders, target, ["o_orderkey"], buckets=16)
     later = orders.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("new"))
-    upsert.upsert_files(later, target, ["o_orderkey"], buckets=64)
-    return upsert.read_upserted(spark, target).select("o_orderkey", "o_orderstatus")
+    snapshots.upsert(later, target, ["o_orderkey"], buckets=64)
+    return snapshots.read_keyed(spark, target).select("o_orderkey", "o_orderstatus")
 
 
 @CATALOG.query("reload_twice", """
   SELECT event_id, event_type, CAST(ts AS DATE) AS load_day FROM events
+  UNION ALL SELECT event_id, event_type, CAST(ts AS DATE) FROM events WHERE event_id % 5 = 0
 """)
 def reload_twice(spark: SparkSession, folder: str) -> DataFrame:
-    """A reload that is repeated changes nothing."""
+    """A reload that is repeated changes nothing, and repeated rows keep their number."""
     events = table(spark, folder, "events").select("event_id", "event_type", "ts")
     target = shared_dir(spark, "reload-twice")
+    now = datetime(2024, 1, 25, 15, 30)
+    snapshots.reload_days(events, target, "ts", 5, now)
     for _ in range(2):
-        upsert.reload_last_days(events, target, "ts", 5, datetime(2024, 1, 25, 15, 30))
-    return spark.read.parquet(target).select("event_id", "event_type", "load_day")
+        snapshots.reload_days(events.unionByName(events.where("event_id % 5 = 0")), target, "ts", 5, now)
+    return snapshots.read_days(spark, target).select("event_id", "event_type", "load_day")
+
+
+@CATALOG.query("upsert_deltas", """
+  SELECT 'first' AS version, o_orderstatus, CAST(count(*) AS BIGINT) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 2
+  UNION ALL SELECT 'last', CASE WHEN o_orderkey % 7 = 0 THEN 'second' WHEN o_orderkey % 3 = 0 THEN 'new' ELSE o_orderstatus END,
+    CAST(count(*) AS BIGINT), CAST(sum(o_orderkey) AS BIGINT) FROM orders GROUP BY 2
+""")
+def upsert_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches as deltas, one of them twice, read as first and as last version."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    target = shared_dir(spark, "deltas")
+    first = snapshots.upsert(orders, target, ["o_orderkey"], buckets=16, writer="w", number=0)
+    for number, (part, status) in enumerate((("o_orderkey % 3 = 0", "new"), ("o_orderkey % 7 = 0", "second"),
+                                             ("o_orderkey % 7 = 0", "never")), 1):
+        # The last batch has the number of the one before, so it is known already.
+        snapshots.upsert(orders.where(part).withColumn("o_orderstatus", F.lit(status)), target, ["o_orderkey"],
+                         writer="w", number=min(number, 2))
+    parts = [
+        snapshots.read_keyed(spark, target, version).groupBy("o_orderstatus").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")).select(F.lit(name).alias("version"), "*")
+        for name, version in (("first", first), ("last", None))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@CATALOG.query("upsert_compacted", """
+  SELECT user_id, event_id, event_type, ts FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1
+""")
+def upsert_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Deltas merged into the base between batches; an older row of a later batch does not win."""
+    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", "ts")
+    target = shared_dir(spark, "compacted")
+    for part in (2, 0, 1):
+        snapshots.upsert(events.filter(F.col("event_id") % 3 == part), target, ["user_id"], "ts", buckets=16)
+        if part != 1:
+            snapshots.compact(spark, target)
+    snapshots.vacuum(spark, target, older_than_seconds=0)
+    return snapshots.read_keyed(spark, target).select("user_id", "event_id", "event_type", "ts")

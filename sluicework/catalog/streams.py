@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluicework.catalog.core import Catalog, file_input, spec_document, stream_input, table
 from sluicework.catalog.retries import failure_queue
 from sluicework.operators import enrich, ledger
-from sluicework.operators.upsert import read_upserted
+from sluicework.operators.snapshots import read_keyed
 from sluicework.plans.hooks import hook
 from sluicework.plans.spec import load_pipeline
 from sluicework.session import shared_dir
@@ -114,7 +114,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
         "SELECT user_id, event_id, event_type FROM events WHERE event_type <> 'view'",
         [{"query": "select user_id, event_id from #process", "action": "keyed_file", "output_location": target,
           "mapping_id": "user_id", "order_by": "event_id", "buckets": "8"}], "real"), ONCE)
-    return read_upserted(spark, target).select("user_id", "event_id")
+    return read_keyed(spark, target).select("user_id", "event_id")
 
 
 @CATALOG.query("stream_retry", """

@@ -23,8 +23,11 @@ an empty one.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,10 @@ from sluicework.session import ship_package, through_storage
 SLICE_PAIRS = 1_000_000
 # A pair of ids as one number.
 SHIFT = 32
+# Stretches of text a worker remembers the tokens of; beyond it the memory starts anew, results do not change.
+REMEMBERED = 200_000
+# Where both kinds of vocabulary always cut: before a space that follows anything but white space.
+CUT = re.compile(r"(?<=\S) ")
 
 ALIGNED = StructType([
     *(StructField(name, LongType()) for name in ("n_a", "n_b", "n_groups", "n_links")), StructField("groups", StringType()),
@@ -65,6 +72,10 @@ class ByteLevel:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        splits = told.get("pre_tokenizer") or {}
+        self.cuts = not told.get("normalizer") and splits.get("type") == "ByteLevel" and splits.get("use_regex") is True
         letters = byte_letters()
         entries = self.model.get_vocab(with_added_tokens=True)
         self.bytes = [b""] * (max(entries.values(), default=-1) + 1)
@@ -86,11 +97,53 @@ class Pieces:
             bytes([int(self.model.id_to_piece(i)[3:5], 16)]) if self.model.is_byte(i)
             else self.model.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.model.get_piece_size())]
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.cuts = not any("▁" in piece.lstrip("▁") for piece in pieces) and self.plain()
+
+    def plain(self) -> bool:
+        """True if the model is known to leave texts as they are before it cuts them."""
+        try:
+            from sentencepiece import sentencepiece_model_pb2
+        except ImportError:
+            return False
+        told = sentencepiece_model_pb2.ModelProto.FromString(self.model.serialized_model_proto()).normalizer_spec
+        return not told.precompiled_charsmap and not told.remove_extra_whitespaces and told.add_dummy_prefix
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
+class Encodings:
+    """The ids of texts by both tokenizers; no ids where either does not give a text back.
+
+    Where both are known never to join what a cut parts, each part is encoded alone and remembered.
+    """
+
+    def __init__(self, a_file: str, b_file: str) -> None:
+        self.a, self.b = ByteLevel(a_file), Pieces(b_file)
+        self.cuts = self.a.cuts and self.b.cuts
+        self.known: dict[str, tuple[list[int], list[int]] | None] = {}
+
+    def learn(self, parts: set[str]) -> None:
+        new = list(parts - self.known.keys())
+        for part, ids_a, ids_b in zip(new, self.a([f" {p}" for p in new]), self.b(new), strict=True):
+            source = f" {part}".encode()
+            true = b"".join([self.a.bytes[i] for i in ids_a]) == source == b"".join([self.b.bytes[i] for i in ids_b])
+            self.known[part] = (ids_a, ids_b) if true else None
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        cut = [(CUT.split(text) if self.cuts else [text]) if text else [] for text in texts]
+        self.learn(set(chain.from_iterable(cut)))
+        for parts in cut:
+            ids = [self.known[part] for part in parts]
+            if None in ids:
+                yield [], []
+            else:
+                yield list(chain.from_iterable([a for a, _ in ids])), list(chain.from_iterable([b for _, b in ids]))
+
+
 def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int]]:
     """(a, b, a_stop, b_stop) of each stretch of one-to-one groups and of each irregular group, in order.
 
@@ -102,15 +155,19 @@ def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int,
     while a < count:
         if ends_a[a] == ends_b[b]:
             at, shift, step = a + 1, b - a, 1
-            while at < count and ends_a[at:at + step] == ends_b[at + shift:at + shift + step]:
-                at += step
-                step *= 2
-            # Somewhere in the last ``step`` ends the arrays part, or A ends.
-            while step > 1 and at < count:
-                step //= 2
-                if ends_a[at:at + step] == ends_b[at + shift:at + shift + step]:
+            last = min(count, len(ends_b) - shift)
+            # The first probe is of one end; most stretches are short.
+            if at < last and ends_a[at] == ends_b[at + shift]:
+                at += 1
+                step = 2
+                while at + step <= last and ends_a[at:at + step] == ends_b[at + shift:at + shift + step]:
                     at += step
-            at = min(at, count)
+                    step *= 2
+                # Somewhere in the next ``step`` ends the arrays part, or one of them ends.
+                while step > 1:
+                    step //= 2
+                    if at + step <= last and ends_a[at:at + step] == ends_b[at + shift:at + shift + step]:
+                        at += step
             yield a, b, at, at + shift
             a, b = at, at + shift
         else:
@@ -127,7 +184,10 @@ def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int,
 def align_ids(
     ids_a: list[int], ids_b: list[int], sizes_a: list[int], sizes_b: list[int], names_a: list[str], names_b: list[str],
 ) -> tuple[int, str, list[int], list[int]]:
-    """(groups, the groups as text, the A id and the B id of every link) of two encodings of the same bytes."""
+    """(groups, the groups as text, the A id and the B id of every link) of two encodings of the same bytes.
+
+    Names of B's ids start with a bar.
+    """
     ends_a = np.cumsum([sizes_a[i] for i in ids_a]).tolist()
     ends_b = np.cumsum([sizes_b[i] for i in ids_b]).tolist()
     told: list[str] = []
@@ -136,11 +196,19 @@ def align_ids(
     for a, b, a_stop, b_stop in diagonal_groups(ends_a, ends_b):
         in_a, in_b = ids_a[a:a_stop], ids_b[b:b_stop]
         if ends_a[a] == ends_b[b]:
-            told += [f"{names_a[x]}|{names_b[y]}" for x, y in zip(in_a, in_b, strict=True)]
+            told += [names_a[x] + names_b[y] for x, y in zip(in_a, in_b)]  # noqa: B905
             left += in_a
             right += in_b
             continue
-        told.append(f"{','.join([names_a[x] for x in in_a])}|{','.join([names_b[y] for y in in_b])}")
+        told.append(f"{','.join([names_a[x] for x in in_a])}|{','.join([names_b[y][1:] for y in in_b])}")
+        if len(in_b) == 1:
+            left += in_a
+            right += in_b * len(in_a)
+            continue
+        if len(in_a) == 1:
+            left += in_a * len(in_b)
+            right += in_b
+            continue
         while a < a_stop:
             left.append(ids_a[a])
             right.append(ids_b[b])
@@ -168,9 +236,9 @@ def align(df: DataFrame, column: str, a_file: str, b_file: str, output: str = "a
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        a_side, b_side = ByteLevel(a_file), Pieces(b_file)
-        sizes_a, sizes_b = [len(t) for t in a_side.bytes], [len(t) for t in b_side.bytes]
-        names_a, names_b = [str(i) for i in range(len(sizes_a))], [str(i) for i in range(len(sizes_b))]
+        encodings = Encodings(a_file, b_file)
+        sizes_a, sizes_b = [len(t) for t in encodings.a.bytes], [len(t) for t in encodings.b.bytes]
+        names_a, names_b = [str(i) for i in range(len(sizes_a))], [f"|{i}" for i in range(len(sizes_b))]
         # A slice belongs to one task: its number is the task's and a running one.
         number, held = TaskContext.get().partitionId() << 32, 0
         for whole in batches:
@@ -178,12 +246,7 @@ def align(df: DataFrame, column: str, a_file: str, b_file: str, output: str = "a
                 batch = whole.slice(start, SLICE_ROWS)
                 texts = [t or "" for t in batch.column(place).to_pylist()]
                 counts, told, pairs, times = [], [], [], []
-                for text, ids_a, ids_b in zip(texts, a_side([f" {t}" for t in texts]), b_side(texts), strict=True):
-                    source = f" {text}".encode()
-                    whole_text = text and b"".join([a_side.bytes[i] for i in ids_a]) == source and b"".join(
-                        [b_side.bytes[i] for i in ids_b]) == source
-                    if not whole_text:
-                        ids_a, ids_b = [], []
+                for ids_a, ids_b in encodings(texts):
                     groups, text_of, left, right = align_ids(ids_a, ids_b, sizes_a, sizes_b, names_a, names_b)
                     found, often = np.unique(
                         np.array(left, dtype=np.int64) << SHIFT | np.array(right, dtype=np.int64), return_counts=True)

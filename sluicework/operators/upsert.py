@@ -1,18 +1,11 @@
-"""Keyed upserts, reload windows and time-based routing over file tables."""
+"""Latest row per key, key buckets and time-based routing; tables that use them are in snapshots.py."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluicework.functions.dates import last_days_start
-from sluicework.operators.skew import balanced
-from sluicework.operators.timerange import range_predicate
-from sluicework.session import delete_path, is_committed, path_exists, through_storage
-
 BUCKET = "key_bucket"
 
 
@@ -35,120 +28,6 @@ def tie_break(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and kind != "variant"]).desc()
 
 
-def _swap_in(pending: str, target: str, spark) -> None:
-    """Put each merged bucket in the place of the old one, then drop the rest.
-
-    A bucket leaves the pending folder only by taking its place in the table,
-    so the loop can stop anywhere and be run again.
-    """
-    root = spark._jvm.org.apache.hadoop.fs.Path(pending)
-    table = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(table)
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(f"{BUCKET}="):
-            place = spark._jvm.org.apache.hadoop.fs.Path(table, name)
-            fs.delete(place, True)
-            if not fs.rename(status.getPath(), place):
-                raise OSError(f"could not move {status.getPath()} to {place}")
-    delete_path(spark, pending)
-
-
-def finish_pending(spark, target: str) -> bool:
-    """Repeat the swap of an upsert that stopped after its staged write."""
-    pending = f"{target.rstrip('/')}__pending"
-    if is_committed(spark, pending):
-        _swap_in(pending, target, spark)
-        return True
-    return False
-
-
-def kept_buckets(spark, target: str, wanted: int) -> int:
-    """The number of buckets of a table, noted beside it; ``wanted`` for a new table."""
-    notes = f"{target.rstrip('/')}__buckets"
-    if path_exists(spark, target) and path_exists(spark, notes):
-        return spark.read.schema("buckets int").json(notes).first()["buckets"]
-    spark.range(1).select(F.lit(int(wanted)).alias("buckets")).write.mode("overwrite").json(notes)
-    return wanted
-
-
-def upsert_files(
-    batch: DataFrame, target: str, keys: Sequence[str], order_by: str | None = None, buckets: int = 64,
-) -> None:
-    """Insert or replace rows of a Parquet table by key.
-
-    The table is laid out in hash buckets of the key and only buckets the batch
-    touches are rewritten.  The merged buckets are first written whole beside
-    the table, then swapped in: a run that dies between the two steps is
-    completed by the next one, and applying a batch twice changes nothing.
-    Rows of the batch win over the table unless ``order_by`` says otherwise; of
-    several rows of one key in a batch the latest by ``order_by`` wins, else the
-    last as the batch reads.  ``buckets`` counts for a new table; an existing one
-    keeps the number it was written with.  One writer at a time.
-    """
-    spark = batch.sparkSession
-    finish_pending(spark, target)
-    buckets = kept_buckets(spark, target, buckets)
-    arrival = F.monotonically_increasing_id()
-    incoming = batch.withColumn(BUCKET, key_bucket(keys, buckets)).withColumn("_new", arrival)
-    merged = incoming
-    if path_exists(spark, target):
-        touched = [row[0] for row in incoming.select(BUCKET).distinct().toLocalIterator()]
-        existing = spark.read.parquet(target).filter(F.col(BUCKET).isin(touched))
-        merged = existing.withColumn("_new", F.lit(-1).cast("long")).unionByName(incoming, allowMissingColumns=True)
-    order = [F.col(order_by).desc_nulls_last()] if order_by else []
-    result = latest_per_key(merged, keys, *order, F.col("_new").desc(), tie_break(batch)).drop("_new")
-    pending = f"{target.rstrip('/')}__pending"
-    # Static mode: only then does Spark leave the marker that tells a whole write.
-    balanced(result, BUCKET).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(pending)
-    _swap_in(pending, target, spark)
-
-
-def read_upserted(spark, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop(BUCKET)
-
-
-def reload_last_days(
-    df: DataFrame, target: str, column: str, days: int, now: datetime | None = None, day_column: str = "load_day",
-) -> None:
-    """Drop the last ``days`` days of a day-partitioned table, then write the frame.
-
-    Days before the window only gain the frame's rows that they do not hold yet,
-    so a repeated write adds nothing; days inside the window are replaced, also
-    when the frame has no rows for them.  The frame is stored first, as it is
-    read several times.
-    """
-    spark = df.sparkSession
-    start = last_days_start(days, now)
-    rows = through_storage(df.withColumn(day_column, F.to_date(column)), "reload")
-    inside = range_predicate(rows, column, start)
-    if path_exists(spark, target):
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path(target)
-        fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        fresh = {
-            str(row[0]) for row in
-            rows.filter(inside).select(day_column).distinct().toLocalIterator()
-        }
-        for status in fs.listStatus(fs_path):
-            name = status.getPath().getName()
-            day = name.removeprefix(f"{day_column}=")
-            if name.startswith(f"{day_column}=") and day >= f"{start:%Y-%m-%d}" and day not in fresh:
-                fs.delete(status.getPath(), True)
-    older = rows.filter(~inside | F.col(column).isNull())
-    newer = rows.filter(inside)
-    if path_exists(spark, target):
-        digest = F.xxhash64(*[F.col(f"`{name}`") for name in rows.columns])
-        held = spark.read.schema(rows.schema).parquet(target)
-        # Stored apart: the append goes to the folder that is read here.
-        older = through_storage(older.withColumn("_digest", digest).join(
-            held.select(digest.alias("_digest")).distinct(), "_digest", "left_anti").drop("_digest"), "reload-older")
-    balanced(newer, day_column).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(day_column).parquet(target)
-    balanced(older, day_column).write.mode("append").partitionBy(day_column).parquet(target)
-
-
 def target_name(index: str, ts_col: str | None = None, ts_format: str | None = None) -> Column:
     """``index-<formatted time>``; the plain index when either part is missing."""
     if not (ts_col and ts_format):

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.operators import snapshots
 from sluicework.operators.skew import balanced
-from sluicework.operators.upsert import reload_last_days, route_by_time, upsert_files
+from sluicework.operators.upsert import route_by_time
 from sluicework.plans.spec import column_list, first_of, flag, save_mode
 from sluicework.session import delete_path, path_exists
 from sluicework.sinks.core import SINKS
@@ -38,10 +39,19 @@ def write_file(df: DataFrame, batch_id: object, properties: Mapping[str, str]) -
 
 @SINKS.register("keyed_file", "WriteKeyedFile")
 def write_keyed_file(df: DataFrame, batch_id: object, properties: Mapping[str, str]) -> None:
-    """Insert or replace by ``mapping_id`` / ``key_cols`` in a file table."""
-    keys = column_list(first_of(properties, "key_cols", "mapping_id"))
-    upsert_files(df, properties["output_location"], keys, properties.get("order_by"),
-                 int(properties.get("buckets", "64")))
+    """Insert or replace by ``mapping_id`` / ``key_cols`` in a keyed table, one delta per batch.
+
+    A micro-batch is known by its query and number, so its replay adds nothing.  After every ``compact_after``
+    deltas (20 by default, 0 for never) they are merged into the base.
+    """
+    target, keys = properties["output_location"], column_list(first_of(properties, "key_cols", "mapping_id"))
+    number, _, query = str(batch_id).partition("-")
+    known = (query, int(number)) if query and number.isdigit() else (None, None)
+    snapshots.upsert(df, target, keys, properties.get("order_by"), int(properties.get("buckets", "64")), *known)
+    limit = int(properties.get("compact_after", "20"))
+    told = snapshots.manifest(df.sparkSession, target)
+    if limit and told and len(told["deltas"]) >= limit:
+        snapshots.compact(df.sparkSession, target)
 
 
 @SINKS.register("routed_file", "WriteRoutedFile")
@@ -54,8 +64,8 @@ def write_routed_file(df: DataFrame, batch_id: object, properties: Mapping[str,
 
 @SINKS.register("reload_file", "WriteReloadFile")
 def write_reload_file(df: DataFrame, batch_id: object, properties: Mapping[str, str]) -> None:
-    """Replace the last ``last_n_days`` days of a day-partitioned table."""
-    reload_last_days(
+    """Replace the last ``last_n_days`` days of a day table in one commit."""
+    snapshots.reload_days(
         df, properties["output_location"], properties.get("ts_col", "systemmodstamp"), int(properties["last_n_days"]))
 
 

@@ -3,8 +3,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from sluicework.operators import upsert
+from conftest import explained, rows
+from sluicework.operators import snapshots, upsert
 from sluicework.session import delete_path, path_exists, shared_dir
 from sluicework.sinks import core, files, rdb
 
@@ -16,43 +16,138 @@ def table(spark, data):
 def test_twice_is_once(spark):
     target = shared_dir(spark, "t")
     first = table(spark, [("a", 1, 1), ("b", 1, 1), ("a", 2, 2)])
-    upsert.upsert_files(first, target, ["id"], "seq", 4)
-    upsert.upsert_files(table(spark, [("b", 5, 3), ("c", 6, 3)]), target, ["id"], "seq", 4)
+    snapshots.upsert(first, target, ["id"], "seq", 4)
+    snapshots.upsert(table(spark, [("b", 5, 3), ("c", 6, 3)]), target, ["id"], "seq", 4)
     want = [("a", 2, 2), ("b", 5, 3), ("c", 6, 3)]
-    assert rows(upsert.read_upserted(spark, target), "id", "v", "seq") == want
-    upsert.upsert_files(table(spark, [("b", 5, 3), ("c", 6, 3)]), target, ["id"], "seq", 4)
-    upsert.upsert_files(first, target, ["id"], "seq", 4)
-    assert rows(upsert.read_upserted(spark, target), "id", "v", "seq") == want
+    assert rows(snapshots.read_keyed(spark, target), "id", "v", "seq") == want
+    snapshots.upsert(table(spark, [("b", 5, 3), ("c", 6, 3)]), target, ["id"], "seq", 4)
+    snapshots.upsert(first, target, ["id"], "seq", 4)
+    assert rows(snapshots.read_keyed(spark, target), "id", "v", "seq") == want
 
 
 def test_batch_wins_without_order(spark):
     target = shared_dir(spark, "t")
-    upsert.upsert_files(table(spark, [("a", 9, 9)]), target, ["id"])
-    upsert.upsert_files(table(spark, [("a", 1, 1)]), target, ["id"])
-    assert rows(upsert.read_upserted(spark, target), "id", "v", "seq") == [("a", 1, 1)]
+    snapshots.upsert(table(spark, [("a", 9, 9)]), target, ["id"])
+    snapshots.upsert(table(spark, [("a", 1, 1)]), target, ["id"])
+    assert rows(snapshots.read_keyed(spark, target), "id", "v", "seq") == [("a", 1, 1)]
 
 
-def test_untouched_buckets_are_not_rewritten(spark):
+def data_files(spark, target):
+    return {r[0] for r in spark.read.option("basePath", f"{target}/data").parquet(f"{target}/data/*").select(
+        "_metadata.file_path").distinct().collect()}
+
+
+def test_a_small_batch_writes_no_old_row(spark):
     target = shared_dir(spark, "t")
     many = spark.range(200).selectExpr("CAST(id AS STRING) AS id", "1 AS v", "1 AS seq")
-    upsert.upsert_files(many, target, ["id"], "seq", 8)
-    before = {(r[0], r[1]) for r in spark.read.parquet(target).select("key_bucket", "_metadata.file_path").distinct().collect()}
-    upsert.upsert_files(many.limit(1).withColumn("v", F.lit(2)).withColumn("seq", F.lit(2)), target, ["id"], "seq", 8)
-    after = {(r[0], r[1]) for r in spark.read.parquet(target).select("key_bucket", "_metadata.file_path").distinct().collect()}
-    assert len({b for b, _ in before - after}) == 1
-    assert upsert.read_upserted(spark, target).count() == 200
+    snapshots.upsert(many, target, ["id"], "seq", 8)
+    before = data_files(spark, target)
+    snapshots.upsert(many.limit(1).withColumn("v", F.lit(2)).withColumn("seq", F.lit(2)), target, ["id"], "seq", 64)
+    new = data_files(spark, target) - before
+    assert before <= data_files(spark, target) and sum(spark.read.parquet(f).count() for f in new) == 1
+    assert snapshots.manifest(spark, target)["buckets"] == 8
+    assert snapshots.read_keyed(spark, target).count() == 200
+    snapshots.compact(spark, target)
+    told = snapshots.manifest(spark, target)
+    assert told["deltas"] == [] and sorted(map(int, told["base"])) == list(range(8))
+    # A delta after that touches one bucket, and compaction rewrites that bucket alone.
+    snapshots.upsert(many.limit(1), target, ["id"], "seq")
+    old = told["base"]
+    snapshots.compact(spark, target)
+    now = snapshots.manifest(spark, target)["base"]
+    assert sum(now[b] != old[b] for b in now) == 1
+    assert snapshots.read_keyed(spark, target).where("v = 2").count() == 1
+
+
+def test_a_reader_keeps_its_version(spark):
+    target = shared_dir(spark, "t")
+    snapshots.upsert(table(spark, [("a", 1, 1), (None, 1, 1)]), target, ["id"])
+    old = snapshots.read_keyed(spark, target)
+    snapshots.upsert(table(spark, [("a", 2, 2), (None, 3, 3), ("b", 2, 2)]), target, ["id"])
+    snapshots.compact(spark, target)
+    assert rows(old, "id", "v") == [("a", 1), (None, 1)]
+    assert rows(snapshots.read_keyed(spark, target), "id", "v") == [("a", 2), ("b", 2), (None, 3)]
+    assert rows(snapshots.read_keyed(spark, target, 1), "id", "v") == [("a", 1), (None, 1)]
+    with pytest.raises(LookupError):
+        snapshots.read_keyed(spark, target, 9)
+
+
+def test_a_failed_commit_changes_nothing_and_a_lost_race_is_run_again(spark, monkeypatch):
+    target = shared_dir(spark, "t")
+    snapshots.upsert(table(spark, [("a", 1, 1)]), target, ["id"], "seq", 2)
+    commit = snapshots.commit
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            snapshots.upsert(table(spark, [("a", 2, 2)]), target, ["id"], "seq")
+    assert rows(snapshots.read_keyed(spark, target), "id", "v") == [("a", 1)]
+    raced = []
+
+    def beaten(session, place, told):
+        if not raced:
+            raced.append(1)
+            snapshots.upsert(table(spark, [("b", 7, 7)]), target, ["id"], "seq")
+        commit(session, place, told)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "commit", beaten)
+        assert snapshots.upsert(table(spark, [("a", 3, 3)]), target, ["id"], "seq") == 3
+    assert rows(snapshots.read_keyed(spark, target), "id", "v") == [("a", 3), ("b", 7)]
+    with pytest.raises(snapshots.CommitConflict):
+        commit(spark, target, snapshots.manifest(spark, target))
 
 
-def test_interrupted_swap_is_finished_by_the_next_run(spark, monkeypatch):
+def test_a_delta_committed_during_compaction_stays(spark, monkeypatch):
     target = shared_dir(spark, "t")
-    upsert.upsert_files(table(spark, [("a", 1, 1), ("b", 1, 1)]), target, ["id"], "seq", 2)
+    snapshots.upsert(table(spark, [("a", 1, 1), ("b", 1, 1)]), target, ["id"])
+    commit, raced = snapshots.commit, []
+
+    def beaten(session, place, told):
+        if not raced:
+            raced.append(1)
+            snapshots.upsert(table(spark, [("a", 5, 0)]), target, ["id"])
+        commit(session, place, told)
+
     with monkeypatch.context() as patch:
-        patch.setattr(upsert, "_swap_in", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-        with pytest.raises(RuntimeError):
-            upsert.upsert_files(table(spark, [("a", 2, 2)]), target, ["id"], "seq", 2)
-    assert upsert.finish_pending(spark, target) is True
-    assert rows(upsert.read_upserted(spark, target), "id", "v", "seq") == [("a", 2, 2), ("b", 1, 1)]
-    assert upsert.finish_pending(spark, target) is False
+        patch.setattr(snapshots, "commit", beaten)
+        snapshots.compact(spark, target)
+    assert len(snapshots.manifest(spark, target)["deltas"]) == 1
+    assert rows(snapshots.read_keyed(spark, target), "id", "v") == [("a", 5), ("b", 1)]
+
+
+def test_a_batch_number_counts_once_and_other_keys_are_refused(spark):
+    target = shared_dir(spark, "t")
+    assert snapshots.upsert(table(spark, [("a", 1, 1)]), target, ["id"], writer="q", number=4) == 1
+    assert snapshots.upsert(table(spark, [("a", 9, 9)]), target, ["id"], writer="q", number=4) is None
+    assert snapshots.upsert(table(spark, [("c", 1, 1)]).where("false"), target, ["id"]) is None
+    with pytest.raises(ValueError, match="keys"):
+        snapshots.upsert(table(spark, [("a", 1, 1)]), target, ["v"])
+    wider = spark.createDataFrame([("b", 2, 2, "x")], "id string, v int, seq int, extra string")
+    snapshots.upsert(wider, target, ["id"])
+    assert rows(snapshots.read_keyed(spark, target), "id", "v", "extra") == [("a", 1, None), ("b", 2, "x")]
+    with pytest.raises(ValueError, match="column v"):
+        snapshots.upsert(wider.withColumn("v", F.lit("text")), target, ["id"])
+
+
+def test_vacuum_keeps_what_manifests_name(spark):
+    target = shared_dir(spark, "t")
+    for v in range(3):
+        snapshots.upsert(table(spark, [("a", v, v)]), target, ["id"])
+    snapshots.compact(spark, target)
+    assert snapshots.vacuum(spark, target) == []
+    assert len(snapshots.vacuum(spark, target, older_than_seconds=-5)) == 3
+    assert snapshots.versions(spark, target) == [4]
+    assert rows(snapshots.read_keyed(spark, target), "id", "v") == [("a", 2)]
+
+
+def test_base_rows_are_not_shuffled_by_a_small_delta(spark):
+    target = shared_dir(spark, "t")
+    many = spark.range(2000).selectExpr("CAST(id AS STRING) AS id", "1 AS v", "1 AS seq")
+    snapshots.upsert(many, target, ["id"], buckets=2)
+    snapshots.compact(spark, target)
+    snapshots.upsert(many.limit(3), target, ["id"])
+    plan = explained(snapshots.read_keyed(spark, target))
+    assert "BroadcastHashJoin LeftAnti" in plan and "SortMergeJoin" not in plan
 
 
 def test_latest_per_key_limits_before_the_shuffle(spark):
@@ -63,15 +158,36 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") and "Partial" in plan
 
 
-def test_reload_window_drops_days_without_rows(spark):
+def test_reload_window_drops_days_without_rows(spark, monkeypatch):
     target = shared_dir(spark, "r")
     now = datetime(2024, 1, 10, 9)
     first = spark.sql("SELECT timestamp_ntz'2024-01-05 01:00:00' + make_dt_interval(CAST(id AS INT)) AS ts, id FROM range(6)")
-    upsert.reload_last_days(first, target, "ts", 3, now)
-    upsert.reload_last_days(first.filter("id = 3"), target, "ts", 3, now)
-    assert [r[0] for r in rows(spark.read.parquet(target), "id")] == [0, 1, 3]
-    assert path_exists(spark, f"{target}/load_day=2024-01-08")
-    assert not path_exists(spark, f"{target}/load_day=2024-01-09")
+    snapshots.reload_days(first, target, "ts", 3, now)
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            snapshots.reload_days(first.filter("id = 3"), target, "ts", 3, now)
+    assert snapshots.read_days(spark, target).count() == 6
+    snapshots.reload_days(first.filter("id = 3"), target, "ts", 3, now)
+    assert [r[0] for r in rows(snapshots.read_days(spark, target), "id")] == [0, 1, 3]
+    days = snapshots.manifest(spark, target)["days"]
+    assert "2024-01-08" in days and "2024-01-09" not in days
+    assert snapshots.read_days(spark, target, 1).count() == 6
+
+
+def test_older_days_gain_only_what_they_lack(spark, monkeypatch):
+    target, now = shared_dir(spark, "r"), datetime(2024, 3, 1)
+    frame = spark.sql("SELECT IF(id % 4 = 3, NULL, timestamp_ntz'2024-01-05' + make_dt_interval(CAST(id % 3 AS INT))) AS ts, id % 6 AS id FROM range(24)")
+    assert snapshots.reload_days(frame, target, "ts", 3, now) == 1
+    monkeypatch.setattr(snapshots, "_lacking", lambda *a: pytest.fail("equal days were read"))
+    assert snapshots.reload_days(frame, target, "ts", 3, now) is None
+    monkeypatch.undo()
+    more = frame.unionByName(frame.where("ts IS NULL")).unionByName(frame.where("id = 1").limit(1))
+    assert snapshots.reload_days(more, target, "ts", 3, now) == 2
+    assert snapshots.reload_days(more, target, "ts", 3, now) is None
+    assert snapshots.reload_days(frame, target, "ts", 3, now) is None
+    held = snapshots.read_days(spark, target)
+    assert rows(held, "ts", "id") == rows(more, "ts", "id") and held.columns == ["ts", "id", "load_day"]
 
 
 def test_target_name(spark):
@@ -130,15 +246,15 @@ def test_jdbc_statements():
 
 def test_the_last_row_of_a_batch_wins_without_an_order(spark, tmp_path):
     batch = spark.createDataFrame([(1, i) for i in range(6)], "k int, seq int").coalesce(1)
-    upsert.upsert_files(batch, str(tmp_path / "t"), ["k"])
-    assert [r.seq for r in upsert.read_upserted(spark, str(tmp_path / "t")).collect()] == [5]
+    snapshots.upsert(batch, str(tmp_path / "t"), ["k"])
+    assert [r.seq for r in snapshots.read_keyed(spark, str(tmp_path / "t")).collect()] == [5]
 
 
 def test_the_number_of_buckets_stays(spark, tmp_path):
     batch = spark.range(100).withColumnRenamed("id", "k")
     for buckets in (16, 64):
-        upsert.upsert_files(batch, str(tmp_path / "t"), ["k"], buckets=buckets)
-    assert upsert.read_upserted(spark, str(tmp_path / "t")).count() == 100
+        snapshots.upsert(batch, str(tmp_path / "t"), ["k"], buckets=buckets)
+    assert snapshots.read_keyed(spark, str(tmp_path / "t")).count() == 100
 
 
 def test_a_repeated_reload_adds_nothing(spark, tmp_path):
@@ -146,5 +262,5 @@ def test_a_repeated_reload_adds_nothing(spark, tmp_path):
 
     df = spark.range(24).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(id) AS ts")
     for _ in range(2):
-        upsert.reload_last_days(df, str(tmp_path / "t"), "ts", 5, datetime(2024, 1, 20))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 24
+        snapshots.reload_days(df, str(tmp_path / "t"), "ts", 5, datetime(2024, 1, 20))
+    assert snapshots.read_days(spark, str(tmp_path / "t")).count() == 24
