@@ -12,6 +12,7 @@ from sluicework.operators.snapshots import read_keyed
 from sluicework.plans.hooks import hook
 from sluicework.plans.spec import load_pipeline
 from sluicework.session import shared_dir
+from sluicework.streaming import incidents
 from sluicework.streaming.runner import batch_key, drain, start_pipeline
 
 CATALOG = Catalog()
@@ -208,3 +209,27 @@ def file_ingest(spark: SparkSession, folder: str) -> DataFrame:
         rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", shared_dir(spark, "ingest")).trigger(
             availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).select("value")
+
+
+@CATALOG.query("stream_incidents", """
+  WITH RECURSIVE alerts AS (SELECT 'app-' || user_id AS name, ts FROM events),
+  raised AS (
+    SELECT name, min(ts) AS ts FROM alerts GROUP BY name
+    UNION ALL
+    SELECT a.name, min(a.ts) FROM raised r JOIN alerts a ON a.name = r.name AND a.ts > r.ts + INTERVAL 1 HOUR GROUP BY a.name)
+  SELECT name, ts AS alert_time FROM raised
+""")
+def stream_incidents(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts suppressed on a stream that is stopped and started again between their files."""
+    landing, target, checkpoint = (shared_dir(spark, name) for name in ("alerts", "raised", "checkpoint-alerts"))
+    alerts = table(spark, folder, "events").select(
+        F.concat(F.lit("app-"), F.col("user_id").cast("string")).alias("name"), F.col("ts").cast("timestamp").alias("alert_time"))
+    source = {"format": "file", "file_format": "parquet", "path": landing, "schema_ddl": "name STRING, alert_time TIMESTAMP",
+              "alias": "alerts", "custom_preprocess_code_snippet": "incidents.suppressed"}
+    document = spec_document("raise_incidents", [source], "SELECT * FROM alerts", [file_output(target)], "real",
+                             sql_conf={incidents.PROVIDER: incidents.STATE_STORE})
+    days = F.dayofmonth("alert_time")
+    for part in (days < 10, days.between(10, 19), days > 19):
+        alerts.where(part).write.mode("append").parquet(landing)
+        run_stream(spark, document, {**ONCE, "checkpoint_dir": checkpoint})
+    return spark.read.parquet(target).select("name", F.col("alert_time").cast("timestamp_ntz").alias("alert_time"))

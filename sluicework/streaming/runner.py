@@ -17,6 +17,7 @@ from sluicework.plans.spec import (
 from sluicework.session import child_session, scratch_scope, shared_dir, ship_package
 from sluicework.sources import STREAMS, read_stream
 from sluicework.sources.changes import base_scan, rows_between, starting_point
+from sluicework.streaming import incidents  # noqa: F401  registers its hook
 from sluicework.streaming.ranges import batch_range, range_stream, utc_now
 
 # Inputs read range by range: unit of the cap, its setting, where a new stream starts.
