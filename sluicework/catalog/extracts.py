@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -231,3 +231,24 @@ def upsert_compacted(spark: SparkSession, folder: str) -> DataFrame:
             snapshots.compact(spark, target)
     snapshots.vacuum(spark, target, older_than_seconds=0)
     return snapshots.read_keyed(spark, target).select("user_id", "event_id", "event_type", "ts")
+
+
+@CATALOG.query("range_partitioned_extract", """
+  SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(count(*) FILTER (seen IS NULL) AS BIGINT) AS untimed,
+    CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS disordered, true AS several
+  FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15' ELSE ts END AS seen FROM events)
+""")
+def range_partitioned_extract(spark: SparkSession, folder: str) -> DataFrame:
+    """Balanced ranges from a quantile sketch; a third of the rows share one instant, some have none."""
+    events = table(spark, folder, "events").withColumn(
+        "seen", F.when(F.col("event_id") % 7 == 0, None).when(F.col("event_id") % 3 == 0, F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz"))
+        .otherwise(F.col("ts")))
+    staged = timerange.range_partitioned_extract(events, "seen", BUFFER, shared_dir(spark, "ranged"))
+    buckets = staged.where("bucket IS NOT NULL").groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("seen").alias("first"), F.max("seen").alias("last"))
+    before = F.max("last").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    facts = buckets.select("rows", (F.col("first") < before).alias("early")).agg(
+        F.count_if(F.col("rows") > BUFFER).alias("overfull"), F.count_if("early").alias("disordered"),
+        (F.count(F.lit(1)) > 1).alias("several"))
+    return staged.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"),
+                      F.count_if(F.col("bucket").isNull()).alias("untimed")).join(facts)

@@ -89,29 +89,54 @@ def row_checksum(spark: SparkSession, folder: str) -> DataFrame:
     return both.withColumn("plain_md5", F.md5(F.concat_ws("~", *parts))).select("c_custkey", "safe_md5", "plain_md5")
 
 
-@CATALOG.query("dataset_diff", """
-  WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem),
-       r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 100 = 0 THEN -1 ELSE l_partkey END AS l_partkey
-             FROM lineitem WHERE l_orderkey % 77 <> 0)
-  SELECT md5(concat_ws('~', l_orderkey, l_linenumber, l_partkey)) AS md5,
-         CASE WHEN sum(s) > 0 THEN 'left' ELSE 'right' END AS side, CAST(abs(sum(s)) AS BIGINT) AS copies
-  FROM (SELECT *, 1 AS s FROM l UNION ALL SELECT *, -1 FROM r) u
-  GROUP BY l_orderkey, l_linenumber, l_partkey HAVING sum(s) <> 0
-""")
+# Prices as decimals, whose text is the same in every engine.
+LINES = """(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,2)) AS l_quantity,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS l_extendedprice, CAST(l_discount AS DECIMAL(18,2)) AS l_discount,
+  CAST(l_tax AS DECIMAL(18,2)) AS l_tax, l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem)"""
+LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _changed_lines(dropped: int, changed: int, twice: int) -> str:
+    return f"""
+      WITH l AS (SELECT * FROM {LINES}),
+           r AS (SELECT * REPLACE (CASE WHEN l_orderkey % {changed} = 0 THEN -1 ELSE l_partkey END AS l_partkey)
+                 FROM l WHERE l_orderkey % {dropped} <> 0 UNION ALL SELECT * FROM l WHERE l_orderkey % {twice} = 1)
+      SELECT md5(concat_ws('~', {', '.join(LINE_COLUMNS)})) AS md5,
+             CASE WHEN sum(s) > 0 THEN 'left' ELSE 'right' END AS side, CAST(abs(sum(s)) AS BIGINT) AS copies
+      FROM (SELECT *, 1 AS s FROM l UNION ALL SELECT *, -1 FROM r) u GROUP BY {', '.join(LINE_COLUMNS)} HAVING sum(s) <> 0"""
+
+
+def changed_lines(spark: SparkSession, folder: str, dropped: int, changed: int, twice: int) -> tuple[DataFrame, DataFrame]:
+    money = {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
+    kinds = dict.fromkeys(money, "decimal(18,2)") | {"l_shipdate": "date"}
+    left = table(spark, folder, "lineitem").select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in LINE_COLUMNS])
+    part = F.when(F.col("l_orderkey") % changed == 0, F.lit(-1)).otherwise(F.col("l_partkey")).cast(left.schema["l_partkey"].dataType)
+    return left, left.filter(f"l_orderkey % {dropped} <> 0").withColumn("l_partkey", part).unionByName(
+        left.filter(f"l_orderkey % {twice} = 1"))
+
+
+@CATALOG.query("dataset_diff", _changed_lines(77, 100, 91))
 def dataset_diff(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of either side that the other lacks, repeats counted."""
-    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    changed = rows.filter("l_orderkey % 77 <> 0").withColumn(
-        "l_partkey", F.when(F.col("l_orderkey") % 100 == 0, F.lit(-1)).otherwise(F.col("l_partkey")))
-    return quality.dataset_diff(rows, changed)
+    return quality.dataset_diff(*changed_lines(spark, folder, 77, 100, 91))
+
+
+@CATALOG.query("digest_diff", _changed_lines(1201, 1501, 1301))
+def digest_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by digests of key ranges; only rows of differing ranges are compared."""
+    return quality.digest_diff(*changed_lines(spark, folder, 1201, 1501, 1301), keys=["l_orderkey"])
 
 
 @CATALOG.query("missing_rows", """
-  SELECT DISTINCT md5(concat_ws('~', CAST(o_orderkey AS VARCHAR), o_orderstatus)) AS md5 FROM orders WHERE o_orderkey % 77 = 0
+  SELECT DISTINCT md5(concat_ws('~', o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)),
+    CAST(o_orderdate AS DATE), o_orderpriority)) AS md5 FROM orders WHERE o_orderkey % 77 = 0
 """)
 def missing_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Left anti join on the checksum."""
-    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)"),
+        F.col("o_orderdate").cast("date"), "o_orderpriority")
     return quality.missing_checksums(rows, rows.filter("o_orderkey % 77 <> 0"))
 
 

@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicework.session import through_storage
+
 NULL_MARK = "\u0000"
+# Ranges a digest comparison tells apart; with rows spread over them, few differing rows mean few rows to compare.
+DIGEST_RANGES = 4096
 METRIC_COLUMNS = ("entity", "instance", "name", "value")
 
 
@@ -106,14 +110,24 @@ def profile_all(df: DataFrame) -> DataFrame:
     return profile(df, complete=names, distinct=names, numeric=numeric, entropy=names)
 
 
+def _escaped(df: DataFrame, name: str) -> Column:
+    """A column as text with ``\\`` before each ``\\``, ``~`` and NUL; only types that can hold them are searched."""
+    text = F.col(f"`{name}`").cast("string")
+    if isinstance(df.schema[name].dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return text
+    for mark in ("\\", "~", NULL_MARK):
+        text = F.replace(text, F.lit(mark), F.lit(f"\\{mark}"))
+    return text
+
+
 def row_checksum(df: DataFrame, null_safe: bool = True, column: str = "md5") -> DataFrame:
     """md5 of all columns joined by ``~``.
 
-    A ``~`` or ``\\`` inside a value gets a ``\\`` in front, so values cannot run
-    into each other.  By default a null is written as a marker, so ``(a, null)`` and
-    ``(null, a)`` differ; with ``null_safe=False`` nulls are skipped.
+    A ``~``, ``\\`` or NUL inside a value gets a ``\\`` in front, so values cannot run
+    into each other.  By default a null is written as a NUL alone, so ``(a, null)`` and
+    ``(null, a)`` differ and no text equals a null; with ``null_safe=False`` nulls are skipped.
     """
-    parts = [F.regexp_replace(F.col(f"`{name}`").cast("string"), r"[~\\]", r"\\$0") for name in df.columns]
+    parts = [_escaped(df, name) for name in df.columns]
     if null_safe:
         parts = [F.coalesce(part, F.lit(NULL_MARK)) for part in parts]
     return df.select("*", F.md5(F.concat_ws("~", *parts)).alias(column))
@@ -134,6 +148,47 @@ def dataset_diff(left: DataFrame, right: DataFrame, null_safe: bool = True) -> D
         F.abs("surplus").alias("copies"))
 
 
+def _hash(df: DataFrame, names: Sequence[str], lane: int) -> Column:
+    """A hash of columns in which a null in one place differs from a null in another."""
+    return F.xxhash64(F.lit(lane), *[part for n in names for part in (F.col(f"`{n}`"), F.col(f"`{n}`").isNull())])
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, keys: Sequence[str] | None = None, ranges: int = DIGEST_RANGES) -> DataFrame:
+    """``range``: hash ranges of the key in which the two sides do not hold the same rows equally often.
+
+    Each side's rows are summed up per range, in any order: the number of rows and two sums of 64-bit row hashes.  Map
+    tasks add up first, so no more than ``ranges`` rows a task are shuffled.  Both sides must have the same columns and types.
+    """
+    if sorted(left.dtypes) != sorted(right.dtypes):
+        raise ValueError("the sides differ in columns or types")
+    names = left.columns
+    sides = [
+        df.select(F.pmod(_hash(df, keys or names, 0), F.lit(ranges)).cast("int").alias("range"), F.lit(sign).alias("sign"),
+                  *[(_hash(df, names, lane).cast("decimal(38,0)") * sign).cast("decimal(38,0)").alias(f"lane{lane}") for lane in (1, 2)])
+        for df, sign in ((left, 1), (right, -1))]
+    sums = [F.sum(name).alias(name) for name in ("sign", "lane1", "lane2")]
+    return sides[0].unionByName(sides[1]).groupBy("range").agg(*sums).where("sign <> 0 OR lane1 <> 0 OR lane2 <> 0").select("range")
+
+
+def digest_diff(
+    left: DataFrame, right: DataFrame, keys: Sequence[str] | None = None, null_safe: bool = True, ranges: int = DIGEST_RANGES,
+) -> DataFrame:
+    """:func:`dataset_diff` of very large frames that are mostly equal: digests first, then the rows of differing ranges.
+
+    ``keys`` (all columns by default) choose a row's range; with the keys that identify a row, a changed row makes one
+    range differ and not two.  Two equal frames shuffle digests alone.
+    """
+    found = through_storage(differing_ranges(left, right, keys, ranges), "differing")
+    if found.isEmpty():
+        return dataset_diff(left.limit(0), right.limit(0), null_safe)
+    # At most ``ranges`` rows.
+    few = [
+        df.withColumn("_range", F.pmod(_hash(df, keys or left.columns, 0), F.lit(ranges)).cast("int")).join(
+            F.broadcast(found.withColumnRenamed("range", "_range")), "_range", "left_semi").select(left.columns)
+        for df in (left, right)]
+    return dataset_diff(*few, null_safe)
+
+
 def missing_checksums(left: DataFrame, right: DataFrame, null_safe: bool = True) -> DataFrame:
     """Checksums of the left side that the right side lacks altogether."""
     mine = row_checksum(left, null_safe).select("md5").distinct()

@@ -177,6 +177,80 @@ def bucketed_extract(df: DataFrame, column: str, buffer_size: int, stage_path: s
     return df.sparkSession.read.schema(rows.schema).parquet(stage_path)
 
 
+# The sketch tells ranks to about 1/10,000 of the rows, so more ranges than this would not be even.
+SKETCH_K = 16384
+MAX_RANGES = 4096
+MERGED_AT_ONCE = 64
+
+
+def micros_of(df: DataFrame, column: str) -> Column:
+    """A time as microseconds since 1970, by its own clock."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind == "timestamp":
+        return F.unix_micros(F.col(column))
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(`{column}` AS TIMESTAMP_NTZ))")
+
+
+def time_cuts(df: DataFrame, column: str, buffer_size: int, max_ranges: int = MAX_RANGES) -> list[int]:
+    """Times, in microseconds, that cut the rows into even ranges of about ``buffer_size`` rows, or ``max_ranges`` ranges.
+
+    Every partition is summed up in a quantile sketch of bounded size; sketches are merged 64 at a time and then all, so
+    no task sees more than sketches.  A time that many rows share is a cut several times over.
+    """
+    part = F.spark_partition_id()
+    small = df.select(micros_of(df, column).alias("at"), part.alias("part")).where("at IS NOT NULL").groupBy("part").agg(
+        F.kll_sketch_agg_bigint("at", F.lit(SKETCH_K)).alias("sketch"))
+    few = small.groupBy(F.expr(f"part div {MERGED_AT_ONCE}").alias("part")).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    # One sketch of bounded size comes to the driver, which asks it for as many cuts as the rows need.
+    rows, sketch = few.agg(F.kll_merge_agg_bigint("sketch").alias("sketch")).select(
+        F.kll_sketch_get_n_bigint("sketch"), "sketch").first()
+    ranges = min(-(-(rows or 0) // buffer_size), max_ranges)
+    if ranges < 2:
+        return []
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    told = df.sparkSession.range(1).select(F.kll_sketch_get_quantile_bigint(F.lit(bytes(sketch)), shares))
+    return sorted(told.first()[0])
+
+
+def range_of(at: Column, cuts: list[int]) -> Column:
+    """The range a time falls into: the number of cuts not after it; rows at a repeated cut are dealt over its ranges.
+
+    Two looks of about sqrt(n) steps: among every step-th cut first, then between two of those.
+    """
+    step = max(1, int(len(cuts) ** 0.5))
+    blocks = F.array(*[F.lit(c) for c in cuts[step - 1::step]]) if cuts[step - 1::step] else F.array().cast("array<bigint>")
+    listed = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
+
+    def counted(below) -> Column:
+        block = F.size(F.filter(blocks, below))
+        return block * step + F.size(F.filter(F.slice(listed, block * step + 1, F.lit(step)), below))
+
+    last = counted(lambda cut: cut <= at)
+    if len(set(cuts)) == len(cuts):
+        return last
+    first = counted(lambda cut: cut < at)
+    dealt = first + 1 + F.pmod(F.monotonically_increasing_id(), F.greatest(last - first, F.lit(1)))
+    return F.when(last - first > 1, dealt).otherwise(last)
+
+
+def range_partitioned_extract(df: DataFrame, column: str, buffer_size: int, stage_path: str) -> DataFrame:
+    """Stage rows by time range and return the staged copy with its ``bucket``.
+
+    One pass for the cuts, one shuffle by range, no join.  Buckets hold at most ``buffer_size`` rows, their numbers grow
+    with time, and rows of one instant may lie in several.  The bucket is a column inside the files, whose number is that
+    of the shuffle partitions whatever the number of buckets.  Rows without a time have no bucket and stay.
+    """
+    cuts = time_cuts(df, column, buffer_size)
+    # Rows without a time get ranges of their own below zero, only to be spread.
+    place = F.when(F.col(column).isNull(), -1 - F.pmod(F.monotonically_increasing_id(), F.lit(64))).otherwise(
+        range_of(micros_of(df, column), cuts))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
+    bucket = F.when(F.col("_range") >= 0, F.shiftleft(F.col("_range").cast("bigint"), 32) + F.expr(f"_nth div {int(buffer_size)}"))
+    rows = df.withColumn("_range", place).withColumn("_nth", nth).withColumn("bucket", bucket).drop("_range", "_nth")
+    rows.write.mode("overwrite").parquet(stage_path)
+    return df.sparkSession.read.schema(rows.schema).parquet(stage_path)
+
+
 def moment_text(moment: datetime) -> str:
     return f"TIMESTAMP('{moment:%Y-%m-%d %H:%M:%S.%f}')" if moment.microsecond else f"TIMESTAMP('{moment:%Y-%m-%d %H:%M:%S}')"
 
@@ -210,5 +284,5 @@ def extract(
 ) -> DataFrame:
     """Bucketed when the rows outnumber the buffer or ``bulk`` is set, else direct."""
     if bulk or df.count() > buffer_size:
-        return bucketed_extract(df, column, buffer_size, stage_path).drop("bucket")
+        return range_partitioned_extract(df, column, buffer_size, stage_path).drop("bucket")
     return df

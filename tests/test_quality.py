@@ -2,7 +2,9 @@ import math
 
 import pytest
 
-from conftest import rows
+from pyspark.sql import functions as F
+
+from conftest import explained, rows
 from sluicework.operators import quality
 
 
@@ -60,3 +62,33 @@ def test_constraints(spark):
     found = set(map(tuple, quality.suggest_constraints(df).collect()))
     assert found == {("u", "complete"), ("u", "unique"), ("u", "non_negative"), ("d", "complete"), ("d", "non_negative"),
                      ("d", "small_domain"), ("g", "non_negative")}
+
+
+def test_a_null_is_no_text(spark):
+    df = spark.createDataFrame([(None,), ("\0",), ("\\\0",), ("",), ("\\",)], "a string")
+    assert quality.row_checksum(df).select("md5").distinct().count() == 5
+    left, right = (spark.createDataFrame([(v,)], "a string") for v in (None, "\0"))
+    assert quality.dataset_diff(left, right).count() == 2
+    assert quality.digest_diff(left, right).count() == 2
+
+
+@pytest.mark.parametrize("keys", [None, ["k"]])
+def test_digest_diff_is_the_whole_diff(spark, keys):
+    left = spark.range(3000).selectExpr("id AS k", "IF(id % 3 = 0, NULL, id % 50) AS v", "CAST(id % 7 AS STRING) AS s")
+    right = left.where("k % 900 <> 1").unionByName(left.where("k IN (5, 6)")).withColumn("v", F.expr("IF(k = 12, 0, v)"))
+    want = rows(quality.dataset_diff(left, right), "md5", "side", "copies")
+    assert rows(quality.digest_diff(left, right, keys), "md5", "side", "copies") == want and len(want) == 8
+    assert rows(quality.digest_diff(left, right, keys, ranges=1), "md5", "side", "copies") == want
+    swapped = left.where("k = 1").select("k", F.lit(None).cast("bigint").alias("v"), F.lit("1").alias("s"))
+    moved = left.where("k = 1").select("k", F.lit(1).cast("bigint").alias("v"), F.lit(None).cast("string").alias("s"))
+    assert quality.digest_diff(swapped, moved).count() == 2
+
+
+def test_equal_frames_shuffle_digests_alone(spark):
+    df = spark.range(500).selectExpr("id AS k", "id % 9 AS v")
+    plan = explained(quality.differing_ranges(df, df.orderBy("v")))
+    assert plan.count("HashAggregate") >= 2
+    same = quality.digest_diff(df, df.repartition(3))
+    assert same.isEmpty() and "Range" not in explained(same)
+    with pytest.raises(ValueError, match="columns"):
+        quality.digest_diff(df, df.withColumn("v", F.lit("a")))

@@ -4,6 +4,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from conftest import explained, rows
 from sluicework.functions import dates
 from sluicework.operators import timerange
@@ -172,3 +174,37 @@ def test_backfill_days(spark):
     assert backfill.days_to_run(df, "d", only="2024-02-29") == [date(2024, 2, 29)]
     with pytest.raises(ValueError):
         backfill.requested_day("2024-02-30")
+
+
+def test_range_extract_is_even_and_writes_few_files(spark, tmp_path):
+    df = spark.range(20000).selectExpr(
+        "id", "IF(id % 4 = 0, TIMESTAMP_NTZ '2024-01-05', TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, 0, 0, CAST(id * 7 % 500000 AS INT))) AS ts")
+    cuts = timerange.time_cuts(df, "ts", 1000)
+    assert len(cuts) == 19 and len(set(cuts)) < 19
+    staged = timerange.range_partitioned_extract(df, "ts", 1000, str(tmp_path / "few"))
+    sizes = [r["count"] for r in staged.groupBy("bucket").count().collect()]
+    assert sum(sizes) == 20000 and max(sizes) <= 1000 and len(sizes) <= 45
+    many = timerange.range_partitioned_extract(df, "ts", 10, str(tmp_path / "many"))
+    assert many.select("bucket").distinct().count() >= 2000
+    assert len(many.inputFiles()) <= 8
+    plan = explained(df.withColumn("r", timerange.range_of(timerange.micros_of(df, "ts"), cuts)))
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_ranges_of_cuts(spark):
+    cuts = [10, 20, 20, 20, 30, 40, 50, 60, 70]
+    got = spark.range(0, 80).select("id", timerange.range_of(F.col("id"), cuts).alias("r")).collect()
+    for row in got:
+        want = {sum(c <= row.id for c in cuts)} if row.id != 20 else {2, 3, 4}
+        assert row.r in want
+    assert [r.r for r in spark.range(3).select(timerange.range_of(F.col("id"), []).alias("r")).collect()] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_range_extract_of_other_types_nulls_and_no_rows(spark, tmp_path, kind):
+    df = spark.range(50).selectExpr("id", f"CAST(IF(id % 5 = 0, NULL, TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id AS INT))) AS {kind}) AS at")
+    staged = timerange.range_partitioned_extract(df, "at", 8, str(tmp_path / "t"))
+    assert staged.count() == 50 and staged.where("bucket IS NULL").count() == 10
+    ordered = [r.id for r in staged.where("bucket IS NOT NULL").groupBy("bucket").agg(F.min("id").alias("id")).orderBy("bucket").collect()]
+    assert ordered == sorted(ordered) and len(ordered) > 3
+    assert timerange.range_partitioned_extract(df.where("false"), "at", 8, str(tmp_path / "e")).count() == 0
