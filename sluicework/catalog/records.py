@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.catalog.core import Catalog, file_input, table
+from sluicework.catalog.core import Catalog, file_input, spec_document, table
 from sluicework.catalog.fixtures import (
     ISO, MEETING_SCHEMA, activity_lines, cost_pages, meeting_messages, orders_with_customer,
 )
 from sluicework.catalog.pipelines import through_spec
 from sluicework.operators import activity, codec, costs, meeting
-from sluicework.session import child_session, through_storage
+from sluicework.plans.runner import run_pipeline
+from sluicework.plans.spec import load_pipeline
+from sluicework.session import child_session, shared_dir, through_storage
 
 CATALOG = Catalog()
 
@@ -128,6 +131,36 @@ def norm_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _details(table_name: str, sql: str) -> str:
+    names = [f'"{name}"' for name in activity.TABLES[table_name] if name not in ("uid", "load_date_time")]
+    return f"SELECT '{table_name}' AS part, uid, concat_ws('|', {', '.join(names)}) AS detail FROM ({sql})"
+
+
+@CATALOG.query("activity_tables", " UNION ALL ".join([
+    *[_details(name, CATALOG.sql[query]) for name, query in (
+        ("all", "norm_all"), ("campaign", "norm_campaign"), ("participant", "norm_participant"), ("activity", "norm_stats"),
+        ("crm", "norm_crm"))],
+    """SELECT 'rejected', NULL, CASE WHEN o_orderkey % 103 = 0 THEN 'malformed' ELSE 'no_uid' END
+       FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 103 = 0 OR o_orderkey % 101 = 0"""]))
+def activity_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed lines into five tables and the rejected lines, through a spec with one write."""
+    landing, target = shared_dir(spark, "activity-lines"), shared_dir(spark, "activity-tables")
+    activity_lines(spark, folder).select("value").write.text(landing)
+    document = spec_document(
+        "activity_tables", [{"format": "file", "file_format": "text", "path": landing, "alias": "lines"}], "select value from lines",
+        [{"query": "select * from #process", "action": "file", "format": "parquet", "output_location": target,
+          "partition_cols": "table"}], custom_process_code_snippet="activity.tables")
+    run_pipeline(spark, load_pipeline(document, "activity_tables"))
+    tagged = spark.read.parquet(target)
+    parts = []
+    for name, columns in activity.TABLES.items():
+        rows = activity.one_table(tagged, name)
+        shown = ["reason"] if name == "rejected" else [c for c in columns if c not in ("uid", "load_date_time")]
+        uid = F.lit(None).cast("string").alias("uid") if name == "rejected" else F.col("uid")
+        parts.append(rows.select(F.lit(name).alias("part"), uid, F.concat_ws("|", *[F.col(c).cast("string") for c in shown]).alias("detail")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 FACT_SQL = f"""
   SELECT p.uid, 'a' || o_custkey AS account_id, c_name AS account_name, 'o' || c_nationkey AS account_owner_id,
          s2.s_name AS account_owner_name,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluicework.functions.text import join_texts
 from sluicework.operators.codec import expand_once
 from sluicework.operators.skew import lookup_join
+from sluicework.plans.hooks import hook
 
 # Source field -> output column, in output order.
 GENERIC_FIELDS = {
@@ -76,14 +77,17 @@ def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
 
     A field of another type than declared becomes null and its record stays.
     """
+    # As the only value of an object: text after a record then breaks the line, which a parser of one record would not see.
+    opening = '{"r":'
     parsed = F.from_json(
-        F.col(column), f"{RECORD_SCHEMA}, {CORRUPT} STRING",
+        F.concat(F.lit(opening), F.col(column), F.lit("}")), f"r STRUCT<{RECORD_SCHEMA}>, {CORRUPT} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     # Spark also marks records with a field of another type; only text that is no JSON keeps the mark.
     rows = expand_once(lines, parsed)
-    broken = F.when(F.get_json_object(CORRUPT, "$").isNull(), F.col(CORRUPT))
-    return rows.withColumn(CORRUPT, broken)
+    broken = F.when(F.get_json_object(CORRUPT, "$").isNull(), F.substr(
+        CORRUPT, F.lit(len(opening) + 1), F.length(CORRUPT) - len(opening) - 1))
+    return rows.select("r.*", broken.alias(CORRUPT))
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
@@ -101,28 +105,26 @@ def _generic(name: str) -> Column:
     return join_texts(name) if name in ("tags", "attachment_file_names") else F.col(name)
 
 
-def all_table(records: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
-    stamp = F.lit(loaded_at).cast("timestamp") if loaded_at is not None else F.current_timestamp()
-    columns = [_generic(source).alias(name) for source, name in GENERIC_FIELDS.items()]
-    return records.select("uid", *columns, stamp.alias("load_date_time"))
+def _stamp(loaded_at: datetime | None) -> Column:
+    return F.lit(loaded_at).cast("timestamp") if loaded_at is not None else F.current_timestamp()
 
 
-def campaign_table(records: DataFrame) -> DataFrame:
-    return records.select("uid", F.explode("campaigns").alias("c")).select(
-        "uid", *[F.col(f"c.{source}").alias(name) for source, name in CAMPAIGN_FIELDS.items()])
+def all_columns(loaded_at: datetime | None = None) -> list[Column]:
+    return [F.col("uid"), *[_generic(source).alias(name) for source, name in GENERIC_FIELDS.items()],
+            _stamp(loaded_at).alias("load_date_time")]
 
 
-def participant_table(records: DataFrame) -> DataFrame:
-    exploded = records.select("uid", F.explode("participants").alias("p"))
-    return exploded.select("uid", *[
-        F.col("p.team.name").alias("team") if name == "team" else F.col(f"p.{name}").alias(name)
-        for name in PARTICIPANT_FIELDS
-    ])
+def campaign_columns(campaign: Column) -> list[Column]:
+    return [F.col("uid"), *[campaign[source].alias(name) for source, name in CAMPAIGN_FIELDS.items()]]
 
 
-def stats_table(records: DataFrame) -> DataFrame:
-    return records.select(
-        "uid", F.col("type").alias("request_type"), *[F.col(f"stats.{name}").alias(name) for name in STATS_FIELDS])
+def participant_columns(person: Column) -> list[Column]:
+    return [F.col("uid"), *[
+        (person["team"]["name"] if name == "team" else person[name]).alias(name) for name in PARTICIPANT_FIELDS]]
+
+
+def stats_columns() -> list[Column]:
+    return [F.col("uid"), F.col("type").alias("request_type"), *[F.col(f"stats.{name}").alias(name) for name in STATS_FIELDS]]
 
 
 def matched_value(name: str) -> Column:
@@ -133,9 +135,9 @@ def matched_value(name: str) -> Column:
     return result.alias(name)
 
 
-def crm_table(records: DataFrame) -> DataFrame:
-    return records.select(
-        "uid",
+def crm_columns() -> list[Column]:
+    return [
+        F.col("uid"),
         F.col("crm_status.pushed").alias("pushed"),
         F.col("crm_status.push_time").alias("push_time"),
         F.col("crm_status.crm_id").alias("task_id"),
@@ -143,7 +145,27 @@ def crm_table(records: DataFrame) -> DataFrame:
         F.col("crm_status.account.crm_id").alias("acc_crm_id"),
         F.col("crm_status.account.name").alias("acc_crm_name"),
         *[matched_value(name) for name in MATCHED_FIELDS],
-    )
+    ]
+
+
+def all_table(records: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+    return records.select(*all_columns(loaded_at))
+
+
+def campaign_table(records: DataFrame) -> DataFrame:
+    return records.select("uid", F.explode("campaigns").alias("c")).select(*campaign_columns(F.col("c")))
+
+
+def participant_table(records: DataFrame) -> DataFrame:
+    return records.select("uid", F.explode("participants").alias("p")).select(*participant_columns(F.col("p")))
+
+
+def stats_table(records: DataFrame) -> DataFrame:
+    return records.select(*stats_columns())
+
+
+def crm_table(records: DataFrame) -> DataFrame:
+    return records.select(*crm_columns())
 
 
 def unmatched_crm(records: DataFrame) -> DataFrame:
@@ -151,6 +173,7 @@ def unmatched_crm(records: DataFrame) -> DataFrame:
 
 
 def normalise(records: DataFrame, loaded_at: datetime | None = None) -> dict[str, DataFrame]:
+    """The five tables of parsed records as frames, each a plan of its own; see :func:`tagged_rows` for one pass."""
     return {
         "all": all_table(records, loaded_at),
         "campaign": campaign_table(records),
@@ -160,6 +183,56 @@ def normalise(records: DataFrame, loaded_at: datetime | None = None) -> dict[str
     }
 
 
+# Table -> its columns, in order.
+TABLES = {
+    "all": ("uid", *GENERIC_FIELDS.values(), "load_date_time"),
+    "campaign": ("uid", *CAMPAIGN_FIELDS.values()),
+    "participant": ("uid", *PARTICIPANT_FIELDS),
+    "activity": ("uid", "request_type", *STATS_FIELDS),
+    "crm": ("uid", "pushed", "push_time", "task_id", "matched_to", "acc_crm_id", "acc_crm_name", *MATCHED_FIELDS),
+    "rejected": ("reason", "line"),
+}
+
+
+def tagged_rows(lines: DataFrame, column: str = "value", loaded_at: datetime | None = None) -> DataFrame:
+    """JSON lines -> ``table`` and the rows of all tables side by side, rejected lines included.
+
+    A line is read and parsed once and explodes into its rows of every table; columns that a table lacks are null,
+    which costs nothing in columnar files.  Written once, partitioned by ``table``, this is what five reads of the
+    lines would give; :func:`one_table` takes a table out again.
+    """
+    parsed = parse_records(lines, column)
+    good = F.col(CORRUPT).isNull() & F.col("uid").isNotNull()
+    wide = list(dict.fromkeys(name for names in TABLES.values() for name in names))
+    kinds = {"reason": "string", "line": "string"}
+    for frame in normalise(parsed, loaded_at).values():
+        kinds |= dict(frame.dtypes)
+
+    def row(table: str, columns: list[Column]) -> Column:
+        held = dict(zip(TABLES[table], columns, strict=True))
+        return F.struct(F.lit(table).alias("table"), *[
+            held.get(name, F.lit(None)).cast(kinds[name]).alias(name) for name in wide])
+
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise("no_uid")
+    rows = F.concat(
+        F.array(row("all", all_columns(loaded_at)), row("activity", stats_columns()), row("crm", crm_columns())),
+        F.coalesce(F.transform("campaigns", lambda c: row("campaign", campaign_columns(c))), F.array()),
+        F.coalesce(F.transform("participants", lambda p: row("participant", participant_columns(p))), F.array()))
+    rejected = F.array(row("rejected", [reason, F.col(CORRUPT)]))
+    return parsed.select(F.inline(F.when(good, rows).otherwise(rejected)))
+
+
+@hook("activity.tables")
+def tables_hook(df: DataFrame) -> DataFrame:
+    """For specs: a frame with the column ``value``; write it partitioned by ``table``."""
+    return tagged_rows(df)
+
+
+def one_table(tagged: DataFrame, table: str) -> DataFrame:
+    """The rows of one table with its own columns; reads that table's files only."""
+    return tagged.filter(F.col("table") == table).select(*TABLES[table])
+
+
 def override_or_default(override: str, default: str) -> Column:
     """The override, unless it is null or zero."""
     return F.coalesce(F.nullif(F.col(override), F.lit(0).cast("double")), F.col(default))

@@ -3,7 +3,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import explained, rows
 from sluicework.operators import activity, costs, enrich, meeting
 
 FULL = {
@@ -121,3 +121,24 @@ def test_fetcher_retries_then_counts_as_failed(spark):
     assert sizes == {"ok": 1, "down": None}
     child = enrich.flatten_children(fetched, "children", "meeting_id").first()
     assert child["device"] == "pc" and child["location"] == "" and child["meetingId"] == "ok"
+
+
+def test_one_pass_gives_the_tables_of_five(spark):
+    lines = [
+        '{"uid":"a","type":"call","tags":["x","y"],"campaigns":[{"crm_id":"c1"},{"crm_id":"c2"}],"stats":{"total_participants":3},'
+        '"participants":[{"name":"P","team":{"name":"T"}}],"crm_status":{"matched_to":"lead","lead":{"crm_id":"l"}}}',
+        '{"uid":"b","duration":"long","campaigns":null}', "{}", "no json", None, '{"uid":"d"} trailing', '{"uid":"e"}{"uid":"f"}', "",
+        '{"uid":"g"']
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    tagged = activity.tagged_rows(frame, loaded_at=datetime(2024, 1, 2))
+    good = activity.good_records(activity.parse_records(frame))
+    for name, table in activity.normalise(good, datetime(2024, 1, 2)).items():
+        assert activity.one_table(tagged, name).dtypes == table.dtypes
+        assert rows(activity.one_table(tagged, name)) == rows(table)
+    assert sorted(r.uid for r in good.collect()) == ["a", "b"]
+    rejected = sorted((r.reason, r.line or "") for r in activity.one_table(tagged, "rejected").collect())
+    assert rejected == sorted([("no_uid", ""), ("no_uid", ""), ("malformed", "no json"), ("malformed", '{"uid":"d"} trailing'),
+                               ("malformed", '{"uid":"e"}{"uid":"f"}'), ("malformed", ""), ("malformed", '{"uid":"g"')])
+    plan = explained(tagged)
+    # One node parses; the tree and the details below it name it once each.
+    assert plan.count("from_json") <= 2 and plan.count("Exchange") == 0
