@@ -11,6 +11,7 @@ from sluicework.catalog.fixtures import MICROS, part_xml
 from sluicework.operators import columns
 from sluicework.sources import fetched, reports
 from sluicework.sources.changes import read_changes
+from sluicework.sources.xmlrecords import xml_rows
 
 CATALOG = Catalog()
 
@@ -23,7 +24,7 @@ def xml_extract(spark: SparkSession, folder: str) -> DataFrame:
     """Records of namespaced XML pages by XPath, empty records dropped, typed."""
     paths = {"id": "//pc:record/pc:id", "name": "//pc:record/pc:name", "price": "//pc:record/pc:price",
              "kind": "//pc:record/@kind"}
-    rows = reports.xml_columns(reports.xml_records(part_xml(spark, folder), "xml", "//pc:record"), paths)
+    rows = xml_rows(part_xml(spark, folder), "xml", "//pc:record", paths)
     schema = T.StructType.fromDDL("id BIGINT, name STRING, price DECIMAL(12,2), kind STRING")
     return columns.cast_text_record(rows, schema)
 
@@ -101,3 +102,28 @@ def ranged_log(spark: SparkSession, folder: str) -> DataFrame:
         "path": f"{folder}/events.parquet", "ts_col": "ts", "start_time": "2024-01-05T00:00:00Z",
         "end_time": "2024-01-12T12:30:00Z", "buffer_size": str(10**12)})
     return rows.select("event_id", "event_type", F.date_format("ts", MICROS).alias("ts"))
+
+
+@CATALOG.query("xml_paths", """
+  SELECT part, p_partkey, id, name, kind FROM (
+    SELECT 'b' AS part, p_partkey, CAST(p_partkey AS VARCHAR) AS id, p_name AS name, 'outer' AS kind FROM part
+    UNION ALL SELECT 'b', p_partkey, '-' || p_partkey, p_brand, 'inner' FROM part WHERE p_partkey % 3 = 0
+    UNION ALL SELECT 'c', p_partkey, p_type, NULL, NULL FROM part)
+""")
+def xml_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Records by full path; two prefixes for one namespace, a namespace of its own, nested tags of one name."""
+    key = F.col("p_partkey").cast("string")
+    inner = F.when(F.col("p_partkey") % 3 == 0, F.concat(
+        F.lit('<y:record kind="inner"><y:id>-'), key, F.lit("</y:id><y:name>"), F.col("p_brand"), F.lit("</y:name></y:record>"))
+    ).otherwise(F.lit(""))
+    pages = table(spark, folder, "part").select("p_partkey", F.concat(
+        F.lit('<a xmlns:x="urn:one" xmlns:y="urn:one" xmlns:z="urn:two"><b><x:record kind="outer"><z:id>no</z:id><y:id>'), key,
+        F.lit("</y:id>"), F.lit("<x:name>"), F.col("p_name"), F.lit("</x:name>"), inner, F.lit("</x:record></b><c><record><id>"),
+        F.col("p_type"), F.lit("</id></record><z:record><id>no</id></z:record></c></a>")).alias("xml"))
+    spaces = {"o": "urn:one", "none": ""}
+    inside = {"id": "/o:record/o:id", "name": "/o:record/o:name", "kind": "/o:record/@kind"}
+    parts = [
+        xml_rows(pages, "xml", "//b//o:record", inside, spaces, ["p_partkey"]).select(F.lit("b").alias("part"), "*"),
+        xml_rows(pages, "xml", "//c/none:record", {"id": "//id", "name": "//name", "kind": "/record/@kind"}, spaces,
+                 ["p_partkey"]).select(F.lit("c").alias("part"), "*")]
+    return parts[0].unionByName(parts[1])

@@ -233,3 +233,22 @@ def stream_incidents(spark: SparkSession, folder: str) -> DataFrame:
         alerts.where(part).write.mode("append").parquet(landing)
         run_stream(spark, document, {**ONCE, "checkpoint_dir": checkpoint})
     return spark.read.parquet(target).select("name", F.col("alert_time").cast("timestamp_ntz").alias("alert_time"))
+
+
+@CATALOG.query("stream_late_start", """
+  SELECT event_type, CAST(count(*) AS BIGINT) AS n, min(ts) AS first_ts, max(ts) AS last_ts, CAST(sum(event_id) AS BIGINT) AS id_sum
+  FROM events GROUP BY 1
+""")
+def stream_late_start(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream started on an empty table reads rows that arrive later with times before its start, each once."""
+    landing, target, checkpoint = (shared_dir(spark, name) for name in ("late", "late-read", "checkpoint-late"))
+    events = table(spark, folder, "events")
+    changes = {"format": "changes", "path": landing, "offset_column": "ts", "starting_offset": "earliest",
+               "max_offset_days_per_trigger": "500", "alias": "changes"}
+    document = spec_document("late_start", [changes], "SELECT event_id, event_type, ts FROM changes", [file_output(target)], "real")
+    for rows in (events.limit(0), events):
+        rows.write.mode("append").parquet(landing)
+        for _ in range(2):
+            run_stream(spark, document, {**ONCE, "checkpoint_dir": checkpoint})
+    return spark.read.parquet(target).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("event_id").alias("id_sum"))

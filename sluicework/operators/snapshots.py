@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from sluicework.functions.dates import last_days_start
 from sluicework.operators.skew import balanced
 from sluicework.operators.upsert import BUCKET, key_bucket, latest_per_key, tie_break
-from sluicework.session import delete_path, path_exists
+from sluicework.session import delete_path, path_exists, read_text
 
 COMMIT = "_commit"
 MANIFESTS, DATA = "_manifests", "data"
@@ -74,12 +74,7 @@ def manifest(spark: SparkSession, target: str, version: int | None = None) -> di
         if version is not None:
             raise LookupError(f"{target} has no version {version}; it has {found}")
         return None
-    fs, path = _files(spark, f"{target.rstrip('/')}/{MANIFESTS}/v{found[-1] if version is None else version:012d}.json")
-    stream = fs.open(path)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    return json.loads(read_text(spark, f"{target.rstrip('/')}/{MANIFESTS}/v{found[-1] if version is None else version:012d}.json"))
 
 
 def commit(spark: SparkSession, target: str, told: dict) -> None:

@@ -118,6 +118,32 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hadoop_path, True))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text in the place of a file by renaming a finished copy onto it."""
+    jvm = spark._jvm
+    fs, place = _fs_path(spark, path)
+    pending = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(pending)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(place).toUri(), spark._jsc.hadoopConfiguration())
+    options = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(pending), fs.makeQualified(place), options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if it is not there."""
+    fs, place = _fs_path(spark, path)
+    if not fs.exists(place):
+        return None
+    stream = fs.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
     """True when a Spark write to ``path`` finished."""
     return path_exists(spark, f"{path}/_SUCCESS")

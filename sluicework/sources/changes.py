@@ -87,11 +87,18 @@ def starting_point(
         return now - POLICY_LAGS[policy]
     if policy != "earliest":
         return parse_text(policy)
-    df = scan()
+    return _lowest(scan(), properties)
+
+
+def _lowest(df: DataFrame, properties: Mapping[str, str]) -> datetime | None:
     lowest = df.agg(F.min(offset_column(df, properties))).first()[0]
-    if lowest is None or isinstance(lowest, datetime):
-        return lowest
-    return parse_text(str(lowest))
+    return lowest if lowest is None or isinstance(lowest, datetime) else parse_text(str(lowest))
+
+
+def earliest_before(spark: SparkSession, properties: Mapping[str, str], end: datetime) -> datetime | None:
+    """The smallest change time before ``end``."""
+    df = base_scan(spark, properties)
+    return _lowest(df.filter(timerange.range_predicate(df, offset_column(df, properties), None, end)), properties)
 
 
 def rows_between(

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import csv
 import io
-import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +14,10 @@ from sluicework.operators.codec import expand_once
 from sluicework.operators.columns import cast_text_record, clean_column_names, clean_names
 from sluicework.operators.costs import REPORT_SCHEMA
 from sluicework.plans.spec import flag
-from sluicework.session import shared_dir
+from sluicework.session import read_text, shared_dir
 from sluicework.sources.core import SOURCES, STREAMS
 from sluicework.sources.files import declared_schema
+from sluicework.sources.xmlrecords import xml_rows
 
 # --- CSV --------------------------------------------------------------------
 
@@ -108,41 +108,18 @@ def read_pairs(text: str) -> dict[str, str]:
     return {name.strip(): value.strip() for name, value in named}
 
 
-def local_path(xpath: str) -> str:
-    """Drop namespace prefixes from the steps of an XPath."""
-    return re.sub(r"(^|/)[A-Za-z_][\w.-]*:(?!:)", r"\1", xpath)
-
-
-def xml_records(documents: DataFrame, column: str, record_tag: str) -> DataFrame:
-    """Document text -> one row per record element (records do not nest)."""
-    tag = re.escape(record_tag.rsplit(":", 1)[-1].strip("/"))
-    element = rf"(?s)<((?:[\w.-]+:)?{tag})(?:\s[^>]*?)?(?:/>|>.*?</\1>)"
-    found = F.regexp_extract_all(F.col(column), F.lit(element), F.lit(0))
-    return documents.withColumn("record_xml", F.explode(found))
-
-
-def _without_prefixes(column: Column) -> Column:
-    """Drop tag prefixes: their declarations may lie outside the record."""
-    return F.regexp_replace(column, r"(</?)[\w.-]+:", "$1")
-
-
-def xml_columns(records: DataFrame, xpaths: Mapping[str, str], column: str = "record_xml", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Record XML -> one string column per XPath; records with no value are dropped."""
-    xml = _without_prefixes(F.col(column))
-    values = F.struct(*[
-        F.nullif(F.xpath_string(xml, F.lit(local_path(path))), F.lit("")).alias(name) for name, path in xpaths.items()
-    ])
-    flat = expand_once(records, values, keep)
-    return flat.filter(F.coalesce(*[F.col(name) for name in xpaths]).isNotNull())
-
-
 @SOURCES.register("netsuite", "xml")
 def read_xml(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
-    """Landed XML pages, records by ``recordTagPath``, columns by ``xpathMap``."""
-    with open(properties["xpathMap"], encoding="utf-8") as handle:
-        xpaths = read_pairs(handle.read())
+    """Landed XML pages, records by ``recordTagPath``, columns by ``xpathMap``, prefixes by ``namespacePrefixMap``.
+
+    ``mode=DROPMALFORMED`` leaves out pages that are not well-formed.
+    """
+    maps = []
+    for name in ("xpathMap", "namespacePrefixMap"):
+        maps.append(read_pairs(read_text(spark, properties[name]) or "") if name in properties else {})
+    xpaths, namespaces = maps
     pages = spark.read.option("wholetext", True).text(properties["path"])
-    records = xml_records(pages, "value", properties.get("recordTagPath", "//platformCore:record"))
-    flat = xml_columns(records, xpaths)
+    flat = xml_rows(pages, "value", properties.get("recordTagPath", "//platformCore:record"), xpaths, namespaces,
+                    malformed="drop" if properties.get("mode", "").upper() == "DROPMALFORMED" else "fail")
     schema = declared_schema(properties)
     return cast_text_record(flat, schema) if schema is not None and not flag(properties, "raw") else flat

@@ -16,9 +16,10 @@ from sluicework.plans.spec import (
 )
 from sluicework.session import child_session, scratch_scope, shared_dir, ship_package
 from sluicework.sources import STREAMS, read_stream
-from sluicework.sources.changes import base_scan, rows_between, starting_point
+from sluicework.sources.changes import base_scan, earliest_before, rows_between, starting_point
 from sluicework.streaming import incidents  # noqa: F401  registers its hook
-from sluicework.streaming.ranges import batch_range, range_stream, utc_now
+from sluicework.streaming.latestart import LateStart
+from sluicework.streaming.ranges import UNITS, batch_range, range_stream, utc_now
 
 # Inputs read range by range: unit of the cap, its setting, where a new stream starts.
 RANGE_INPUTS = {
@@ -40,14 +41,19 @@ def _trigger(writer, properties: Mapping[str, str]):
     return writer.trigger(processingTime=f"{window} seconds" if window.isdigit() else window)
 
 
-def _start(session: SparkSession, stream: DataFrame, on_batch, properties: Mapping[str, str], name: str) -> StreamingQuery:
+def _checkpoint(session: SparkSession, properties: Mapping[str, str], name: str) -> str:
     # Without commits the checkpoint is a throw-away folder: a restart begins anew.
-    if flag(properties, "commit_offset", default=True):
-        checkpoint = properties.get("checkpoint_dir")
-        if not checkpoint:
-            raise ValueError(f"stream {name} needs checkpoint_dir, or commit_offset=false")
-    else:
-        checkpoint = shared_dir(session, f"checkpoint-{name}")
+    if not flag(properties, "commit_offset", default=True):
+        return shared_dir(session, f"checkpoint-{name}")
+    if not properties.get("checkpoint_dir"):
+        raise ValueError(f"stream {name} needs checkpoint_dir, or commit_offset=false")
+    return properties["checkpoint_dir"]
+
+
+def _start(
+    session: SparkSession, stream: DataFrame, on_batch, properties: Mapping[str, str], name: str, checkpoint: str | None = None,
+) -> StreamingQuery:
+    checkpoint = checkpoint or _checkpoint(session, properties, name)
 
     def scoped(batch: DataFrame, batch_id: int) -> None:
         # What a batch stages is deleted when its outputs are written.
@@ -58,7 +64,7 @@ def _start(session: SparkSession, stream: DataFrame, on_batch, properties: Mappi
     return _trigger(writer, properties).start()
 
 
-def batch_key(batch: DataFrame, batch_id: int) -> str:
+def batch_key(batch: DataFrame, batch_id: int | str) -> str:
     """Batch number plus the id of the query, which lives in its checkpoint.
 
     A replayed batch has the same key; a query started over on a new checkpoint
@@ -68,7 +74,7 @@ def batch_key(batch: DataFrame, batch_id: int) -> str:
     return f"{batch_id}-{query_id}" if query_id else str(batch_id)
 
 
-def _emit(batch: DataFrame, spec: PipelineSpec, batch_id: int, variables: Mapping[str, str]) -> None:
+def _emit(batch: DataFrame, spec: PipelineSpec, batch_id: int | str, variables: Mapping[str, str]) -> None:
     """Write all outputs of one batch, computing the batch once."""
     key = batch_key(batch, batch_id)
     shared = len(spec.outputs) > 1
@@ -133,27 +139,35 @@ def start_stream_static(
 def start_range_stream(
     session: SparkSession, spec: PipelineSpec, enabled: Mapping[str, str], variables: Mapping[str, str],
 ) -> StreamingQuery:
-    """The first input is a table read by change time, one capped range per batch."""
+    """The first input is a table read by change time, one capped range per batch.
+
+    On an empty table a stream from the earliest row waits for one, whatever its time.
+    """
     raw = input_properties(spec.inputs[0], enabled, "real", variables)
     properties = substitute_all(raw, raw)
     unit, cap_key, policy = RANGE_INPUTS[properties["format"].lower()]
     until = properties.get("until")
     now = parse_text(until) if until else utc_now()
-    start = starting_point(lambda: base_scan(session, properties), properties, now, policy) or now
-    ranges = range_stream(session, start, int(properties[cap_key]), unit, parse_text(until) if until else None)
+    cap = int(properties[cap_key])
+    start = starting_point(lambda: base_scan(session, properties), properties, now, policy)
+    checkpoint = _checkpoint(session, properties, spec.name)
+    late = LateStart(session, checkpoint, start is None)
+    ranges = range_stream(session, start or now, cap, unit, parse_text(until) if until else None)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        bounds = batch_range(batch)
-        if bounds is None:
+        found = batch_range(batch)
+        if found is None:
             return
         batch_session = batch.sparkSession
-        hooked(rows_between(batch_session, properties, *bounds), properties).createOrReplaceTempView(properties["alias"])
-        register_inputs(batch_session, spec, enabled, variables, "real", spec.inputs[1:])
-        frame = apply_hook(
-            batch_session.sql(substitute(spec.query, variables)), spec.hook_snippet, spec.hook_file)
-        _emit(frame, spec, batch_id, variables)
-
-    return _start(session, ranges, on_batch, properties, spec.name)
+        pieces = late.bounds(batch_id, *found, cap, UNITS[unit], lambda end: earliest_before(batch_session, properties, end))
+        for at, bounds in enumerate(pieces):
+            hooked(rows_between(batch_session, properties, *bounds), properties).createOrReplaceTempView(properties["alias"])
+            register_inputs(batch_session, spec, enabled, variables, "real", spec.inputs[1:])
+            frame = apply_hook(
+                batch_session.sql(substitute(spec.query, variables)), spec.hook_snippet, spec.hook_file)
+            _emit(frame, spec, batch_id if len(pieces) == 1 else f"{batch_id}.{at}", variables)
+
+    return _start(session, ranges, on_batch, properties, spec.name, checkpoint)
 
 
 def start_pipeline(

@@ -258,3 +258,21 @@ def test_the_shared_folder_needs_no_setting_on_one_machine(spark):
         shared_root(Session())
     Conf.values["sluicework.shared.dir"] = "hdfs://x/"
     assert shared_root(Session()) == "hdfs://x"
+
+
+def test_a_late_start_reads_from_the_earliest_row_once(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from sluicework.streaming.latestart import LateStart, tiles
+
+    day, unit = datetime(2024, 1, 10), timedelta(days=1)
+    late = LateStart(spark, str(tmp_path), True)
+    ask = lambda number, lowest: late.bounds(number, day, day + unit, 7, unit, lambda end: lowest)
+    assert ask(0, None) == []
+    assert ask(1, day - 10 * unit) == [(day - 10 * unit, day - 3 * unit), (day - 3 * unit, day + unit)]
+    # A repeat of that batch reads the same; batches after it read their own range; a restart keeps the state.
+    late = LateStart(spark, str(tmp_path), False)
+    assert len(ask(1, day - 10 * unit)) == 2
+    assert ask(2, day - 20 * unit) == [(day, day + unit)]
+    assert LateStart(spark, str(tmp_path / "other"), False).bounds(0, day, day + unit, 7, unit, lambda end: None) == [(day, day + unit)]
+    assert tiles(day, day, 7, unit) == []

@@ -8,6 +8,7 @@ from sluicework.session import register_source, ship_package
 from sluicework.sinks import stores as sink_stores
 from sluicework.sources import fetched, files, read_input, reports
 from sluicework.sources import stores as source_stores
+from sluicework.sources.xmlrecords import Walk, xml_rows
 
 
 def test_csv_options():
@@ -124,18 +125,47 @@ def test_xml(spark):
     assert reports.read_pairs("# c\na, //x\n\nb,//y/@k\n") == {"a": "//x", "b": "//y/@k"}
     with pytest.raises(ValueError):
         reports.read_pairs("a,b,c")
-    assert reports.local_path("//ns:rec/ns:id") == "//rec/id"
     doc = '<n:l xmlns:n="u"><n:rec><n:id>1</n:id></n:rec><n:rec k="2"/><n:rec><n:id>&amp;é</n:id><n:z>9</n:z></n:rec><n:rec><q/></n:rec></n:l>'
-    df = spark.createDataFrame([(doc,)], "v string")
-    flat = reports.xml_columns(reports.xml_records(df, "v", "//n:rec"), {"id": "//n:rec/n:id", "k": "//n:rec/@k", "z": "//n:rec/n:z"})
+    df = spark.createDataFrame([(doc,), (None,), (" ",)], "v string")
+    flat = xml_rows(df, "v", "//n:rec", {"id": "//n:rec/n:id", "k": "//n:rec/@k", "z": "//n:rec/n:z"})
     assert rows(flat) == sorted([("1", None, None), (None, "2", None), ("&é", None, "9")], key=repr)
 
 
+def test_xml_paths_and_namespaces(spark):
+    doc = ('<a xmlns="urn:d" xmlns:p="urn:p"><b><rec i="1"><v>x<w>y</w>z</v><rec i="2"><v>in</v></rec></rec></b>'
+           '<c><rec i="3"><p:v>other</p:v></rec><p:rec i="4"><v> </v></p:rec></c></a>')
+
+    def found(record, columns, namespaces=None):
+        return Walk(record, columns, namespaces or {})(doc)
+
+    ids = {"i": "/*/@i"}
+    assert found("//rec", ids) == [["1"], ["2"], ["3"], ["4"]]
+    assert found("/a/b/rec", ids) == [["1"]] and found("a/b//rec", ids) == [["1"], ["2"]]
+    assert found("//b/rec", ids) == [["1"]] and found("//c/rec", ids) == [["3"], ["4"]] and found("//b/c", ids) == []
+    assert found("//q:rec", ids, {"q": "urn:p"}) == [["4"]] and found("//q:*", ids, {"q": "urn:p"}) == [["4"]]
+    assert found("//rec/rec", ids) == [["2"]] and found("//*/*/rec", ids) == [["1"], ["2"], ["3"], ["4"]]
+    texts = {"v": "rec/v", "w": "//w/text()", "deep": "//rec//v/.", "q": "//q:v"}
+    assert found("//rec", texts, {"q": "urn:p"}) == [
+        ["xyz", "y", "xyz", None], ["in", None, "in", None], ["other", None, "other", "other"], [" ", None, " ", None]]
+    for bad in ("", "//", "a[1]", "a/@b/c", "@x", "a/./b"):
+        with pytest.raises(ValueError):
+            Walk("//rec", {"x": bad}, {})
+    with pytest.raises(ValueError):
+        Walk("//rec/@i", ids, {})
+    broken = spark.createDataFrame([(1, doc), (2, "<a><rec>"), (3, doc.replace("<b>", "<!-- > <rec> --><b>"))], "k int, v string")
+    dropped = xml_rows(broken, "v", "//c/rec", ids, keep=["k"], malformed="drop")
+    assert rows(dropped) == [(1, "3"), (1, "4"), (3, "3"), (3, "4")]
+    with pytest.raises(Exception, match="well-formed"):
+        xml_rows(broken, "v", "//rec", ids).collect()
+
+
 def test_xml_source(spark, tmp_path):
     (tmp_path / "p1.xml").write_text("<a:l xmlns:a='u'><a:record><a:id>7</a:id></a:record></a:l>")
     (tmp_path / "map.csv").write_text("id,//a:record/a:id\n")
     props = {"format": "xml", "path": str(tmp_path / "p1.xml"), "xpathMap": str(tmp_path / "map.csv"), "schema_ddl": "id INT, n STRING"}
     assert rows(read_input(spark, props)) == [(7, "")]
+    (tmp_path / "spaces.csv").write_text("a,other\n")
+    assert read_input(spark, {**props, "recordTagPath": "//a:record", "namespacePrefixMap": str(tmp_path / "spaces.csv")}).isEmpty()
     assert read_input(spark, {**props, "pageSize": "1001"}).count() == read_input(spark, props).count()
 
 
