@@ -12,6 +12,7 @@ from sluicework.operators.snapshots import read_keyed
 from sluicework.plans.hooks import hook
 from sluicework.plans.spec import load_pipeline
 from sluicework.session import shared_dir
+from sluicework.sources.files import with_file_columns
 from sluicework.streaming import incidents
 from sluicework.streaming.runner import batch_key, drain, start_pipeline
 
@@ -199,7 +200,7 @@ def file_ingest(spark: SparkSession, folder: str) -> DataFrame:
     rows = (
         spark.readStream.schema("`User ID` STRING, `Name` STRING, `Segment, main` STRING")
         .option("header", True).option("pathGlobFilter", "part-*.csv").csv(landing)
-        .select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("_row_start"))
+        .transform(with_file_columns)
     )
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -252,3 +253,27 @@ def stream_late_start(spark: SparkSession, folder: str) -> DataFrame:
             run_stream(spark, document, {**ONCE, "checkpoint_dir": checkpoint})
     return spark.read.parquet(target).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("event_id").alias("id_sum"))
+
+
+@CATALOG.query("file_ingest_first_row", """
+  SELECT '{"user_id":"' || c_custkey || '","display_name":"' || c_name || '","segment":"' || c_mktsegment || '"}' AS value
+  FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey % 4 ORDER BY c_custkey DESC) AS rn FROM customer) WHERE rn = 1
+""")
+def file_ingest_first_row(spark: SparkSession, folder: str) -> DataFrame:
+    """From a spec alone, the first row of each arriving file; every file is read in several splits, and comes once."""
+    landing, out, book, checkpoint = (shared_dir(spark, name) for name in ("first-landing", "first-out", "first-book", "first-checkpoint"))
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("User ID"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Segment, main"))
+    source = {"format": "file", "file_format": "csv", "header": "true", "path": landing, "path_glob": "part-*.csv", "alias": "files",
+              "schema_ddl": "`User ID` STRING, `Name` STRING, `Segment, main` STRING", "file_columns": "true"}
+    sink = {"query": "select * from #process", "action": "ingest_files", "output_location": out, "ledger_location": book,
+            "prefixes": "part-,member-", "first_row_only": "true",
+            "header_map": '{"User ID": "user_id", "Name": "display_name", "Segment, main": "segment"}'}
+    document = spec_document("first_rows", [source], "select * from files", [sink], "real", sql_conf={
+        "spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "0"})
+    for part in range(4):
+        customers.where(F.col("User ID") % 4 == part).coalesce(1).sortWithinPartitions(F.col("User ID").desc()).write.mode(
+            "append").option("header", True).csv(landing)
+        if part % 2:
+            run_stream(spark, document, {**ONCE, "checkpoint_dir": checkpoint})
+    return spark.read.parquet(out).select("value")

@@ -60,10 +60,24 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
-def first_rows(rows: DataFrame, file_column: str, order_column: str) -> DataFrame:
-    """First data row of every file."""
-    window = Window.partitionBy(file_column).orderBy(order_column)
-    return rows.withColumn("_n", F.row_number().over(window)).filter("_n = 1").drop("_n")
+def numbered_lines(rows: DataFrame, file: str = "file_name", split: str = "_row_start", nth: str = "_nth",
+                   column: str = "line_number") -> DataFrame:
+    """Rows with their number in their file, from 0, however many splits a file was read in.
+
+    ``nth`` grows along each split (``monotonically_increasing_id`` at the scan).  Rows are counted per split; the
+    counts, a row per split, are summed up along each file.  No file is sorted or gathered.
+    """
+    splits = rows.groupBy(file, split).agg(F.count(F.lit(1)).alias("_rows"), F.min(nth).alias("_first"))
+    before = Window.partitionBy(file).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    joined = lookup_join(rows, starts, [file, split])
+    return joined.withColumn(column, F.col("_before") + F.col(nth) - F.col("_first")).select(*rows.columns, column)
+
+
+def first_rows(rows: DataFrame, file: str = "file_name", split: str = "_row_start", nth: str = "_nth") -> DataFrame:
+    """First data row of every file: the first row of its first split that has any."""
+    first = rows.groupBy(file).agg(F.min(F.struct(split, nth)).alias("_at")).select(file, "_at.*")
+    return lookup_join(rows, first, [file, split, nth]).select(*rows.columns)
 
 
 def file_messages(rows: DataFrame, header_map: Mapping[str, str]) -> DataFrame:
@@ -76,22 +90,23 @@ def ingest_batch(batch: DataFrame, header_map: Mapping[str, str], prefixes: Sequ
     """One micro-batch of arriving files -> messages and ledger rows.
 
     Both outputs are keyed by the batch, so a replayed batch overwrites its own
-    files.  ``batch`` carries ``file_name`` and ``_row_start`` from the file
-    metadata.  The ledger goes last: files count as known once their messages
-    are written.
+    files.  ``batch`` has the columns of ``with_file_columns`` and its rows as they were scanned.  The ledger goes
+    last: files count as known once their messages are written.
     """
     spark = batch.sparkSession
-    batch = batch.persist()
-    names = accepted(batch.select("file_name"), prefixes).distinct()
-    if path_exists(spark, ledger_path):
-        # Rows this batch wrote before a replay do not make its files known.
-        others = F.col("batch_id").cast("string") != batch_key
-        known = spark.read.schema(f"{LEDGER_SCHEMA}, batch_id STRING").parquet(ledger_path).filter(others)
-        names = new_files(names, known)
-    fresh = lookup_join(batch, names, ["file_name"])
-    if first_row_only:
-        fresh = first_rows(fresh, "file_name", "_row_start")
-    data = fresh.drop("file_name", "_row_start")
-    file_messages(data, header_map).write.mode("overwrite").parquet(f"{message_path}/batch_id={batch_key}")
-    ledger_entries(names).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_key}")
-    batch.unpersist()
+    batch = batch.withColumn("_nth", F.monotonically_increasing_id()).persist()
+    try:
+        names = accepted(batch.select("file_name"), prefixes).distinct()
+        if path_exists(spark, ledger_path):
+            # Rows this batch wrote before a replay do not make its files known.
+            others = F.col("batch_id").cast("string") != batch_key
+            known = spark.read.schema(f"{LEDGER_SCHEMA}, batch_id STRING").parquet(ledger_path).filter(others)
+            names = new_files(names, known)
+        fresh = lookup_join(batch, names, ["file_name"])
+        if first_row_only:
+            fresh = first_rows(fresh)
+        data = fresh.drop("file_name", "_row_start", "_nth")
+        file_messages(data, header_map).write.mode("overwrite").parquet(f"{message_path}/batch_id={batch_key}")
+        ledger_entries(names).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_key}")
+    finally:
+        batch.unpersist()

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.operators import snapshots
+from sluicework.operators import ledger, snapshots
 from sluicework.operators.skew import balanced
 from sluicework.operators.upsert import route_by_time
 from sluicework.plans.spec import column_list, first_of, flag, save_mode
@@ -89,6 +90,18 @@ def write_staged(df: DataFrame, batch_id: object, properties: Mapping[str, str])
           flag(properties, "delete_first"))
 
 
+@SINKS.register("ingest_files", "WriteIngestedFiles")
+def write_ingested(df: DataFrame, batch_id: object, properties: Mapping[str, str]) -> None:
+    """Rows of arriving files as messages, each file once: ``output_location``, ``ledger_location``, ``prefixes``.
+
+    The input has ``file_columns=true``.  ``header_map`` is JSON text from file header to field name;
+    ``first_row_only=true`` keeps the first row of each file.
+    """
+    ledger.ingest_batch(
+        df, json.loads(properties.get("header_map", "{}")), column_list(properties["prefixes"]), properties["ledger_location"],
+        properties["output_location"], str(batch_id), flag(properties, "first_row_only"))
+
+
 @SINKS.register("noop")
 def write_noop(df: DataFrame, batch_id: object, properties: Mapping[str, str]) -> None:
     df.select(*[F.col(f"`{c}`") for c in df.columns]).write.format("noop").mode("overwrite").save()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicework.functions.avro_schema import struct_from_avsc
@@ -68,7 +69,17 @@ def stream_files(spark: SparkSession, properties: Mapping[str, str]) -> DataFram
         reader = reader.option("maxFilesPerTrigger", limit)
     if "path_glob" in properties:
         reader = reader.option("pathGlobFilter", properties["path_glob"])
-    return reader.load(properties.get("path", DEFAULT_PATH))
+    df = reader.load(properties.get("path", DEFAULT_PATH))
+    return with_file_columns(df) if flag(properties, "file_columns") else df
+
+
+def with_file_columns(df: DataFrame) -> DataFrame:
+    """Scanned rows with ``file_name`` and the start of their split; a frame that is no stream also gets an order in it.
+
+    A stream's rows get that order in their micro-batch: see ``ledger.numbered_lines``.
+    """
+    named = df.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("_row_start"))
+    return named if df.isStreaming else named.withColumn("_nth", F.monotonically_increasing_id())
 
 
 def s3_options(properties: Mapping[str, str]) -> dict[str, str]:

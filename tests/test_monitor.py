@@ -88,3 +88,25 @@ def test_ledger(spark):
     assert ledger.new_files(kept, entries).isEmpty()
     pushed = spark.createDataFrame([("m-2.csv.done", NOW)], "file_name string, pushed_at timestamp")
     assert rows(ledger.unpushed(ledger.mark_pushed(entries, pushed)), "file_name") == [("m-1-2024-01-01.csv",)]
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    from sluicework.operators import ledger
+    from sluicework.sources.files import with_file_columns
+
+    for name, size in (("a", 900), ("b", 1), ("c", 400)):
+        (tmp_path / f"{name}.csv").write_text("v\n" + "".join(f"{name}{i}\n" for i in range(size)))
+    with_small = {"spark.sql.files.maxPartitionBytes": "600", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key) for key in with_small}
+    try:
+        for key, value in with_small.items():
+            spark.conf.set(key, value)
+        lines = with_file_columns(spark.read.option("header", True).schema("v string").csv(str(tmp_path)))
+        assert lines.select("file_name", "_row_start").distinct().count() > 6
+        found = {(r.file_name[0], r.line_number): r.v for r in ledger.numbered_lines(lines).collect()}
+        first = sorted(r.v for r in ledger.first_rows(lines).collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert found == {(name, i): f"{name}{i}" for name, size in (("a", 900), ("b", 1), ("c", 400)) for i in range(size)}
+    assert first == ["a0", "b0", "c0"]
