@@ -6,7 +6,7 @@ import importlib
 
 from sluicework.catalog.core import Query
 
-MODULES = ("pipelines", "messages", "extracts", "quality", "records", "retries", "monitoring", "landed", "streams")
+MODULES = ("pipelines", "messages", "extracts", "quality", "records", "retries", "monitoring", "landed", "streams", "planning")
 
 
 def _catalogs():

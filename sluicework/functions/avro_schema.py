@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from sluicework.session import read_text
+
 # Avro primitive names and the Spark types that carry them.
 PRIMITIVES = {
     "null": T.NullType(),
@@ -95,7 +98,9 @@ def struct_from_avro(text: str) -> T.StructType:
 
 
 def struct_from_avsc(location: str, name: str | None = None) -> T.StructType:
-    """Read ``location`` (or ``location/name.avsc``) and convert it."""
+    """Read ``location`` (or ``location/name.avsc``), on any file system of the session, and convert it."""
     path = f"{location}/{name}.avsc" if name else location
-    with open(path, encoding="utf-8") as handle:
-        return struct_from_avro(handle.read())
+    text = read_text(SparkSession.active(), path)
+    if text is None:
+        raise FileNotFoundError(path)
+    return struct_from_avro(text)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicework.plans.runner import run_batch
+
 
 def missing_days(target: DataFrame, date_column: str, today: Column | None = None) -> DataFrame:
     """Days after the last loaded one, through yesterday (``load_date``)."""
@@ -46,3 +48,15 @@ def backfill(
     for day in days:
         run({"date": day.isoformat()})
     return days
+
+
+def backfill_batch(
+    spark: SparkSession, config: str | Mapping, enable: str | Mapping, target: DataFrame, date_column: str,
+    only: str | None = None, until: str | None = None, variables: Mapping[str, str] | None = None, log_path: str | None = None,
+) -> list[date]:
+    """Run the enabled pipelines of a specification once per missing day; each run gets the day as ``#date``.
+
+    Days follow the last one of ``target`` up to the day before ``until`` (today).  A failing day ends the backfill.
+    """
+    end = requested_day(until) if until is not None else None
+    return backfill(lambda day: run_batch(spark, config, enable, {**(variables or {}), **day}, log_path), target, date_column, only, end)

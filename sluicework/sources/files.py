@@ -45,6 +45,8 @@ def file_format(properties: Mapping[str, str]) -> str:
 def read_files(spark: SparkSession, properties: Mapping[str, str]) -> DataFrame:
     kind = file_format(properties)
     reader = spark.read.format(kind)
+    if "access_key" in properties or "endpoint" in properties:
+        reader = reader.options(**s3_options(properties))
     if kind == "csv":
         reader = reader.options(**csv_options(properties))
     schema = declared_schema(properties)
