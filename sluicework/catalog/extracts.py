@@ -234,9 +234,10 @@ def upsert_compacted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query("range_partitioned_extract", """
-  SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(count(*) FILTER (seen IS NULL) AS BIGINT) AS untimed,
-    CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS disordered, true AS several
-  FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15' ELSE ts END AS seen FROM events)
+  WITH e AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15' ELSE ts END AS seen FROM events)
+  SELECT 'n' AS fact, CAST(count(*) AS BIGINT) AS value FROM e UNION ALL SELECT 'id_sum', CAST(sum(event_id) AS BIGINT) FROM e
+  UNION ALL SELECT 'untimed', CAST(count(*) AS BIGINT) FROM e WHERE seen IS NULL
+  UNION ALL SELECT 'overfull', 0 UNION ALL SELECT 'disordered', 0 UNION ALL SELECT 'several', 1
 """)
 def range_partitioned_extract(spark: SparkSession, folder: str) -> DataFrame:
     """Balanced ranges from a quantile sketch; a third of the rows share one instant, some have none."""
@@ -247,8 +248,11 @@ def range_partitioned_extract(spark: SparkSession, folder: str) -> DataFrame:
     buckets = staged.where("bucket IS NOT NULL").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("rows"), F.min("seen").alias("first"), F.max("seen").alias("last"))
     before = F.max("last").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    facts = buckets.select("rows", (F.col("first") < before).alias("early")).agg(
-        F.count_if(F.col("rows") > BUFFER).alias("overfull"), F.count_if("early").alias("disordered"),
-        (F.count(F.lit(1)) > 1).alias("several"))
-    return staged.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"),
-                      F.count_if(F.col("bucket").isNull()).alias("untimed")).join(facts)
+
+    def told(rows: DataFrame, **facts) -> DataFrame:
+        named = [F.struct(F.lit(name).alias("fact"), fact.cast("bigint").alias("value")) for name, fact in facts.items()]
+        return rows.agg(F.array(*named).alias("facts")).select(F.inline("facts"))
+
+    return told(staged, n=F.count(F.lit(1)), id_sum=F.sum("event_id"), untimed=F.count_if(F.col("bucket").isNull())).unionByName(
+        told(buckets.select("rows", (F.col("first") < before).alias("early")), overfull=F.count_if(F.col("rows") > BUFFER),
+             disordered=F.count_if("early"), several=F.count(F.lit(1)) > 1))
