@@ -26,7 +26,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -43,9 +45,9 @@ SLICE_PAIRS = 1_000_000
 # A pair of ids as one number.
 SHIFT = 32
 # Stretches of text a worker remembers the tokens of; beyond it the memory starts anew, results do not change.
-REMEMBERED = 200_000
-# Where both kinds of vocabulary always cut: before a space that follows anything but white space.
-CUT = re.compile(r"(?<=\S) ")
+REMEMBERED = 400_000
+# Where both kinds of vocabulary always cut: before a space between anything but white space and more text.
+CUT = re.compile(r"(?<=\S) (?!\Z)")
 
 ALIGNED = StructType([
     *(StructField(name, LongType()) for name in ("n_a", "n_b", "n_groups", "n_links")), StructField("groups", StringType()),
@@ -122,26 +124,57 @@ class Encodings:
     def __init__(self, a_file: str, b_file: str) -> None:
         self.a, self.b = ByteLevel(a_file), Pieces(b_file)
         self.cuts = self.a.cuts and self.b.cuts
-        self.known: dict[str, tuple[list[int], list[int]] | None] = {}
+        self.sizes = tuple(np.array([len(t) for t in side.bytes], dtype=np.int64) for side in (self.a, self.b))
+        # The ids of a part as bytes of 32-bit numbers, by either tokenizer; parts that one does not give back.
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        self.lost: set[str] = set()
+
+    def together(self, side: int, parts: list[str]) -> list[bytes] | None:
+        """The ids of parts that stand in one text, which is faster than one call for each; None if they do not tile it."""
+        encoder, text = (self.a, self.b)[side], " ".join(parts)
+        ids = np.array(encoder([f" {text}" if side == 0 else text])[0], dtype=np.int32)
+        ends = np.concatenate([[0], np.cumsum(self.sizes[side][ids])])
+        wanted = np.cumsum([len(part.encode()) + 1 for part in parts])
+        stops = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+        if (ends[stops] != wanted).any() or b"".join(map(encoder.bytes.__getitem__, ids.tolist())) != f" {text}".encode():
+            return None
+        data, stops = ids.tobytes(), (4 * stops).tolist()
+        return [data[start:stop] for start, stop in zip([0, *stops], stops, strict=False)]
 
     def learn(self, parts: set[str]) -> None:
-        new = list(parts - self.known.keys())
-        for part, ids_a, ids_b in zip(new, self.a([f" {p}" for p in new]), self.b(new), strict=True):
+        new = list(parts - self.known_a.keys())
+        # A cut divides these from what follows.
+        inner = [part for part in new if self.cuts and part and not part[-1].isspace() and "▁" not in part]
+        found = [self.together(side, inner) if inner else None for side in (0, 1)]
+        if found[0] is not None and found[1] is not None:
+            self.known_a.update(zip(inner, found[0], strict=True))
+            self.known_b.update(zip(inner, found[1], strict=True))
+            new = list(parts - self.known_a.keys())
+        for part, ids_a, ids_b in zip(new, self.a([f" {part}" for part in new]), self.b(new), strict=True):
             source = f" {part}".encode()
-            true = b"".join([self.a.bytes[i] for i in ids_a]) == source == b"".join([self.b.bytes[i] for i in ids_b])
-            self.known[part] = (ids_a, ids_b) if true else None
-
-    def __call__(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+            if not b"".join([self.a.bytes[i] for i in ids_a]) == source == b"".join([self.b.bytes[i] for i in ids_b]):
+                self.lost.add(part)
+            self.known_a[part], self.known_b[part] = array("i", ids_a).tobytes(), array("i", ids_b).tobytes()
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if len(self.known_a) > REMEMBERED:
+            self.known_a.clear()
+            self.known_b.clear()
+            self.lost.clear()
         cut = [(CUT.split(text) if self.cuts else [text]) if text else [] for text in texts]
         self.learn(set(chain.from_iterable(cut)))
         for parts in cut:
-            ids = [self.known[part] for part in parts]
-            if None in ids:
-                yield [], []
-            else:
-                yield list(chain.from_iterable([a for a, _ in ids])), list(chain.from_iterable([b for _, b in ids]))
+            if self.lost and not self.lost.isdisjoint(parts):
+                parts = []
+            yield tuple(np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype=np.int32)
+                        for known in (self.known_a, self.known_b))
+
+
+@lru_cache(maxsize=1)
+def shared_encodings(a_file: str, b_file: str) -> Encodings:
+    """One pair of encoders for all tasks a worker runs, so that what it has learnt stays."""
+    return Encodings(a_file, b_file)
 
 
 def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int]]:
@@ -182,14 +215,14 @@ def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int,
 
 
 def align_ids(
-    ids_a: list[int], ids_b: list[int], sizes_a: list[int], sizes_b: list[int], names_a: list[str], names_b: list[str],
+    ids: tuple[np.ndarray, np.ndarray], sizes: tuple[np.ndarray, np.ndarray], names_a: list[str], names_b: list[str],
 ) -> tuple[int, str, list[int], list[int]]:
     """(groups, the groups as text, the A id and the B id of every link) of two encodings of the same bytes.
 
     Names of B's ids start with a bar.
     """
-    ends_a = np.cumsum([sizes_a[i] for i in ids_a]).tolist()
-    ends_b = np.cumsum([sizes_b[i] for i in ids_b]).tolist()
+    ids_a, ids_b = (x.tolist() for x in ids)
+    ends_a, ends_b = (np.cumsum(size[x]).tolist() for size, x in zip(sizes, ids, strict=True))
     told: list[str] = []
     left: list[int] = []
     right: list[int] = []
@@ -199,22 +232,18 @@ def align_ids(
             told += [names_a[x] + names_b[y] for x, y in zip(in_a, in_b)]  # noqa: B905
             left += in_a
             right += in_b
-            continue
-        told.append(f"{','.join([names_a[x] for x in in_a])}|{','.join([names_b[y][1:] for y in in_b])}")
-        if len(in_b) == 1:
+        elif b_stop - b == 1:
+            told.append(",".join([names_a[x] for x in in_a]) + names_b[in_b[0]])
             left += in_a
             right += in_b * len(in_a)
-            continue
-        if len(in_a) == 1:
-            left += in_a * len(in_b)
-            right += in_b
-            continue
-        while a < a_stop:
-            left.append(ids_a[a])
-            right.append(ids_b[b])
-            end_a, end_b = ends_a[a], ends_b[b]
-            a += end_a <= end_b
-            b += end_b <= end_a
+        else:
+            told.append(f"{','.join([names_a[x] for x in in_a])}|{','.join([names_b[y][1:] for y in in_b])}")
+            while a < a_stop:
+                left.append(ids_a[a])
+                right.append(ids_b[b])
+                end_a, end_b = ends_a[a], ends_b[b]
+                a += end_a <= end_b
+                b += end_b <= end_a
     return len(told), ";".join(told), left, right
 
 
@@ -236,9 +265,8 @@ def align(df: DataFrame, column: str, a_file: str, b_file: str, output: str = "a
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encodings = Encodings(a_file, b_file)
-        sizes_a, sizes_b = [len(t) for t in encodings.a.bytes], [len(t) for t in encodings.b.bytes]
-        names_a, names_b = [str(i) for i in range(len(sizes_a))], [f"|{i}" for i in range(len(sizes_b))]
+        encodings = shared_encodings(a_file, b_file)
+        names_a, names_b = ([f"{bar}{i}" for i in range(len(size))] for bar, size in zip(("", "|"), encodings.sizes, strict=True))
         # A slice belongs to one task: its number is the task's and a running one.
         number, held = TaskContext.get().partitionId() << 32, 0
         for whole in batches:
@@ -246,11 +274,11 @@ def align(df: DataFrame, column: str, a_file: str, b_file: str, output: str = "a
                 batch = whole.slice(start, SLICE_ROWS)
                 texts = [t or "" for t in batch.column(place).to_pylist()]
                 counts, told, pairs, times = [], [], [], []
-                for ids_a, ids_b in encodings(texts):
-                    groups, text_of, left, right = align_ids(ids_a, ids_b, sizes_a, sizes_b, names_a, names_b)
+                for ids in encodings(texts):
+                    groups, text_of, left, right = align_ids(ids, encodings.sizes, names_a, names_b)
                     found, often = np.unique(
                         np.array(left, dtype=np.int64) << SHIFT | np.array(right, dtype=np.int64), return_counts=True)
-                    counts.append((len(ids_a), len(ids_b), groups, len(left)))
+                    counts.append((len(ids[0]), len(ids[1]), groups, len(left)))
                     told.append(text_of)
                     pairs.append(found)
                     times.append(often)
