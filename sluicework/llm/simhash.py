@@ -15,7 +15,10 @@ pairs of codeword indices of neighbouring segments, and texts that share a key
 join the first text of the key within a threshold of bits.  Every pair is then
 verified on the sets of shingles.  The fingerprints miss some pairs, so an exact
 prefix join proposes all other pairs between the components found, which are
-verified alike.
+verified alike.  Before a pair is proposed or its sets are sent, the parities of the
+two sets (for each of 128 classes of hashes, whether a set holds an odd number) are
+compared: sets differ in at least as many shingles as their parities do in bits, so
+texts that are only half alike are dropped early and none that is near.
 
 Defined results: a null text is the empty text; a text without words has
 fingerprint zero and is linked like any other; one with fewer words than a
@@ -31,8 +34,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyarrow import dataset as arrow_dataset
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
@@ -40,7 +41,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from sluicework.llm import golay
 from sluicework.llm.common import fresh, map_slices, regrouped, texts_of
 from sluicework.llm.components import components
-from sluicework.session import shared_dir, ship_package, through_storage
+from sluicework.session import ship_package, through_storage
 
 SEED = 42
 # Odd constants that turn one hash into independent lanes.
@@ -208,7 +209,7 @@ def with_components(df: DataFrame, key: str, output: str = "component_id") -> Da
 # -- near copies -------------------------------------------------------------------------------------------------------
 
 LANES = 4
-SEGMENT_PAIRS = 5
+SEGMENT_PAIRS = 2
 # Differing bits of the two compared lanes: shingle sets of similarity 0.8 differ in 19.5 of 128 bits, give or take 4.
 NEAR_BITS = 24
 # The least Jaccard similarity of near copies, as a fraction.
@@ -217,6 +218,10 @@ NEAR = (4, 5)
 SAMPLE, OFTEN = 20_000, 10
 # Above this many rows of a key, the key's largest component is not compared with itself.
 WIDE = 256
+# Bits of a shingle's hash that are shipped to find common ones; chance meetings only cost a comparison.
+KEY_MASK = (1 << 40) - 1
+# A set's size and a place in it, as one number that sorts by size.
+SIZE = 32
 
 
 def pair_keys(lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -338,8 +343,14 @@ def rare_first(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.
     return hashes[np.lexsort((hashes, np.where(common[0][place] == hashes, common[1][place], 0)))]
 
 
+def parity_of(hashes: np.ndarray) -> tuple[int, int]:
+    """Bit i: whether a set has an odd number of hashes whose top seven bits are i."""
+    odd = np.bincount((hashes >> np.uint64(57)).astype(np.int64), minlength=128) & 1
+    return tuple(np.packbits(odd.astype(bool)).view("<i8").tolist())
+
+
 def near_prints(docs: DataFrame, shingle: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(id, node, fingerprint, size, prefix): of each row of (id, node, text) its set's size and rarest hashes.
+    """(id, node, fingerprint, size, even, odd, prefix): of each row of (id, node, text) its set's size, parity and rarest hashes.
 
     Two sets of the wanted similarity share one of the n - ceil(0.8 n) + 1 rarest hashes of either.
     """
@@ -351,14 +362,16 @@ def near_prints(docs: DataFrame, shingle: int, common: tuple[np.ndarray, np.ndar
                         if len(h) else np.zeros(1, np.int64) for h in sets]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([majority(h, LANES) for h in sets], pa.list_(pa.int64())),
-                 pa.array([len(h) for h in sets], pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                ["id", "node", "fingerprint", "size", "prefix"])
+                 pa.array([len(h) for h in sets], pa.int64()),
+                 *(pa.array(half, pa.int64()) for half in (zip(*map(parity_of, sets), strict=True) if sets else ([], []))),
+                 pa.array(prefixes, pa.list_(pa.int64()))],
+                ["id", "node", "fingerprint", "size", "even", "odd", "prefix"])
 
         return work
 
     kind = docs.schema["id"].dataType.simpleString()
     return map_slices(docs.select("id", "node", "text"),
-                      f"id {kind}, node long, fingerprint array<long>, size long, prefix array<long>", start)
+                      f"id {kind}, node long, fingerprint array<long>, size long, even long, odd long, prefix array<long>", start)
 
 
 def reaching(own, other, own_at, other_at) -> np.ndarray:
@@ -367,7 +380,14 @@ def reaching(own, other, own_at, other_at) -> np.ndarray:
     return (a + b) * np.minimum(own - own_at, other - other_at) >= a * (own + other)
 
 
-def cross_pairs(key, node, comp, size, at) -> tuple[np.ndarray, np.ndarray]:
+def alike(own, other, evens, odds) -> np.ndarray:
+    """Whether sets of these sizes with these pairs of parities can have the wanted similarity."""
+    a, b = NEAR
+    differ = sum(np.bitwise_count((x ^ y).view(np.uint64)).astype(np.int64) for x, y in (evens, odds))
+    return (a + b) * differ <= (b - a) * (own + other)
+
+
+def cross_pairs(key, node, comp, size, at, even, odd) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of nodes of one key and two components that can be similar; rows are sorted by key and size."""
     none = np.zeros(0, dtype=np.int64)
     if not len(key):
@@ -387,6 +407,7 @@ def cross_pairs(key, node, comp, size, at) -> tuple[np.ndarray, np.ndarray]:
             low, high = np.minimum(size[others], size[row]), np.maximum(size[others], size[row])
             good = (NEAR[0] * high <= NEAR[1] * low) & (comp[others] != comp[row])
             good &= reaching(size[row], size[others], at[row], at[others])
+            good &= alike(size[row], size[others], (even[others], even[row]), (odd[others], odd[row]))
             pairs.append((np.full(good.sum(), row), others[good]))
     rows = np.flatnonzero(np.repeat(mixed_comps & (counts <= WIDE), counts))
     left, step = rows, 1
@@ -396,6 +417,7 @@ def cross_pairs(key, node, comp, size, at) -> tuple[np.ndarray, np.ndarray]:
         near = (key[left] == key[other]) & (NEAR[0] * size[other] <= NEAR[1] * size[left])
         left, other = left[near], other[near]
         good = (comp[left] != comp[other]) & reaching(size[left], size[other], at[left], at[other])
+        good &= alike(size[left], size[other], (even[left], even[other]), (odd[left], odd[other]))
         pairs.append((left[good], other[good]))
         step += 1
     a, b = (node[np.concatenate(x)] for x in zip(*pairs, strict=True))
@@ -404,25 +426,33 @@ def cross_pairs(key, node, comp, size, at) -> tuple[np.ndarray, np.ndarray]:
 
 
 def missing_links(prints: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b): all pairs of nodes in two components of ``roots`` whose prefixes allow the wanted similarity."""
-    named = prints.dropDuplicates(["node"]).join(roots, "node", "left").select("node", "root", "size", "prefix")
+    """(a, b): all pairs of nodes in two components of ``roots`` whose prefixes and parities allow the wanted similarity."""
+    named = prints.join(roots, "node", "left").select("node", "root", "size", "prefix", "even", "odd")
+    names = ["key", "node", "root", "sized", "even", "odd"]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Equal texts give equal rows; a task gives them once.
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
+                nodes = part.column(0).to_pylist()
+                part = part.take(pa.array([i for i, n in enumerate(nodes) if not (n in seen or seen.add(n))], pa.int64()))
                 long = part.column(3).value_lengths().to_numpy()
-                row = pa.array(np.repeat(np.arange(part.num_rows), long))
+                row = np.repeat(np.arange(part.num_rows), long)
                 place = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+                sizes = part.column(2).to_numpy()[row] << SIZE | place
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(3).flatten(), *(part.column(i).take(row) for i in range(3)), pa.array(place)],
-                    ["key", "node", "root", "size", "at"])
+                    [pa.array(part.column(3).flatten().to_numpy() & KEY_MASK), *(part.column(i).take(pa.array(row)) for i in range(2)),
+                     pa.array(sizes), *(part.column(i).take(pa.array(row)) for i in (4, 5))], names)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def given(rows: list[np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cross_pairs(*rows)], ["a", "b"])
+            key, node, comp, sized, even, odd = rows
+            found = cross_pairs(key, node, comp, sized >> SIZE, sized & ((1 << SIZE) - 1), even, odd)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
 
-        held = [np.zeros(0, dtype=np.int64)] * 5
+        held = [np.zeros(0, dtype=np.int64)] * 6
         for batch in regrouped(batches, 32_768):
             batch = batch.set_column(2, "root", pc.coalesce(batch.column(2), batch.column(1)))
             held = [np.concatenate([c, batch.column(i).to_numpy()]) for i, c in enumerate(held)]
@@ -433,42 +463,31 @@ def missing_links(prints: DataFrame, roots: DataFrame) -> DataFrame:
                 held = [x[cut:] for x in held]
         yield given(held)
 
-    rows = "key long, node long, root long, size long, at long"
-    return named.mapInArrow(spread, rows).repartition("key").sortWithinPartitions("key", "size").mapInArrow(
+    rows = ", ".join(f"{name} long" for name in names)
+    return named.mapInArrow(spread, rows).repartition("key").sortWithinPartitions("key", "sized").mapInArrow(
         gather, "a long, b long").distinct()
 
 
-def nodes_in(folder: str) -> np.ndarray:
-    """Sorted nodes of a stored table."""
-    files, root = arrow_fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (
-        arrow_fs.LocalFileSystem(), folder)
-    found = arrow_dataset.dataset(root, filesystem=files, format="parquet").to_table(columns=["node"])
-    return np.unique(found.column("node").to_numpy())
-
-
-def verified(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+def verified(docs: DataFrame, prints: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """The (a, b) pairs of nodes of (node, text) whose shingle sets have a Jaccard similarity of 0.8 or more."""
-    pairs = through_storage(pairs.where("a <> b").select("a", "b"), "pairs")
-    folder = shared_dir(docs.sparkSession, "nodes")
-    pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().write.parquet(folder)
+    facts = prints.select("node", "size", "even", "odd").dropDuplicates(["node"])
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(*[F.col(name).alias(f"{side}_{name}") for name in facts.columns]), F.col(side) == F.col(f"{side}_node"))
+    differ = sum((F.bit_count(F.col(f"a_{half}").bitwiseXOR(F.col(f"b_{half}"))) for half in ("even", "odd")), F.lit(0))
+    can_be = (NEAR[0] + NEAR[1]) * differ <= (NEAR[1] - NEAR[0]) * (F.col("a_size") + F.col("b_size"))
+    pairs = through_storage(pairs.where((F.col("a") != F.col("b")) & can_be).select("a", "b"), "pairs")
+    nodes = through_storage(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
 
     def start():
-        wanted = nodes_in(folder)
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            node = batch.column(0).to_numpy()
-            if len(wanted):
-                place = np.minimum(np.searchsorted(wanted, node), len(wanted) - 1)
-                batch = batch.take(pa.array(np.flatnonzero(wanted[place] == node)))
-            else:
-                batch = batch.slice(0, 0)
             sets = [set_maker(shingle)(text).view(np.int64) for text in texts_of(batch, 1)]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
 
         return work
 
-    sets = map_slices(docs.select("node", "text"), "node long, set array<long>", start).dropDuplicates(["node"])
-    sets = through_storage(sets, "sets")
+    # Both sides of the join below read one shuffle of the sets.
+    wanted = docs.select("node", "text").join(nodes, "node", "left_semi")
+    sets = map_slices(wanted, "node long, set array<long>", start).dropDuplicates(["node"])
     own = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
     other = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
     shared, a, b = F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y")
@@ -487,9 +506,8 @@ def near_groups(df: DataFrame, key: str, column: str = "text", shingle: int = 5)
     prints = through_storage(near_prints(docs, shingle, common_shingles(docs, shingle)), "prints")
     reps = prints.groupBy("fingerprint").agg(F.min("node").alias("rep"))
     equal = prints.join(reps, "fingerprint").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    near = verified(docs, near_links(reps).union(equal), shingle)
-    roots = components(near)
-    more = verified(docs, missing_links(prints, roots), shingle)
+    near = verified(docs, prints, near_links(reps).union(equal), shingle)
+    more = verified(docs, prints, missing_links(prints, components(near)), shingle)
     roots = components(near.union(more))
     named = prints.select("id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = through_storage(named.select("id", "node", "root").distinct(), "named")
@@ -509,7 +527,12 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     gone = groups.where(~same).select(F.col("id").alias("gone_key"), F.col("node").alias("gone_node"))
     nth, node = fresh("nth", docs.columns), fresh("node", docs.columns)
     named = docs.withColumn(node, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    left = named.join(
-        gone, (F.col(node) == F.col("gone_node")) & F.col(key).eqNullSafe(F.col("gone_key")), "left_anti")
+    kept = named.join(gone, (F.col(node) == F.col("gone_node")) & F.col(key).eqNullSafe(F.col("gone_key")), "left_anti")
+    # Only rows of which there are several are numbered, so texts do not move for the others.
+    several = kept.groupBy(F.col(node).alias("gone_node"), F.col(key).alias("gone_key")).agg(F.count(F.lit(1)).alias("n")).where(
+        "n > 1").drop("n")
+    repeated = through_storage(several, "repeated")
+    same = (F.col(node) == F.col("gone_node")) & F.col(key).eqNullSafe(F.col("gone_key"))
     order = Window.partitionBy(node, key).orderBy(F.lit(1))
-    return left.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)
+    first = kept.join(repeated, same, "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
+    return kept.join(repeated, same, "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))

@@ -406,15 +406,30 @@ def test_crowded_keys_give_the_same_pairs(monkeypatch):
     rows = sorted((draw.randrange(6), draw.randrange(50, 90), draw.randrange(30), k) for k in range(300))
     key, size, at, node = (np.array(x) for x in zip(*rows, strict=True))
     comp = np.where(node % 3 > 0, 0, node)
+    even, odd = (np.array([draw.getrandbits(63) & draw.getrandbits(63) & draw.getrandbits(63) for _ in rows]) for _ in range(2))
+    differ = lambda i, j: int(even[i] ^ even[j]).bit_count() + int(odd[i] ^ odd[j]).bit_count()
+    even[:200] = odd[:200] = 0
     pairs = {(min(a, b), max(a, b)) for i, a in enumerate(node.tolist()) for j, b in enumerate(node.tolist())
-             if i < j and key[i] == key[j] and comp[i] != comp[j] and 4 * max(size[i], size[j]) <= 5 * min(size[i], size[j])
+             if i < j and 9 * differ(i, j) <= size[i] + size[j] and key[i] == key[j] and comp[i] != comp[j] and 4 * max(size[i], size[j]) <= 5 * min(size[i], size[j])
              and 9 * min(size[i] - at[i], size[j] - at[j]) >= 4 * (size[i] + size[j])}
     for wide in (2, 10**6):
         monkeypatch.setattr(simhash, "WIDE", wide)
-        a, b = simhash.cross_pairs(key, node, comp, size, at)
+        a, b = simhash.cross_pairs(key, node, comp, size, at, even, odd)
         assert set(zip(a.tolist(), b.tolist(), strict=True)) == pairs and len(a) == len(pairs)
 
 
+def test_parities_bound_how_far_sets_differ():
+    import random
+
+    draw = random.Random(4)
+    for _ in range(200):
+        common = {draw.getrandbits(64) for _ in range(draw.randrange(300))}
+        sets = [common | {draw.getrandbits(64) for _ in range(draw.randrange(60))} for _ in range(2)]
+        (a, b), (c, d) = (simhash.parity_of(np.array(sorted(s), dtype=np.uint64)) for s in sets)
+        differ = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in ((a, c), (b, d)))
+        assert differ <= len(sets[0] ^ sets[1])
+
+
 def test_rows_go_by_key_and_text(spark):
     """Rows that share a key stay apart; rows without a key are near copies like others."""
     words = [f"w{i}" for i in range(300)]
