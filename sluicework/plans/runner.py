@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from sluicework.operators import activity  # noqa: F401  registers its hook
 from sluicework.plans import runlog
 from sluicework.plans.hooks import apply_hook
 from sluicework.plans.spec import (
