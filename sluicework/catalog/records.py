@@ -224,8 +224,9 @@ def norm_mistyped(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(',"crm_status":{"matched_to":"lead","lead":{"crm_id":"l'), key,
         F.lit('","email":"x@example.com","parent_account_crm_id":"p'), F.col("o_custkey").cast("string"), F.lit('"}}}'))
     good = activity.good_records(activity.parse_records(table(spark, folder, "orders").select(line.alias("value"))))
-    return activity.all_table(good, LOADED_AT).select("uid", "subject", "duration").join(
-        activity.crm_table(good).select("uid", "matched_to", "crm_id", "email", "parent_account_crm_id"), "uid")
+    return activity.by_uid(
+        activity.all_table(good, LOADED_AT).select("uid", "subject", "duration"),
+        activity.crm_table(good).select("uid", "matched_to", "crm_id", "email", "parent_account_crm_id"))
 
 
 @CATALOG.query("cost_flatten", """

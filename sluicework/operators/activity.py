@@ -233,6 +233,15 @@ def one_table(tagged: DataFrame, table: str) -> DataFrame:
     return tagged.filter(F.col("table") == table).select(*TABLES[table])
 
 
+def by_uid(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of two tables of the same records, joined on ``uid``.
+
+    Both sides grow with the records, but Spark takes parsed JSON for much smaller than it is and would send one
+    side whole through the driver; both are sorted instead.
+    """
+    return left.join(right.hint("merge"), "uid")
+
+
 def override_or_default(override: str, default: str) -> Column:
     """The override, unless it is null or zero."""
     return F.coalesce(F.nullif(F.col(override), F.lit(0).cast("double")), F.col(default))
@@ -262,7 +271,7 @@ def activity_fact(
     reps = users.select(
         F.col("user_id").alias("rep_id"), F.col("user_name").alias("rep_name"), F.col("username").alias("participant_email"))
     owners = users.select(F.col("user_id").alias("account_owner_id"), F.col("user_name").alias("account_owner_name"))
-    joined = lookup_join(internal, recent.join(owned, "uid"), ["uid"])
+    joined = by_uid(internal, by_uid(recent, owned))
     joined = lookup_join(joined, accounts, ["account_id"])
     joined = lookup_join(joined, reps, ["participant_email"], "left")
     joined = lookup_join(joined, owners, ["account_owner_id"], "left")

@@ -4,6 +4,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from conftest import explained, rows
+from sluicework.catalog.records import CATALOG
 from sluicework.operators import activity, costs, enrich, meeting
 
 FULL = {
@@ -142,3 +143,13 @@ def test_one_pass_gives_the_tables_of_five(spark):
     plan = explained(tagged)
     # One node parses; the tree and the details below it name it once each.
     assert plan.count("from_json") <= 2 and plan.count("Exchange") == 0
+
+
+def test_tables_of_records_are_joined_without_sending_one_whole(spark, tmp_path):
+    # Few rows, which Spark would broadcast by their size alone; a repeated and a null key keep their meaning.
+    spark.createDataFrame([(1, 7, "HIGH"), (2, 8, "LOW"), (2, 9, "LOW"), (None, 5, "LOW")],
+                          "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    found = CATALOG.queries["norm_mistyped"](spark, str(tmp_path))
+    assert "Broadcast" not in explained(found)
+    assert rows(found, "uid", "duration", "parent_account_crm_id") == [
+        ("u1", None, "p7"), ("u2", 2, "p8"), ("u2", 2, "p8"), ("u2", 2, "p9"), ("u2", 2, "p9")]
