@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -215,22 +216,26 @@ def time_cuts(df: DataFrame, column: str, buffer_size: int, max_ranges: int = MA
 def range_of(at: Column, cuts: list[int]) -> Column:
     """The range a time falls into: the number of cuts not after it; rows at a repeated cut are dealt over its ranges.
 
-    Two looks of about sqrt(n) steps: among every step-th cut first, then between two of those.
+    The different cuts are searched once by halving, in about log2(n) looks.
     """
-    step = max(1, int(len(cuts) ** 0.5))
-    blocks = F.array(*[F.lit(c) for c in cuts[step - 1::step]]) if cuts[step - 1::step] else F.array().cast("array<bigint>")
-    listed = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-
-    def counted(below) -> Column:
-        block = F.size(F.filter(blocks, below))
-        return block * step + F.size(F.filter(F.slice(listed, block * step + 1, F.lit(step)), below))
-
-    last = counted(lambda cut: cut <= at)
-    if len(set(cuts)) == len(cuts):
-        return last
-    first = counted(lambda cut: cut < at)
-    dealt = first + 1 + F.pmod(F.monotonically_increasing_id(), F.greatest(last - first, F.lit(1)))
-    return F.when(last - first > 1, dealt).otherwise(last)
+    different = sorted(set(cuts))
+    listed, counts = (F.array(*[F.lit(n) for n in numbers]).cast("array<bigint>") for numbers in (
+        different, [0, *(bisect_right(cuts, cut) for cut in different)]))
+    halves = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(different).bit_length()))]).cast("array<int>")
+
+    def look(found: Column, step: Column) -> Column:
+        # Past the end there is no cut, and null is not below anything.
+        return found + F.when(F.get(listed, found + step - 1) <= at, step).otherwise(0)
+
+    def told(found: Column) -> Column:
+        last = F.get(counts, found)
+        if len(different) == len(cuts):
+            return last
+        first = F.get(counts, found - 1)
+        dealt = first + 1 + F.pmod(F.monotonically_increasing_id(), last - first)
+        return F.when((F.get(listed, found - 1) == at) & (last - first > 1), dealt).otherwise(last)
+
+    return F.aggregate(halves, F.lit(0), look, told)
 
 
 def range_partitioned_extract(df: DataFrame, column: str, buffer_size: int, stage_path: str) -> DataFrame:

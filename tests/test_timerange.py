@@ -1,3 +1,4 @@
+from bisect import bisect_right
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -200,6 +201,20 @@ def test_ranges_of_cuts(spark):
     assert [r.r for r in spark.range(3).select(timerange.range_of(F.col("id"), []).alias("r")).collect()] == [0, 0, 0]
 
 
+def test_many_cuts_are_searched_once_by_halving(spark):
+    cuts = sorted([*range(0, 8000, 2), *[4000] * 7])
+    found = timerange.range_of(F.col("id"), cuts)
+    # One walk over the halvings, not one over blocks of cuts for each use of the result.
+    plan = spark.range(1).select(found.alias("r"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("aggregate(") == 1 and "filter(" not in plan
+    got = spark.range(-3, 8003).select("id", found.alias("r")).collect()
+    assert all(row.r == bisect_right(cuts, row.id) for row in got if row.id != 4000)
+    dealt = spark.range(4000).select(timerange.range_of(F.lit(4000), cuts).alias("r"))
+    assert {row.r for row in dealt.distinct().collect()} == set(range(2001, 2009))
+    none = spark.range(1).select(timerange.range_of(F.lit(None).cast("bigint"), cuts).alias("r"))
+    assert [row.r for row in none.collect()] == [0]
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
 def test_range_extract_of_other_types_nulls_and_no_rows(spark, tmp_path, kind):
     df = spark.range(50).selectExpr("id", f"CAST(IF(id % 5 = 0, NULL, TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id AS INT))) AS {kind}) AS at")
