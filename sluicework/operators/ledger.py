@@ -14,6 +14,8 @@ from sluicework.session import path_exists
 
 LEDGER_SCHEMA = "guid STRING, extract_date DATE, file_name STRING, received_at TIMESTAMP, pushed_at TIMESTAMP"
 SUFFIXES = (".csv", ".csv.done")
+# Tasks of a batch for each core, at most: what tasks tell the driver must not grow with the number of splits.
+TASKS_PER_CORE = 8
 
 
 def accepted(files: DataFrame, prefixes: Sequence[str], column: str = "file_name") -> DataFrame:
@@ -94,7 +96,9 @@ def ingest_batch(batch: DataFrame, header_map: Mapping[str, str], prefixes: Sequ
     last: files count as known once their messages are written.
     """
     spark = batch.sparkSession
-    batch = batch.withColumn("_nth", F.monotonically_increasing_id()).persist()
+    # Files may be cut into any number of splits; rows are numbered by split, then a task takes many small ones.
+    batch = batch.withColumn("_nth", F.monotonically_increasing_id()).coalesce(
+        TASKS_PER_CORE * spark.sparkContext.defaultParallelism).persist()
     try:
         names = accepted(batch.select("file_name"), prefixes).distinct()
         if path_exists(spark, ledger_path):

@@ -276,3 +276,16 @@ def test_a_late_start_reads_from_the_earliest_row_once(spark, tmp_path):
     assert ask(2, day - 20 * unit) == [(day, day + unit)]
     assert LateStart(spark, str(tmp_path / "other"), False).bounds(0, day, day + unit, 7, unit, lambda end: None) == [(day, day + unit)]
     assert tiles(day, day, 7, unit) == []
+
+
+def test_tasks_of_an_ingest_do_not_grow_with_the_splits(spark, tmp_path):
+    messages, book = str(tmp_path / "messages"), str(tmp_path / "book")
+    batch = spark.range(0, 1200, 1, 300).selectExpr(
+        "CAST(id AS STRING) AS Name", "concat('m-', id % 3, '.csv') AS file_name", "id AS _row_start")
+    ledger.ingest_batch(batch, {"Name": "n"}, ["m-"], book, messages, "0-q")
+    found = spark.read.parquet(messages)
+    assert found.count() == 1200
+    assert len(found.inputFiles()) <= 8 * spark.sparkContext.defaultParallelism
+    first = str(tmp_path / "first")
+    ledger.ingest_batch(batch, {"Name": "n"}, ["m-"], str(tmp_path / "book2"), first, "0-q", first_row_only=True)
+    assert rows(spark.read.parquet(first), "value") == [('{"n":"0"}',), ('{"n":"1"}',), ('{"n":"2"}',)]
