@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from conftest import SF, explained
+from conftest import SF, explained, rows
 from sluicework import catalog
 from sluicework.catalog import fixtures, streams
 from sluicework.operators import codec, timerange
@@ -63,3 +63,11 @@ def test_range_source_travels_whole(spark, tmp_path):
         "print(list(reader.read(reader.initialOffset())[0]), 'sluicework' in sys.modules)")
     done = subprocess.run([sys.executable, "-c", code, str(blob)], cwd="/tmp", capture_output=True, text=True, timeout=60)
     assert done.stdout.strip().endswith("[('2024-01-01T00:00:00', '2024-01-01T05:00:00')] False"), done.stderr
+
+
+def test_approximate_counts_keep_no_sketch_for_each_value(spark, tmp_path):
+    spark.createDataFrame([("F", 1), ("F", 1), ("F", 2), ("F", None), ("O", None), (None, 3)],
+                          "l_linestatus string, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = catalog.queries()["sql_approx_distinct"](spark, str(tmp_path))
+    assert "merge_approx_count_distinct" not in explained(found)
+    assert rows(found) == sorted([("F", True), ("O", False), (None, True)], key=repr)
