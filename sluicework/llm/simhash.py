@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from sluicework.llm import golay
-from sluicework.llm.common import fresh, map_slices, regrouped, texts_of
+from sluicework.llm.common import fresh, map_slices, regrouped, small_batches, texts_of
 from sluicework.llm.components import components
 from sluicework.session import ship_package, through_storage
 
@@ -214,8 +214,8 @@ SEGMENT_PAIRS = 2
 NEAR_BITS = 24
 # The least Jaccard similarity of near copies, as a fraction.
 NEAR = (4, 5)
-# Texts from which common shingles are taken, about, and how many of them must hold one.
-SAMPLE, OFTEN = 20_000, 10
+# Bits of a shingle's hash that name its cell in the table of counts, and those of them that name a block of the table.
+CELL_BITS, BLOCK_BITS = 20, 6
 # Above this many rows of a key, the key's largest component is not compared with itself.
 WIDE = 256
 # Bits of a shingle's hash that are shipped to find common ones; chance meetings only cost a comparison.
@@ -316,31 +316,50 @@ def set_maker(shingle: int):
     return lambda text: np.unique(shingle_hashes(text, shingle))
 
 
-def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of shingles that many of ``SAMPLE`` texts hold, about, sorted; they only set an order."""
-    step = max(1, docs.count() // SAMPLE)
-    sample = docs.where(F.pmod("node", F.lit(step)) == 0).select("text")
+def cells_of(hashes: np.ndarray) -> np.ndarray:
+    """The cell of the table of counts that each hash falls into."""
+    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    def start():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [set_maker(shingle)(text) for text in texts_of(batch, 0)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64), pa.int64())], ["h"])
 
-        return work
+def cell_counts(docs: DataFrame, shingle: int) -> np.ndarray:
+    """How many texts, of all, hold a shingle of each cell of hashes; the counts only set an order.
+
+    A task counts its texts in a table of bounded size, and tables are added up block by block.
+    """
+    ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
+    wide = 1 << CELL_BITS - BLOCK_BITS
 
-    often = map_slices(sample, "h long", start).groupBy("h").count().where(F.col("count") >= OFTEN).toArrow()
-    hashes, counts = often.column("h").to_numpy().view(np.uint64), often.column("count").to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], counts[order]
+    def block_rows(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for block, held in blocks.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([held.astype("<i8").tobytes()], pa.binary())], ["block", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, held = set_maker(shingle), np.zeros(1 << CELL_BITS, dtype=np.int64)
+        for batch in batches:
+            for text in texts_of(batch, 0):
+                np.add.at(held, cells_of(make(text)), 1)
+        yield from block_rows({at: part for at, part in enumerate(held.reshape(-1, wide)) if part.any()})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held[block] = held.get(block, 0) + np.frombuffer(counts.as_py(), "<i8")
+        yield from block_rows(held)
+
+    rows = "block int, counts binary"
+    # One table of bounded size comes to the driver and goes to the tasks.
+    found = np.zeros(1 << CELL_BITS, dtype=np.int64)
+    for block, counts in docs.select("text").mapInArrow(count, rows).repartition("block").mapInArrow(add, rows).collect():
+        found[block * wide:(block + 1) * wide] = np.frombuffer(counts, "<i8")
+    return found
 
 
-def rare_first(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def rare_first(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """A set in one order that holds for all sets, rare hashes first."""
-    if not len(common[0]):
-        return hashes
-    place = np.minimum(np.searchsorted(common[0], hashes), len(common[0]) - 1)
-    return hashes[np.lexsort((hashes, np.where(common[0][place] == hashes, common[1][place], 0)))]
+    return hashes[np.lexsort((hashes, counts[cells_of(hashes)]))]
 
 
 def parity_of(hashes: np.ndarray) -> tuple[int, int]:
@@ -349,7 +368,7 @@ def parity_of(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.packbits(odd.astype(bool)).view("<i8").tolist())
 
 
-def near_prints(docs: DataFrame, shingle: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def near_prints(docs: DataFrame, shingle: int, counts: np.ndarray) -> DataFrame:
     """(id, node, fingerprint, size, even, odd, prefix): of each row of (id, node, text) its set's size, parity and rarest hashes.
 
     Two sets of the wanted similarity share one of the n - ceil(0.8 n) + 1 rarest hashes of either.
@@ -358,7 +377,7 @@ def near_prints(docs: DataFrame, shingle: int, common: tuple[np.ndarray, np.ndar
     def start():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets = [set_maker(shingle)(text) for text in texts_of(batch, 2)]
-            prefixes = [rare_first(h, common)[:len(h) - -(-NEAR[0] * len(h) // NEAR[1]) + 1].view(np.int64)
+            prefixes = [rare_first(h, counts)[:len(h) - -(-NEAR[0] * len(h) // NEAR[1]) + 1].view(np.int64)
                         if len(h) else np.zeros(1, np.int64) for h in sets]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([majority(h, LANES) for h in sets], pa.list_(pa.int64())),
@@ -503,7 +522,7 @@ def near_groups(df: DataFrame, key: str, column: str = "text", shingle: int = 5)
     """
     text = F.coalesce(F.col(column), F.lit(""))
     docs = df.select(F.col(key).alias("id"), F.xxhash64(text).alias("node"), text.alias("text"))
-    prints = through_storage(near_prints(docs, shingle, common_shingles(docs, shingle)), "prints")
+    prints = through_storage(near_prints(docs, shingle, cell_counts(docs, shingle)), "prints")
     reps = prints.groupBy("fingerprint").agg(F.min("node").alias("rep"))
     equal = prints.join(reps, "fingerprint").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     near = verified(docs, prints, near_links(reps).union(equal), shingle)

@@ -172,3 +172,16 @@ def test_the_filters_lose_no_window():
         assert any(m[0] == 0 for m in matches) == brute_license(words, template)
         places = [i for i in range(len(words)) if words[i:i + 3] == ["c", "d", "e"]]
         assert sorted(m[1] for m in matches if m[0] == 1) == places
+
+
+def test_the_order_of_shingles_counts_every_text(spark):
+    texts = [f"one two three four five {i} {i * 7} {i * 11}" for i in range(200)] + [None, "", "short"]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, node long, text string").repartition(7)
+    counts = simhash.cell_counts(docs, 5)
+    sets = [simhash.set_maker(5)(t or "") for t in texts]
+    assert counts.sum() == sum(map(len, sets))
+    shared = sets[0][np.isin(sets[0], sets[1])]
+    assert len(shared) == 1 and counts[simhash.cells_of(shared)[0]] >= 200
+    for one in sets[:5]:
+        ordered = simhash.rare_first(one, counts)
+        assert sorted(ordered.tolist()) == one.tolist() and ordered[-1] == shared[0]
