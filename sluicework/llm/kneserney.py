@@ -1,19 +1,25 @@
 """An interpolated modified Kneser-Ney model of order 2 or 3 over hashed words.
 
 Counting.  Words are hashed to 48 bits.  Map tasks count distinct bigrams of a
-large stretch of text, sort them and send each reducer one packed block per
-stretch: byte planes of sorted columns, which the shuffle's compression shrinks.
-A reducer adds up its bigrams, keeps them as sorted hash arrays in a file of the
+large stretch of text and send each reducer one block per stretch: the block's
+words, and the bigrams as places among these words, which need far fewer bits than
+hashes.  Columns are sorted, told as differences, cut into byte planes and compressed.
+A reducer adds up its bigrams, keeps them as a hash table in a file of the
 shared folder and passes on, packed alike, what each word and each context gets:
 distinct left neighbours, occurrences, successors seen once, twice or more.  A
-second round adds these up to a table of words, again sorted hash arrays.
+second round adds these up to a table of words.
 With order 3 the blocks hold trigrams, dealt by their last two words, so that a
 reducer also has the distinct left neighbours of each bigram; the second round
-adds up what each context of two words gets.
+adds up what each context of two words gets, and keeps it for contexts that are
+followed more than once: any other bigram has one successor, seen once.
+
+Files.  A table is its sorted hashes: a directory over their highest bits, and 40
+bits of each after those.  A value takes half a byte or one; larger ones are listed
+with their places.
 
 Scoring.  Workers map the files into memory (from a folder that is not on a
 local mount they fetch them once, map them and unlink them) and look bigrams up
-by binary search.  With discounts D1, D2, D3+ from the counts of counts,
+by binary search below the directory.  With discounts D1, D2, D3+ from the counts of counts,
 
     P(w | u) = max(c(uw) - D, 0) / c(u) + g(u) * P(w)
     P(w)     = max(N(.w) - D', 0) / N(..) + g' / (V + 1)
@@ -49,41 +55,72 @@ from sluicework.llm.wordhash import scramble, word_hashes
 from sluicework.session import shared_dir, ship_package
 
 WORD_BITS = np.uint64((1 << 48) - 1)
+WORD_SHIFT = np.uint64(16)
+# Contexts of two words are known by the upper bits of a hash, as many as a table tells apart.
+CONTEXT_SHIFT = np.uint64(8)
+CONTEXT_BITS = np.uint64(~0xFF & (1 << 64) - 1)
 END, START = np.uint64(1), np.uint64(2)
 PAIR, TRIPLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-# Tokens a map task counts at a time.
-STRETCH = 3_000_000
+# Tokens a map task counts at a time, about.
+STRETCH = 4_000_000
+# Bits of a hash that a table keeps after those its directory stands for, and hashes to an entry of the directory.
+REST_BITS, ENTRY_KEYS = 40, 64
 # Bytes of text a reducer's share should stand for.
 SHARE = 24_000_000
 
 
 def pack(columns: list[np.ndarray]) -> bytes:
-    """Equal columns of unsigned numbers as byte planes: a count, then plane after plane, high bytes last."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns]
-    return len(columns[0]).to_bytes(8, "little") + b"".join(planes)
-
-
-def unpack(block: bytes, kinds: list[type]) -> list[np.ndarray]:
-    count, at, found = int.from_bytes(block[:8], "little"), 8, []
-    for kind in kinds:
-        size = np.dtype(kind).itemsize
-        planes = np.frombuffer(block, dtype=np.uint8, count=size * count, offset=at).reshape(size, count)
-        found.append(np.ascontiguousarray(planes.T).view(kind).reshape(count))
-        at += size * count
-    return found
+    """Equal columns of unsigned numbers, of which the first ascends: a count, and byte planes compressed one by one."""
+    ascending, *rest = columns
+    planes = [
+        pa.compress(plane.tobytes(), codec="zstd", asbytes=True) if plane.any() else b""
+        for c in (np.diff(ascending.astype(np.uint64), prepend=np.uint64(0)), *rest)
+        for plane in np.ascontiguousarray(c, dtype=np.uint64).view(np.uint8).reshape(len(c), 8).T]
+    return np.array([len(ascending), *map(len, planes)], dtype=np.uint32).tobytes() + b"".join(planes)
+
+
+def unpack(block: bytes, columns: int) -> list[np.ndarray]:
+    count, *sizes = np.frombuffer(block, dtype=np.uint32, count=1 + 8 * columns).tolist()
+    found, at = np.zeros((columns, count, 8), dtype=np.uint8), 4 + 32 * columns
+    for place, size in enumerate(sizes):
+        if size:
+            plane = pa.decompress(block[at:at + size], decompressed_size=count, codec="zstd", asbytes=True)
+            found[place // 8, :, place % 8] = np.frombuffer(plane, dtype=np.uint8)
+            at += size
+    first, *rest = found.view(np.uint64).reshape(columns, count)
+    return [np.cumsum(first, dtype=np.uint64), *rest]
 
 
 def summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Distinct key rows, sorted, and the sums of their values."""
     if not len(keys[0]):
         return keys, [v.astype(np.uint64) for v in values]
-    order = np.lexsort(keys[::-1])
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
     keys = [k[order] for k in keys]
     new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
     heads = np.flatnonzero(new)
     return [k[heads] for k in keys], [np.add.reduceat(v[order], heads, dtype=np.uint64) for v in values]
 
 
+def joined(places: list[np.ndarray], words: int) -> list[np.ndarray]:
+    """Columns of places among so many words as one column of the same order, if they fit one number."""
+    bits = words.bit_length()
+    if bits * len(places) > 64:
+        return places
+    whole = places[0]
+    for column in places[1:]:
+        whole = (whole << np.uint64(bits)) | column
+    return [whole]
+
+
+def parted(keys: list[np.ndarray], columns: int, words: int) -> list[np.ndarray]:
+    """The columns that :func:`joined` put together."""
+    if len(keys) == columns:
+        return keys
+    bits = words.bit_length()
+    return [(keys[0] >> np.uint64(bits * at)) & np.uint64((1 << bits) - 1) for at in reversed(range(columns))]
+
+
 def shard_of(first: np.ndarray, second: np.ndarray | None, shards: int) -> np.ndarray:
     mixed = scramble(first * np.uint64(3) + (second * np.uint64(5) if second is not None else np.uint64(0)))
     return ((mixed >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
@@ -111,14 +148,20 @@ def before(context: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return found
 
 
-def by_shard(shard: np.ndarray, shards: int, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
-    """Packed blocks of columns by shard; rows keep their order."""
+def rows_by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each shard that has any, in their order."""
     order = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     for at in range(shards):
         rows = order[cuts[at]:cuts[at + 1]]
         if len(rows):
-            yield at, pack([c[rows] for c in columns])
+            yield at, rows
+
+
+def by_shard(shard: np.ndarray, shards: int, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+    """Packed blocks of columns by shard; rows keep their order."""
+    for at, rows in rows_by_shard(shard, shards):
+        yield at, pack([c[rows] for c in columns])
 
 
 def store(folder: str, name: str, arrays: list[np.ndarray]) -> None:
@@ -147,6 +190,71 @@ def mapped(folder: str, name: str) -> np.ndarray:
         return np.memmap(copy.name, dtype=np.uint8, mode="r")  # the map outlives the name
 
 
+def table_arrays(keys: np.ndarray, values: list[np.ndarray]) -> list[np.ndarray]:
+    """What :class:`Table` reads, of distinct hashes that use their highest bits and of a row of numbers for each."""
+    order = np.argsort(keys)
+    keys, values = keys[order], [v[order].astype(np.uint64) for v in values]
+    bits = min(max((len(keys) // ENTRY_KEYS).bit_length(), 64 - REST_BITS - 16), 24)
+    heads = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    rest = (keys << np.uint64(bits)) >> np.uint64(64 - REST_BITS)
+    # Half a byte or one for each, whichever takes less.
+    limits = [15 if len(v) > 32 * ((v >= 15) & (v < 255)).sum() else 255 for v in values]
+    large = [np.flatnonzero(v >= limit) for v, limit in zip(values, limits, strict=True)]
+    small = [np.minimum(v, limit).astype(np.uint8) for v, limit in zip(values, limits, strict=True)]
+    return [
+        np.array([len(keys), bits, len(values), *limits, *map(len, large)], np.uint64),
+        *(x.astype(np.uint64) for places, v in zip(large, values, strict=True) for x in (places, v[places])),
+        heads.astype(np.uint32), (rest >> np.uint64(8)).astype(np.uint32), rest.astype(np.uint8),
+        *(v if limit == 255 else v[::2] | np.append(v[1::2], np.zeros(len(v) % 2, np.uint8)) << np.uint8(4)
+          for v, limit in zip(small, limits, strict=True))]
+
+
+class Table:
+    """Rows of numbers by hash, in the bytes of :func:`table_arrays`."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        count, bits, width = data[:24].view(np.uint64).tolist()
+        facts = data[24:24 + 16 * width].view(np.uint64).tolist()
+        at = 24 + 16 * width
+
+        def take(kind: type, size: int) -> np.ndarray:
+            nonlocal at
+            at += size * np.dtype(kind).itemsize
+            return data[at - size * np.dtype(kind).itemsize:at].view(kind)
+
+        self.count, self.bits = count, bits
+        self.limits = facts[:width]
+        self.large = [(take(np.uint64, n), take(np.uint64, n)) for n in facts[width:]]
+        self.heads = take(np.uint32, (1 << bits) + 1)
+        self.upper, self.lower = take(np.uint32, count), take(np.uint8, count)
+        self.values = [take(np.uint8, count if limit == 255 else (count + 1) // 2) for limit in self.limits]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The rows of hashes as columns, zero where a hash is absent."""
+        head = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        low, stop = self.heads[head].astype(np.int64), self.heads[head + 1].astype(np.int64)
+        high, last = stop, self.count - 1
+        wanted = (keys << np.uint64(self.bits)) >> np.uint64(64 - REST_BITS)
+
+        def kept(at: np.ndarray) -> np.ndarray:
+            at = np.minimum(at, last)
+            return (self.upper[at].astype(np.uint64) << np.uint64(8)) | self.lower[at]
+
+        for _ in range(int((stop - low).max(initial=0)).bit_length()):
+            middle = (low + high) >> 1
+            less = (low < high) & (kept(middle) < wanted)
+            high = np.where(less, high, middle)
+            low = np.where(less, np.minimum(middle + 1, high), low)
+        hit = np.flatnonzero((low < stop) & (kept(low) == wanted))
+        at, found = low[hit], np.zeros((len(self.values), len(keys)), dtype=np.int64)
+        for row, limit, small, (places, values) in zip(found, self.limits, self.values, self.large, strict=True):
+            number = small[at].astype(np.int64) if limit == 255 else small[at >> 1].astype(np.int64) >> 4 * (at & 1) & 15
+            over = np.flatnonzero(number == limit)
+            number[over] = values[np.searchsorted(places, at[over].astype(np.uint64))]
+            row[hit] = number
+        return found
+
+
 @dataclass
 class Level:
     """Discounts for counts of one, two, and more."""
@@ -205,57 +313,82 @@ def count_model(texts: DataFrame, size: int, column: str = "text", order: int =
         held_tokens = 0
 
         def flush() -> pa.RecordBatch:
-            *keys, ones = (np.concatenate(x) for x in zip(*held, strict=True))
-            (u, w, *first), (n,) = summed(keys, [ones])
-            rows = list(by_shard(shard_of(u, w, shards), shards, [
-                (u << np.uint64(16)) | (w >> np.uint64(32)), w.astype(np.uint32), n.astype(np.uint32),
-                *(x for t in first for x in ((t >> np.uint64(16)).astype(np.uint32), t.astype(np.uint16)))]))
+            tokens, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+            heads = np.cumsum(sizes) - sizes
+            words, places = np.unique(np.append(tokens, START), return_inverse=True)
+            start, columns = places[-1], [places[:-1].astype(np.uint64)]
+            for _ in range(order - 1):
+                # What stands before a token is that of the token before, or a start.
+                column = np.concatenate([columns[-1][:1], columns[-1][:-1]])
+                column[heads] = start
+                columns.append(column)
+            w, u, *first = columns
+            keys = joined([u, w, *first], len(words))
+            if len(keys) == 1:
+                keys, ones = (lambda k, n: ([k], n))(*np.unique(keys[0], return_counts=True))
+            else:
+                keys, (ones,) = summed(keys, [np.ones(len(w), np.uint8)])
+            places = parted(keys, order, len(words))
+            u, w = (words[x.astype(np.int64)] for x in places[:2])
+            rows = []
+            for at, those in rows_by_shard(shard_of(u, w, shards), shards):
+                own = [x[those].astype(np.int64) for x in places]
+                used = np.zeros(len(words), dtype=bool)
+                for x in own:
+                    used[x] = True
+                number = np.cumsum(used).astype(np.uint64) - np.uint64(1)
+                known = words[used]
+                rows.append((at, pack([known]), pack([*joined([number[x] for x in own], len(known)), ones[those]])))
             return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "block"])
+                [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
+                ["shard", "words", "block"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                u, w, sizes = bigrams(texts_of(batch.slice(at, 512), 0))
-                held.append((u, w, *([before(u, sizes)] if order == 3 else []), np.ones(len(u), dtype=np.uint32)))
-                held_tokens += len(u)
-                if held_tokens >= STRETCH:
+                _, words, sizes = bigrams(texts_of(batch.slice(at, 512), 0))
+                if held and held_tokens + len(words) > STRETCH:
                     yield flush()
                     held, held_tokens = [], 0
+                held.append((words, sizes))
+                held_tokens += len(words)
         if held:
             yield flush()
 
-    kinds = [np.uint64, np.uint32, np.uint32, *([np.uint32, np.uint16] if order == 3 else [])]
-
-    def store_counts(name: str, key: np.ndarray, n: np.ndarray) -> None:
-        place = np.argsort(key)
-        narrow = np.uint32 if n.max() < 1 << 32 else np.uint64
-        store(folder, name, [np.array([len(key)], np.uint64), key[place], n[place].astype(narrow)])
+    def store_counts(name: str, key: np.ndarray, *values: np.ndarray) -> None:
+        store(folder, name, table_arrays(key, list(values)))
 
     def add_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, list] = {}
         for batch in batches:
-            for shard, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                blocks.setdefault(shard, []).append(unpack(block.as_py(), kinds))
+            for shard, *block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                blocks.setdefault(shard, []).append(block)
         for shard in list(blocks):
-            a, b, n, *first = (np.concatenate(x) for x in zip(*blocks.pop(shard), strict=True))
-            rows, triples = [], [0] * 5
+            own = [(unpack(told, 1)[0], *unpack(block, 2)) for told, block in blocks.pop(shard)]
+            words, places = np.unique(np.concatenate([x[0] for x in own]), return_inverse=True)
+            places, parts, start = places.astype(np.uint64), [], 0
+            for told, keys, n in own:
+                number = places[start:start + len(told)]
+                start += len(told)
+                parts.append((*joined([number[x.astype(np.int64)] for x in parted([keys], order, len(told))], len(words)), n))
+            *keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            del own, parts
+            keys, (n,) = summed(keys, [n])
+            keys, rows, triples = parted(keys, order, len(words)), [], [0] * 5
+            u, w = (words[x.astype(np.int64)] for x in keys[:2])
+            used = raw = n
             if order == 3:
-                t = (first[0].astype(np.uint64) << np.uint64(16)) | first[1]
-                (a, b, t), (n,) = summed([a, b, t], [n])
-                u, w = a >> np.uint64(16), ((a & np.uint64(0xFFFF)) << np.uint64(32)) | b
+                t = words[keys[2].astype(np.int64)]
                 context = scramble(t * PAIR + u)
                 store_counts(f"triples-{shard}", scramble(context * TRIPLE + w), n)
                 triples = [len(n), *((n == k).sum() for k in (1, 2, 3, 4))]
-                (share, c), sums = summed(
-                    [shard_of(t, u, shards).astype(np.uint64), context], [n, *(x.astype(np.uint32) for x in (n == 1, n == 2, n > 2))])
+                (c,), sums = summed([context & CONTEXT_BITS], [n, n == 1, n == 2, n > 2])
                 rows += [(4, at, block) for at, block in by_shard(
-                    share.astype(np.int64), shards, [c, *(x.astype(np.uint32) for x in sums)])]
-                used = np.where(u == START, n, 1)  # nothing comes before a start
-                (a, b), (n, raw) = summed([a, b], [used, n])
-            else:
-                (a, b), (n,) = summed([a, b], [n])
-                raw = n
-            u, w = a >> np.uint64(16), ((a & np.uint64(0xFFFF)) << np.uint64(32)) | b
+                    shard_of(c, None, shards), shards, [c >> CONTEXT_SHIFT, *sums])]
+                # Sorted by pair: nothing comes before a start.
+                heads = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])]))
+                used = np.add.reduceat(np.where(u == START, n, np.uint64(1)), heads)
+                raw, u, w = np.add.reduceat(n, heads), u[heads], w[heads]
+                n = used
             store_counts(f"pairs-{shard}", scramble(u * PAIR + w), n)
             one = np.ones(len(n), np.uint32)
             (left,), sums = summed([w], [one, raw])
@@ -277,14 +410,14 @@ def count_model(texts: DataFrame, size: int, column: str = "text", order: int =
                     facts.append((2, shard, block))
                     continue
                 if kind == 4:
-                    contexts.setdefault(shard, []).append(unpack(block, [np.uint64] + [np.uint32] * 4))
+                    contexts.setdefault(shard, []).append(unpack(block, 5))
                     continue
                 if kind == 0:
-                    word, left, n = unpack(block, [np.uint64] * 3)
+                    word, left, n = unpack(block, 3)
                     zero = np.zeros(len(word), np.int64)
                     row = (word, left.astype(np.int64), n.astype(np.int64), zero, zero, zero, zero)
                 else:
-                    word, *four = unpack(block, [np.uint64] * 5)
+                    word, *four = unpack(block, 5)
                     zero = np.zeros(len(word), np.int64)
                     row = (word, zero, zero, *(x.astype(np.int64) for x in four))
                 blocks.setdefault(shard, []).append(row)
@@ -292,7 +425,7 @@ def count_model(texts: DataFrame, size: int, column: str = "text", order: int =
             word, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
             (word,), values = summed([word], values)
             values = [v.astype(np.int64) for v in values]
-            store(folder, f"words-{shard}", [word, *values])
+            store_counts(f"words-{shard}", word << WORD_SHIFT, *values)
             left, count = values[0], values[1]
             facts.append((3, shard, np.array(
                 [len(word), (left > 0).sum(), left.sum(), count.sum(), *((left == k).sum() for k in (1, 2, 3, 4)),
@@ -300,14 +433,17 @@ def count_model(texts: DataFrame, size: int, column: str = "text", order: int =
         for shard in list(contexts):
             key, *values = (np.concatenate(x) for x in zip(*contexts.pop(shard), strict=True))
             (key,), values = summed([key], values)
-            narrow = np.uint32 if values[0].max() < 1 << 32 else np.uint64
-            store(folder, f"contexts-{shard}", [np.array([len(key)], np.uint64), key, *(v.astype(narrow) for v in values)])
-            facts.append((4, shard, b""))
+            # A pair that is followed once needs no row; the start of a text is no pair.
+            key <<= CONTEXT_SHIFT
+            several = (values[0] > 1) | (key == scramble(START * PAIR + START) & CONTEXT_BITS)
+            if several.any():
+                store_counts(f"contexts-{shard}", key[several], *(v[several] for v in values))
+                facts.append((4, shard, b""))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in facts], pa.int32()), pa.array([r[1] for r in facts], pa.int64()),
              pa.array([r[2] for r in facts], pa.binary())], ["kind", "shard", "block"])
 
-    packed = texts.select(column).mapInArrow(count, "shard long, block binary")
+    packed = texts.select(column).mapInArrow(count, "shard long, words binary, block binary")
     kind = "kind int, shard long, block binary"
     partial = packed.repartitionById(int(shards), F.col("shard").cast("int")).mapInArrow(add_pairs, kind)
     facts = partial.repartitionById(int(shards), F.col("shard").cast("int")).mapInArrow(add_words, kind).collect()  # one row per file
@@ -328,46 +464,19 @@ class Reader:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.counts: dict[str, tuple] = {}
-        self.words: dict[int, tuple] = {}
-
-    def count_file(self, name: str, width: int = 1):
-        if name not in self.counts:
-            data = mapped(self.model.folder, name)
-            count = int(data[:8].view(np.uint64)[0])
-            ends = 8 + 8 * count
-            kind = np.uint32 if len(data) - ends < width * 8 * count else np.uint64
-            values = data[ends:].view(kind)
-            self.counts[name] = data[8:ends].view(np.uint64), values if width == 1 else values.reshape(width, count)
-        return self.counts[name]
-
-    def pair_file(self, shard: int):
-        return self.count_file(f"pairs-{shard}")
-
-    def triple_file(self, shard: int):
-        return self.count_file(f"triples-{shard}")
-
-    def context_file(self, shard: int):
-        return self.count_file(f"contexts-{shard}", 4)
-
-    def word_file(self, shard: int):
-        if shard not in self.words:
-            data = mapped(self.model.folder, f"words-{shard}").view(np.int64).reshape(1 + len(WORD_COLUMNS), -1)
-            self.words[shard] = data[0].view(np.uint64), data[1:]
-        return self.words[shard]
-
-    def look_up(self, keys: np.ndarray, shard: np.ndarray, there: tuple[int, ...], file, width: int) -> np.ndarray:
+        self.tables: dict[str, Table] = {}
+
+    def table(self, name: str) -> Table:
+        if name not in self.tables:
+            self.tables[name] = Table(mapped(self.model.folder, name))
+        return self.tables[name]
+
+    def look_up(self, kind: str, keys: np.ndarray, shard: np.ndarray, there: tuple[int, ...], width: int = 1) -> np.ndarray:
         """Values of sorted distinct keys, zero where a key is absent."""
         found = np.zeros((width, len(keys)), dtype=np.int64)
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(self.model.shards + 1))
-        for at in there:
-            rows = order[cuts[at]:cuts[at + 1]]
-            if len(rows):
-                known, values = file(at)
-                place = np.minimum(np.searchsorted(known, keys[rows]), len(known) - 1)
-                hit = known[place] == keys[rows]
-                found[:, rows[hit]] = values[..., place[hit]] if values.ndim > 1 else values[place[hit]][None, :]
+        for at, rows in rows_by_shard(shard, self.model.shards):
+            if at in there:
+                found[:, rows] = self.table(f"{kind}-{at}").find(keys[rows])
         return found
 
     def logs(self, texts: list[str]):
@@ -376,10 +485,10 @@ class Reader:
         context, word, sizes = bigrams(texts)
         key = scramble(context * PAIR + word)
         distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
-        counts = self.look_up(
-            distinct, shard_of(context[first], word[first], model.shards), model.pairs, self.pair_file, 1)[0][back]
+        counts = self.look_up("pairs", distinct, shard_of(context[first], word[first], model.shards), model.pairs)[0][back]
         names, place = np.unique(np.concatenate([word, context]), return_inverse=True)
-        facts = self.look_up(names, shard_of(names, None, model.shards), model.words, self.word_file, len(WORD_COLUMNS))
+        facts = self.look_up(
+            "words", names << WORD_SHIFT, shard_of(names, None, model.shards), model.words, len(WORD_COLUMNS))
         own, ahead = facts[:, place[:len(word)]], facts[:, place[len(word):]]
         left, known = own[0], own[1]
         lefts = max(model.distinct_pairs, 1)
@@ -391,13 +500,16 @@ class Reader:
         p = np.where(follow > 0, upper + saved / seen * lower, lower)
         if model.order == 3:
             first = before(context, sizes)
+            seen_before = np.concatenate([[0], counts[:-1]]) > 0
+            seen_before[np.cumsum(sizes) - sizes] = False
             pair = scramble(first * PAIR + context)
             distinct, at, back = np.unique(scramble(pair * TRIPLE + word), return_index=True, return_inverse=True)
-            counts = self.look_up(
-                distinct, shard_of(context[at], word[at], model.shards), model.pairs, self.triple_file, 1)[0][back]
-            distinct, at, back = np.unique(pair, return_index=True, return_inverse=True)
+            counts = self.look_up("triples", distinct, shard_of(context[at], word[at], model.shards), model.pairs)[0][back]
+            distinct, back = np.unique(pair & CONTEXT_BITS, return_inverse=True)
             follow, one, two, more = self.look_up(
-                distinct, shard_of(first[at], context[at], model.shards), model.contexts, self.context_file, 4)[:, back]
+                "contexts", distinct, shard_of(distinct, None, model.shards), model.contexts, 4)[:, back]
+            once = seen_before & (follow == 0)
+            follow, one = follow + once, one + once
             saved = model.trigram.one * one + model.trigram.two * two + model.trigram.more * more
             seen = np.maximum(follow, 1)
             upper = np.maximum(counts - model.trigram.discount(counts), 0) / seen
