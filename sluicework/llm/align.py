@@ -8,8 +8,10 @@ jumps them whole; the slice that no longer agrees is halved until the first end
 that differs.  There the walk goes token by token to the next common end, which
 closes one irregular group and gives the new shift.
 
-A link is a pair of tokens whose bytes overlap; inside an irregular group the
-same walk lists them.  How common a pair of ids is, is counted in Spark: every
+A link is a pair of tokens whose bytes overlap; the bytes between neighbouring ends
+of either array are of one token on each side, which are linked.  The walk gives the
+irregular groups; the text of the groups and the links are then written for all tokens
+of a text at once.  How common a pair of ids is, is counted in Spark: every
 text keeps its distinct pairs, texts are dealt into slices of a bounded number
 of pairs as they are written, pairs are counted per slice and summed over all,
 and each slice gets back the sums of its own pairs only.
@@ -26,7 +28,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -48,6 +49,8 @@ SHIFT = 32
 REMEMBERED = 400_000
 # Where both kinds of vocabulary always cut: before a space between anything but white space and more text.
 CUT = re.compile(r"(?<=\S) (?!\Z)")
+# In a text without it, every space but one at either end is a cut.
+AFTER_SPACE = re.compile(r"\s ")
 
 ALIGNED = StructType([
     *(StructField(name, LongType()) for name in ("n_a", "n_b", "n_groups", "n_links")), StructField("groups", StringType()),
@@ -125,13 +128,27 @@ class Encodings:
         self.a, self.b = ByteLevel(a_file), Pieces(b_file)
         self.cuts = self.a.cuts and self.b.cuts
         self.sizes = tuple(np.array([len(t) for t in side.bytes], dtype=np.int64) for side in (self.a, self.b))
-        # The ids of a part as bytes of 32-bit numbers, by either tokenizer; parts that one does not give back.
-        self.known_a: dict[str, bytes] = {}
-        self.known_b: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        # The number of a part, and by either tokenizer the ids of all parts in that order and where those of each stop.
+        self.known: dict[str, int] = {}
+        self.ids = [np.zeros(0, dtype=np.int32)] * 2
+        self.stops = [np.zeros(1, dtype=np.int64)] * 2
+        # Parts that one tokenizer does not give back.
         self.lost: set[str] = set()
 
-    def together(self, side: int, parts: list[str]) -> list[bytes] | None:
-        """The ids of parts that stand in one text, which is faster than one call for each; None if they do not tile it."""
+    def remember(self, parts: list[str], found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
+        for side, (ids, stops) in enumerate(found):
+            self.ids[side] = np.concatenate([self.ids[side], ids])
+            self.stops[side] = np.concatenate([self.stops[side], self.stops[side][-1] + stops])
+
+    def together(self, side: int, parts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of parts that stand in one text, and where each part's stop; None if they do not tile it.
+
+        One call is faster than one for each.
+        """
         encoder, text = (self.a, self.b)[side], " ".join(parts)
         ids = np.array(encoder([f" {text}" if side == 0 else text])[0], dtype=np.int32)
         ends = np.concatenate([[0], np.cumsum(self.sizes[side][ids])])
@@ -139,36 +156,49 @@ class Encodings:
         stops = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
         if (ends[stops] != wanted).any() or b"".join(map(encoder.bytes.__getitem__, ids.tolist())) != f" {text}".encode():
             return None
-        data, stops = ids.tobytes(), (4 * stops).tolist()
-        return [data[start:stop] for start, stop in zip([0, *stops], stops, strict=False)]
+        return ids, stops
 
     def learn(self, parts: set[str]) -> None:
-        new = list(parts - self.known_a.keys())
+        new = list(parts - self.known.keys())
         # A cut divides these from what follows.
         inner = [part for part in new if self.cuts and part and not part[-1].isspace() and "▁" not in part]
         found = [self.together(side, inner) if inner else None for side in (0, 1)]
         if found[0] is not None and found[1] is not None:
-            self.known_a.update(zip(inner, found[0], strict=True))
-            self.known_b.update(zip(inner, found[1], strict=True))
-            new = list(parts - self.known_a.keys())
-        for part, ids_a, ids_b in zip(new, self.a([f" {part}" for part in new]), self.b(new), strict=True):
+            self.remember(inner, found)
+            new = list(parts - self.known.keys())
+        if not new:
+            return
+        alone = self.a([f" {part}" for part in new]), self.b(new)
+        for part, ids_a, ids_b in zip(new, *alone, strict=True):
             source = f" {part}".encode()
             if not b"".join([self.a.bytes[i] for i in ids_a]) == source == b"".join([self.b.bytes[i] for i in ids_b]):
                 self.lost.add(part)
-            self.known_a[part], self.known_b[part] = array("i", ids_a).tobytes(), array("i", ids_b).tobytes()
+        self.remember(new, [
+            (np.array([*chain.from_iterable(x)], dtype=np.int32), np.cumsum([len(ids) for ids in x])) for x in alone])
+
+    def parts(self, text: str) -> list[str]:
+        if not text or not self.cuts:
+            return [text] if text else []
+        return CUT.split(text) if text[0] == " " or text[-1] == " " or AFTER_SPACE.search(text) else text.split(" ")
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if len(self.known_a) > REMEMBERED:
-            self.known_a.clear()
-            self.known_b.clear()
-            self.lost.clear()
-        cut = [(CUT.split(text) if self.cuts else [text]) if text else [] for text in texts]
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        cut = [self.parts(text) for text in texts]
         self.learn(set(chain.from_iterable(cut)))
-        for parts in cut:
-            if self.lost and not self.lost.isdisjoint(parts):
-                parts = []
-            yield tuple(np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype=np.int32)
-                        for known in (self.known_a, self.known_b))
+        if self.lost:
+            cut = [[] if not self.lost.isdisjoint(parts) else parts for parts in cut]
+        stops = np.cumsum([0, *map(len, cut)])
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(stops[-1]))
+        sides = []
+        for ids, ends in zip(self.ids, self.stops, strict=True):
+            sizes = ends[numbers + 1] - ends[numbers]
+            before = np.concatenate([[0], np.cumsum(sizes)])
+            whole = ids[np.repeat(ends[numbers] - before[:-1], sizes) + np.arange(before[-1])]
+            sides.append((whole, before[stops].tolist()))
+        (ids_a, at_a), (ids_b, at_b) = sides
+        for i in range(len(texts)):
+            yield ids_a[at_a[i]:at_a[i + 1]], ids_b[at_b[i]:at_b[i + 1]]
 
 
 @lru_cache(maxsize=1)
@@ -214,37 +244,46 @@ def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int,
             a, b = p + 1, q + 1
 
 
-def align_ids(
-    ids: tuple[np.ndarray, np.ndarray], sizes: tuple[np.ndarray, np.ndarray], names_a: list[str], names_b: list[str],
-) -> tuple[int, str, list[int], list[int]]:
-    """(groups, the groups as text, the A id and the B id of every link) of two encodings of the same bytes.
+def names_of(count_a: int, count_b: int) -> np.ndarray:
+    """How each id is written in the text of the groups, inside its group and as the last of its side: rows of bytes."""
+    names = np.array(
+        [f"{i}{mark}" for count, last in ((count_a, "|"), (count_b, ";")) for i in range(count) for mark in (",", last)], dtype="S")
+    return names.view(np.uint8).reshape(len(names), -1)
 
-    Names of B's ids start with a bar.
-    """
-    ids_a, ids_b = (x.tolist() for x in ids)
-    ends_a, ends_b = (np.cumsum(size[x]).tolist() for size, x in zip(sizes, ids, strict=True))
-    told: list[str] = []
-    left: list[int] = []
-    right: list[int] = []
-    for a, b, a_stop, b_stop in diagonal_groups(ends_a, ends_b):
-        in_a, in_b = ids_a[a:a_stop], ids_b[b:b_stop]
-        if ends_a[a] == ends_b[b]:
-            told += [names_a[x] + names_b[y] for x, y in zip(in_a, in_b)]  # noqa: B905
-            left += in_a
-            right += in_b
-        elif b_stop - b == 1:
-            told.append(",".join([names_a[x] for x in in_a]) + names_b[in_b[0]])
-            left += in_a
-            right += in_b * len(in_a)
-        else:
-            told.append(f"{','.join([names_a[x] for x in in_a])}|{','.join([names_b[y][1:] for y in in_b])}")
-            while a < a_stop:
-                left.append(ids_a[a])
-                right.append(ids_b[b])
-                end_a, end_b = ends_a[a], ends_b[b]
-                a += end_a <= end_b
-                b += end_b <= end_a
-    return len(told), ";".join(told), left, right
+
+def lasts(starts: np.ndarray, stops: np.ndarray, count: int) -> np.ndarray:
+    """True for the tokens that close a group: all but those inside the given irregular ones."""
+    steps = np.zeros(count + 1, dtype=np.int64)
+    np.add.at(steps, starts, 1)
+    np.add.at(steps, stops - 1, -1)
+    return np.cumsum(steps[:count]) == 0
+
+
+def align_ids(
+    ids: tuple[np.ndarray, np.ndarray], sizes: tuple[np.ndarray, np.ndarray], names: np.ndarray,
+) -> tuple[int, str, np.ndarray, np.ndarray]:
+    """(groups, the groups as text, the A id and the B id of every link) of two encodings of the same bytes."""
+    ids_a, ids_b = ids
+    if not len(ids_a):
+        return 0, "", ids_a, ids_b
+    ends_a, ends_b = (np.cumsum(size[x]) for size, x in zip(sizes, ids, strict=True))
+    list_a, list_b = ends_a.tolist(), ends_b.tolist()
+    irregular = np.array(
+        [walked for walked in diagonal_groups(list_a, list_b) if list_a[walked[0]] != list_b[walked[1]]],
+        dtype=np.int64).reshape(-1, 4)
+    last_a = lasts(irregular[:, 0], irregular[:, 2], len(ids_a))
+    last_b = lasts(irregular[:, 1], irregular[:, 3], len(ids_b))
+    # A group is its A ids, then its B ids: before a token of B stand the A ids of its group too.
+    closed_a, closed_b = np.flatnonzero(last_a) + 1, np.concatenate([[0], np.flatnonzero(last_b) + 1])
+    written = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+    written[np.arange(len(ids_a)) + closed_b[np.cumsum(last_a) - last_a]] = 2 * ids_a.astype(np.int64) + last_a
+    written[np.arange(len(ids_b)) + closed_a[np.cumsum(last_b) - last_b]] = 2 * (ids_b.astype(np.int64) + len(sizes[0])) + last_b
+    letters = names[written]
+    ended = np.zeros(list_a[-1] + 1, dtype=bool)
+    ended[ends_a] = ended[ends_b] = True
+    ends = np.flatnonzero(ended)
+    return (len(closed_a), letters[letters != 0][:-1].tobytes().decode(),
+            ids_a[np.searchsorted(ends_a, ends)], ids_b[np.searchsorted(ends_b, ends)])
 
 
 def align(df: DataFrame, column: str, a_file: str, b_file: str, output: str = "aligned", keep: bool = True) -> DataFrame:
@@ -266,7 +305,7 @@ def align(df: DataFrame, column: str, a_file: str, b_file: str, output: str = "a
         from pyspark import TaskContext
 
         encodings = shared_encodings(a_file, b_file)
-        names_a, names_b = ([f"{bar}{i}" for i in range(len(size))] for bar, size in zip(("", "|"), encodings.sizes, strict=True))
+        names = names_of(*map(len, encodings.sizes))
         # A slice belongs to one task: its number is the task's and a running one.
         number, held = TaskContext.get().partitionId() << 32, 0
         for whole in batches:
@@ -275,9 +314,9 @@ def align(df: DataFrame, column: str, a_file: str, b_file: str, output: str = "a
                 texts = [t or "" for t in batch.column(place).to_pylist()]
                 counts, told, pairs, times = [], [], [], []
                 for ids in encodings(texts):
-                    groups, text_of, left, right = align_ids(ids, encodings.sizes, names_a, names_b)
+                    groups, text_of, left, right = align_ids(ids, encodings.sizes, names)
                     found, often = np.unique(
-                        np.array(left, dtype=np.int64) << SHIFT | np.array(right, dtype=np.int64), return_counts=True)
+                        left.astype(np.int64) << SHIFT | right.astype(np.int64), return_counts=True)
                     counts.append((len(ids[0]), len(ids[1]), groups, len(left)))
                     told.append(text_of)
                     pairs.append(found)
