@@ -143,18 +143,18 @@ def _details(table_name: str, sql: str) -> str:
     """SELECT 'rejected', NULL, CASE WHEN o_orderkey % 103 = 0 THEN 'malformed' ELSE 'no_uid' END
        FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 103 = 0 OR o_orderkey % 101 = 0"""]))
 def activity_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed lines into five tables and the rejected lines, through a spec with one write."""
+    """Landed lines, parsed once and staged, into five tables and the rejected lines through one spec."""
     landing, target = shared_dir(spark, "activity-lines"), shared_dir(spark, "activity-tables")
     activity_lines(spark, folder).select("value").write.text(landing)
     document = spec_document(
         "activity_tables", [{"format": "file", "file_format": "text", "path": landing, "alias": "lines"}], "select value from lines",
-        [{"query": "select * from #process", "action": "file", "format": "parquet", "output_location": target,
-          "partition_cols": "table"}], custom_process_code_snippet="activity.tables")
-    run_pipeline(spark, load_pipeline(document, "activity_tables"))
-    tagged = spark.read.parquet(target)
+        [{"query": "select * from #process", "action": "file", "format": "parquet", "output_location": f"{target}/{name}",
+          "custom_postprocess_code_snippet": f"activity.{name}"} for name in activity.TABLES],
+        custom_process_code_snippet="activity.records")
+    run_pipeline(spark, load_pipeline(document, "activity_tables"), {"share_output": "stage"})
     parts = []
     for name, columns in activity.TABLES.items():
-        rows = activity.one_table(tagged, name)
+        rows = spark.read.parquet(f"{target}/{name}")
         shown = ["reason"] if name == "rejected" else [c for c in columns if c not in ("uid", "load_date_time")]
         uid = F.lit(None).cast("string").alias("uid") if name == "rejected" else F.col("uid")
         parts.append(rows.select(F.lit(name).alias("part"), uid, F.concat_ws("|", *[F.col(c).cast("string") for c in shown]).alias("detail")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,7 +174,10 @@ def unmatched_crm(records: DataFrame) -> DataFrame:
 
 
 def normalise(records: DataFrame, loaded_at: datetime | None = None) -> dict[str, DataFrame]:
-    """The five tables of parsed records as frames, each a plan of its own; see :func:`tagged_rows` for one pass."""
+    """The five tables of parsed records as frames, each a plan of its own.
+
+    Lines that all five read are parsed once by staging the records; see :func:`table_of` and the hooks for specs.
+    """
     return {
         "all": all_table(records, loaded_at),
         "campaign": campaign_table(records),
@@ -194,12 +198,28 @@ TABLES = {
 }
 
 
+def table_of(parsed: DataFrame, table: str, loaded_at: datetime | None = None) -> DataFrame:
+    """One of :data:`TABLES` out of parsed records; reads only the fields that it shows."""
+    return rejected_records(parsed) if table == "rejected" else normalise(good_records(parsed), loaded_at)[table]
+
+
+@hook("activity.records")
+def records_hook(df: DataFrame) -> DataFrame:
+    """For specs: a frame with the column ``value`` -> parsed records; share them by ``stage``."""
+    return parse_records(df)
+
+
+# For the outputs of such a spec: ``activity.all``, ``activity.campaign`` and so on.
+for _table in TABLES:
+    hook(f"activity.{_table}")(partial(table_of, table=_table))
+
+
 def tagged_rows(lines: DataFrame, column: str = "value", loaded_at: datetime | None = None) -> DataFrame:
     """JSON lines -> ``table`` and the rows of all tables side by side, rejected lines included.
 
-    A line is read and parsed once and explodes into its rows of every table; columns that a table lacks are null,
-    which costs nothing in columnar files.  Written once, partitioned by ``table``, this is what five reads of the
-    lines would give; :func:`one_table` takes a table out again.
+    A line is read and parsed once and explodes into its rows of every table; columns that a table lacks are null.
+    Written once, partitioned by ``table``, this is what five reads of the lines would give; :func:`one_table` takes
+    a table out again.  Each row is as wide as all tables together, so for many lines staged records cost less.
     """
     parsed = parse_records(lines, column)
     good = F.col(CORRUPT).isNull() & F.col("uid").isNotNull()

@@ -77,12 +77,15 @@ def pipeline_frame(session: SparkSession, spec: PipelineSpec, variables: Mapping
 def write_outputs(
     session: SparkSession, spec: PipelineSpec, batch_id: object, variables: Mapping[str, str],
 ) -> None:
-    """Each output runs its own SQL over the registered views into its own sink."""
+    """Each output runs its own SQL and hook over the registered views into its own sink."""
 
     def one(index: int, raw: Mapping[str, str]) -> None:
         names = {**variables, "process": spec.name}
         properties = {**substitute_all(raw, names), "output_index": str(index)}
-        write_output(session.sql(properties["query"]), batch_id, properties)
+        df = apply_hook(
+            session.sql(properties["query"]),
+            properties.get("custom_postprocess_code_snippet", ""), properties.get("custom_postprocess_file", ""))
+        write_output(df, batch_id, properties)
 
     if len(spec.outputs) == 1:
         one(0, spec.outputs[0])
@@ -108,7 +111,8 @@ def shared_frame(df: DataFrame, spec: PipelineSpec, share: str) -> DataFrame:
     if readers < 2 or share == "none":
         return df
     if share == "stage":
-        staged = through_storage(df, spec.name)
+        # A copy that is soon read back and deleted does not repay dictionaries.
+        staged = through_storage(df, spec.name, {"parquet.enable.dictionary": "false"})
         staged.createOrReplaceTempView(spec.name)
         return staged
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -149,14 +149,14 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def through_storage(df: DataFrame, label: str) -> DataFrame:
+def through_storage(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
     Used where several jobs read one expensive result: the copy survives the
     loss of executors and each reader gets column pruning and filter push-down.
     """
     path = shared_dir(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,8 +4,11 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from conftest import explained, rows
+from sluicework.catalog.core import spec_document
 from sluicework.catalog.records import CATALOG
 from sluicework.operators import activity, costs, enrich, meeting
+from sluicework.plans.runner import run_pipeline
+from sluicework.plans.spec import load_pipeline
 
 FULL = {
     "uid": "u1", "type": "meeting", "tags": ["a", "b"], "attachment_file_names": [], "duration": 60,
@@ -145,6 +148,43 @@ def test_one_pass_gives_the_tables_of_five(spark):
     assert plan.count("from_json") <= 2 and plan.count("Exchange") == 0
 
 
+def test_a_spec_writes_each_table_with_its_own_columns(spark, tmp_path):
+    lines = [
+        '{"uid":"a","type":"call","tags":["x","y"],"campaigns":[{"crm_id":"c1"},null],"participants":[{"name":"P","team":{"name":"T"}}]}',
+        '{"uid":"a","stats":{"total_participants":3},"crm_status":{"matched_to":"lead","lead":{"crm_id":"l"}}}', "{}", "no json"]
+    (tmp_path / "lines").write_text("\n".join(lines))
+    document = spec_document(
+        "tables", [{"format": "file", "file_format": "text", "path": f"{tmp_path}/lines", "alias": "lines"}], "select value from lines",
+        [{"query": "select * from #process", "action": "file", "format": "parquet", "output_location": f"{tmp_path}/{name}",
+          "custom_postprocess_code_snippet": f"activity.{name}"} for name in activity.TABLES],
+        custom_process_code_snippet="activity.records")
+    run_pipeline(spark, load_pipeline(document, "tables"), {"share_output": "stage"})
+    parsed = activity.parse_records(spark.createDataFrame([(line,) for line in lines], "value string"))
+    for name, columns in activity.TABLES.items():
+        found, wanted = spark.read.parquet(f"{tmp_path}/{name}"), activity.table_of(parsed, name)
+        assert tuple(found.columns) == columns and found.dtypes == wanted.dtypes
+        assert rows(found.drop("load_date_time")) == rows(wanted.drop("load_date_time"))
+    assert rows(spark.read.parquet(f"{tmp_path}/campaign"), "uid", "crm_id") == [("a", "c1"), ("a", None)]
+
+
+def test_activity_tables_are_narrow_and_may_be_empty(spark, tmp_path):
+    customers = spark.createDataFrame([(7, "C", "M", 1, 2.0)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey long, c_acctbal double")
+    orders = spark.createDataFrame(
+        [(3, 7, "O", 1.0, datetime(1997, 1, 2), "LOW"), (3, 7, "O", 1.0, datetime(1997, 1, 2), "LOW"), (103, 7, "O", 1.0, None, None),
+         (101, 7, "O", 1.0, None, None), (None, 7, "O", 1.0, None, None), (5, 8, "O", 1.0, None, None)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
+    for folder, kept in (("some", orders), ("none", orders.limit(0))):
+        customers.write.parquet(f"{tmp_path}/{folder}/customer.parquet")
+        kept.write.parquet(f"{tmp_path}/{folder}/orders.parquet")
+    found = CATALOG.queries["activity_tables"](spark, f"{tmp_path}/some")
+    # No rows that are as wide as all tables and dealt out by their name.
+    assert not any("table=" in name for name in found.inputFiles())
+    assert rows(found.groupBy("part").count()) == [
+        ("activity", 2), ("all", 2), ("crm", 2), ("participant", 6), ("rejected", 3)]
+    assert rows(found.filter("part = 'rejected'"), "detail") == [("malformed",), ("no_uid",), ("no_uid",)]
+    assert CATALOG.queries["activity_tables"](spark, f"{tmp_path}/none").count() == 0
+
+
 def test_tables_of_records_are_joined_without_sending_one_whole(spark, tmp_path):
     # Few rows, which Spark would broadcast by their size alone; a repeated and a null key keep their meaning.
     spark.createDataFrame([(1, 7, "HIGH"), (2, 8, "LOW"), (2, 9, "LOW"), (None, 5, "LOW")],

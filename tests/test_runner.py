@@ -53,6 +53,14 @@ def test_pipeline_hook_snippet_beats_file(spark, sf):
     assert frame.columns == ["name"] and rows(frame)[0] == ("AFRICA",)
 
 
+def test_outputs_have_hooks_of_their_own(spark, sf, tmp_path):
+    doc = spec_document("Outputs", [file_input(sf, "region")], "select lower(r_name) as r_name from region", [
+        out(f"{tmp_path}/upper", custom_postprocess_code_snippet="tests.upper"), out(f"{tmp_path}/plain")])
+    run_pipeline(spark, load_pipeline(doc, "Outputs"), {"share_output": "stage"})
+    assert rows(spark.read.parquet(f"{tmp_path}/upper"), "name")[0] == ("AFRICA",)
+    assert rows(spark.read.parquet(f"{tmp_path}/plain"), "r_name")[0] == ("africa",)
+
+
 def test_bare_window_counts_seconds():
     from sluicework.streaming.runner import _trigger
 
