@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.catalog.core import table
@@ -73,8 +75,13 @@ def activity_lines(spark: SparkSession, folder: str) -> DataFrame:
     """
     key = F.col("o_orderkey")
     text = key.cast("string")
-    few = F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: i <= key % 4)
-    participants = F.transform(few, lambda i: F.struct(
+
+    def first(most: int, make: Callable[[Column], Column]) -> Column:
+        """``make(1)`` up to ``make(most)``, as many as the rest of the key by ``most + 1``; plain columns, no function per element."""
+        n = F.greatest(F.lit(0), F.coalesce((key % (most + 1)).cast("int"), F.lit(0)))
+        return F.slice(F.array(*[make(F.lit(i)) for i in range(1, most + 1)]), 1, n)
+
+    participants = first(3, lambda i: F.struct(
         F.concat(F.lit("p"), text, F.lit("-"), i.cast("string")).alias("peopleai_id"),
         F.concat(F.lit("rep"), ((key + i) % 100).cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("Name "), i.cast("string")).alias("name"),
@@ -82,7 +89,7 @@ def activity_lines(spark: SparkSession, folder: str) -> DataFrame:
         ((key * i) % 600).alias("time_spent"),
         F.struct(F.concat(F.lit("team"), (i % 2).cast("string")).alias("name")).alias("team"),
     ))
-    campaigns = F.transform(F.filter(F.array(F.lit(1), F.lit(2)), lambda i: i <= key % 3), lambda i: F.struct(
+    campaigns = first(2, lambda i: F.struct(
         F.concat(F.lit("c"), ((key + i) % 9).cast("string")).alias("crm_id"),
         F.concat(F.lit("Campaign "), i.cast("string")).alias("name"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
@@ -105,7 +112,7 @@ def activity_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("created"),
         F.col("o_orderpriority").alias("subject"),
         F.date_format("o_orderdate", ISO).alias("timestamp"),
-        F.transform(few, lambda i: F.concat(F.lit("t"), i.cast("string"))).alias("tags"),
+        first(3, lambda i: F.concat(F.lit("t"), i.cast("string"))).alias("tags"),
         F.when(key % 5 == 0, F.array(F.lit("f.txt"), F.lit("g.txt"))).alias("attachment_file_names"),
         (key % 2 == 0).alias("reply_received"),
         (key % 7200).alias("duration"),
