@@ -44,8 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, their number, and the SHA-256 of the text they decode to."""
     ranks, decoded = public_tokenizers.path(RANKS), fresh("decoded", docs.columns)
-    ids = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN, "token_ids")
-    both = bpe.decode(ids, "token_ids", ranks, decoded)
+    both = bpe.round_trip(docs, "text", ranks, public_tokenizers.PATTERN, "token_ids", decoded)
     return both.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn(
         "decoded_sha256", F.sha2(decoded, 256)).drop(decoded)
 

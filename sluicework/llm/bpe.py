@@ -15,7 +15,9 @@ stay repeated; other columns pass through; an empty table gives an empty one.
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -28,6 +30,8 @@ from sluicework.llm.common import map_slices, texts_of
 NOTHING = 1 << 62
 # Distinct pieces a worker remembers; beyond it the memory starts anew, results do not change.
 REMEMBERED = 150_000
+# Characters, about, that are cut into pieces at a time; bounds a worker's memory, not its result.
+CUT_TOGETHER = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -160,6 +164,19 @@ def merge_rows(texts: list[bytes], byte_ids: np.ndarray, table: tuple[np.ndarray
     return np.split(ids[kept].astype(np.int32), np.cumsum(kept.sum(1))[:-1])
 
 
+def stretches(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """The texts in order, in lists that end once they have so many characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 @lru_cache(maxsize=2)
 def shared_encoder(path: str, pattern: str) -> Encoder:
     """One encoder for all tasks a worker runs, so that what it has learnt stays."""
@@ -194,12 +211,14 @@ class Encoder:
                 self.known[piece] = ids.tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        return [ids for some in stretches(texts, CUT_TOGETHER) for ids in self.ids_of(some)]
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces.findall(text) for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         self.learn({piece for pieces in cut for piece in pieces} - self.known.keys())
-        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype=np.int32) for pieces in cut]
-        return ids
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype=np.int32) for pieces in cut]
 
 
 def with_list(batch: pa.RecordBatch, lists: list[np.ndarray]) -> pa.RecordBatch:
@@ -227,27 +246,48 @@ def encode(df: DataFrame, column: str, rank_file: str, pattern: str, output: str
     return map_slices(df, StructType([*(df.schema.fields[i] for i in kept), StructField(output, ArrayType(IntegerType()))]), start)
 
 
+@lru_cache(maxsize=2)
+def shared_tokens(path: str) -> pa.Array:
+    """The bytes of every token by rank, once for all tasks a worker runs."""
+    ranks = load_ranks(path)
+    token = [b""] * (max(ranks.values(), default=-1) + 1)
+    for text, rank in ranks.items():
+        token[rank] = text
+    return pa.array(token, type=pa.binary())
+
+
+def with_bytes(batch: pa.RecordBatch, place: int, tokens: pa.Array) -> pa.RecordBatch:
+    """A batch with one more column: the bytes of a column of id lists."""
+    lists = batch.column(place)
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    # The taken tokens lie one after the other: a text is a stretch of them.
+    taken = tokens.take(lists.flatten())
+    ends = np.frombuffer(taken.buffers()[1], dtype=np.int32, count=len(taken) + 1)
+    cuts = ends[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])].astype(np.int32)
+    texts = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts), taken.buffers()[2]])
+    return pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "bytes"])
+
+
 def decode(df: DataFrame, column: str, rank_file: str, output: str = "decoded") -> DataFrame:
     """Add the bytes that a column of token ids stands for; null ids give no bytes."""
     place = df.columns.index(column)
 
     def start():
-        ranks = load_ranks(rank_file)
-        token = [b""] * (max(ranks.values(), default=-1) + 1)
-        for text, rank in ranks.items():
-            token[rank] = text
-        tokens = pa.array(token, type=pa.binary())
-
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            lists = batch.column(place)
-            sizes = np.array([len(x) if x is not None else 0 for x in lists], dtype=np.int64)
-            # The taken tokens lie one after the other: a text is a stretch of them.
-            taken = tokens.take(lists.flatten())
-            ends = np.frombuffer(taken.buffers()[1], dtype=np.int32, count=len(taken) + 1)
-            cuts = ends[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
-            texts = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts), taken.buffers()[2]])
-            return pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "bytes"])
-
-        return work
+        tokens = shared_tokens(rank_file)
+        return lambda batch: with_bytes(batch, place, tokens)
 
     return map_slices(df, StructType([*df.schema.fields, StructField(output, BinaryType())]), start)
+
+
+def round_trip(df: DataFrame, column: str, rank_file: str, pattern: str, output: str = "token_ids",
+               decoded: str = "decoded", keep: bool = True) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass: a task has one Python worker, not two with a vocabulary each."""
+    place = df.columns.index(column)
+    kept = [i for i in range(len(df.columns)) if keep or i != place]
+    added = [StructField(output, ArrayType(IntegerType())), StructField(decoded, BinaryType())]
+
+    def start():
+        ids_of, tokens = shared_encoder(rank_file, pattern), shared_tokens(rank_file)
+        return lambda batch: with_bytes(with_list(batch.select(kept), ids_of(texts_of(batch, place))), len(kept), tokens)
+
+    return map_slices(df, StructType([*(df.schema.fields[i] for i in kept), *added]), start)

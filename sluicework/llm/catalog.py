@@ -19,8 +19,7 @@ def bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text and the text they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN, "ids", keep=False)
-    both = bpe.decode(ids, "ids", ranks, "decoded")
+    both = bpe.round_trip(docs, "text", ranks, public_tokenizers.PATTERN, "ids", "decoded", keep=False)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sluicework.llm import ann, bpe, chat, components, kneserney, licenses, mixing, pii, simhash, toxicity, winnowing
 from sluicework.llm.catalog import CATALOG
+from tests.conftest import explained
 from tests.llm.test_small_pieces import RANKS
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -474,6 +475,17 @@ def test_round_trip(odd, none):
     assert bpe.encode(none, "text", RANKS, corpus_pipeline.public_tokenizers.PATTERN).count() == 0
 
 
+def test_one_pass_encodes_and_decodes(spark, odd, none):
+    pattern = corpus_pipeline.public_tokenizers.PATTERN
+    apart = bpe.decode(bpe.encode(clashing(odd), "text", RANKS, pattern, "token_ids"), "token_ids", RANKS, "decoded")
+    once = bpe.round_trip(clashing(odd), "text", RANKS, pattern, "token_ids", "decoded")
+    assert once.schema == apart.schema
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, apart.collect()))
+    assert bpe.round_trip(none, "text", RANKS, pattern, keep=False).columns == [c for c in none.columns if c != "text"] + ["token_ids", "decoded"]
+    # Every Python pass of a stage keeps a worker of its own in an executor's memory.
+    assert explained(corpus_pipeline.encode_texts(spark, odd, "")).count(") MapInArrow") == 1
+
+
 # -- queries and the pipeline ------------------------------------------------------------------------------------------
 
 

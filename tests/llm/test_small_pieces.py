@@ -36,6 +36,18 @@ def test_encoding_is_the_library_s(reference, encoder):
         assert ids.tolist() == reference.encode_ordinary(text)
 
 
+def test_few_texts_are_cut_at_a_time(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "CUT_TOGETHER", 100)
+    one, most = bpe.Encoder(RANKS, public_tokenizers.PATTERN), []
+    learn = one.learn
+    monkeypatch.setattr(one, "learn", lambda pieces: (most.append(sum(map(len, pieces))), learn(pieces)))
+    texts = [" ".join(str(i * 1000 + j) for j in range(10)) for i in range(50)] + ["", "x" * 500, ""]
+    assert [ids.tolist() for ids in one(texts)] == [reference.encode_ordinary(text) for text in texts]
+    # What is held at once: up to the bound and the text that reaches it.
+    assert max(most) <= 100 + 500 and len(most) > 20
+    assert [*bpe.stretches([], 5)] == [] and [*bpe.stretches(["", "abcdef", "", "g"], 5)] == [["", "abcdef"], ["", "g"]]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abcdefgéß漢 \n'1.,", max_size=60))
 def test_both_merges_agree(text):
