@@ -22,7 +22,6 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -141,6 +140,20 @@ def plan(sizes: np.ndarray, weights: np.ndarray, block: int = BLOCK, seed: int =
     return Plan(sizes, wanted, blocks, turns * blocks + slots, last)
 
 
+def long_rows(**columns) -> pa.RecordBatch:
+    """A batch of long columns."""
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns.values()], list(columns))
+
+
+def by_source(spark: SparkSession, **column) -> DataFrame:
+    """One row per source: its number and one column of what is known of it.
+
+    From Arrow, as a list of rows would be turned by Python workers in tasks, of a pool of their own.
+    """
+    (name, values), = column.items()
+    return spark.createDataFrame(pa.table({"source": pa.array(range(len(values)), pa.int64()), name: values}))
+
+
 def draws(spark: SparkSession, mix: Plan, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
     """(shard, source, first, count): the range of its source's slots that each shard takes.
 
@@ -152,21 +165,18 @@ def draws(spark: SparkSession, mix: Plan, shard_slots: int = SHARD_SLOTS, seed:
     shards = -(-total // shard_slots)
 
     def draw(batches):
-        for frame in batches:
-            rows = []
-            for shard in frame["id"]:
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
                 slots = min(shard_slots, total - shard * shard_slots)
                 counts = np.random.default_rng([seed, shard]).multinomial(slots, quotas / total)
                 source = np.flatnonzero(counts)
-                rows.append(pd.DataFrame({"shard": shard, "source": source, "n": counts[source]}))
-            yield pd.concat(rows) if rows else pd.DataFrame({"shard": [], "source": [], "n": []})
+                yield long_rows(shard=np.full(len(source), shard), source=source, n=counts[source])
 
-    drawn = spark.range(shards).mapInPandas(draw, "shard long, source long, n long")
+    drawn = spark.range(shards).mapInArrow(draw, "shard long, source long, n long")
     drawn = through_storage(drawn, "draws")
     up_to = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = drawn.withColumn("first", F.coalesce(F.sum("n").over(up_to), F.lit(0)))
-    limits = spark.createDataFrame(
-        [(i, int(q)) for i, q in enumerate(quotas)], "source long, quota long")
+    limits = by_source(spark, quota=quotas)
     placed = placed.join(limits, "source")
     inside = placed.withColumn("n", F.greatest(F.lit(0), F.least("n", F.col("quota") - F.col("first"))))
     # Draws beyond a quota, in the order of (source, shard), fill the quotas that are not met, in the order of sources.
@@ -174,46 +184,46 @@ def draws(spark: SparkSession, mix: Plan, shard_slots: int = SHARD_SLOTS, seed:
     had = np.array([drawn_by.get(i, 0) for i in range(len(quotas))])
     lacking, extra = np.maximum(quotas - had, 0), np.maximum(had - quotas, 0)
     gaps = [(int(e - n), int(e), i, int(h)) for i, (n, e, h) in enumerate(zip(lacking, np.cumsum(lacking), had, strict=True)) if n]
-    offsets = spark.createDataFrame(
-        [(i, int(o)) for i, o in enumerate(np.cumsum(extra) - extra)], "source long, ahead long")
+    offsets = by_source(spark, ahead=np.cumsum(extra) - extra)
     over = placed.join(offsets, "source").withColumn("cut", F.greatest("first", "quota")).withColumn(
         "more", F.col("first") + F.col("n") - F.col("cut")).where("more > 0").select(
         "shard", (F.col("ahead") + F.col("cut") - F.col("quota")).alias("a"), F.col("more").alias("m"))
 
     def refill(batches):
-        ends = np.array([high for _, high, _, _ in gaps])
-        for frame in batches:
+        ends, names = np.array([high for _, high, _, _ in gaps]), ("shard", "source", "first", "n")
+        for batch in batches:
             rows = []
-            for shard, at, more in zip(frame["shard"], frame["a"], frame["m"], strict=True):
+            for shard, at, more in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 gap = int(np.searchsorted(ends, at, side="right"))
                 while more > 0:
                     low, high, source, start = gaps[gap]
                     count = min(more, high - at)
                     rows.append((shard, source, start + at - low, count))
                     at, more, gap = at + count, more - count, gap + 1
-            yield pd.DataFrame(rows, columns=["shard", "source", "first", "n"])
+            yield long_rows(**dict(zip(names, zip(*rows, strict=True) if rows else [[]] * 4, strict=True)))
 
-    refilled = over.mapInPandas(refill, "shard long, source long, first long, n long")
+    refilled = over.mapInArrow(refill, "shard long, source long, first long, n long")
     return inside.where("n > 0").select("shard", "source", "first", "n").unionByName(refilled)
 
 
 def slots(spark: SparkSession, mix: Plan, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """(shard, slot, source, block, words): the blocks of the mix, one row per slot."""
-    each = draws(spark, mix, seed=seed).select(
+    # Stored, so that no stage has two Python passes, each with a worker of its own in an executor's memory.
+    each = through_storage(draws(spark, mix, seed=seed), "ranges").select(
         "shard", "source", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("slot"))
     blocks, quotas, last, sizes = mix.blocks, mix.quotas, mix.last, mix.sizes
 
     def place(batches):
-        for frame in batches:
-            source, slot = frame["source"].to_numpy(), frame["slot"].to_numpy()
+        for batch in batches:
+            shard, source, slot = (column.to_numpy() for column in batch.columns)
             count = blocks[source]
             turn, at = slot // count, slot % count
             number = permuted(at, count, pass_key(source, turn, seed))
             words = np.where(number == count - 1, sizes[source] - (count - 1) * block, block)
             words = np.where(slot == quotas[source] - 1, last[source], words)
-            yield frame.assign(block=number, words=words)
+            yield long_rows(shard=shard, source=source, slot=slot, block=number, words=words)
 
-    return each.mapInPandas(place, "shard long, source long, slot long, block long, words long")
+    return each.mapInArrow(place, "shard long, source long, slot long, block long, words long")
 
 
 def stream_places(docs: DataFrame, rows: int) -> DataFrame:
@@ -248,7 +258,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), key: str = "doc
                    key=lambda r: (r.name is None, r.name or ""))
     sizes = np.array([r.size for r in found], dtype=np.int64)
     mix = plan(sizes, np.array([weights[i % len(weights)] for i in range(len(found))], dtype=float), block, seed)
-    numbers = spark.createDataFrame([(i, r.name) for i, r in enumerate(found)], "source long, name string")
+    numbers = by_source(spark, name=pa.array([r.name for r in found], pa.string()))
     named = sized.join(F.broadcast(numbers), sized["name"].eqNullSafe(numbers["name"])).drop(numbers["name"])
     placed = stream_places(named, sum(r.n for r in found))
     chosen = through_storage(slots(spark, mix, block, seed), "slots") if mix.quotas.sum() else None

@@ -107,6 +107,20 @@ def test_shards_share_out_all_slots(spark):
     assert {s: sorted(p) for s, p in places.items()} == {i: list(range(q)) for i, q in enumerate(plan.quotas.tolist()) if q}
 
 
+def test_a_stage_of_the_mix_has_one_python_pass(spark):
+    plan = mixing.plan(np.array([5000, 700, 0, 90]), np.array([3.0, 1, 2, 3]), block=8)
+    made = mixing.slots(spark, plan, block=8)
+    text = explained(made)
+    assert text.count(") MapInArrow") == 1 and "MapInPandas" not in text
+    # Rows made from a list would go through Python workers of a pool of their own.
+    assert "ExistingRDD" not in explained(mixing.draws(spark, plan, shard_slots=100))
+    places = defaultdict(list)
+    for r in made.collect():
+        places[r.source].append(r.slot)
+        assert 0 <= r.block < plan.blocks[r.source] and 0 < r.words <= 8
+    assert {s: sorted(p) for s, p in places.items()} == {i: list(range(q)) for i, q in enumerate(plan.quotas.tolist()) if q}
+
+
 def test_mixed_texts_hold_the_words_taken(odd):
     docs = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
     taken = {r.key: r.taken for r in mixing.mixed(docs, block=16)[0].collect()}
